@@ -98,3 +98,174 @@ def scorecard(t):
     failure, and the suite score (rows 32, 44, 79, 89-94, 100, 101)."""
     df, checks = lineitem_suite(t)
     return C.run_suite(df, checks, suite="lineitem")
+
+
+# ---- one suite per check kind (rows 86-96) ---------------------------------
+
+from assay.plans.sqlkit import Spec, suite_sql, to_checks  # noqa: E402
+
+col = F.col
+
+
+def _suite_query(name, suite, table_sql, frame, specs, doc):
+    def fn(t):
+        return C.run_suite(frame(t), to_checks(specs), suite=suite)
+    fn.__doc__ = doc
+    query(name, suite_sql(table_sql, suite, specs))(fn)
+
+
+_EQ = [
+    Spec("returnflags", "three return flags", lambda: F.count_distinct("l_returnflag") == 3,
+         "count(DISTINCT l_returnflag) = 3"),
+    Spec("max_line", "at most seven lines per order", lambda: F.max("l_linenumber").eqNullSafe(F.lit(7)),
+         "max(l_linenumber) IS NOT DISTINCT FROM 7"),
+    Spec("min_qty", "smallest quantity is 1", lambda: F.min("l_quantity").eqNullSafe(F.lit(1.0)),
+         "min(l_quantity) IS NOT DISTINCT FROM 1.0"),
+    Spec("max_line_8", "eight lines somewhere", lambda: F.max("l_linenumber").eqNullSafe(F.lit(8)),
+         "max(l_linenumber) IS NOT DISTINCT FROM 8", hint="max is [[ACTUAL_VALUE]]",
+         spark_actual=lambda: F.max("l_linenumber"), sql_actual="max(l_linenumber)"),
+    Spec("statuses", "two line statuses", lambda: F.count_distinct("l_linestatus") == 2,
+         "count(DISTINCT l_linestatus) = 2", depends_on=["returnflags"]),
+]
+_suite_query("check_equals", "equals", "SELECT * FROM lineitem", lambda t: t.lineitem, _EQ,
+             "Row 89: test_equals over lineitem aggregates.")
+
+_BOOL = [
+    Spec("tax_nonneg", "tax is never negative", lambda: F.coalesce(F.every(F.coalesce(col("l_tax") >= 0, F.lit(False))), F.lit(True)),
+         "coalesce(bool_and(coalesce(l_tax >= 0, false)), true)"),
+    Spec("no_big_qty", "no quantity above 50", lambda: F.coalesce(F.every(F.coalesce(~(col("l_quantity") > 50), F.lit(False))), F.lit(True)),
+         "coalesce(bool_and(coalesce(NOT (l_quantity > 50), false)), true)"),
+    Spec("shipped_before_2000", "all shipped before 2000",
+         lambda: F.coalesce(F.every(F.coalesce(col("l_shipdate") < F.lit("2000-01-01").cast("timestamp_ntz"), F.lit(False))), F.lit(True)),
+         "coalesce(bool_and(coalesce(l_shipdate < TIMESTAMP '2000-01-01', false)), true)",
+         hint="[[ACTUAL_VALUE]] late lines",
+         spark_actual=lambda: F.count_if(~F.coalesce(col("l_shipdate") < F.lit("2000-01-01").cast("timestamp_ntz"), F.lit(False))),
+         sql_actual="count_if(NOT coalesce(l_shipdate < TIMESTAMP '2000-01-01', false))"),
+    Spec("discount_set", "discount never null", lambda: F.coalesce(F.every(F.coalesce(col("l_discount").isNotNull(), F.lit(False))), F.lit(True)),
+         "coalesce(bool_and(coalesce(l_discount IS NOT NULL, false)), true)", depends_on=["tax_nonneg"]),
+]
+_suite_query("check_bool", "bool", "SELECT * FROM lineitem", lambda t: t.lineitem, _BOOL,
+             "Row 90: test_true / test_false as every-row predicates.")
+
+_DOCS_LABELS_SQL = "SELECT d.doc_id, d.n_chars, l.quality FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id"
+
+
+def _docs_labels(t):
+    d = t.documents.select("doc_id", "n_chars")
+    lab = t.labels.select(col("doc_id").alias("l_doc_id"), "quality")
+    return d.join(lab, d.doc_id == lab.l_doc_id, "left")
+
+
+_NULLS = [
+    Spec("doc_id_set", "every document has an id", lambda: F.count_if(col("doc_id").isNull()) == 0,
+         "count_if(doc_id IS NULL) = 0"),
+    Spec("no_negative_len", "no negative length is set",
+         lambda: F.count_if(F.when(col("n_chars") < 0, col("n_chars")).isNotNull()) == 0,
+         "count_if((CASE WHEN n_chars < 0 THEN n_chars END) IS NOT NULL) = 0"),
+    Spec("all_labelled", "every document has a quality label", lambda: F.count_if(col("quality").isNull()) == 0,
+         "count_if(quality IS NULL) = 0", hint="[[ACTUAL_VALUE]] unlabelled",
+         spark_actual=lambda: F.count_if(col("quality").isNull()), sql_actual="count_if(quality IS NULL)"),
+    Spec("none_labelled", "no document has a quality label", lambda: F.count_if(col("quality").isNotNull()) == 0,
+         "count_if(quality IS NOT NULL) = 0", depends_on=["doc_id_set"]),
+]
+_suite_query("check_nulls", "nulls", _DOCS_LABELS_SQL, _docs_labels, _NULLS,
+             "Row 91: test_is_none / test_not_none over documents left join labels.")
+
+_COUNT = [
+    Spec("dim_64", "every vector has 64 dimensions",
+         lambda: F.coalesce(F.every(F.coalesce(F.size("embedding") == 64, F.lit(False))), F.lit(True)),
+         "coalesce(bool_and(coalesce(len(embedding) = 64, false)), true)"),
+    Spec("ids_unique", "vector ids are unique", lambda: F.count(F.lit(1)) == F.count_distinct("vec_id"),
+         "count(*) = count(DISTINCT vec_id)"),
+    Spec("ten_labels", "ten distinct labels", lambda: F.count_distinct("label") == 10,
+         "count(DISTINCT label) = 10"),
+    Spec("rows_500", "500 vectors", lambda: F.count(F.lit(1)) == 500, "count(*) = 500",
+         hint="found [[ACTUAL_VALUE]]", spark_actual=lambda: F.count(F.lit(1)), sql_actual="count(*)"),
+]
+_suite_query("check_count", "count", "SELECT * FROM embeddings", lambda t: t.embeddings, _COUNT,
+             "Row 92: test_length as row counts and per-row sizes.")
+
+
+def _floats_spark(actual, expected, tol):
+    a = actual.try_cast("double")
+    e = F.lit(expected).cast("double")
+    return F.when(actual.isNull() & e.isNull(), True).otherwise(F.coalesce(F.abs(a - e) <= F.lit(tol), F.lit(False)))
+
+
+def _floats_sql(actual, expected, tol):
+    e = "CAST(NULL AS DOUBLE)" if expected is None else f"CAST({expected} AS DOUBLE)"
+    return (f"CASE WHEN ({actual}) IS NULL AND {e} IS NULL THEN true "
+            f"ELSE coalesce(abs(TRY_CAST(({actual}) AS DOUBLE) - {e}) <= {tol}, false) END")
+
+
+_FLOATS = [
+    Spec("avg_tax", "average tax near 0.04", lambda: _floats_spark(F.avg("l_tax"), 0.04, 0.01),
+         _floats_sql("avg(l_tax)", 0.04, 0.01)),
+    Spec("avg_discount_tight", "average discount near 0.06 within 0.005",
+         lambda: _floats_spark(F.avg("l_discount"), 0.06, 0.005), _floats_sql("avg(l_discount)", 0.06, 0.005)),
+    Spec("null_vs_none", "no value compared with None",
+         lambda: _floats_spark(F.max(F.when(col("l_quantity") > 100, col("l_quantity"))), None, 0.01),
+         _floats_sql("max(CASE WHEN l_quantity > 100 THEN l_quantity END)", None, 0.01), depends_on=[]),
+    Spec("text_value", "a text value never compares", lambda: _floats_spark(F.max("l_returnflag"), 1.0, 0.01),
+         _floats_sql("max(l_returnflag)", 1.0, 0.01), depends_on=["avg_tax"]),
+]
+_suite_query("check_floats", "floats", "SELECT * FROM lineitem", lambda t: t.lineitem, _FLOATS,
+             "Row 93: test_floats with tolerance, None = None, uncastable fails.")
+
+
+def _cust_nation(t):
+    c = t.customer.select("c_custkey", "c_nationkey", "c_mktsegment")
+    n = t.nation.select(col("n_nationkey"))
+    return c.join(n, c.c_nationkey == n.n_nationkey, "left")
+
+
+_DOMAIN = [
+    Spec("segment_domain", "market segment in the five known",
+         lambda: F.count_if(~F.coalesce(col("c_mktsegment").isin(
+             ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]), F.lit(False))) == 0,
+         "count_if(NOT coalesce(c_mktsegment IN ('AUTOMOBILE','BUILDING','FURNITURE','HOUSEHOLD','MACHINERY'), false)) = 0"),
+    Spec("nation_known", "every customer nation exists (domain table)",
+         lambda: F.count_if(col("n_nationkey").isNull()) == 0, "count_if(n_nationkey IS NULL) = 0"),
+    Spec("segment_short_list", "market segment in a short list",
+         lambda: F.count_if(~F.coalesce(col("c_mktsegment").isin(["BUILDING", "HOUSEHOLD"]), F.lit(False))) == 0,
+         "count_if(NOT coalesce(c_mktsegment IN ('BUILDING','HOUSEHOLD'), false)) = 0",
+         hint="[[ACTUAL_VALUE]] outside",
+         spark_actual=lambda: F.count_if(~F.coalesce(col("c_mktsegment").isin(["BUILDING", "HOUSEHOLD"]), F.lit(False))),
+         sql_actual="count_if(NOT coalesce(c_mktsegment IN ('BUILDING','HOUSEHOLD'), false))"),
+]
+_suite_query("check_domain", "domain",
+             "SELECT c.*, n.n_nationkey FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey",
+             _cust_nation, _DOMAIN, "Row 94: test_contains as literal domain and domain-table join.")
+
+
+# Named-check registry (rows 86, 87): user Column builders registered by name
+# and attached to a suite like built-in kinds.
+CHECK_REGISTRY: dict[str, object] = {}
+
+
+def register_check(name):
+    def deco(builder):
+        CHECK_REGISTRY[name] = builder
+        return builder
+    return deco
+
+
+@register_check("revenue_positive")
+def _revenue_positive():
+    rev = col("l_extendedprice") * (1 - col("l_discount"))
+    return F.coalesce(F.every(F.coalesce(rev > 0, F.lit(False))), F.lit(True))
+
+
+@register_check("returns_under_half")
+def _returns_under_half():
+    return F.count_if(col("l_returnflag") == "R") * 2 < F.count(F.lit(1))
+
+
+_CUSTOM = [
+    Spec("revenue_positive", "net revenue positive on every line", lambda: CHECK_REGISTRY["revenue_positive"](),
+         "coalesce(bool_and(coalesce(l_extendedprice * (1 - l_discount) > 0, false)), true)"),
+    Spec("returns_under_half", "fewer than half the lines are returns", lambda: CHECK_REGISTRY["returns_under_half"](),
+         "count_if(l_returnflag = 'R') * 2 < count(*)", points=3),
+]
+_suite_query("custom_check", "custom", "SELECT * FROM lineitem", lambda t: t.lineitem, _CUSTOM,
+             "Rows 86-87: user checks from a named registry of Column builders.")
