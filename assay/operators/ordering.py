@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from assay.session import checkpoint_dir
+
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row number in the low 33 bits
 
 
@@ -50,6 +52,10 @@ def with_row_index(df: DataFrame, order: list[str], name: str = "row_idx",
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
          .withColumn("_mid", F.monotonically_increasing_id()))
+    # the id depends on the physical partitioning, so it is pinned once with a
+    # reliable checkpoint; the counts and the numbering then read the same rows
+    checkpoint_dir(spark)
+    s = s.checkpoint(eager=True)
     s = (s.withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
           .withColumn("_local", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1))))
     counts = s.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
