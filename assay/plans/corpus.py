@@ -271,3 +271,190 @@ def run_targets(t):
     error = F.when(is_pip & banned, F.lit("Using unsupported repo"))
     out = c.select("doc_id", "pos", F.when(is_run, target).alias("target"), warning.alias("warning"), error.alias("error"))
     return out.where(col("target").isNotNull() | col("warning").isNotNull() | col("error").isNotNull())
+
+
+# ------------------------------------------------------------ i18n and bundles
+
+def md_cells(t):
+    """assistant turns as markdown cells whose first line carries the i18n
+    guid, with injected faults (missing guid, extra word, repeated guid)."""
+    c = cells(t).where(col("role") == "assistant")
+    k = col("doc_id") + col("pos")
+    guid = F.concat(F.lit("--i18n-"), col("doc_id").cast("string"), F.lit("-"), col("pos").cast("string"))
+    dup = F.concat(F.lit("--i18n-"), col("doc_id").cast("string"), F.lit("-"), (col("pos") - 2).cast("string"))
+    tag = (F.when(k % 9 == 0, F.lit(""))
+           .when(k % 10 == 0, F.concat(F.lit(" "), guid, F.lit(" extra")))
+           .when(col("pos") % 4 == 3, F.concat(F.lit(" "), dup))
+           .otherwise(F.concat(F.lit(" "), guid)))
+    cmd = F.concat(col("cm"), F.lit(" MAGIC %md"), tag, F.lit(NL), col("text"))
+    return c.select("doc_id", "pos", "cm", cmd.alias("command"))
+
+
+_MD_CELLS_SQL = """
+SELECT conv_id AS doc_id, CAST(turn AS BIGINT) AS pos,
+  CASE conv_id % 4 WHEN 0 THEN '#' WHEN 1 THEN '--' WHEN 2 THEN '//' ELSE '#' END AS cm, text,
+  CASE WHEN (conv_id + turn) % 9 = 0 THEN ''
+       WHEN (conv_id + turn) % 10 = 0 THEN ' --i18n-' || conv_id || '-' || turn || ' extra'
+       WHEN turn % 4 = 3 THEN ' --i18n-' || conv_id || '-' || (turn - 2)
+       ELSE ' --i18n-' || conv_id || '-' || turn END AS tag
+FROM conversations WHERE role = 'assistant'"""
+
+
+def guid_check(command, cm):
+    """First failing i18n rule of a markdown cell (NULL = passed) and its guid."""
+    lines = F.split(py_strip(command), NL, -1)
+    line0 = F.substring(lines[0], F.length(cm) + 8, 1 << 20)
+    parts = F.filter(F.split(py_strip(line0), " ", -1), lambda p: py_strip(p) != "")
+    n = F.size(parts)
+    guid = F.when(n >= 2, py_strip(F.try_element_at(parts, F.lit(2))))
+    tag = F.try_element_at(parts, F.lit(1))
+    err = (F.when(F.size(lines) <= 1, "single_line")
+           .when(n == 1, "missing_directive")
+           .when(n != 2, "word_count")
+           .when(~tag.isin("%md", "%md-sandbox"), "md_tag")
+           .when(~guid.startswith("--i18n-"), "guid_prefix"))
+    return F.struct(guid.alias("guid"), err.alias("error"))
+
+
+@query("guid_rules", f"""
+WITH c AS ({_MD_CELLS_SQL}),
+p AS (SELECT doc_id, pos, list_filter(string_split({strip("substr('%md' || tag, 1)")}, ' '), lambda x: {strip('x')} <> '') AS parts FROM c),
+r AS (SELECT doc_id, pos, CASE WHEN len(parts) >= 2 THEN {strip('parts[2]')} END AS guid,
+        CASE WHEN len(parts) = 1 THEN 'missing_directive' WHEN len(parts) <> 2 THEN 'word_count'
+             WHEN parts[1] NOT IN ('%md', '%md-sandbox') THEN 'md_tag'
+             WHEN NOT starts_with({strip('parts[2]')}, '--i18n-') THEN 'guid_prefix' END AS error FROM p),
+f AS (SELECT doc_id, guid, min(pos) AS first_pos FROM r WHERE error IS NULL GROUP BY doc_id, guid)
+SELECT r.doc_id, r.pos, r.guid, CASE WHEN r.error IS NULL AND r.pos > f.first_pos THEN 'duplicate' ELSE r.error END AS error
+FROM r LEFT JOIN f ON r.doc_id = f.doc_id AND r.guid = f.guid""")
+def guid_rules(t):
+    """Rows 49, 118: i18n guid rules on markdown cells (two words, %md tag,
+    '--i18n-' prefix), then duplicates within a notebook: the first passing
+    cell of a guid wins, later ones are errors (aggregate + join, no sort)."""
+    c = md_cells(t)
+    g = c.select("doc_id", "pos", guid_check(col("command"), col("cm")).alias("g"))
+    g = g.select("doc_id", "pos", col("g.guid").alias("guid"), col("g.error").alias("error"))
+    first = g.where(col("error").isNull()).groupBy("doc_id", "guid").agg(F.min("pos").alias("_first"))
+    j = g.join(first, ["doc_id", "guid"], "left")
+    err = F.when(col("error").isNull() & (col("pos") > col("_first")), F.lit("duplicate")).otherwise(col("error"))
+    return j.select("doc_id", "pos", "guid", err.alias("error"))
+
+
+def bundles(t, translated: bool = False):
+    """One translation bundle per conversation: a name line, then per turn a
+    marker line ('<hr sandbox>' for system turns) and the body.  Assembled
+    with an ordered collect over one conversation (bounded)."""
+    c = t.conversations.select("conv_id", "turn", "role", "text")
+    if translated:
+        c = (c.where((col("conv_id") + col("turn")) % 10 != 0)
+             .withColumn("text", F.concat(F.lit("[tr] "), col("text"))))
+    guid = F.concat(col("conv_id").cast("string"), F.lit("-"),
+                    F.when(col("turn") % 4 == 3, col("turn") - 2).otherwise(col("turn")).cast("string"))
+    marker = F.when(col("role") == "system", F.lit("<hr sandbox>--i18n-")).otherwise(F.lit("<hr>--i18n-"))
+    seg = F.concat(marker, guid, F.lit(NL), col("text"))
+    g = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", seg.alias("seg")))).alias("_s"))
+    body = F.array_join(F.transform("_s", lambda s: s["seg"]), NL)
+    return g.select(col("conv_id").alias("doc_id"),
+                    F.concat(F.lit("## conv-"), col("conv_id").cast("string"), F.lit(NL), body).alias("bundle"))
+
+
+BUNDLE_SPLIT = r"(?m)^<hr>--i18n-|^<hr sandbox>--i18n-"
+
+
+def bundle_map(b):
+    """bundle text -> (doc_id, guid, body): split on the markers, guid up to
+    the first newline, later duplicates win."""
+    parts = b.select("doc_id", F.posexplode(F.split("bundle", BUNDLE_SPLIT, -1)).alias("i", "part"))
+    nl = F.instr("part", NL)
+    guid = py_strip(F.concat(F.lit("--i18n-"), F.when(nl == 0, col("part")).otherwise(F.substring("part", F.lit(1), nl - 1))))
+    body = F.when(nl == 0, F.lit("")).otherwise(F.substring("part", nl + 1, 1 << 30))
+    x = parts.where(col("i") > 0).select("doc_id", "i", guid.alias("guid"), body.alias("body"))
+    return x.groupBy("doc_id", "guid").agg(F.max_by("body", "i").alias("body"))
+
+
+def _bundle_sql(translated: bool) -> str:
+    where = "WHERE (conv_id + turn) % 10 <> 0" if translated else ""
+    text = "'[tr] ' || text" if translated else "text"
+    return f"""
+SELECT conv_id AS doc_id, '## conv-' || conv_id || chr(10) ||
+  string_agg(CASE WHEN role = 'system' THEN '<hr sandbox>--i18n-' ELSE '<hr>--i18n-' END ||
+             conv_id || '-' || CASE WHEN turn % 4 = 3 THEN turn - 2 ELSE turn END || chr(10) || {text}, chr(10) ORDER BY turn) AS bundle
+FROM conversations {where} GROUP BY conv_id"""
+
+
+def _bundle_map_sql(translated: bool) -> str:
+    return f"""
+SELECT doc_id, guid, arg_max(body, i) AS body FROM (
+  SELECT doc_id, i, {strip("'--i18n-' || CASE WHEN position(chr(10) IN part) = 0 THEN part ELSE substr(part, 1, position(chr(10) IN part) - 1) END")} AS guid,
+    CASE WHEN position(chr(10) IN part) = 0 THEN '' ELSE substr(part, position(chr(10) IN part) + 1) END AS body
+  FROM ({_bundle_sql(translated)}) b, unnest(regexp_split_to_array(bundle, '(?m)^<hr>--i18n-|^<hr sandbox>--i18n-')) WITH ORDINALITY AS u(part, i)
+  WHERE i > 1) GROUP BY doc_id, guid"""
+
+
+@query("bundle_to_map", f"""
+SELECT doc_id, guid, md5(body) AS body_md5, CAST(length(body) AS INTEGER) AS body_len FROM ({_bundle_map_sql(False)})""")
+def bundle_to_map(t):
+    """Row 119: translation bundle text -> guid map per document."""
+    m = bundle_map(bundles(t))
+    return m.select("doc_id", "guid", F.md5("body").alias("body_md5"), F.length("body").alias("body_len"))
+
+
+def _merged(t):
+    c = md_cells(t)
+    g = c.select("doc_id", "pos", "cm", "command", guid_check(col("command"), col("cm")).alias("g"))
+    tr = bundle_map(bundles(t, translated=True)).withColumn("_have", F.lit(True))
+    j = g.join(tr, (g.doc_id == tr.doc_id) & (col("g.guid") == tr.guid), "left").drop(tr.doc_id).drop(tr.guid)
+    status = F.when(col("g.error").isNotNull(), "invalid").when(col("_have").isNull(), "missing").otherwise("translated")
+    new = F.when(status == "translated",
+                 F.concat(col("cm"), F.lit(" DBTITLE 0,"), col("g.guid"), F.lit(NL), col("cm"), F.lit(" MAGIC %md"),
+                          F.lit(NL), col("body"))).otherwise(col("command"))
+    return j.select("doc_id", "pos", "cm", col("g.guid").alias("guid"), status.alias("status"), new.alias("cell"))
+
+
+_MERGED_SQL = f"""
+WITH c AS ({_MD_CELLS_SQL}),
+p AS (SELECT *, cm || ' MAGIC %md' || tag || chr(10) || text AS command,
+        list_filter(string_split({strip("'%md' || tag")}, ' '), lambda x: {strip('x')} <> '') AS parts FROM c),
+r AS (SELECT *, CASE WHEN len(parts) >= 2 THEN {strip('parts[2]')} END AS guid,
+        CASE WHEN len(parts) = 1 THEN 'missing_directive' WHEN len(parts) <> 2 THEN 'word_count'
+             WHEN NOT starts_with({strip('parts[2]')}, '--i18n-') THEN 'guid_prefix' END AS error FROM p),
+tr AS ({_bundle_map_sql(True)})
+SELECT r.doc_id, r.pos, r.cm, r.guid,
+  CASE WHEN r.error IS NOT NULL THEN 'invalid' WHEN tr.guid IS NULL THEN 'missing' ELSE 'translated' END AS status,
+  CASE WHEN r.error IS NULL AND tr.guid IS NOT NULL
+       THEN r.cm || ' DBTITLE 0,' || r.guid || chr(10) || r.cm || ' MAGIC %md' || chr(10) || tr.body ELSE r.command END AS cell
+FROM r LEFT JOIN tr ON r.doc_id = tr.doc_id AND r.guid = tr.guid"""
+
+
+@query("translation_merge", f"""
+SELECT doc_id, pos, guid, status, md5(cell) AS cell_md5 FROM ({_MERGED_SQL})""")
+def translation_merge(t):
+    """Row 21: each markdown cell's body looked up by (document, guid) in the
+    translated bundle; a missing guid keeps the original (a warning)."""
+    m = _merged(t)
+    return m.select("doc_id", "pos", "guid", "status", F.md5("cell").alias("cell_md5"))
+
+
+NOTEBOOK_HEADER = " notebook source"   # first line after the comment marker
+
+
+@query("translate_documents", f"""
+WITH m AS ({_MERGED_SQL}),
+g AS (SELECT doc_id, min(cm) AS cm, CAST(count(*) AS BIGINT) AS n_cells,
+        CAST(count_if(status = 'translated') AS BIGINT) AS n_translated,
+        CAST(count_if(status = 'missing') AS BIGINT) AS n_missing, list(cell ORDER BY pos) AS cells
+      FROM m GROUP BY doc_id)
+SELECT doc_id, n_cells, n_translated, n_missing,
+  md5(cm || '{NOTEBOOK_HEADER}' || chr(10) ||
+      list_reduce(cells, lambda a, b: a || chr(10) || cm || ' COMMAND ----------' || chr(10) || b)) AS document_md5
+FROM g""")
+def translate_documents(t):
+    """Row 120: documents rebuilt from translated cells in order (header
+    line, cells joined by the command delimiter)."""
+    m = _merged(t)
+    g = m.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_cells"), F.count_if(col("status") == "translated").alias("n_translated"),
+        F.count_if(col("status") == "missing").alias("n_missing"), F.min("cm").alias("cm"),
+        F.sort_array(F.collect_list(F.struct("pos", "cell"))).alias("_c"))
+    doc = F.concat(col("cm"), F.lit(NOTEBOOK_HEADER + NL),
+                   F.call_function("array_join", F.transform("_c", lambda x: x["cell"]), K.cell_delimiter(col("cm"))))
+    return g.select("doc_id", "n_cells", "n_translated", "n_missing", F.md5(doc).alias("document_md5"))
