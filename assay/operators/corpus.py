@@ -8,7 +8,7 @@ is collected across rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assay.functions.text import py_strip
@@ -44,57 +44,64 @@ def cell_delimiter(cm: Column) -> Column:
     return F.concat(F.lit("\n"), cm, F.lit(" COMMAND ----------\n"))
 
 
-def _line_kind(line: Column, cm: Column) -> Column:
-    """(kind, text) of one line for the leading-comment scan."""
-    n = F.length(cm)
-    l1 = (F.when(line.startswith(F.concat(cm, F.lit(" MAGIC"))), py_strip(F.substring(line, n + 7, 1 << 30)))
-          .when(line.startswith(F.concat(cm, F.lit(" COMMAND"))), py_strip(F.substring(line, n + 9, 1 << 30)))
-          .otherwise(line))
-    sp = F.instr(l1, " ")
-    l2 = F.when(py_strip(l1).startswith("%"),
-                F.when(sp == 0, F.lit("")).otherwise(py_strip(F.substring(l1, sp, 1 << 30)))).otherwise(l1)
-    s = py_strip(l2)
-    kind = F.when((s == cm) | (s == ""), "skip").when(s.startswith(cm), "comment").otherwise("stop")
-    return F.struct(kind.alias("kind"), py_strip(F.substring(s, n + 1, 1 << 30)).alias("text"))
-
-
-def leading_comments(command: Column, cm: Column) -> Column:
-    """Comment texts before the first non-comment line of a cell."""
-    lines = F.split(py_strip(command), "\n", -1)
-    kinds = F.transform(lines, lambda l: _line_kind(l, cm))
-    stop = F.array_position(F.transform(kinds, lambda k: k["kind"] == "stop"), True)
-    take = F.when(stop == 0, kinds).otherwise(F.slice(kinds, F.lit(1), (stop - 1).cast("int")))
-    return F.transform(F.filter(take, lambda k: k["kind"] == "comment"), lambda k: k["text"])
-
-
-def classify_comment(c: Column) -> Column:
-    """struct(cls, warnings) per leading comment: cls in directive / none /
-    double_todo; warnings counts hyphen and unsupported-name findings."""
-    d = py_strip(c)
-    mod = F.regexp_replace(d, "[^-a-zA-Z_]", "_")
-    hyphen = F.when(d.contains("-"), 1).otherwise(0)
-    unsupported = F.when(~d.isin(SUPPORTED_DIRECTIVES), 1).otherwise(0)
-    warn = hyphen + unsupported
-    cls = (F.when(c != F.upper(c), "none")
-           .when(d.isin(SQL_WORDS), "none")
-           .when(d.isin(ACCEPTED_DIRECTIVES), "directive")
-           .when(d.contains("FILL-IN") | d.contains("FILL_IN"), "none")
-           .when(d != mod, F.when(mod.isin("__" + D_TODO, "___" + D_TODO), "double_todo").otherwise("none"))
-           .when(warn > 0, "warned")
-           .otherwise("directive"))
-    warnings = F.when(cls == "warned", warn).otherwise(0)
-    return F.struct(c.alias("text"), cls.alias("cls"), warnings.alias("warnings"))
-
-
-def directives_of(comments: Column) -> Column:
-    """Classified comments -> struct(directives array, n_main, errors, warnings)."""
-    cl = F.transform(comments, classify_comment)
-    dirs = F.transform(F.filter(cl, lambda x: x["cls"] == "directive"), lambda x: x["text"])
-    n_main = F.size(F.filter(dirs, lambda x: ~x.isin(HEADER_FOOTER)))
-    double = F.size(F.filter(cl, lambda x: x["cls"] == "double_todo"))
-    warns = F.aggregate(cl, F.lit(0), lambda acc, x: acc + x["warnings"])
-    errors = double + F.when(n_main > 1, 1).otherwise(0)
-    return F.struct(dirs.alias("directives"), n_main.alias("n_main"), errors.alias("errors"), warns.alias("warnings"))
+def with_leading_comments(df: DataFrame, command: str = "command", cm: str = "cm",
+                          out: str = "comments") -> DataFrame:
+    """Add ``out``: the comment texts before the first non-comment line.
+
+    Staged as successive projections over the line array so every
+    intermediate is computed once (no expression is copied into its users)."""
+    c, n = F.col(cm), F.length(F.col(cm))
+    lines = F.split(py_strip(F.col(command)), "\n", -1)
+    df = df.withColumn("_lc1", F.transform(lines, lambda l: (
+        F.when(l.startswith(F.concat(c, F.lit(" MAGIC"))), py_strip(F.substring(l, n + 7, F.lit(1 << 30))))
+         .when(l.startswith(F.concat(c, F.lit(" COMMAND"))), py_strip(F.substring(l, n + 9, F.lit(1 << 30))))
+         .otherwise(l))))
+    df = df.withColumn("_lc2", F.transform("_lc1", lambda l: F.struct(
+        l.alias("l1"), py_strip(l).alias("s1"), F.instr(l, " ").alias("sp"))))
+    df = df.withColumn("_lc3", F.transform("_lc2", lambda x: py_strip(
+        F.when(x["s1"].startswith("%"), F.when(x["sp"] == 0, F.lit(""))
+               .otherwise(py_strip(F.substring(x["l1"], x["sp"], F.lit(1 << 30))))).otherwise(x["l1"]))))
+    df = df.withColumn("_lc4", F.transform("_lc3", lambda s: F.struct(
+        F.when((s == c) | (s == ""), "skip").when(s.startswith(c), "comment").otherwise("stop").alias("kind"),
+        py_strip(F.substring(s, n + 1, F.lit(1 << 30))).alias("text"))))
+    df = df.withColumn("_lcstop", F.array_position(F.transform("_lc4", lambda k: k["kind"] == "stop"), True))
+    take = F.when(F.col("_lcstop") == 0, F.col("_lc4")).otherwise(
+        F.slice("_lc4", F.lit(1), (F.col("_lcstop") - 1).cast("int")))
+    df = df.withColumn(out, F.transform(F.filter(take, lambda k: k["kind"] == "comment"), lambda k: k["text"]))
+    return df.drop("_lc1", "_lc2", "_lc3", "_lc4", "_lcstop")
+
+
+def with_directives(df: DataFrame, comments: str = "comments") -> DataFrame:
+    """Add ``directives`` (array), ``n_main``, ``errors`` and ``warnings``.
+
+    A comment is a directive when it is upper case and a known name, or a
+    clean name (only letters, '-' and '_') without warnings; a doubled
+    comment marker in front of TODO is an error; hyphens and unsupported
+    names are warnings."""
+    df = df.withColumn("_dc1", F.transform(comments, lambda c: F.struct(
+        c.alias("text"), py_strip(c).alias("d"), (c != F.upper(c)).alias("lower"))))
+    df = df.withColumn("_dc2", F.transform("_dc1", lambda x: F.struct(
+        x["text"].alias("text"), x["d"].alias("d"), x["lower"].alias("lower"),
+        F.regexp_replace(x["d"], "[^-a-zA-Z_]", "_").alias("mod"),
+        (F.when(x["d"].contains("-"), 1).otherwise(0)
+         + F.when(~x["d"].isin(SUPPORTED_DIRECTIVES), 1).otherwise(0)).alias("warn"))))
+    df = df.withColumn("_dc3", F.transform("_dc2", lambda x: F.struct(
+        x["text"].alias("text"),
+        F.when(x["lower"], "none").when(x["d"].isin(SQL_WORDS), "none")
+         .when(x["d"].isin(ACCEPTED_DIRECTIVES), "directive")
+         .when(x["d"].contains("FILL-IN") | x["d"].contains("FILL_IN"), "none")
+         .when(x["d"] != x["mod"], F.when(x["mod"].isin("__" + D_TODO, "___" + D_TODO), "double_todo")
+               .otherwise("none"))
+         .when(x["warn"] > 0, "warned").otherwise("directive").alias("cls"),
+        x["warn"].alias("warn"))))
+    df = df.withColumn("directives", F.transform(F.filter("_dc3", lambda x: x["cls"] == "directive"),
+                                                 lambda x: x["text"]))
+    df = df.withColumn("n_main", F.size(F.filter("directives", lambda x: ~x.isin(HEADER_FOOTER))))
+    df = df.withColumn("errors", F.size(F.filter("_dc3", lambda x: x["cls"] == "double_todo"))
+                       + F.when(F.col("n_main") > 1, 1).otherwise(0))
+    df = df.withColumn("warnings", F.aggregate(
+        "_dc3", F.lit(0), lambda acc, x: acc + F.when(x["cls"] == "warned", x["warn"]).otherwise(0)))
+    return df.drop("_dc1", "_dc2", "_dc3")
 
 
 def route(command: Column, directives: Column) -> Column:
@@ -110,31 +117,30 @@ def route(command: Column, directives: Column) -> Column:
             .otherwise(both))
 
 
-def clean_todo(command: Column, cm: Column) -> Column:
-    """Uncomment a TODO cell line by line: struct(text, errors).
+def with_clean_todo(df: DataFrame, command: str = "command", cm: str = "cm",
+                    out: str = "cleaned", errors: str = "todo_errors") -> DataFrame:
+    """Uncomment a TODO cell line by line.
 
     Line 0 must be the TODO directive; other non-blank lines must be
-    commented; the directive line is kept; '<cm> ' or '<cm>' is removed."""
-    lines = F.split(command, "\n", -1)
-    todo = F.concat(cm, F.lit(" " + D_TODO))
-    magic = F.concat(cm, F.lit(" MAGIC"))
-    n = F.length(cm)
-
-    def one(line, i):
-        s = py_strip(line)
-        err = (F.when((i == 0) & (s != todo), 1)
-               .when(~line.startswith(cm) & (s != "") & (s != magic), 1).otherwise(0))
-        out = (F.when(err == 1, F.lit(""))
-               .when(s.startswith(todo), line)
-               .when((s == "") | (s == magic), line)
-               .when(s.startswith(F.concat(cm, F.lit(" "))), F.substring(line, n + 2, 1 << 30))
-               .otherwise(F.substring(line, n + 1, 1 << 30)))
-        return F.struct(out.alias("line"), err.alias("err"))
-
-    res = F.transform(lines, one)
-    text = F.array_join(F.transform(res, lambda r: r["line"]), "\n")
-    errors = F.aggregate(res, F.lit(0), lambda acc, r: acc + r["err"])
-    return F.struct(text.alias("text"), errors.alias("errors"))
+    commented (an offending line is reported and left out); the directive
+    line is kept; '<cm> ' or '<cm>' is removed from the rest."""
+    c, n = F.col(cm), F.length(F.col(cm))
+    todo = F.concat(c, F.lit(" " + D_TODO))
+    magic = F.concat(c, F.lit(" MAGIC"))
+    df = df.withColumn("_ct1", F.transform(F.split(F.col(command), "\n", -1), lambda line, i: F.struct(
+        line.alias("line"), py_strip(line).alias("s"), i.alias("i"))))
+    df = df.withColumn("_ct2", F.transform("_ct1", lambda x: F.struct(
+        x["line"].alias("line"), x["s"].alias("s"),
+        F.when((x["i"] == 0) & (x["s"] != todo), 1)
+         .when(~x["line"].startswith(c) & (x["s"] != "") & (x["s"] != magic), 1).otherwise(0).alias("err"))))
+    out_line = lambda x: (F.when(x["err"] == 1, F.lit(""))
+                          .when(x["s"].startswith(todo), x["line"])
+                          .when((x["s"] == "") | (x["s"] == magic), x["line"])
+                          .when(x["s"].startswith(F.concat(c, F.lit(" "))), F.substring(x["line"], n + 2, F.lit(1 << 30)))
+                          .otherwise(F.substring(x["line"], n + 1, F.lit(1 << 30))))
+    df = df.withColumn(out, F.array_join(F.transform("_ct2", out_line), "\n"))
+    df = df.withColumn(errors, F.aggregate("_ct2", F.lit(0), lambda acc, x: acc + x["err"]))
+    return df.drop("_ct1", "_ct2")
 
 
 def line_of_first(text: Column, what: str) -> Column:

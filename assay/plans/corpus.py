@@ -22,8 +22,10 @@ def cells(t):
     c = t.conversations
     lang = (F.when(col("conv_id") % 4 == 0, "python").when(col("conv_id") % 4 == 1, "sql")
             .when(col("conv_id") % 4 == 2, "scala").otherwise("r"))
+    cm = F.element_at(F.array(*[F.lit(K.COMMENT_MARKERS[x]) for x in ("python", "sql", "scala", "r")]),
+                      (col("conv_id") % 4 + 1).cast("int"))
     return c.select(col("conv_id").alias("doc_id"), col("turn").cast("bigint").alias("pos"), "role", "text",
-                    lang.alias("language"), K.comment_marker(lang).alias("cm"))
+                    lang.alias("language"), cm.alias("cm"))
 
 
 def commands(t):
@@ -46,9 +48,8 @@ def commands(t):
 
 
 def directive_cells(t):
-    c = commands(t)
-    d = K.directives_of(K.leading_comments(col("command"), col("cm")))
-    return c.withColumn("d", d)
+    """commands + comments, directives, n_main, errors, warnings."""
+    return K.with_directives(K.with_leading_comments(commands(t)))
 
 
 def doc_lines(t):
@@ -82,11 +83,9 @@ FROM d""")
 def extract_directives(t):
     """Row 110: leading comments of each cell and the directives among them,
     with double-comment errors and hyphen / unsupported warnings."""
-    c = commands(t)
-    com = K.leading_comments(col("command"), col("cm"))
-    d = K.directives_of(com)
-    return c.select("doc_id", "pos", F.size(com).alias("n_comments"), F.array_join(d["directives"], ",").alias("directives"),
-                    d["n_main"].alias("n_main"), d["errors"].alias("errors"), d["warnings"].alias("warnings"))
+    c = directive_cells(t)
+    return c.select("doc_id", "pos", F.size("comments").alias("n_comments"),
+                    F.array_join("directives", ",").alias("directives"), "n_main", "errors", "warnings")
 
 
 @query("route_cells", f"""
@@ -102,7 +101,7 @@ def route_cells(t):
     """Row 111: each cell routed to the student and/or solution output by
     its directive; empty, source-only and header/footer cells are skipped."""
     c = directive_cells(t)
-    return c.select("doc_id", "pos", F.explode(K.route(col("command"), col("d.directives"))).alias("target"))
+    return c.select("doc_id", "pos", F.explode(K.route(col("command"), col("directives"))).alias("target"))
 
 
 @query("uncomment_todo", f"""
@@ -123,10 +122,10 @@ SELECT doc_id, pos, CAST(errors AS INTEGER) AS errors, md5(array_to_string(out,
 def uncomment_todo(t):
     """Row 112: TODO cells uncommented for the student output, with the
     position checks (directive first, every other line commented)."""
-    c = directive_cells(t).where(F.array_contains(col("d.directives"), K.D_TODO))
-    r = K.clean_todo(col("command"), col("cm"))
-    return c.select("doc_id", "pos", r["errors"].alias("errors"), F.md5(r["text"]).alias("cleaned_md5"),
-                    F.length(r["text"]).alias("cleaned_len"))
+    c = directive_cells(t).where(F.array_contains("directives", K.D_TODO)).drop("errors")
+    c = K.with_clean_todo(c)
+    return c.select("doc_id", "pos", col("todo_errors").alias("errors"), F.md5("cleaned").alias("cleaned_md5"),
+                    F.length("cleaned").alias("cleaned_len"))
 
 
 # Tokens a published text must not contain (the reference's
@@ -300,20 +299,18 @@ SELECT conv_id AS doc_id, CAST(turn AS BIGINT) AS pos,
 FROM conversations WHERE role = 'assistant'"""
 
 
-def guid_check(command, cm):
-    """First failing i18n rule of a markdown cell (NULL = passed) and its guid."""
-    lines = F.split(py_strip(command), NL, -1)
-    line0 = F.substring(lines[0], F.length(cm) + 8, 1 << 20)
-    parts = F.filter(F.split(py_strip(line0), " ", -1), lambda p: py_strip(p) != "")
-    n = F.size(parts)
-    guid = F.when(n >= 2, py_strip(F.try_element_at(parts, F.lit(2))))
-    tag = F.try_element_at(parts, F.lit(1))
-    err = (F.when(F.size(lines) <= 1, "single_line")
-           .when(n == 1, "missing_directive")
-           .when(n != 2, "word_count")
-           .when(~tag.isin("%md", "%md-sandbox"), "md_tag")
-           .when(~guid.startswith("--i18n-"), "guid_prefix"))
-    return F.struct(guid.alias("guid"), err.alias("error"))
+def with_guid_check(df, command="command", cm="cm"):
+    """Add ``guid`` and ``error``: the first failing i18n rule of a markdown
+    cell (NULL = passed), staged so each piece is computed once."""
+    df = df.withColumn("_g1", F.split(py_strip(col(command)), NL, -1))
+    df = df.withColumn("_g2", F.filter(F.split(py_strip(F.substring(col("_g1")[0], F.length(col(cm)) + 8, F.lit(1 << 20))),
+                                               " ", -1), lambda p: py_strip(p) != ""))
+    df = df.withColumn("_g3", F.struct(F.size("_g2").alias("n"), F.try_element_at("_g2", F.lit(1)).alias("tag"),
+                                       py_strip(F.try_element_at("_g2", F.lit(2))).alias("g")))
+    n, tag, g = col("_g3.n"), col("_g3.tag"), col("_g3.g")
+    err = (F.when(F.size("_g1") <= 1, "single_line").when(n == 1, "missing_directive").when(n != 2, "word_count")
+           .when(~tag.isin("%md", "%md-sandbox"), "md_tag").when(~g.startswith("--i18n-"), "guid_prefix"))
+    return (df.withColumn("guid", F.when(n >= 2, g)).withColumn("error", err).drop("_g1", "_g2", "_g3"))
 
 
 @query("guid_rules", f"""
@@ -330,9 +327,7 @@ def guid_rules(t):
     """Rows 49, 118: i18n guid rules on markdown cells (two words, %md tag,
     '--i18n-' prefix), then duplicates within a notebook: the first passing
     cell of a guid wins, later ones are errors (aggregate + join, no sort)."""
-    c = md_cells(t)
-    g = c.select("doc_id", "pos", guid_check(col("command"), col("cm")).alias("g"))
-    g = g.select("doc_id", "pos", col("g.guid").alias("guid"), col("g.error").alias("error"))
+    g = with_guid_check(md_cells(t)).select("doc_id", "pos", "guid", "error")
     first = g.where(col("error").isNull()).groupBy("doc_id", "guid").agg(F.min("pos").alias("_first"))
     j = g.join(first, ["doc_id", "guid"], "left")
     err = F.when(col("error").isNull() & (col("pos") > col("_first")), F.lit("duplicate")).otherwise(col("error"))
@@ -399,15 +394,14 @@ def bundle_to_map(t):
 
 
 def _merged(t):
-    c = md_cells(t)
-    g = c.select("doc_id", "pos", "cm", "command", guid_check(col("command"), col("cm")).alias("g"))
+    g = with_guid_check(md_cells(t)).select("doc_id", "pos", "cm", "command", "guid", "error")
     tr = bundle_map(bundles(t, translated=True)).withColumn("_have", F.lit(True))
-    j = g.join(tr, (g.doc_id == tr.doc_id) & (col("g.guid") == tr.guid), "left").drop(tr.doc_id).drop(tr.guid)
-    status = F.when(col("g.error").isNotNull(), "invalid").when(col("_have").isNull(), "missing").otherwise("translated")
+    j = g.join(tr, ["doc_id", "guid"], "left")
+    status = F.when(col("error").isNotNull(), "invalid").when(col("_have").isNull(), "missing").otherwise("translated")
     new = F.when(status == "translated",
-                 F.concat(col("cm"), F.lit(" DBTITLE 0,"), col("g.guid"), F.lit(NL), col("cm"), F.lit(" MAGIC %md"),
+                 F.concat(col("cm"), F.lit(" DBTITLE 0,"), col("guid"), F.lit(NL), col("cm"), F.lit(" MAGIC %md"),
                           F.lit(NL), col("body"))).otherwise(col("command"))
-    return j.select("doc_id", "pos", "cm", col("g.guid").alias("guid"), status.alias("status"), new.alias("cell"))
+    return j.select("doc_id", "pos", "cm", "guid", status.alias("status"), new.alias("cell"))
 
 
 _MERGED_SQL = f"""
@@ -458,3 +452,129 @@ def translate_documents(t):
     doc = F.concat(col("cm"), F.lit(NOTEBOOK_HEADER + NL),
                    F.call_function("array_join", F.transform("_c", lambda x: x["cell"]), K.cell_delimiter(col("cm"))))
     return g.select("doc_id", "n_cells", "n_translated", "n_missing", F.md5(doc).alias("document_md5"))
+
+
+# ------------------------------------------------------------ publish outputs
+
+def _clean_todo_text_sql(cmd: str = "command") -> str:
+    err = (f"(CASE WHEN i = 1 AND {strip('line')} <> cm || ' TODO' THEN 1 "
+           f"WHEN NOT starts_with(line, cm) AND {strip('line')} <> '' AND {strip('line')} <> cm || ' MAGIC' THEN 1 ELSE 0 END)")
+    return (f"array_to_string(list_transform(string_split({cmd}, chr(10)), lambda line, i: CASE WHEN {err} = 1 THEN '' "
+            f"WHEN starts_with({strip('line')}, cm || ' TODO') THEN line "
+            f"WHEN {strip('line')} = '' OR {strip('line')} = cm || ' MAGIC' THEN line "
+            f"WHEN starts_with({strip('line')}, cm || ' ') THEN substr(line, length(cm) + 2) "
+            f"ELSE substr(line, length(cm) + 1) END), chr(10))")
+
+
+_ROUTED_SQL = f"""
+WITH d AS ({DIRECTIVES_SQL}),
+r AS (SELECT *, CASE
+        WHEN {strip('command')} = '' THEN []
+        WHEN list_has_any(directives, ['SOURCE_ONLY', 'INCLUDE_HEADER_TRUE', 'INCLUDE_HEADER_FALSE', 'INCLUDE_FOOTER_TRUE', 'INCLUDE_FOOTER_FALSE']) THEN []
+        WHEN list_contains(directives, 'TODO') THEN ['student']
+        WHEN list_contains(directives, 'ANSWER') THEN ['solution']
+        ELSE ['student', 'solution'] END AS targets FROM d)"""
+
+HEADER_CELL = "{cm} MAGIC %md-sandbox\n{cm} MAGIC <div>course header</div>"
+
+
+@query("assemble_documents", _ROUTED_SQL + f""",
+x AS (SELECT doc_id, pos, cm, unnest(targets) AS target, command, directives FROM r),
+c AS (SELECT doc_id, pos, cm, target,
+        CASE WHEN target = 'student' AND list_contains(directives, 'TODO') THEN {_clean_todo_text_sql()} ELSE command END AS cell
+      FROM x),
+h AS (SELECT DISTINCT d.doc_id, d.cm, t.target FROM d, (VALUES ('student'), ('solution')) t(target)
+      WHERE d.doc_id IN (SELECT doc_id FROM d WHERE list_contains(directives, 'INCLUDE_HEADER_TRUE'))),
+u AS (SELECT doc_id, pos, cm, target, cell FROM c
+      UNION ALL SELECT doc_id, -1, cm, target, cm || ' MAGIC %md-sandbox' || chr(10) || cm || ' MAGIC <div>course header</div>' FROM h),
+g AS (SELECT doc_id, target, min(cm) AS cm, CAST(count(*) AS BIGINT) AS n_cells, list(cell ORDER BY pos) AS cells FROM u GROUP BY doc_id, target)
+SELECT doc_id, target, n_cells,
+  md5(cm || '{NOTEBOOK_HEADER}' || chr(10) ||
+      list_reduce(cells, lambda a, b: a || chr(10) || cm || ' COMMAND ----------' || chr(10) || b) ||
+      CASE WHEN starts_with(cells[-1], cm || ' MAGIC') THEN '' ELSE chr(10) || chr(10) END) AS source_md5
+FROM g""")
+def assemble_documents(t):
+    """Row 121: student and solution documents assembled per notebook:
+    optional header cell first, routed cells in order (TODO cells
+    uncommented for students), joined with the command delimiter."""
+    c = directive_cells(t)
+    c = K.with_clean_todo(c.withColumn("targets", K.route(col("command"), col("directives"))))
+    x = c.select("doc_id", "pos", "cm", "command", "directives", "cleaned", F.explode("targets").alias("target"))
+    cell = F.when((col("target") == "student") & F.array_contains("directives", K.D_TODO),
+                  col("cleaned")).otherwise(col("command"))
+    body = x.select("doc_id", "pos", "cm", "target", cell.alias("cell"))
+    hdr_docs = c.where(F.array_contains("directives", K.D_INCLUDE_HEADER_TRUE)).select("doc_id").distinct()
+    hdr = (c.select("doc_id", "cm").distinct().join(hdr_docs, "doc_id", "left_semi")
+           .select("doc_id", F.lit(-1).cast("bigint").alias("pos"), "cm",
+                   F.explode(F.array(F.lit("student"), F.lit("solution"))).alias("target"),
+                   F.concat(col("cm"), F.lit(" MAGIC %md-sandbox\n"), col("cm"), F.lit(" MAGIC <div>course header</div>"))
+                   .alias("cell")))
+    u = body.unionByName(hdr)
+    g = u.groupBy("doc_id", "target").agg(F.min("cm").alias("cm"), F.count(F.lit(1)).alias("n_cells"),
+                                          F.sort_array(F.collect_list(F.struct("pos", "cell"))).alias("_c"))
+    cells_ = F.transform("_c", lambda x: x["cell"])
+    last = F.element_at(cells_, -1)
+    src = F.concat(col("cm"), F.lit(NOTEBOOK_HEADER + NL), F.call_function("array_join", cells_, K.cell_delimiter(col("cm"))),
+                   F.when(last.startswith(F.concat(col("cm"), F.lit(" MAGIC"))), F.lit("")).otherwise(F.lit("\n\n")))
+    return g.select("doc_id", "target", "n_cells", F.md5(src).alias("source_md5"))
+
+
+@query("doc_gate_rules", _ROUTED_SQL + """,
+s AS (SELECT doc_id,
+        CAST(count_if(list_contains(targets, 'student') AND NOT list_contains(targets, 'solution') AND list_contains(directives, 'TODO')) AS BIGINT) AS todo_count,
+        CAST(count_if(list_contains(targets, 'solution') AND NOT list_contains(targets, 'student') AND list_contains(directives, 'ANSWER')) AS BIGINT) AS answer_count,
+        bool_or(list_has_any(directives, ['INCLUDE_HEADER_TRUE', 'INCLUDE_HEADER_FALSE'])) AS found_header,
+        bool_or(list_has_any(directives, ['INCLUDE_FOOTER_TRUE', 'INCLUDE_FOOTER_FALSE'])) AS found_footer,
+        bool_or(list_contains(directives, 'INCLUDE_HEADER_TRUE')) AS include_header
+      FROM r GROUP BY doc_id)
+SELECT *, concat_ws(',', CASE WHEN NOT found_header THEN 'missing_header_directive' END,
+                         CASE WHEN NOT found_footer THEN 'missing_footer_directive' END,
+                         CASE WHEN answer_count < todo_count THEN 'more_todo_than_answer' END) AS errors
+FROM s""")
+def doc_gate_rules(t):
+    """Row 52: per notebook the TODO / ANSWER counts, header and footer
+    directive flags, and the gate rules over them."""
+    c = directive_cells(t)
+    c = c.withColumn("targets", K.route(col("command"), col("directives")))
+    tg = col("targets")
+    dirs = col("directives")
+    has = lambda d: F.array_contains(dirs, d)
+    student_only = F.array_contains(tg, "student") & ~F.array_contains(tg, "solution")
+    solution_only = F.array_contains(tg, "solution") & ~F.array_contains(tg, "student")
+    s = c.groupBy("doc_id").agg(
+        F.count_if(student_only & has(K.D_TODO)).alias("todo_count"),
+        F.count_if(solution_only & has(K.D_ANSWER)).alias("answer_count"),
+        F.bool_or(has(K.D_INCLUDE_HEADER_TRUE) | has(K.D_INCLUDE_HEADER_FALSE)).alias("found_header"),
+        F.bool_or(has(K.D_INCLUDE_FOOTER_TRUE) | has(K.D_INCLUDE_FOOTER_FALSE)).alias("found_footer"),
+        F.bool_or(has(K.D_INCLUDE_HEADER_TRUE)).alias("include_header"))
+    errors = F.concat_ws(",", F.when(~col("found_header"), F.lit("missing_header_directive")),
+                         F.when(~col("found_footer"), F.lit("missing_footer_directive")),
+                         F.when(col("answer_count") < col("todo_count"), F.lit("more_todo_than_answer")))
+    return s.withColumn("errors", errors)
+
+
+@query("resource_bundle", f"""
+WITH m AS ({_MERGED_SQL}),
+v AS (SELECT doc_id, pos, guid, cm FROM m WHERE status <> 'invalid'),
+c AS (SELECT conv_id AS doc_id, CAST(turn AS BIGINT) AS pos, text FROM conversations),
+b AS (SELECT v.doc_id, CASE v.doc_id % 4 WHEN 0 THEN 'python' WHEN 1 THEN 'sql' WHEN 2 THEN 'scala' ELSE 'r' END AS language,
+        CAST(count(*) AS BIGINT) AS n_cells,
+        string_agg('<hr>--i18n-' || substr(v.guid, 8) || chr(10) || c.text, chr(10) ORDER BY v.pos) AS bundle
+      FROM v JOIN c ON v.doc_id = c.doc_id AND v.pos = c.pos GROUP BY v.doc_id)
+SELECT doc_id, language, n_cells, md5('## conv-' || doc_id || chr(10) || bundle) AS bundle_md5 FROM b""")
+def resource_bundle(t):
+    """Row 10: the markdown cells of each notebook (with a valid guid) as one
+    translation bundle, ordered by position; see ``sinks.write_bundles``."""
+    return bundle_frame(t).select("doc_id", "language", "n_cells", F.md5("bundle").alias("bundle_md5"))
+
+
+def bundle_frame(t):
+    m = _merged(t).where(col("status") != "invalid").select("doc_id", "pos", "guid")
+    c = cells(t).select("doc_id", "pos", "text", "language")
+    j = m.join(c, ["doc_id", "pos"])
+    seg = F.concat(F.lit("<hr>--i18n-"), F.substring("guid", 8, 1 << 20), F.lit(NL), col("text"))
+    g = j.groupBy("doc_id", "language").agg(F.count(F.lit(1)).alias("n_cells"),
+                                            F.sort_array(F.collect_list(F.struct("pos", seg.alias("seg")))).alias("_s"))
+    bundle = F.concat(F.lit("## conv-"), col("doc_id").cast("string"), F.lit(NL),
+                      F.array_join(F.transform("_s", lambda x: x["seg"]), NL))
+    return g.select("doc_id", "language", "n_cells", bundle.alias("bundle"))
