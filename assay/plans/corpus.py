@@ -578,3 +578,306 @@ def bundle_frame(t):
     bundle = F.concat(F.lit("## conv-"), col("doc_id").cast("string"), F.lit(NL),
                       F.array_join(F.transform("_s", lambda x: x["seg"]), NL))
     return g.select("doc_id", "language", "n_cells", bundle.alias("bundle"))
+
+
+# ------------------------------------------------------------ duplicates, logs
+
+@query("duplicate_keys", """
+WITH d AS (SELECT doc_id, source, sha256(text) AS h FROM documents),
+f AS (SELECT source, h, min(doc_id) AS first_doc_id FROM d GROUP BY source, h)
+SELECT d.source, d.doc_id, f.first_doc_id FROM d JOIN f ON d.source = f.source AND d.h = f.h WHERE d.doc_id > f.first_doc_id""")
+def duplicate_keys(t):
+    """Row 49: within a source, the second and later documents with the
+    same text (by digest); the first by id is kept.  Aggregate + join, so
+    a hot key is partially aggregated instead of sorted in one task."""
+    d = t.documents.select("doc_id", "source", F.sha2("text", 256).alias("h"))
+    first = d.groupBy("source", "h").agg(F.min("doc_id").alias("first_doc_id"))
+    return d.join(first, ["source", "h"]).where(col("doc_id") > col("first_doc_id")).select(
+        "source", "doc_id", "first_doc_id")
+
+
+CHANGE_LOG_TAG = "## Change Log"
+CHANGE_LOG_VERSION = "### Version "
+
+
+def readme_lines(t):
+    """documents as READMEs: a title, the change-log tag, then a version
+    header every fourth line and the document lines as bullet entries."""
+    d = t.documents.select("doc_id", "source", F.split("text", NL, -1).alias("lines"))
+
+    def mk(line, i):
+        date = F.when(i % 3 == 0, F.lit("TBD")).otherwise(
+            F.concat((i % 12 + 1).cast("string"), F.lit("-"), (i % 28 + 1).cast("string"), F.lit("-2024")))
+        hdr = F.concat(F.lit(CHANGE_LOG_VERSION), (col("doc_id") % 10).cast("string"), F.lit("."), i.cast("string"),
+                       F.lit(".0 ("), date, F.lit(")"))
+        return (F.when(i == 0, F.concat(F.lit("# "), col("source"))).when(i == 1, F.lit(CHANGE_LOG_TAG))
+                .when((i - 2) % 4 == 0, hdr).otherwise(F.concat(F.lit("* "), line)))
+    return d.select("doc_id", F.transform("lines", mk).alias("readme"))
+
+
+@query("changelog_entries", f"""
+WITH d AS (SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents),
+r AS (SELECT doc_id, list_transform(lines, lambda line, j: CASE
+        WHEN j - 1 = 0 THEN '# ' || source WHEN j - 1 = 1 THEN '{CHANGE_LOG_TAG}'
+        WHEN (j - 3) % 4 = 0 THEN '{CHANGE_LOG_VERSION}' || CAST(doc_id % 10 AS VARCHAR) || '.' || CAST(j - 1 AS VARCHAR) || '.0 (' ||
+             CASE WHEN (j - 1) % 3 = 0 THEN 'TBD' ELSE CAST((j - 1) % 12 + 1 AS VARCHAR) || '-' || CAST((j - 1) % 28 + 1 AS VARCHAR) || '-2024' END || ')'
+        ELSE '* ' || line END) AS readme FROM d),
+s AS (SELECT doc_id, list_transform(readme, lambda l: {strip('l')}) AS ls FROM r),
+p AS (SELECT doc_id, ls, list_position(ls, '{CHANGE_LOG_TAG}') AS tag FROM s),
+v AS (SELECT doc_id, ls, tag,
+        list_filter(range(1, len(ls) + 1), lambda i: tag IS NOT NULL AND tag > 1 AND i > tag AND starts_with(ls[i], '{CHANGE_LOG_VERSION}'))[1] AS vi
+      FROM p),
+n AS (SELECT doc_id, ls, vi, coalesce(list_filter(range(1, len(ls) + 1), lambda i: vi IS NOT NULL AND i > vi AND starts_with(ls[i], '#'))[1], len(ls) + 1) AS nx FROM v),
+e AS (SELECT doc_id, vi, string_split(ls[vi], ' ') AS parts,
+        CASE WHEN vi IS NULL THEN [] ELSE list_filter(ls[vi + 1:nx - 1], lambda l: l <> '') END AS entries FROM n)
+SELECT doc_id, parts[3] AS version, substr(parts[4], 2, length(parts[4]) - 2) AS date,
+  CASE WHEN vi IS NULL THEN NULL
+       WHEN substr(parts[4], 2, length(parts[4]) - 2) = 'TBD' THEN true
+       ELSE regexp_matches(substr(parts[4], 2, length(parts[4]) - 2), '^[0-9]+-[0-9]+-[0-9]+$') END AS date_ok,
+  CAST(len(entries) AS INTEGER) AS n_entries, md5(array_to_string(entries, chr(10))) AS entries_md5
+FROM e""")
+def changelog_entries(t):
+    """Row 50: the change-log state machine per README, inside each row:
+    find the tag, the first version header after it, and the entries up to
+    the next heading (empty lines skipped); date is M-D-YYYY or TBD."""
+    r = readme_lines(t).withColumn("ls", F.transform("readme", py_strip))
+    r = r.withColumn("tag", F.array_position("ls", CHANGE_LOG_TAG))
+    idx = F.sequence(F.lit(1), F.greatest(F.size("ls"), F.lit(1)))
+    r = r.withColumn("vi", F.try_element_at(F.filter(idx, lambda i: (col("tag") > 1) & (i > col("tag")) & F.try_element_at(
+        "ls", i).startswith(CHANGE_LOG_VERSION)), F.lit(1)))
+    r = r.withColumn("nx", F.coalesce(F.try_element_at(F.filter(idx, lambda i: col("vi").isNotNull() & (i > col("vi")) & F.try_element_at(
+        "ls", i).startswith("#")), F.lit(1)), F.size("ls") + 1))
+    r = r.withColumn("entries", F.when(col("vi").isNull(), F.array().cast("array<string>")).otherwise(
+        F.filter(F.slice("ls", col("vi") + 1, col("nx") - col("vi") - 1), lambda l: l != "")))
+    r = r.withColumn("parts", F.split(F.try_element_at("ls", col("vi")), " ", -1))
+    p4 = F.try_element_at("parts", F.lit(4))
+    date = F.substring(p4, F.lit(2), F.length(p4) - 2)
+    ok = F.when(col("vi").isNull(), F.lit(None)).when(date == "TBD", F.lit(True)).otherwise(date.rlike("^[0-9]+-[0-9]+-[0-9]+$"))
+    return r.select("doc_id", F.try_element_at("parts", F.lit(3)).alias("version"), date.alias("date"), ok.alias("date_ok"),
+                    F.size("entries").alias("n_entries"), F.md5(F.array_join("entries", NL)).alias("entries_md5"))
+
+
+# ------------------------------------------------------------ segment files
+
+def segment_files(t, latest: bool = False):
+    """One segment file per conversation: the file name on line 0, then per
+    turn a marker line and the body.  The latest side drops files with
+    conv_id % 25 = 0 and turns with (conv_id + turn) % 10 = 0, and revises
+    turns with (conv_id + turn) % 9 = 0."""
+    c = t.conversations.select("conv_id", "turn", "role", "text")
+    if latest:
+        k = col("conv_id") + col("turn")
+        c = (c.where((col("conv_id") % 25 != 0) & (k % 10 != 0))
+             .withColumn("text", F.when(k % 9 == 0, F.concat(col("text"), F.lit(" (rev)"))).otherwise(col("text"))))
+    marker = F.when(col("role") == "system", F.lit("<hr sandbox>--i18n-")).otherwise(F.lit("<hr>--i18n-"))
+    seg = F.concat(marker, col("conv_id").cast("string"), F.lit("-"), col("turn").cast("string"), F.lit(NL), col("text"))
+    g = c.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", seg.alias("seg")))).alias("_s"))
+    name = F.concat(F.lit("conv-"), col("conv_id").cast("string"), F.lit(".md"))
+    return g.select(name.alias("file"), F.concat(name, F.lit(NL), F.array_join(F.transform("_s", lambda x: x["seg"]), NL))
+                    .alias("text"))
+
+
+def read_segments(files):
+    """(file, text) -> (file, guid, contents): a marker line opens a segment,
+    other lines append to it; line 0 is the file name; a later segment with
+    the same guid replaces the earlier one.  Computed inside each file row."""
+    f = files.select("file", F.split("text", NL, -1).alias("lines"))
+    is_m = lambda l: l.startswith("<hr>--i18n-") | l.startswith("<hr sandbox>--i18n-")
+    f = f.withColumn("marks", F.filter(F.sequence(F.lit(2), F.greatest(F.size("lines"), F.lit(2))),
+                                       lambda i: (i <= F.size("lines")) & is_m(F.element_at("lines", i))))
+    f = f.withColumn("segs", F.transform("marks", lambda m, k: F.struct(
+        m.alias("m"), F.coalesce(F.try_element_at("marks", k + 2), F.size("lines") + 1).alias("nx"))))
+    s = f.select("file", "lines", F.explode("segs").alias("s"))
+    ml = F.element_at("lines", col("s.m"))
+    guid = py_strip(F.when(ml.startswith("<hr>--i18n-"), F.substring(ml, 12, 1 << 20)).otherwise(F.substring(ml, 20, 1 << 20)))
+    body = F.array_join(F.slice("lines", col("s.m") + 1, col("s.nx") - col("s.m") - 1), NL)
+    x = s.select("file", guid.alias("guid"), col("s.m").alias("m"), body.alias("contents"))
+    return x.groupBy("file", "guid").agg(F.max_by("contents", "m").alias("contents"))
+
+
+def _segment_files_sql(latest: bool) -> str:
+    where = "WHERE conv_id % 25 <> 0 AND (conv_id + turn) % 10 <> 0" if latest else ""
+    text = "CASE WHEN (conv_id + turn) % 9 = 0 THEN text || ' (rev)' ELSE text END" if latest else "text"
+    return f"""
+SELECT 'conv-' || conv_id || '.md' AS file, 'conv-' || conv_id || '.md' || chr(10) ||
+  string_agg(CASE WHEN role = 'system' THEN '<hr sandbox>--i18n-' ELSE '<hr>--i18n-' END || conv_id || '-' || turn || chr(10) || {text},
+             chr(10) ORDER BY turn) AS text
+FROM conversations {where} GROUP BY conv_id"""
+
+
+def _segments_sql(latest: bool) -> str:
+    return f"""
+SELECT file, guid, arg_max(contents, m) AS contents FROM (
+  SELECT file, m, {strip("CASE WHEN starts_with(lines[m], '<hr>--i18n-') THEN substr(lines[m], 12) ELSE substr(lines[m], 20) END")} AS guid,
+    array_to_string(lines[m + 1:nx - 1], chr(10)) AS contents
+  FROM (
+    SELECT file, lines, unnest(marks) AS m, unnest(nexts) AS nx FROM (
+      SELECT file, lines, marks, list_transform(marks, lambda m, k: coalesce(marks[k + 1], len(lines) + 1)) AS nexts FROM (
+        SELECT file, lines, list_filter(range(2, len(lines) + 1),
+               lambda i: starts_with(lines[i], '<hr>--i18n-') OR starts_with(lines[i], '<hr sandbox>--i18n-')) AS marks
+        FROM (SELECT file, string_split(text, chr(10)) AS lines FROM ({_segment_files_sql(latest)}))))))
+GROUP BY file, guid"""
+
+
+@query("segment_lines", f"""
+SELECT file, guid, CAST(len(string_split(contents, chr(10))) AS INTEGER) AS n_lines, md5({strip('contents')}) AS contents_md5
+FROM ({_segments_sql(False)})""")
+def segment_lines(t):
+    """Row 51: segment files parsed into guid -> contents."""
+    s = read_segments(segment_files(t))
+    return s.select("file", "guid", F.size(F.split("contents", NL, -1)).alias("n_lines"),
+                    F.md5(py_strip(col("contents"))).alias("contents_md5"))
+
+
+@query("segment_diff", f"""
+WITH fa AS ({_segment_files_sql(False)}), fb AS ({_segment_files_sql(True)}),
+a AS ({_segments_sql(False)}), b AS ({_segments_sql(True)}),
+both_files AS (SELECT fa.file FROM fa JOIN fb ON fa.file = fb.file)
+SELECT fa.file, 'Missing Notebook' AS change_type, fa.file || ' from latest' AS message FROM fa WHERE fa.file NOT IN (SELECT file FROM fb)
+UNION ALL SELECT fb.file, 'Missing Notebook', fb.file || ' from original' FROM fb WHERE fb.file NOT IN (SELECT file FROM fa)
+UNION ALL
+SELECT coalesce(a.file, b.file), CASE WHEN a.guid IS NULL THEN 'Cell Added' WHEN b.guid IS NULL THEN 'Cell Removed' ELSE 'Cell Changed' END,
+  coalesce(a.guid, b.guid)
+FROM (SELECT * FROM a WHERE file IN (SELECT file FROM both_files)) a
+FULL OUTER JOIN (SELECT * FROM b WHERE file IN (SELECT file FROM both_files)) b ON a.file = b.file AND a.guid = b.guid
+WHERE a.guid IS NULL OR b.guid IS NULL OR {strip('a.contents')} <> {strip('b.contents')}""")
+def segment_diff(t):
+    """Row 105: original vs latest segment files: Missing Notebook per file,
+    then Cell Added / Removed / Changed per guid (whitespace-stripped
+    compare) -- one full outer join per level."""
+    fa, fb = segment_files(t), segment_files(t, latest=True)
+    na, nb = fa.select("file").withColumn("_a", F.lit(True)), fb.select("file").withColumn("_b", F.lit(True))
+    files = na.join(nb, "file", "full_outer")
+    missing = files.where(col("_a").isNull() | col("_b").isNull()).select(
+        "file", F.lit("Missing Notebook").alias("change_type"),
+        F.concat(col("file"), F.when(col("_b").isNull(), F.lit(" from latest")).otherwise(F.lit(" from original")))
+        .alias("message"))
+    common = files.where(col("_a") & col("_b")).select("file")
+    a = read_segments(fa).join(common, "file", "left_semi").select("file", "guid", F.sha2(py_strip(col("contents")), 256).alias("ha"))
+    b = read_segments(fb).join(common, "file", "left_semi").select("file", "guid", F.sha2(py_strip(col("contents")), 256).alias("hb"))
+    j = a.join(b, ["file", "guid"], "full_outer")
+    kind = (F.when(col("ha").isNull(), "Cell Added").when(col("hb").isNull(), "Cell Removed")
+            .when(col("ha") != col("hb"), "Cell Changed"))
+    cells_ = j.select("file", kind.alias("change_type"), col("guid").alias("message")).where(col("change_type").isNotNull())
+    return missing.unionByName(cells_)
+
+
+# ------------------------------------------------------------ links and lint
+
+@query("dangling_links", f"""
+WITH p AS ({S.PAGE_PATHS_SQL}),
+f AS (SELECT DISTINCT regexp_replace(path, '/+$', '') AS path FROM p),
+known AS (SELECT path FROM f UNION SELECT DISTINCT a AS path FROM (
+            SELECT unnest(list_transform(range(2, len(string_split(path, '/'))),
+                   lambda i: array_to_string(string_split(path, '/')[1:i], '/'))) AS a FROM f)),
+l AS (SELECT page_id, split_part(path, '/', 2) AS host, regexp_extract(u.link, 'href="([^"]*)"', 1) AS href
+      FROM p, unnest(regexp_extract_all(
+        (SELECT html FROM pages WHERE pages.page_id = p.page_id), '<a .*?</a>')) AS u(link)),
+r AS (SELECT page_id, href, CASE WHEN starts_with(href, '/') THEN '/' || host || href
+                               ELSE '/' || host || '/' || regexp_replace(href, '^\\./', '') END AS target FROM l)
+SELECT page_id, href, target FROM r WHERE target NOT IN (SELECT path FROM known)""")
+def dangling_links(t):
+    """Row 30: link targets resolved against the site of their page that are
+    neither a page nor a directory of pages (explode ancestors of all paths
+    once, then an anti join)."""
+    p = S.page_paths(t)
+    files = p.select(F.regexp_replace("path", "/+$", "").alias("path")).distinct()
+    parts = F.split("path", "/")
+    dirs = files.select(F.explode(F.transform(
+        F.when(F.size(parts) >= 3, F.sequence(F.lit(2), F.size(parts) - 1)).otherwise(F.array().cast("array<int>")),
+        lambda i: F.array_join(F.slice(parts, 1, i), "/"))).alias("path"))
+    known = files.unionByName(dirs).distinct()
+    links = (t.pages.select("page_id", F.explode(K.html_links(col("html"))).alias("link"))
+             .join(p.select("page_id", F.split("path", "/")[1].alias("host")), "page_id"))
+    href = F.regexp_extract("link", 'href="([^"]*)"', 1)
+    target = F.when(href.startswith("/"), F.concat(F.lit("/"), col("host"), href)).otherwise(
+        F.concat(F.lit("/"), col("host"), F.lit("/"), F.regexp_replace(href, r"^\./", "")))
+    r = links.select("page_id", href.alias("href"), target.alias("target"))
+    return r.join(known.select(col("path").alias("target")), "target", "left_anti").select("page_id", "href", "target")
+
+
+from assay.plans.registry import ORACLES  # noqa: E402
+
+
+def findings(t):
+    """All lint findings as (doc_key, kind, severity, n)."""
+    def f(df, key, kind, sev, n):
+        return df.select(key.alias("doc_key"), F.lit(kind).alias("kind"), F.lit(sev).alias("severity"),
+                         n.cast("bigint").alias("n"))
+    conv = lambda: F.concat(F.lit("conv-"), col("doc_id").cast("string"))
+    doc = lambda: F.concat(F.lit("doc-"), col("doc_id").cast("string"))
+    page = F.concat(F.lit("page-"), col("page_id").cast("string"))
+    ed = extract_directives(t)
+    rt = run_targets(t)
+    gate = doc_gate_rules(t)
+    parts = [
+        f(ed.where(col("errors") > 0), conv(), "directive", "error", col("errors")),
+        f(ed.where(col("warnings") > 0), conv(), "directive", "warning", col("warnings")),
+        f(uncomment_todo(t).where(col("errors") > 0), conv(), "todo", "error", col("errors")),
+        f(guid_rules(t).where(col("error").isNotNull()), conv(), "i18n", "error", F.lit(1)),
+        f(rt.where(col("warning").isNotNull()), conv(), "run", "warning", F.lit(1)),
+        f(rt.where(col("error").isNotNull()), conv(), "pip", "error", F.lit(1)),
+        f(gate.where(col("errors") != ""), conv(), "gate", "error", F.size(F.split("errors", ","))),
+        f(html_link_lint(t).where(col("missing_target")), page, "html_link", "warning", F.lit(1)),
+        f(forbidden_tokens(t), doc(), "token", "error", F.lit(1)),
+        f(prohibited_lines(t), doc(), "source", "warning", F.lit(1)),
+    ]
+    out = parts[0]
+    for p_ in parts[1:]:
+        out = out.unionByName(p_)
+    return out
+
+
+def ignore_list(t):
+    """Per-document ignore entries (doc_key, kind)."""
+    pg = t.pages.where(col("page_id") % 4 == 0).select(
+        F.concat(F.lit("page-"), col("page_id").cast("string")).alias("doc_key"), F.lit("html_link").alias("kind"))
+    cv = t.conversations.select("conv_id").distinct().where(col("conv_id") % 5 == 0).select(
+        F.concat(F.lit("conv-"), col("conv_id").cast("string")).alias("doc_key"), F.lit("directive").alias("kind"))
+    return pg.unionByName(cv)
+
+
+_FINDINGS_SQL = f"""
+WITH ed AS ({ORACLES['extract_directives']}), ut AS ({ORACLES['uncomment_todo']}), gr AS ({ORACLES['guid_rules']}),
+rt AS ({ORACLES['run_targets']}), gt AS ({ORACLES['doc_gate_rules']}), hl AS ({ORACLES['html_link_lint']}),
+ft AS ({ORACLES['forbidden_tokens']}), pl AS ({ORACLES['prohibited_lines']}),
+fnd AS (
+  SELECT 'conv-' || doc_id AS doc_key, 'directive' AS kind, 'error' AS severity, CAST(errors AS BIGINT) AS n FROM ed WHERE errors > 0
+  UNION ALL SELECT 'conv-' || doc_id, 'directive', 'warning', warnings FROM ed WHERE warnings > 0
+  UNION ALL SELECT 'conv-' || doc_id, 'todo', 'error', errors FROM ut WHERE errors > 0
+  UNION ALL SELECT 'conv-' || doc_id, 'i18n', 'error', 1 FROM gr WHERE error IS NOT NULL
+  UNION ALL SELECT 'conv-' || doc_id, 'run', 'warning', 1 FROM rt WHERE warning IS NOT NULL
+  UNION ALL SELECT 'conv-' || doc_id, 'pip', 'error', 1 FROM rt WHERE error IS NOT NULL
+  UNION ALL SELECT 'conv-' || doc_id, 'gate', 'error', len(string_split(errors, ',')) FROM gt WHERE errors <> ''
+  UNION ALL SELECT 'page-' || page_id, 'html_link', 'warning', 1 FROM hl WHERE missing_target
+  UNION ALL SELECT 'doc-' || doc_id, 'token', 'error', 1 FROM ft
+  UNION ALL SELECT 'doc-' || doc_id, 'source', 'warning', 1 FROM pl),
+ign AS (SELECT 'page-' || page_id AS doc_key, 'html_link' AS kind FROM pages WHERE page_id % 4 = 0
+        UNION ALL SELECT DISTINCT 'conv-' || conv_id, 'directive' FROM conversations WHERE conv_id % 5 = 0),
+kept AS (SELECT * FROM fnd WHERE (doc_key, kind) NOT IN (SELECT (doc_key, kind) FROM ign)),
+per AS (SELECT doc_key, CAST(coalesce(sum(n) FILTER (WHERE severity = 'error'), 0) AS BIGINT) AS n_errors,
+          CAST(coalesce(sum(n) FILTER (WHERE severity = 'warning'), 0) AS BIGINT) AS n_warnings FROM kept GROUP BY doc_key)"""
+
+
+@query("lint_findings", _FINDINGS_SQL + """
+SELECT doc_key, n_errors, n_warnings, n_errors > 0 AS abort FROM per""")
+def lint_findings(t):
+    """Row 122: every finding (errors and warnings) per document, minus the
+    document's ignore list, with the abort verdict."""
+    kept = findings(t).join(ignore_list(t), ["doc_key", "kind"], "left_anti")
+    per = kept.groupBy("doc_key").agg(
+        F.coalesce(F.sum(F.when(col("severity") == "error", col("n"))), F.lit(0)).cast("bigint").alias("n_errors"),
+        F.coalesce(F.sum(F.when(col("severity") == "warning", col("n"))), F.lit(0)).cast("bigint").alias("n_warnings"))
+    return per.withColumn("abort", col("n_errors") > 0)
+
+
+@query("lint_summary", _FINDINGS_SQL + """
+SELECT doc_key, n_errors, n_warnings FROM per
+UNION ALL SELECT '(total)', CAST(sum(n_errors) AS BIGINT), CAST(sum(n_warnings) AS BIGINT) FROM per""")
+def lint_summary(t):
+    """Row 39: errors and warnings per document plus one total row (the
+    reference adds the totals twice; the totals here are counted once)."""
+    per = lint_findings(t).drop("abort")
+    tot = per.agg(F.lit("(total)").alias("doc_key"), F.sum("n_errors").cast("bigint").alias("n_errors"),
+                  F.sum("n_warnings").cast("bigint").alias("n_warnings"))
+    return per.unionByName(tot)
