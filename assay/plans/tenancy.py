@@ -215,7 +215,7 @@ WITH u AS ({S.USERS_SQL}),
 tpl AS (SELECT * FROM (VALUES {', '.join(f"('{g}', '{s}')" for g, ss in GROUP_TEMPLATE.items() for s in ss)}) v(grp, seg)),
 want AS (SELECT tpl.grp, u.username FROM tpl JOIN u ON tpl.seg = u.c_mktsegment
          UNION SELECT tpl.grp, u.username FROM tpl, u WHERE tpl.seg = '*'),
-have AS (SELECT CASE WHEN c_custkey % 4 = 0 THEN 'builders' ELSE 'everyone' END, username FROM u WHERE c_custkey % 2 = 0)
+have AS (SELECT CASE WHEN c_custkey % 4 = 0 THEN 'builders' ELSE 'everyone' END AS grp, username FROM u WHERE c_custkey % 2 = 0)
 SELECT grp, username, 'add' AS action FROM (SELECT * FROM want EXCEPT SELECT * FROM have)
 UNION ALL SELECT grp, username, 'remove' FROM (SELECT * FROM have EXCEPT SELECT * FROM want)""")
 def membership_gap(t):
