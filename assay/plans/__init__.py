@@ -4,6 +4,6 @@ Importing this package fills :data:`QUERIES` and :data:`ORACLES`.
 """
 
 from assay.plans.registry import ORACLES, QUERIES  # noqa: F401
-from assay.plans import validation, scalars, suites, diffs, manifests, reports, corpus, tenancy, io  # noqa: F401,E402
+from assay.plans import validation, scalars, suites, diffs, manifests, reports, corpus, tenancy, io, streams  # noqa: F401,E402
 
 __all__ = ["QUERIES", "ORACLES"]

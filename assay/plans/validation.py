@@ -266,6 +266,8 @@ _CUSTOM = [
          "coalesce(bool_and(coalesce(l_extendedprice * (1 - l_discount) > 0, false)), true)"),
     Spec("returns_under_half", "fewer than half the lines are returns", lambda: CHECK_REGISTRY["returns_under_half"](),
          "count_if(l_returnflag = 'R') * 2 < count(*)", points=3),
+    # row 100: fail / fail_pre_req -- a constant failure row
+    Spec("prerequisites", "Execute prerequisites", lambda: F.lit(False), "false", depends_on=[]),
 ]
 _suite_query("custom_check", "custom", "SELECT * FROM lineitem", lambda t: t.lineitem, _CUSTOM,
              "Rows 86-87: user checks from a named registry of Column builders.")
