@@ -16,24 +16,32 @@ from assay.session import checkpoint_dir
 
 
 def propagate_skips(nodes: DataFrame, edges: DataFrame, node: str = "id", ok: str = "ok",
-                    child: str = "child", parent: str = "parent", max_rounds: int = 10_000) -> DataFrame:
+                    child: str = "child", parent: str = "parent", max_rounds: int = 10_000,
+                    checkpoint_every: int = 4) -> DataFrame:
     """``nodes(node, ok)``, ``edges(child, parent)`` -> ``nodes + status``.
 
     A node is *skipped* when any node it depends on failed or was skipped,
     otherwise *passed* / *failed* by ``ok``.
     """
     checkpoint_dir(nodes.sparkSession)
-    e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p"))
+    # the edge list is read by every round: pin it once (reliable checkpoint)
+    e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).checkpoint(eager=True)
     frontier = nodes.where(~F.coalesce(F.col(ok), F.lit(False))).select(F.col(node).alias("_id"))
     skipped = None
-    for _ in range(max_rounds):
+    cached = []
+    for rnd in range(max_rounds):
         new = (e.join(frontier, e._p == frontier._id, "left_semi").select(F.col("_c").alias("_id")).distinct())
         if skipped is not None:
             new = new.join(skipped, "_id", "left_anti")
-        # materialise each round once (reliable checkpoint), so later rounds
-        # never replay earlier ones and a lost executor re-reads the files
-        new = new.checkpoint(eager=True)
-        if new.isEmpty():
+        if (rnd + 1) % checkpoint_every == 0:
+            # cut lineage: a lost executor re-reads these files instead of
+            # replaying every earlier round
+            new = new.checkpoint(eager=True)
+            skipped = skipped.checkpoint(eager=True) if skipped is not None else None
+        else:
+            new = new.cache()
+            cached.append(new)
+        if new.count() == 0:   # also materialises the cached round in full
             break
         skipped = new if skipped is None else skipped.unionByName(new)
         frontier = new

@@ -496,27 +496,35 @@ FROM g""")
 def assemble_documents(t):
     """Row 121: student and solution documents assembled per notebook:
     optional header cell first, routed cells in order (TODO cells
-    uncommented for students), joined with the command delimiter."""
+    uncommented for students), joined with the command delimiter.  The
+    cells of a notebook are gathered once (one bounded group per notebook)
+    and both documents are built from that one array."""
     c = directive_cells(t)
     c = K.with_clean_todo(c.withColumn("targets", K.route(col("command"), col("directives"))))
-    x = c.select("doc_id", "pos", "cm", "command", "directives", "cleaned", F.explode("targets").alias("target"))
-    cell = F.when((col("target") == "student") & F.array_contains("directives", K.D_TODO),
-                  col("cleaned")).otherwise(col("command"))
-    body = x.select("doc_id", "pos", "cm", "target", cell.alias("cell"))
-    hdr_docs = c.where(F.array_contains("directives", K.D_INCLUDE_HEADER_TRUE)).select("doc_id").distinct()
-    hdr = (c.select("doc_id", "cm").distinct().join(hdr_docs, "doc_id", "left_semi")
-           .select("doc_id", F.lit(-1).cast("bigint").alias("pos"), "cm",
-                   F.explode(F.array(F.lit("student"), F.lit("solution"))).alias("target"),
-                   F.concat(col("cm"), F.lit(" MAGIC %md-sandbox\n"), col("cm"), F.lit(" MAGIC <div>course header</div>"))
-                   .alias("cell")))
-    u = body.unionByName(hdr)
-    g = u.groupBy("doc_id", "target").agg(F.min("cm").alias("cm"), F.count(F.lit(1)).alias("n_cells"),
-                                          F.sort_array(F.collect_list(F.struct("pos", "cell"))).alias("_c"))
-    cells_ = F.transform("_c", lambda x: x["cell"])
-    last = F.element_at(cells_, -1)
-    src = F.concat(col("cm"), F.lit(NOTEBOOK_HEADER + NL), F.call_function("array_join", cells_, K.cell_delimiter(col("cm"))),
-                   F.when(last.startswith(F.concat(col("cm"), F.lit(" MAGIC"))), F.lit("")).otherwise(F.lit("\n\n")))
-    return g.select("doc_id", "target", "n_cells", F.md5(src).alias("source_md5"))
+    c = c.select("doc_id", "pos", "cm", F.struct(
+        "pos", "command", "cleaned", "targets",
+        F.array_contains("directives", K.D_TODO).alias("is_todo"),
+        F.array_contains("directives", K.D_INCLUDE_HEADER_TRUE).alias("has_hdr")).alias("x"))
+    g = c.groupBy("doc_id").agg(F.min("cm").alias("cm"), F.sort_array(F.collect_list("x")).alias("xs"))
+    cm = col("cm")
+    header = F.concat(cm, F.lit(" MAGIC %md-sandbox\n"), cm, F.lit(" MAGIC <div>course header</div>"))
+    has_hdr = F.exists("xs", lambda x: x["has_hdr"])
+
+    def doc_for(target: str):
+        picked = F.filter("xs", lambda x: F.array_contains(x["targets"], target))
+        body = F.transform(picked, lambda x: F.when(x["is_todo"] & F.lit(target == "student"), x["cleaned"])
+                           .otherwise(x["command"]))
+        return F.when(has_hdr, F.concat(F.array(header), body)).otherwise(body)
+
+    docs = g.select("doc_id", "cm", F.explode(F.array(
+        F.struct(F.lit("student").alias("target"), doc_for("student").alias("cells")),
+        F.struct(F.lit("solution").alias("target"), doc_for("solution").alias("cells")))).alias("d"))
+    docs = docs.select("doc_id", "cm", col("d.target").alias("target"), col("d.cells").alias("cells")) \
+        .where(F.size("cells") > 0)
+    last = F.element_at("cells", -1)
+    src = F.concat(cm, F.lit(NOTEBOOK_HEADER + NL), F.call_function("array_join", col("cells"), K.cell_delimiter(cm)),
+                   F.when(last.startswith(F.concat(cm, F.lit(" MAGIC"))), F.lit("")).otherwise(F.lit("\n\n")))
+    return docs.select("doc_id", "target", F.size("cells").cast("bigint").alias("n_cells"), F.md5(src).alias("source_md5"))
 
 
 @query("doc_gate_rules", _ROUTED_SQL + """,
@@ -799,42 +807,51 @@ def dangling_links(t):
 from assay.plans.registry import ORACLES  # noqa: E402
 
 
-def findings(t):
-    """All lint findings as (doc_key, kind, severity, n)."""
-    def f(df, key, kind, sev, n):
-        return df.select(key.alias("doc_key"), F.lit(kind).alias("kind"), F.lit(sev).alias("severity"),
-                         n.cast("bigint").alias("n"))
-    conv = lambda: F.concat(F.lit("conv-"), col("doc_id").cast("string"))
-    doc = lambda: F.concat(F.lit("doc-"), col("doc_id").cast("string"))
-    page = F.concat(F.lit("page-"), col("page_id").cast("string"))
-    ed = extract_directives(t)
-    rt = run_targets(t)
-    gate = doc_gate_rules(t)
-    parts = [
-        f(ed.where(col("errors") > 0), conv(), "directive", "error", col("errors")),
-        f(ed.where(col("warnings") > 0), conv(), "directive", "warning", col("warnings")),
-        f(uncomment_todo(t).where(col("errors") > 0), conv(), "todo", "error", col("errors")),
-        f(guid_rules(t).where(col("error").isNotNull()), conv(), "i18n", "error", F.lit(1)),
-        f(rt.where(col("warning").isNotNull()), conv(), "run", "warning", F.lit(1)),
-        f(rt.where(col("error").isNotNull()), conv(), "pip", "error", F.lit(1)),
-        f(gate.where(col("errors") != ""), conv(), "gate", "error", F.size(F.split("errors", ","))),
-        f(html_link_lint(t).where(col("missing_target")), page, "html_link", "warning", F.lit(1)),
-        f(forbidden_tokens(t), doc(), "token", "error", F.lit(1)),
-        f(prohibited_lines(t), doc(), "source", "warning", F.lit(1)),
-    ]
-    out = parts[0]
-    for p_ in parts[1:]:
-        out = out.unionByName(p_)
-    return out
-
-
-def ignore_list(t):
-    """Per-document ignore entries (doc_key, kind)."""
-    pg = t.pages.where(col("page_id") % 4 == 0).select(
-        F.concat(F.lit("page-"), col("page_id").cast("string")).alias("doc_key"), F.lit("html_link").alias("kind"))
-    cv = t.conversations.select("conv_id").distinct().where(col("conv_id") % 5 == 0).select(
-        F.concat(F.lit("conv-"), col("conv_id").cast("string")).alias("doc_key"), F.lit("directive").alias("kind"))
-    return pg.unionByName(cv)
+IGNORE_RULES = {"html_link": "page_id % 4 = 0", "directive": "conv_id % 5 = 0"}
+
+
+def _per_doc_findings(t):
+    """(doc_key, n_errors, n_warnings) after the ignore list, computed with
+    one pass per source: notebook cells are evaluated once and all their
+    findings (directives, TODO checks, gate rules) summed in one grouping."""
+    c = directive_cells(t)
+    c = K.with_clean_todo(c.withColumn("targets", K.route(col("command"), col("directives"))))
+    dirs = col("directives")
+    has = lambda d: F.array_contains(dirs, d)
+    tg = col("targets")
+    student_only = F.array_contains(tg, "student") & ~F.array_contains(tg, "solution")
+    solution_only = F.array_contains(tg, "solution") & ~F.array_contains(tg, "student")
+    cell = c.groupBy("doc_id").agg(
+        F.sum("errors").alias("dir_err"), F.sum("warnings").alias("dir_warn"),
+        F.sum(F.when(has(K.D_TODO), col("todo_errors")).otherwise(0)).alias("todo_err"),
+        F.count_if(student_only & has(K.D_TODO)).alias("todo_count"),
+        F.count_if(solution_only & has(K.D_ANSWER)).alias("answer_count"),
+        F.bool_or(has(K.D_INCLUDE_HEADER_TRUE) | has(K.D_INCLUDE_HEADER_FALSE)).alias("found_header"),
+        F.bool_or(has(K.D_INCLUDE_FOOTER_TRUE) | has(K.D_INCLUDE_FOOTER_FALSE)).alias("found_footer"))
+    gate = (F.when(~col("found_header"), 1).otherwise(0) + F.when(~col("found_footer"), 1).otherwise(0)
+            + F.when(col("answer_count") < col("todo_count"), 1).otherwise(0))
+    ignored = col("doc_id") % 5 == 0
+    cell = cell.select("doc_id",
+                       (F.when(ignored, 0).otherwise(col("dir_err")) + col("todo_err") + gate).alias("e1"),
+                       F.when(ignored, 0).otherwise(col("dir_warn")).alias("w1"))
+    gr = guid_rules(t).where(col("error").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("e2"))
+    rt = run_targets(t).groupBy("doc_id").agg(F.count("error").alias("e3"), F.count("warning").alias("w3"))
+    conv = (cell.join(gr, "doc_id", "full_outer").join(rt, "doc_id", "full_outer")
+            .select(F.concat(F.lit("conv-"), col("doc_id").cast("string")).alias("doc_key"),
+                    (F.coalesce("e1", F.lit(0)) + F.coalesce("e2", F.lit(0)) + F.coalesce("e3", F.lit(0))).alias("n_errors"),
+                    (F.coalesce("w1", F.lit(0)) + F.coalesce("w3", F.lit(0))).alias("n_warnings")))
+    pages = (html_link_lint(t).where(col("missing_target") & (col("page_id") % 4 != 0)).groupBy("page_id")
+             .agg(F.count(F.lit(1)).alias("n_warnings"))
+             .select(F.concat(F.lit("page-"), col("page_id").cast("string")).alias("doc_key"),
+                     F.lit(0).cast("bigint").alias("n_errors"), "n_warnings"))
+    docs = (forbidden_tokens(t).select("doc_id", F.lit(1).alias("e"), F.lit(0).alias("w"))
+            .unionByName(prohibited_lines(t).select("doc_id", F.lit(0).alias("e"), F.lit(1).alias("w")))
+            .groupBy("doc_id").agg(F.sum("e").alias("n_errors"), F.sum("w").alias("n_warnings"))
+            .select(F.concat(F.lit("doc-"), col("doc_id").cast("string")).alias("doc_key"), "n_errors", "n_warnings"))
+    out = conv.unionByName(pages).unionByName(docs)
+    return (out.select("doc_key", col("n_errors").cast("bigint").alias("n_errors"),
+                       col("n_warnings").cast("bigint").alias("n_warnings"))
+            .where((col("n_errors") + col("n_warnings")) > 0))
 
 
 _FINDINGS_SQL = f"""
@@ -864,11 +881,7 @@ SELECT doc_key, n_errors, n_warnings, n_errors > 0 AS abort FROM per""")
 def lint_findings(t):
     """Row 122: every finding (errors and warnings) per document, minus the
     document's ignore list, with the abort verdict."""
-    kept = findings(t).join(ignore_list(t), ["doc_key", "kind"], "left_anti")
-    per = kept.groupBy("doc_key").agg(
-        F.coalesce(F.sum(F.when(col("severity") == "error", col("n"))), F.lit(0)).cast("bigint").alias("n_errors"),
-        F.coalesce(F.sum(F.when(col("severity") == "warning", col("n"))), F.lit(0)).cast("bigint").alias("n_warnings"))
-    return per.withColumn("abort", col("n_errors") > 0)
+    return _per_doc_findings(t).withColumn("abort", col("n_errors") > 0)
 
 
 @query("lint_summary", _FINDINGS_SQL + """
@@ -877,7 +890,8 @@ UNION ALL SELECT '(total)', CAST(sum(n_errors) AS BIGINT), CAST(sum(n_warnings)
 def lint_summary(t):
     """Row 39: errors and warnings per document plus one total row (the
     reference adds the totals twice; the totals here are counted once)."""
-    per = lint_findings(t).drop("abort")
-    tot = per.agg(F.lit("(total)").alias("doc_key"), F.sum("n_errors").cast("bigint").alias("n_errors"),
-                  F.sum("n_warnings").cast("bigint").alias("n_warnings"))
-    return per.unionByName(tot)
+    per = _per_doc_findings(t)
+    # rollup adds the grand total to the per-document rows in the same pass
+    r = per.rollup("doc_key").agg(F.sum("n_errors").cast("bigint").alias("n_errors"),
+                                  F.sum("n_warnings").cast("bigint").alias("n_warnings"))
+    return r.select(F.coalesce("doc_key", F.lit("(total)")).alias("doc_key"), "n_errors", "n_warnings")

@@ -150,14 +150,14 @@ SELECT suite_id, result_state, CAST(count(*) AS BIGINT) AS n_runs, CAST(sum(exec
 FROM r GROUP BY suite_id, result_state""")
 def run_log_append(t):
     """Row 9: run records appended in two batches to a log partitioned by
-    suite, then read back as one table."""
+    run date and clustered by suite, then read back as one table."""
     spark = t.spark
     path = sinks.new_scratch(spark, "runlog")
-    r = S.run_records(t).select("suite_id", "test_id", "result_state", "execution_duration", "event_id")
+    r = S.run_records(t).select("suite_id", "test_id", "result_state", "execution_duration", "event_id",
+                                F.to_date("ts").alias("run_date"))
     sinks.append_run_log(r.where(col("event_id") % 2 == 0), path)
     sinks.append_run_log(r.where(col("event_id") % 2 == 1), path)
-    # partition values come back as text: the suite id keeps its string type
-    log = spark.read.option("basePath", path).parquet(path).withColumn("suite_id", col("suite_id").cast("string"))
+    log = spark.read.parquet(path)
     return log.groupBy("suite_id", "result_state").agg(F.count(F.lit(1)).alias("n_runs"),
                                                        F.sum("execution_duration").cast("bigint").alias("total_ms"))
 
