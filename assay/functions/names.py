@@ -75,11 +75,12 @@ def schema_name(username, course_code, workspace_id, lesson_name=None) -> Column
     return unique_name(username, course_code, workspace_id, lesson_name, sep="_")
 
 
-def catalog_name(username, workspace_id) -> Column:
-    """Per-user catalog: ``local-part hash da`` cleaned with '_'."""
+def catalog_name(username, workspace_id, lesson_name=None) -> Column:
+    """Per-user catalog: ``local-part hash da [lesson]`` cleaned with '_'."""
     local = F.substring_index(_c(username), "@", 1)
     h = stable_hash(F.concat(_c(username), _c(workspace_id).cast("string")), length=4)
-    return F.lower(clean_string(F.concat_ws(" ", local, h, F.lit("da")), "_"))
+    parts = [local, h, F.lit("da")] + ([_c(lesson_name)] if lesson_name is not None else [])
+    return F.lower(clean_string(F.concat_ws(" ", *parts), "_"))
 
 
 def lesson_number(path) -> Column:

@@ -122,25 +122,40 @@ def run_suite(df: DataFrame, checks: list[Check], suite: str = "suite") -> DataF
     """One aggregate pass over ``df`` -> one result row per check.
 
     Columns: suite, seq, check_id, description, status, passed, points,
-    max_points, hint, score, max_score, percentage, suite_passed.
+    max_points, hint, score, max_score, percentage, suite_passed.  Statuses,
+    score and percentage are computed on the single aggregated row before it
+    is unpivoted, so the checked frame is scanned exactly once.
     """
     deps = _resolve_deps(suite, checks)
+    if not checks:
+        spark = df.sparkSession
+        return spark.createDataFrame([], "seq int, check_id string, description string, status string, "
+                                         "max_points int, hint string, suite string, passed boolean, points int, "
+                                         "score bigint, max_score bigint, percentage int, suite_passed boolean")
     aggs = []
     for i, c in enumerate(checks):
         aggs.append(c.passed.alias(f"_ok{i}"))
         if c.hint is not None and c.actual is not None:
             aggs.append(c.actual.cast("string").alias(f"_act{i}"))
     one = df.agg(*aggs)
-    # failure / skip flags, composed in check order over the single row
-    failed: list[Column] = []
-    rows = []
+    # failure / skip flags composed in check order over the single row
     for i, c in enumerate(checks):
         ok = F.coalesce(F.col(f"_ok{i}"), F.lit(False))
         skipped = F.lit(False)
         for d in deps[i]:
-            skipped = skipped | failed[d]
-        failed.append(skipped | ~ok)
-        status = F.when(skipped, "skipped").when(ok, "passed").otherwise("failed")
+            skipped = skipped | F.col(f"_failed{d}")
+        one = (one.withColumn(f"_skip{i}", skipped)
+                  .withColumn(f"_failed{i}", F.col(f"_skip{i}") | ~ok)
+                  .withColumn(f"_st{i}", F.when(F.col(f"_skip{i}"), "skipped").when(ok, "passed").otherwise("failed")))
+    score = sum((F.when(F.col(f"_st{i}") == "passed", F.lit(int(c.points))).otherwise(F.lit(0))
+                 for i, c in enumerate(checks)), F.lit(0))
+    max_score = sum(int(c.points) for c in checks)
+    pct = (F.lit(0) if max_score == 0 else F.floor(F.lit(100.0) * F.col("score") / F.lit(max_score))).cast("int")
+    one = (one.withColumn("score", score.cast("bigint")).withColumn("max_score", F.lit(max_score).cast("bigint"))
+              .withColumn("percentage", pct))
+    rows = []
+    for i, c in enumerate(checks):
+        status = F.col(f"_st{i}")
         hint = F.lit(None).cast("string")
         if c.hint is not None:
             h = F.lit(c.hint)
@@ -157,12 +172,12 @@ def run_suite(df: DataFrame, checks: list[Check], suite: str = "suite") -> DataF
             F.lit(int(c.points)).alias("max_points"),
             hint.alias("hint"),
         ))
-    exploded = one.select(F.inline(F.array(*rows)))
-    res = (exploded
-           .withColumn("suite", F.lit(suite))
-           .withColumn("passed", F.col("status") == "passed")
-           .withColumn("points", F.when(F.col("passed"), F.col("max_points")).otherwise(F.lit(0))))
-    return summarize(res)
+    exploded = one.select(F.inline(F.array(*rows)), "score", "max_score", "percentage")
+    return (exploded
+            .withColumn("suite", F.lit(suite))
+            .withColumn("passed", F.col("status") == "passed")
+            .withColumn("points", F.when(F.col("passed"), F.col("max_points")).otherwise(F.lit(0)))
+            .withColumn("suite_passed", F.col("percentage") == 100))
 
 
 def summarize(results: DataFrame, suite_col: str = "suite") -> DataFrame:
