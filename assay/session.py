@@ -48,7 +48,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
-        d = tempfile.mkdtemp(prefix="assay-ckpt-")
+        master = spark.sparkContext.master or ""
+        if not master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+        d = tempfile.mkdtemp(prefix="assay-ckpt-")   # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
     return d
