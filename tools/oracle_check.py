@@ -24,6 +24,11 @@ from assay.session import get_session  # noqa: E402
 from assay.sources.tables import TABLES  # noqa: E402
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN",
+                 "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE",
+                 "array<string>": "VARCHAR[]", "float": "FLOAT"}
+
+
 def norm(v):
     if v is None:
         return None
@@ -93,6 +98,11 @@ def main():
             bad += 1
             continue
         problems = []
+        stypes = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+        dtypes = {d[0]: str(d[1]) for d in res.description}
+        tdiff = {c: (stypes.get(c), dtypes.get(c)) for c in stypes if c in dtypes and stypes[c] != dtypes[c]}
+        if tdiff:
+            print(f"TYPE {name}: {tdiff}")
         if sorted(scols) != sorted(dcols):
             problems.append(f"cols spark={sorted(scols)} duck={sorted(dcols)}")
         if len(srows) != len(drows):
