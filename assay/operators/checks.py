@@ -118,11 +118,13 @@ def _resolve_deps(suite: str, checks: list[Check]) -> list[list[int]]:
     return deps
 
 
-def run_suite(df: DataFrame, checks: list[Check], suite: str = "suite") -> DataFrame:
+def run_suite(df: DataFrame, checks: list[Check], suite: str = "suite",
+              extra: dict[str, Column] | None = None) -> DataFrame:
     """One aggregate pass over ``df`` -> one result row per check.
 
     Columns: suite, seq, check_id, description, status, passed, points,
-    max_points, hint, score, max_score, percentage, suite_passed.  Statuses,
+    max_points, hint, score, max_score, percentage, suite_passed, plus any
+    ``extra`` aggregates computed in the same pass.  Statuses,
     score and percentage are computed on the single aggregated row before it
     is unpivoted, so the checked frame is scanned exactly once.
     """
@@ -137,6 +139,8 @@ def run_suite(df: DataFrame, checks: list[Check], suite: str = "suite") -> DataF
         aggs.append(c.passed.alias(f"_ok{i}"))
         if c.hint is not None and c.actual is not None:
             aggs.append(c.actual.cast("string").alias(f"_act{i}"))
+    extra = extra or {}
+    aggs += [c.alias(k) for k, c in extra.items()]
     one = df.agg(*aggs)
     # failure / skip flags composed in check order over the single row
     for i, c in enumerate(checks):
@@ -172,7 +176,7 @@ def run_suite(df: DataFrame, checks: list[Check], suite: str = "suite") -> DataF
             F.lit(int(c.points)).alias("max_points"),
             hint.alias("hint"),
         ))
-    exploded = one.select(F.inline(F.array(*rows)), "score", "max_score", "percentage")
+    exploded = one.select(F.inline(F.array(*rows)), "score", "max_score", "percentage", *extra.keys())
     return (exploded
             .withColumn("suite", F.lit(suite))
             .withColumn("passed", F.col("status") == "passed")

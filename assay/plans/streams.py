@@ -15,11 +15,11 @@ col = F.col
 N_FILES = 8
 
 
-def _landed(t, name):
+def _landed(t, name, n_files=N_FILES):
     spark = t.spark
     root = sinks.new_scratch(spark, name)
     ev = t.events
-    J.land_files(ev, f"{root}/in", N_FILES, "event_id")
+    J.land_files(ev, f"{root}/in", n_files, "event_id")
     return spark, root, ev.schema
 
 
@@ -85,7 +85,7 @@ def stream_scorecard(t):
     """Row 85: the event constraints evaluated on every micro-batch (one file
     per trigger) with foreachBatch; each batch's scorecard is written under
     its batch id (idempotent on replay) and identified by its first event."""
-    spark, root, schema = _landed(t, "stream-score")
+    spark, root, schema = _landed(t, "stream-score", n_files=4)
     s = J.file_stream(spark, f"{root}/in", schema, max_files_per_trigger=1)
     J.batch_scorecards(s, _event_checks, f"{root}/out", J.checkpoint_location(root, "ckpt/score"), "event_id")
     r = spark.read.parquet(f"{root}/out")

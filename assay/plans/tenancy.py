@@ -286,7 +286,7 @@ def roster_generate(t):
     cnt = t.customer.groupBy(col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("max_p"))
     w = n.join(cnt, "n_nationkey", "left").select((col("n_nationkey") + 1).alias("ws"),
                                                   F.coalesce("max_p", F.lit(0)).alias("max_p"))
-    users = w.select("ws", F.explode(F.sequence(F.lit(0), col("max_p").cast("int"))).alias("i")).select(
+    users = generate_range(w, "ws", "max_p").select(
         "ws", F.concat(F.lit("class+"), N.zero_pad(col("i"), 3), F.lit("@example.com")).alias("username"))
     named = [x for g in TEMPLATE_GROUPS.values() for x in g if isinstance(x, str)]
     extra = w.select("ws", F.explode(F.array(*[F.lit(x) for x in named])).alias("username"))
@@ -298,6 +298,23 @@ def roster_generate(t):
     return a.where(~col("ws").isin(nums) & ~ws_name.isin(names_)).select(ws_name.alias("workspace"), "username")
 
 
+RANGE_CHUNK = 10_000
+
+
+def generate_range(df, key: str, upper: str, chunk: int = RANGE_CHUNK):
+    """Rows ``(key, i)`` for i in 0..upper per input row, generated in two
+    levels: chunk starts first (spread over tasks by a shuffle), then at
+    most ``chunk`` numbers per chunk, so one huge range is never one array
+    or one task."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    starts = df.select(key, col(upper).cast("bigint").alias("_u"),
+                       F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(col(upper) / chunk).cast("bigint")))
+                       .alias("_c"))
+    starts = starts.repartition(n, key, "_c")
+    lo = col("_c") * chunk
+    return starts.select(key, F.explode(F.sequence(lo, F.least(lo + chunk - 1, col("_u")))).alias("i"))
+
+
 PROTECTED_SCHEMAS = ["default", "information_schema"]
 SCHEMA_PREFIX = "customer_"
 

@@ -64,8 +64,7 @@ def batch_scorecards(stream: DataFrame, checks_for, out_path: str, checkpoint: s
     so a replayed batch replaces its own scorecard."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        first = batch.agg(F.min(key)).scalar()
-        res = C.run_suite(batch, checks_for(), suite="batch").withColumn("batch_first", first)
+        res = C.run_suite(batch, checks_for(), suite="batch", extra={"batch_first": F.min(key)})
         res.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
