@@ -26,12 +26,16 @@ def strict_ancestor_dirs(path: Column) -> Column:
 
 
 def manifest_from_files(files: DataFrame, path_col: str = "path") -> DataFrame:
-    """Files plus every ancestor directory, distinct: ``(path, is_dir)``."""
-    f = files.select(F.col(path_col).alias("path")).distinct()
-    dirs = (f.select(F.explode(F.filter(strict_ancestor_dirs(F.col("path")), lambda d: d != "/")).alias("path"))
-            .distinct())
-    return (f.select("path", F.lit(False).alias("is_dir"))
-            .unionByName(dirs.select("path", F.lit(True).alias("is_dir"))))
+    """Files plus every ancestor directory, distinct: ``(path, is_dir)``.
+
+    One pass: each file row emits itself and its ancestors, then one
+    distinct (partially aggregated before the shuffle)."""
+    p = F.col(path_col)
+    entries = F.concat(
+        F.array(F.struct(p.alias("path"), F.lit(False).alias("is_dir"))),
+        F.transform(F.filter(strict_ancestor_dirs(p), lambda d: d != "/"),
+                    lambda d: F.struct(d.alias("path"), F.lit(True).alias("is_dir"))))
+    return files.select(F.inline(entries)).distinct()
 
 
 def reconcile(local: DataFrame, remote: DataFrame) -> DataFrame:
@@ -46,10 +50,13 @@ def reconcile(local: DataFrame, remote: DataFrame) -> DataFrame:
     j = lo.join(re, "path", "full_outer")
     diff = j.where(F.col("_in_l").isNull() | F.col("_in_r").isNull()).select(
         "path", F.coalesce("_d_l", "_d_r").alias("is_dir"), F.col("_in_l").isNotNull().alias("extra"))
-    changed_dirs = diff.where("is_dir").select(F.col("path").alias("anc"))
-    anc = diff.select("path", F.explode(strict_ancestor_dirs(F.col("path"))).alias("anc"))
-    covered = anc.join(changed_dirs, "anc", "left_semi").select("path").distinct()
-    acts = diff.join(covered, "path", "left_anti")
+    changed_dirs = diff.where("is_dir").select(F.col("path").alias("anc"), F.lit(True).alias("_hit"))
+    # every differing path with each of its ancestors (or none), outer-joined
+    # to the differing directories; a path acts when no ancestor matched
+    anc = diff.select("path", "is_dir", "extra", F.explode_outer(strict_ancestor_dirs(F.col("path"))).alias("anc"))
+    acts = (anc.join(changed_dirs, "anc", "left").groupBy("path", "is_dir", "extra")
+            .agg(F.bool_or(F.coalesce("_hit", F.lit(False))).alias("_covered"))
+            .where(~F.col("_covered")))
     action = (F.when(F.col("is_dir") & F.col("extra"), F.lit(ACTIONS[0]))
               .when(F.col("is_dir"), F.lit(ACTIONS[1]))
               .when(F.col("extra"), F.lit(ACTIONS[2])).otherwise(F.lit(ACTIONS[3])))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from assay.functions.text import py_strip
 from assay.operators import corpus as K
+from assay.operators import manifest as M
 from assay.plans import standins as S
 from assay.plans.corpus_sql import COMMANDS_SQL, DIRECTIVES_SQL, lst, strip
 from assay.plans.registry import query
@@ -789,14 +790,11 @@ def dangling_links(t):
     neither a page nor a directory of pages (explode ancestors of all paths
     once, then an anti join)."""
     p = S.page_paths(t)
-    files = p.select(F.regexp_replace("path", "/+$", "").alias("path")).distinct()
-    parts = F.split("path", "/")
-    dirs = files.select(F.explode(F.transform(
-        F.when(F.size(parts) >= 3, F.sequence(F.lit(2), F.size(parts) - 1)).otherwise(F.array().cast("array<int>")),
-        lambda i: F.array_join(F.slice(parts, 1, i), "/"))).alias("path"))
-    known = files.unionByName(dirs).distinct()
-    links = (t.pages.select("page_id", F.explode(K.html_links(col("html"))).alias("link"))
-             .join(p.select("page_id", F.split("path", "/")[1].alias("host")), "page_id"))
+    files = p.select(F.regexp_replace("path", "/+$", "").alias("path"))
+    # every page path and every directory above it (without the trailing '/')
+    known = M.manifest_from_files(files).select(F.regexp_replace("path", "/+$", "").alias("path")).distinct()
+    host = F.regexp_extract("url", r"^[a-zA-Z]+://([^/?#]*)", 1)
+    links = t.pages.select("page_id", host.alias("host"), F.explode(K.html_links(col("html"))).alias("link"))
     href = F.regexp_extract("link", 'href="([^"]*)"', 1)
     target = F.when(href.startswith("/"), F.concat(F.lit("/"), col("host"), href)).otherwise(
         F.concat(F.lit("/"), col("host"), F.lit("/"), F.regexp_replace(href, r"^\./", "")))
