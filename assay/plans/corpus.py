@@ -646,7 +646,7 @@ SELECT doc_id, parts[3] AS version, substr(parts[4], 2, length(parts[4]) - 2) AS
   CAST(len(entries) AS INTEGER) AS n_entries, md5(array_to_string(entries, chr(10))) AS entries_md5
 FROM e""")
 def changelog_entries(t):
-    """Row 50: the change-log state machine per README, inside each row:
+    """Rows 50, 77: the change-log state machine per README, inside each row:
     find the tag, the first version header after it, and the entries up to
     the next heading (empty lines skipped); date is M-D-YYYY or TBD."""
     r = readme_lines(t).withColumn("ls", F.transform("readme", py_strip))
@@ -751,7 +751,8 @@ FROM (SELECT * FROM a WHERE file IN (SELECT file FROM both_files)) a
 FULL OUTER JOIN (SELECT * FROM b WHERE file IN (SELECT file FROM both_files)) b ON a.file = b.file AND a.guid = b.guid
 WHERE a.guid IS NULL OR b.guid IS NULL OR {strip('a.contents')} <> {strip('b.contents')}""")
 def segment_diff(t):
-    """Row 105: original vs latest segment files: Missing Notebook per file,
+    """Rows 60, 105: original vs latest segment files: Missing Notebook per file
+    (the union of both file lists as one full outer join),
     then Cell Added / Removed / Changed per guid (whitespace-stripped
     compare) -- one full outer join per level."""
     fa, fb = segment_files(t), segment_files(t, latest=True)

@@ -84,21 +84,26 @@ def frame_compare_verdict(t):
 
 
 @query("check_rows", """
-WITH b AS (SELECT n_nationkey, n_name,
-             CASE WHEN n_nationkey % 5 = 0 THEN (n_regionkey + 1) % 5 ELSE n_regionkey END AS n_regionkey
-           FROM nation WHERE n_nationkey <> 24)
-SELECT coalesce(a.n_nationkey, b.n_nationkey) AS n_nationkey,
-  a.n_nationkey IS NOT NULL AND b.n_nationkey IS NOT NULL
-    AND a.n_name IS NOT DISTINCT FROM b.n_name AND a.n_regionkey IS NOT DISTINCT FROM b.n_regionkey AS rows_equal
-FROM nation a FULL OUTER JOIN b ON a.n_nationkey = b.n_nationkey""")
+WITH a AS (SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer),
+b AS (SELECT c_custkey, c_name,
+             CASE WHEN c_custkey % 50 = 0 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END AS c_nationkey,
+             CASE WHEN c_custkey % 70 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment
+      FROM customer WHERE c_custkey % 97 <> 1)
+SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey,
+  a.c_custkey IS NOT NULL AND b.c_custkey IS NOT NULL AND a.c_name IS NOT DISTINCT FROM b.c_name
+    AND a.c_nationkey IS NOT DISTINCT FROM b.c_nationkey AND a.c_mktsegment IS NOT DISTINCT FROM b.c_mktsegment AS rows_equal
+FROM a FULL OUTER JOIN b ON a.c_custkey = b.c_custkey""")
 def check_rows(t):
-    """Row 96: rows compared as name-keyed dicts per key (a missing row is unequal)."""
-    a = t.nation
-    b = (t.nation.where(col("n_nationkey") != 24)
-         .select("n_regionkey", "n_name", "n_nationkey")   # column order is ignored
-         .withColumn("n_regionkey", F.when(col("n_nationkey") % 5 == 0, (col("n_regionkey") + 1) % 5)
-                     .otherwise(col("n_regionkey"))))
-    return D.rows_equal(a, b, ["n_nationkey"])
+    """Row 96: rows compared as name-keyed dicts per key: column order is
+    ignored, None equals None, a missing row is unequal (customer against a
+    revised copy)."""
+    a = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    b = (t.customer.where(col("c_custkey") % 97 != 1)
+         .select("c_mktsegment", "c_nationkey", "c_name", "c_custkey")   # column order is ignored
+         .withColumn("c_nationkey", F.when(col("c_custkey") % 50 == 0, (col("c_nationkey") + 1) % 25)
+                     .otherwise(col("c_nationkey")))
+         .withColumn("c_mktsegment", F.when(col("c_custkey") % 70 == 0, F.lit(None)).otherwise(col("c_mktsegment"))))
+    return D.rows_equal(a, b, ["c_custkey"])
 
 
 # Expected fields for the schema audit: (table, field, class name, nullable or None).
@@ -128,42 +133,66 @@ def _schema_audit_sql():
 WITH s AS (SELECT table_name AS tbl, column_name AS name, CASE data_type {mapping} ELSE data_type END AS type,
              is_nullable = 'YES' AS nullable FROM information_schema.columns),
 e AS (SELECT * FROM (VALUES {exp}) v(tbl, name, expected_type, expected_nullable))
-SELECT e.tbl AS table_name, e.name AS field, e.expected_type,
+SELECT e.tbl AS table_name, e.name AS field, e.expected_type, nc.null_count,
   s.name IS NOT NULL AND s.type = e.expected_type AND (e.expected_nullable IS NULL OR s.nullable = e.expected_nullable) AS passed,
   CASE WHEN s.name IS NULL THEN NULL WHEN e.expected_nullable IS NULL THEN s.name || ', ' || s.type || ', ' || CASE WHEN s.nullable THEN 'True' ELSE 'False' END
        ELSE s.name || ', ' || s.type END AS found
-FROM e LEFT JOIN s ON s.tbl = e.tbl AND s.name = e.name"""
+FROM e LEFT JOIN s ON s.tbl = e.tbl AND s.name = e.name
+LEFT JOIN (""" + " UNION ALL ".join(
+        f"SELECT '{a}' AS tbl, '{b}' AS name, CAST(count_if({b} IS NULL) AS BIGINT) AS null_count FROM {a}"
+        for a, b, _, _ in SCHEMA_EXPECTATIONS if b != "o_comment") + """) nc ON nc.tbl = e.tbl AND nc.name = e.name"""
 
 
 @query("schema_audit", _schema_audit_sql())
 def schema_audit(t):
     """Row 98: test_schema_field for a list of expected fields over every
-    table's schema-as-a-table (schemas come from the parquet footers)."""
+    table's schema-as-a-table (schemas come from the parquet footers), with
+    the nulls each audited field holds in the data (one pass per table)."""
     spark = t.spark
     schemas = reduce(lambda a, b: a.unionByName(b),
                      [D.schema_table(spark, getattr(t, name), name) for name in TABLES])
     exp = spark.createDataFrame(SCHEMA_EXPECTATIONS, "table string, name string, expected_type string, "
                                                      "expected_nullable boolean")
     j = exp.join(schemas.select("table", "name", "type", "nullable"), ["table", "name"], "left")
+    # the data side of the audit: nulls per audited field, one pass per table
+    present = {(r.table, r.name) for r in schemas.select("table", "name").collect()}
+    counts = None
+    for name in sorted({tb for tb, _, _, _ in SCHEMA_EXPECTATIONS}):
+        fields = [f for tb, f, _, _ in SCHEMA_EXPECTATIONS if tb == name and (tb, f) in present]
+        if not fields:
+            continue
+        one = getattr(t, name).agg(*[F.count_if(col(f).isNull()).alias(f) for f in fields])
+        rows = one.select(F.inline(F.array(*[F.struct(F.lit(name).alias("table"), F.lit(f).alias("name"),
+                                                      col(f).alias("null_count")) for f in fields])))
+        counts = rows if counts is None else counts.unionByName(rows)
+    j = j.join(counts, ["table", "name"], "left")
     passed = (col("type").isNotNull() & (col("type") == col("expected_type"))
               & (col("expected_nullable").isNull() | (col("nullable") == col("expected_nullable"))))
     found = (F.when(col("type").isNull(), F.lit(None))
              .when(col("expected_nullable").isNull(),
                    F.concat_ws(", ", "name", "type", F.when(col("nullable"), "True").otherwise("False")))
              .otherwise(F.concat_ws(", ", "name", "type")))
-    return j.select(col("table").alias("table_name"), col("name").alias("field"), "expected_type",
+    return j.select(col("table").alias("table_name"), col("name").alias("field"), "expected_type", "null_count",
                     F.coalesce(passed, F.lit(False)).alias("passed"), found.alias("found"))
 
 
 @query("schema_compare")
 def schema_compare(t):
     """Row 99: compare_schemas of orders and a reshaped copy (column moved,
-    type changed, column dropped, column added); nullability ignored."""
+    type changed, column dropped, column added); nullability ignored; with
+    the non-null values per column on each side."""
     spark = t.spark
     a = t.orders
     b = (t.orders.select("o_custkey", "o_orderkey", col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"),
                          "o_orderdate", "o_orderpriority", F.lit("x").alias("o_comment")))
-    return D.schema_compare(D.schema_table(spark, a, "a"), D.schema_table(spark, b, "b"), test_column_order=True)
+    cmp = D.schema_compare(D.schema_table(spark, a, "a"), D.schema_table(spark, b, "b"), test_column_order=True)
+    return cmp.join(_non_null_counts(a, "rows_a"), "name", "left").join(_non_null_counts(b, "rows_b"), "name", "left")
+
+
+def _non_null_counts(df, out: str):
+    """Non-null values per column, one aggregate pass, unpivoted to (name, out)."""
+    one = df.agg(*[F.count(col(c)).alias(c) for c in df.columns])
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("name"), col(c).alias(out)) for c in df.columns])))
 
 
 def doc_tree(t, target: bool):

@@ -164,12 +164,13 @@ def run_log_append(t):
 
 @query("dataset_install")
 def dataset_install(t):
-    """Row 11: region and nation installed as datasets: installed on the
+    """Row 11: supplier and customer installed as datasets: installed on the
     first round, skipped when present, reinstalled when forced; each round
     validated by counting what is on disk against the source."""
     spark = t.spark
     root = sinks.new_scratch(spark, "datasets")
-    plan = [(1, "region", False), (1, "nation", False), (2, "region", False), (2, "nation", False), (3, "region", True)]
+    plan = [(1, "supplier", False), (1, "customer", False), (2, "supplier", False), (2, "customer", False),
+            (3, "supplier", True)]
     rows = []
     for rnd, name, force in plan:
         src = getattr(t, name)

@@ -32,7 +32,7 @@ SELECT user_id, CAST(count(*) AS BIGINT) AS n_checks, CAST(count_if(ok) AS BIGIN
   floor(100.0 * count_if(ok) / count(*)) = 100 AS passed
 FROM l GROUP BY user_id""")
 def stream_latest_scorecard(t):
-    """Row 83: last result per check (user x event type) kept as streaming
+    """Rows 82, 83: last result per check (user x event type) kept as streaming
     state over files arriving two per trigger; the final state equals the
     batch result whatever the file order, so the batch oracle applies."""
     spark, root, schema = _landed(t, "stream-latest")
@@ -54,7 +54,7 @@ SELECT window_start, window_end, result_state, CAST(count(*) AS BIGINT) AS n FRO
 WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY
 GROUP BY ALL""")
 def stream_run_health(t):
-    """Row 84: pass/fail counts of the run log per day window behind a
+    """Rows 82, 84: pass/fail counts of the run log per day window behind a
     one-day watermark (append mode: closed windows only).  All files are
     read in one available-now batch, so no row is late and the closed
     windows equal the batch counts of windows ending before max(ts) - 1 day."""
@@ -82,7 +82,7 @@ def _event_checks():
 
 @query("stream_scorecard")
 def stream_scorecard(t):
-    """Row 85: the event constraints evaluated on every micro-batch (one file
+    """Rows 82, 85: the event constraints evaluated on every micro-batch (one file
     per trigger) with foreachBatch; each batch's scorecard is written under
     its batch id (idempotent on replay) and identified by its first event."""
     spark, root, schema = _landed(t, "stream-score", n_files=4)
