@@ -3,6 +3,8 @@ pages (rows 10, 21, 30, 39, 49-52, 105, 109-122)."""
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from assay.functions.text import py_strip
@@ -152,8 +154,14 @@ def forbidden_tokens(t):
     years 2017-2998 found in each document (one finding per token)."""
     d = t.documents.select("doc_id", "text")
     toks = F.array(*[F.lit(x) for x in FORBIDDEN_TOKENS + FLAGGED_PHRASES])
-    found = F.filter(toks, lambda x: F.instr(col("text"), x) > 0)
-    years = F.array_distinct(F.regexp_extract_all("text", F.lit(f"{YEAR_PATTERN} {COPYRIGHT_HOLDER}"), 1))
+    # one regex pass decides whether a document can hold any token at all;
+    # only those documents pay for the exact per-token containment test
+    maybe = col("text").rlike("|".join(re.escape(x) for x in FORBIDDEN_TOKENS + FLAGGED_PHRASES))
+    found = F.when(maybe, F.filter(toks, lambda x: F.instr(col("text"), x) > 0)).otherwise(
+        F.array().cast("array<string>"))
+    years = F.when(F.instr(col("text"), f" {COPYRIGHT_HOLDER}") > 0, F.array_distinct(
+        F.regexp_extract_all("text", F.lit(f"{YEAR_PATTERN} {COPYRIGHT_HOLDER}"), 1))).otherwise(
+        F.array().cast("array<string>"))
     tags = F.transform(years, lambda y: F.concat(y, F.lit(f" {COPYRIGHT_HOLDER}")))
     return d.select("doc_id", F.explode(F.concat(found, tags)).alias("token"))
 
