@@ -11,7 +11,7 @@ from assay.functions.text import py_strip
 from assay.operators import corpus as K
 from assay.operators import manifest as M
 from assay.plans import standins as S
-from assay.plans.corpus_sql import COMMANDS_SQL, DIRECTIVES_SQL, lst, strip
+from assay.plans.corpus_sql import DIRECTIVES_SQL, lst, strip
 from assay.plans.registry import query
 
 col = F.col
@@ -55,11 +55,6 @@ def directive_cells(t):
     return K.with_directives(K.with_leading_comments(commands(t)))
 
 
-def doc_lines(t):
-    d = t.documents.select("doc_id", "lang", "source", "text")
-    return d.select("doc_id", "lang", "source", F.posexplode(F.split("text", NL, -1)).alias("pos", "line"))
-
-
 # ------------------------------------------------------------------- cells
 
 @query("split_cells", """
