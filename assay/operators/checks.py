@@ -33,6 +33,8 @@ class Check:
     hint: str | None = None
     actual: Column | None = None         # aggregate value shown in hints
     extra: dict = field(default_factory=dict)
+    scalar: bool = False                 # ``passed`` / ``actual`` are scalar subqueries or literals,
+                                         # evaluated on the aggregated row instead of inside the agg
 
 
 # ---- check constructors (one aggregate expression each) --------------------
@@ -95,6 +97,141 @@ def check_custom(check_id, passed: Column, description=None, **kw) -> Check:
     return Check(check_id, description or check_id, passed, **kw)
 
 
+# ---- checks over other frames, rows and schemas (scalar checks) -------------
+
+def check_frames(check_id, actual: DataFrame, expected: DataFrame, mode: str = "multiset", keys=None,
+                 description=None, **kw) -> Check:
+    """``test_data_frames``: equal under ``mode`` (multiset / keyed / ordered,
+    see :mod:`assay.operators.diff`); the verdict is a scalar subquery over
+    the distributed diff, never a collect."""
+    from assay.operators import diff as D
+    if mode == "multiset":
+        d = D.multiset_diff(actual, expected)
+    elif mode == "keyed":
+        d = D.keyed_diff(actual, expected, list(keys))
+    else:
+        d = D.ordered_diff(actual, expected, list(keys))
+    n = d.agg(F.count(F.lit(1))).scalar()
+    return Check(check_id, description or f"{check_id}: frames are equal ({mode})", n == 0, actual=n,
+                 scalar=True, **kw)
+
+
+def check_rows_match(check_id, actual: DataFrame, expected: DataFrame, keys, description=None, **kw) -> Check:
+    """``test_rows`` for keyed rows: every key's rows equal as name-keyed dicts."""
+    from assay.operators import diff as D
+    bad = D.rows_equal(actual, expected, list(keys)).agg(F.count_if(~F.col("rows_equal"))).scalar()
+    return Check(check_id, description or f"{check_id}: rows are equal", bad == 0, actual=bad, scalar=True, **kw)
+
+
+def check_schema_field(check_id, df: DataFrame, name: str, type_name: str, nullable: bool | None = None,
+                       description=None, **kw) -> Check:
+    """``test_schema_field``: the field exists with the Spark type class name
+    (and nullability when asked).  Schema metadata only."""
+    f = next((x for x in df.schema.fields if x.name == name), None)
+    tname = None if f is None else type(f.dataType).__name__
+    ok = f is not None and tname == type_name and (nullable is None or f.nullable == nullable)
+    found = None if f is None else (f"{f.name}, {tname}, {f.nullable}" if nullable is None else f"{f.name}, {tname}")
+    desc = description or (f'Schema contains "{name}" of type {type_name}' if nullable is None
+                           else f'Schema contains "{name}" of type {type_name} (nullable={nullable})')
+    kw.setdefault("hint", "Found [[ACTUAL_VALUE]]")
+    return Check(check_id, desc, F.lit(ok), actual=F.lit(found).cast("string"), scalar=True, **kw)
+
+
+def check_list(check_id, values: DataFrame, column: str, expected: list, ordered: bool = False,
+               order_by: str | None = None, description=None, **kw) -> Check:
+    """``test_sequence``: the values of ``column`` against an expected list.
+    Unordered: equal length and membership both ways (not a multiset, as in
+    the reference); ordered: equal at every position of ``order_by``."""
+    exp = values.sparkSession.createDataFrame([(i, v) for i, v in enumerate(expected)], f"pos int, v string")
+    vals = values.select(F.col(column).cast("string").alias("v"), *([order_by] if order_by else []))
+    n = vals.agg(F.count(F.lit(1))).scalar()
+    if ordered:
+        from assay.operators.ordering import with_row_index
+        idx = with_row_index(vals, [order_by], "pos").select(F.col("pos").cast("int").alias("pos"), "v")
+        j = idx.join(exp.withColumnRenamed("v", "e"), "pos", "full_outer")
+        bad = j.agg(F.count_if(~F.col("v").eqNullSafe(F.col("e")))).scalar()
+        ok = bad == 0
+    else:
+        da, de = vals.select("v").distinct(), exp.select("v").distinct()
+        miss = (da.join(de, "v", "left_anti").agg(F.count(F.lit(1))).scalar()
+                + de.join(da, "v", "left_anti").agg(F.count(F.lit(1))).scalar())
+        ok = (n == len(expected)) & (miss == 0)
+    return Check(check_id, description or f"{check_id}: sequence matches", ok, actual=n, scalar=True, **kw)
+
+
+class Suite:
+    """Builder with the reference's method names; ``run(df)`` compiles the
+    suite into one aggregate pass over ``df`` (frame checks as scalar
+    subqueries)."""
+
+    def __init__(self, name: str):
+        self.name = name
+        self.checks: list[Check] = []
+        self._n = 0
+
+    def _add(self, c: Check) -> "Suite":
+        self.checks.append(c)
+        return self
+
+    def _id(self, test_case_id):
+        if test_case_id is None:
+            self._n += 1
+            return str(self._n)
+        return test_case_id
+
+    def test(self, passed: Column, description: str, *, test_case_id=None, **kw):
+        return self._add(check_custom(self._id(test_case_id), passed, description, **kw))
+
+    def test_equals(self, actual: Column, expected, description: str, *, test_case_id=None, **kw):
+        return self._add(check_equals(self._id(test_case_id), actual, expected, description, **kw))
+
+    def test_true(self, cond: Column, description: str, *, test_case_id=None, **kw):
+        return self._add(check_true(self._id(test_case_id), cond, description, **kw))
+
+    def test_false(self, cond: Column, description: str, *, test_case_id=None, **kw):
+        return self._add(check_false(self._id(test_case_id), cond, description, **kw))
+
+    def test_is_none(self, col: Column, description: str, *, test_case_id=None, **kw):
+        return self._add(check_is_none(self._id(test_case_id), col, description, **kw))
+
+    def test_not_none(self, col: Column, description: str, *, test_case_id=None, **kw):
+        return self._add(check_not_none(self._id(test_case_id), col, description, **kw))
+
+    def test_length(self, n: int, description: str, *, test_case_id=None, **kw):
+        return self._add(check_length(self._id(test_case_id), n, description, **kw))
+
+    def test_floats(self, actual: Column, expected, description: str, *, test_case_id=None, tolerance=0.01, **kw):
+        return self._add(check_floats(self._id(test_case_id), actual, expected, tolerance, description, **kw))
+
+    def test_contains(self, col: Column, values, description: str, *, test_case_id=None, **kw):
+        return self._add(check_contains(self._id(test_case_id), col, values, description, **kw))
+
+    def test_data_frames(self, actual: DataFrame, expected: DataFrame, description: str, *, test_case_id=None,
+                         mode="multiset", keys=None, **kw):
+        return self._add(check_frames(self._id(test_case_id), actual, expected, mode, keys, description, **kw))
+
+    def test_rows(self, actual: DataFrame, expected: DataFrame, keys, description: str, *, test_case_id=None, **kw):
+        return self._add(check_rows_match(self._id(test_case_id), actual, expected, keys, description, **kw))
+
+    def test_schema_field(self, df: DataFrame, name: str, type_name: str, nullable=None, *, description=None,
+                          test_case_id=None, **kw):
+        return self._add(check_schema_field(self._id(test_case_id), df, name, type_name, nullable, description, **kw))
+
+    def test_sequence(self, values: DataFrame, column: str, expected: list, test_column_order: bool,
+                      description: str, *, order_by=None, test_case_id=None, **kw):
+        return self._add(check_list(self._id(test_case_id), values, column, expected, test_column_order, order_by,
+                                    description, **kw))
+
+    def fail(self, description: str, *, test_case_id=None, **kw):
+        return self._add(check_fail(self._id(test_case_id), description, **kw))
+
+    def fail_pre_req(self, *, test_case_id, e: Exception, depends_on=None):
+        return self.fail(f"Execute prerequisites. {e}", test_case_id=test_case_id, depends_on=depends_on)
+
+    def run(self, df: DataFrame) -> DataFrame:
+        return run_suite(df, self.checks, suite=self.name)
+
+
 # ---- compilation -------------------------------------------------------------
 
 def _resolve_deps(suite: str, checks: list[Check]) -> list[list[int]]:
@@ -136,12 +273,20 @@ def run_suite(df: DataFrame, checks: list[Check], suite: str = "suite",
                                          "score bigint, max_score bigint, percentage int, suite_passed boolean")
     aggs = []
     for i, c in enumerate(checks):
+        if c.scalar:
+            continue
         aggs.append(c.passed.alias(f"_ok{i}"))
         if c.hint is not None and c.actual is not None:
             aggs.append(c.actual.cast("string").alias(f"_act{i}"))
     extra = extra or {}
     aggs += [c.alias(k) for k, c in extra.items()]
-    one = df.agg(*aggs)
+    one = df.agg(*(aggs or [F.count(F.lit(1)).alias("_rows")]))
+    # frame-, row- and schema-level checks: scalar subqueries on the one row
+    for i, c in enumerate(checks):
+        if c.scalar:
+            one = one.withColumn(f"_ok{i}", c.passed)
+            if c.hint is not None and c.actual is not None:
+                one = one.withColumn(f"_act{i}", c.actual.cast("string"))
     # failure / skip flags composed in check order over the single row
     for i, c in enumerate(checks):
         ok = F.coalesce(F.col(f"_ok{i}"), F.lit(False))

@@ -271,3 +271,57 @@ _CUSTOM = [
 ]
 _suite_query("custom_check", "custom", "SELECT * FROM lineitem", lambda t: t.lineitem, _CUSTOM,
              "Rows 86-87: user checks from a named registry of Column builders.")
+
+
+# ---- a suite over frames, rows, schemas and sequences (rows 95-99, 101) ----
+
+from assay.plans.diffs import ALTERED_ORDERS_SQL, ORDER_COLS, altered_orders  # noqa: E402
+
+PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+_FRAME_SPECS = [
+    Spec("same_orders", "orders equal their revised copy", None,
+         f"""(SELECT count(*) FROM (SELECT {', '.join(ORDER_COLS)}, sum(s) AS d FROM (
+              SELECT *, 1 AS s FROM orders UNION ALL SELECT *, -1 AS s FROM ({ALTERED_ORDERS_SQL})) GROUP BY ALL
+              HAVING sum(s) <> 0)) = 0""",
+         hint="[[ACTUAL_VALUE]] differing rows",
+         sql_actual=f"""(SELECT count(*) FROM (SELECT {', '.join(ORDER_COLS)}, sum(s) AS d FROM (
+              SELECT *, 1 AS s FROM orders UNION ALL SELECT *, -1 AS s FROM ({ALTERED_ORDERS_SQL})) GROUP BY ALL
+              HAVING sum(s) <> 0))"""),
+    Spec("customers_keyed", "customer rows equal themselves by key", None, "true", depends_on=[]),
+    Spec("orderdate_field", 'Schema contains "o_orderdate" of type TimestampNTZType', None,
+         "(SELECT count(*) FROM information_schema.columns WHERE table_name = 'orders' AND column_name = 'o_orderdate' "
+         "AND data_type = 'TIMESTAMP') = 1", depends_on=[], hint="Found [[ACTUAL_VALUE]]",
+         sql_actual="'o_orderdate, TimestampNTZType, True'"),
+    Spec("comment_field", 'Schema contains "o_comment" of type StringType', None,
+         "(SELECT count(*) FROM information_schema.columns WHERE table_name = 'orders' AND column_name = 'o_comment') = 1",
+         hint="Found [[ACTUAL_VALUE]]", sql_actual="NULL"),
+    Spec("priorities", "the five priorities, any order", None,
+         f"""(SELECT count(*) FROM (SELECT DISTINCT o_orderpriority FROM orders)) = 5
+             AND (SELECT count(*) FROM (SELECT DISTINCT o_orderpriority AS v FROM orders
+                  WHERE o_orderpriority NOT IN ({', '.join(f"'{p}'" for p in PRIORITIES)}))) = 0""", depends_on=[]),
+    Spec("positive_prices", "every price is positive", None,
+         "coalesce(bool_and(coalesce(o_totalprice > 0, false)), true)"),
+    Spec("three_statuses", "three order statuses", None, "count(DISTINCT o_orderstatus) = 3"),
+]
+
+
+@query("frame_suite", suite_sql("SELECT * FROM orders", "orders", _FRAME_SPECS))
+def frame_suite(t):
+    """Rows 95-99, 101: one suite mixing frame equality (multiset diff),
+    keyed row equality, schema fields and an unordered sequence with
+    per-row checks; frame-level checks are scalar subqueries, the per-row
+    ones share the single aggregate pass over orders."""
+    o = t.orders
+    s = (C.Suite("orders")
+         .test_data_frames(o, altered_orders(t), "orders equal their revised copy", test_case_id="same_orders",
+                           hint="[[ACTUAL_VALUE]] differing rows")
+         .test_rows(t.customer, t.customer, ["c_custkey"], "customer rows equal themselves by key",
+                    test_case_id="customers_keyed", depends_on=[])
+         .test_schema_field(o, "o_orderdate", "TimestampNTZType", test_case_id="orderdate_field", depends_on=[])
+         .test_schema_field(o, "o_comment", "StringType", test_case_id="comment_field")
+         .test_sequence(o.select("o_orderpriority").distinct(), "o_orderpriority", PRIORITIES, False,
+                        "the five priorities, any order", test_case_id="priorities", depends_on=[])
+         .test_true(F.col("o_totalprice") > 0, "every price is positive", test_case_id="positive_prices")
+         .test_equals(F.count_distinct("o_orderstatus"), 3, "three order statuses", test_case_id="three_statuses"))
+    return s.run(o)

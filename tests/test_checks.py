@@ -65,3 +65,26 @@ def test_one_aggregate_pass(spark):
     plan = res._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Range (") == 1          # the checked frame is read once
     assert "CartesianProduct" not in plan and "BatchEvalPython" not in plan
+
+
+def test_suite_builder_with_frame_row_schema_checks(spark):
+    a = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    b = spark.createDataFrame([(2, "y"), (1, "x")], "k int, v string")
+    c = spark.createDataFrame([(1, "x"), (2, "z")], "k int, v string")
+    s = (C.Suite("s")
+         .test_data_frames(a, b, "same multiset")
+         .test_data_frames(a, c, "different", mode="keyed", keys=["k"], hint="[[ACTUAL_VALUE]] diffs")
+         .test_rows(a, b, ["k"], "rows by key", depends_on=[])
+         .test_schema_field(a, "k", "IntegerType", depends_on=[])
+         .test_schema_field(a, "w", "StringType", depends_on=[])
+         .test_sequence(a, "v", ["y", "x"], False, "unordered", depends_on=[])
+         .test_sequence(a, "v", ["y", "x"], True, "ordered", order_by="k", depends_on=[]))
+    r = {x.seq: x for x in s.run(a).collect()}
+    assert [r[i].status for i in range(1, 8)] == ["passed", "failed", "passed", "passed", "failed", "passed", "failed"]
+    assert r[2].hint == "1 diffs"
+    assert r[5].hint == "Found None"
+    assert r[1].score == 4 and r[1].max_score == 7
+
+
+def test_empty_suite_has_no_rows(spark):
+    assert C.Suite("empty").run(spark.range(3)).count() == 0
