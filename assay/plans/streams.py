@@ -65,8 +65,8 @@ def stream_run_health(t):
     J.windowed_counts(s, "ts", ["result_state"], "1 day", "1 day", f"{root}/out",
                       J.checkpoint_location(root, "ckpt/health"))
     r = spark.read.parquet(f"{root}/out")
-    return r.select(col("window_start").cast("timestamp_ntz").alias("window_start"),
-                    col("window_end").cast("timestamp_ntz").alias("window_end"), "result_state", "n")
+    return r.select(J.utc_wall_clock(col("window_start")).alias("window_start"),
+                    J.utc_wall_clock(col("window_end")).alias("window_end"), "result_state", "n")
 
 
 def _event_checks():

@@ -33,6 +33,8 @@ def get_session(cpus: int | str | None = None, app: str = "assay",
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
     b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
+    if os.environ.get("ASSAY_SESSION_TZ"):          # to test time-zone independence
+        b = b.config("spark.sql.session.timeZone", os.environ["ASSAY_SESSION_TZ"])
     b = b.config("spark.driver.memory", os.environ.get("ASSAY_DRIVER_MEMORY", "16g"))
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

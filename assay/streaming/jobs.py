@@ -44,12 +44,26 @@ def latest_per_key(stream: DataFrame, keys: list[str], value: str, order: list[s
     q.awaitTermination()
 
 
+def event_time(df: DataFrame, ts: str):
+    """Watermarks need TIMESTAMP: a TIMESTAMP_NTZ column is read as UTC wall
+    clock (independent of the session time zone)."""
+    if df.schema[ts].dataType.typeName() == "timestamp_ntz":
+        return F.concat(F.col(ts).cast("string"), F.lit("Z")).cast("timestamp")
+    return F.col(ts)
+
+
+def utc_wall_clock(c):
+    """TIMESTAMP instant -> TIMESTAMP_NTZ holding its UTC wall clock."""
+    return (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+            + F.make_dt_interval(secs=F.unix_micros(c).cast("decimal(20,0)") / F.lit(1_000_000)))
+
+
 def windowed_counts(stream: DataFrame, ts: str, keys: list[str], window: str, watermark: str, out_path: str,
                     checkpoint: str):
     """Counts per (tumbling window, keys); closed windows only (append mode
     behind a watermark), written to a parquet sink.  Returns the query for
     its progress (rows dropped as late)."""
-    s = stream.withColumn("_t", F.col(ts).cast("timestamp")).withWatermark("_t", watermark)
+    s = stream.withColumn("_t", event_time(stream, ts)).withWatermark("_t", watermark)
     agg = s.groupBy(F.window("_t", window).alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"))
     agg = agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "n")
     q = (agg.writeStream.outputMode("append").format("parquet").option("path", out_path)
