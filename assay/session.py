@@ -32,7 +32,10 @@ def get_session(cpus: int | str | None = None, app: str = "assay",
     b = SparkSession.builder.master(f"local[{cpus}]").appName(app)
     for k, v in BASE_CONF.items():
         b = b.config(k, v)
-    b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
+    b = b.config("spark.sql.shuffle.partitions",
+                 str(shuffle_partitions or os.environ.get("ASSAY_SHUFFLE_PARTITIONS") or cpus))
+    if os.environ.get("ASSAY_AQE"):                 # to test plans without adaptive execution
+        b = b.config("spark.sql.adaptive.enabled", os.environ["ASSAY_AQE"])
     if os.environ.get("ASSAY_SESSION_TZ"):          # to test time-zone independence
         b = b.config("spark.sql.session.timeZone", os.environ["ASSAY_SESSION_TZ"])
     b = b.config("spark.driver.memory", os.environ.get("ASSAY_DRIVER_MEMORY", "16g"))
