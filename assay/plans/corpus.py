@@ -208,10 +208,16 @@ def markdown_pages(t):
     return p.select("page_id", md.alias("md"))
 
 
-@query("md_link_lint")
+@query("md_link_lint", r"""
+WITH m AS (SELECT page_id, regexp_replace(html, '<a href="([^"]*)">([^<]*)</a>', '[\2]($.\1)', 'g') AS md FROM pages),
+m2 AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN regexp_replace(md, '^(.*?)\[', '\1![') ELSE md END AS md FROM m),
+l AS (SELECT page_id, unnest(regexp_extract_all(md, '!?\[.*?\]\(.*?\)')) AS link FROM m2),
+r AS (SELECT page_id, link, regexp_extract(link, '\(\$.*\)') AS rel FROM l WHERE NOT starts_with(link, '!'))
+SELECT page_id, link, substr(rel, 3, length(rel) - 3) AS target FROM r WHERE rel <> ''""")
 def md_link_lint(t):
     """Row 116: markdown links (not images, via look-behind) whose target is
-    relative (``($...)``); the target without '($' and ')'."""
+    relative (``($...)``); the target without '($' and ')'.  (The oracle,
+    lacking look-behind in RE2, matches an optional '!' and drops those.)"""
     m = markdown_pages(t)
     links = m.select("page_id", F.explode(F.regexp_extract_all("md", F.lit(r"(?<!!)\[.*?\]\(.*?\)"), 0)).alias("link"))
     rel = F.regexp_extract("link", r"\(\$.*\)", 0)

@@ -176,7 +176,24 @@ def schema_audit(t):
                     F.coalesce(passed, F.lit(False)).alias("passed"), found.alias("found"))
 
 
-@query("schema_compare")
+_B_SELECT = ("SELECT o_custkey, o_orderkey, CAST(o_totalprice AS DECIMAL(12,2)) AS o_totalprice, o_orderdate, "
+             "o_orderpriority, 'x' AS o_comment FROM orders")
+_B_COLS = ["o_custkey", "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority", "o_comment"]
+
+
+@query("schema_compare", f"""
+WITH a AS (SELECT column_name AS name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS type_a, CAST(row_number() OVER () AS INTEGER) AS pos_a
+           FROM (DESCRIBE orders)),
+b AS (SELECT column_name AS name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END AS type_b, CAST(row_number() OVER () AS INTEGER) AS pos_b
+      FROM (DESCRIBE {_B_SELECT})),
+ra AS ({" UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS rows_a FROM orders" for c in ORDER_COLS)}),
+rb AS ({" UNION ALL ".join(f"SELECT '{c}' AS name, count({c}) AS rows_b FROM ({_B_SELECT})" for c in _B_COLS)}),
+j AS (SELECT coalesce(a.name, b.name) AS name, type_a, type_b, pos_a, pos_b FROM a FULL OUTER JOIN b ON a.name = b.name)
+SELECT j.name, type_a, type_b, pos_a, pos_b,
+  CASE WHEN type_b IS NULL THEN 'only_a' WHEN type_a IS NULL THEN 'only_b' WHEN type_a <> type_b THEN 'type'
+       WHEN pos_a IS DISTINCT FROM pos_b THEN 'position' ELSE 'same' END AS kind,
+  type_a IS NOT DISTINCT FROM type_b AND pos_a IS NOT DISTINCT FROM pos_b AS matches, rows_a, rows_b
+FROM j LEFT JOIN ra ON j.name = ra.name LEFT JOIN rb ON j.name = rb.name""")
 def schema_compare(t):
     """Row 99: compare_schemas of orders and a reshaped copy (column moved,
     type changed, column dropped, column added); nullability ignored; with
