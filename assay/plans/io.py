@@ -131,7 +131,8 @@ def csv_strict_load(t):
 
 
 @query("usage_month_range", """
-SELECT strftime(o_orderdate, '%Y-%m') AS month, CAST(count(*) AS BIGINT) AS n_orders, round(sum(o_totalprice), 2) AS total
+SELECT strftime(o_orderdate, '%Y-%m') AS month, CAST(count(*) AS BIGINT) AS n_orders,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
 FROM orders WHERE strftime(o_orderdate, '%Y-%m') BETWEEN '1996-01' AND '1996-06' GROUP BY 1""")
 def usage_month_range(t):
     """Row 8: a usage report stored partitioned by month; a month range read
@@ -141,7 +142,9 @@ def usage_month_range(t):
     (t.orders.withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
      .write.mode("overwrite").partitionBy("month").parquet(path))
     u = spark.read.parquet(path).where(col("month").between("1996-01", "1996-06"))
-    return u.groupBy("month").agg(F.count(F.lit(1)).alias("n_orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    # exact decimal sum (independent of summation order), reported as double
+    return u.groupBy("month").agg(F.count(F.lit(1)).alias("n_orders"),
+                                  F.sum(col("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"))
 
 
 @query("run_log_append", f"""
