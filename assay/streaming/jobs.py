@@ -72,6 +72,16 @@ def windowed_counts(stream: DataFrame, ts: str, keys: list[str], window: str, wa
     return q
 
 
+def rows_dropped_by_watermark(q) -> int:
+    """Late rows the windowed aggregation discarded, from the query progress."""
+    total = 0
+    for p in q.recentProgress:
+        for op in p.get("stateOperators", []) if isinstance(p, dict) else getattr(p, "stateOperators", []):
+            v = op.get("numRowsDroppedByWatermark", 0) if isinstance(op, dict) else getattr(op, "numRowsDroppedByWatermark", 0)
+            total += int(v or 0)
+    return total
+
+
 def batch_scorecards(stream: DataFrame, checks_for, out_path: str, checkpoint: str, key: str) -> None:
     """Run a check suite over every micro-batch (``checks_for()`` builds the
     checks); each batch writes ``out_path/batch_id=<n>`` in overwrite mode,
