@@ -154,3 +154,60 @@ def line_of_first(text: Column, what: str) -> Column:
 def html_links(html: Column) -> Column:
     """``<a ...</a>`` occurrences; (?d) gives '.' the Python meaning (any char but \\n)."""
     return F.regexp_extract_all(html, F.lit(r"(?d)<a .*?</a>"), 0)
+
+
+# The i18n rule messages (cell number = position + 1).
+GUID_MESSAGES = {
+    "single_line": "Cmd #{n} | Expected MD to have more than 1 line of code with i18n enabled: {line0}",
+    "missing_directive": "Cmd #{n} | Missing the i18n directive: {line0}",
+    "word_count": "Cmd #{n} | Expected the first line of MD to have only two words, found {k}: {line0}",
+    "md_tag": 'Cmd #{n} | Expected word[0] of the first line of MD to be "%md" or "%md-sandbox", found {tag}: {line0}',
+    "guid_prefix": 'Cmd #{n} | Expected word[1] of the first line of MD to start with "--i18n-", found {guid}: {line0}',
+    "duplicate": "Cmd #{n} | Duplicate i18n GUID found: {guid}",
+}
+
+
+def with_guid_check(df: DataFrame, command: str = "command", cm: str = "cm") -> DataFrame:
+    """Add ``guid``, ``md_tag``, ``line0``, ``n_parts`` and ``error`` -- the
+    first failing i18n rule of a markdown cell (NULL = passed) -- staged so
+    each piece is computed once."""
+    df = df.withColumn("_g1", F.split(py_strip(F.col(command)), "\n", -1))
+    df = df.withColumn("line0", F.substring(F.col("_g1")[0], F.length(F.col(cm)) + 8, F.lit(1 << 20)))
+    df = df.withColumn("_g2", F.filter(F.split(py_strip(F.col("line0")), " ", -1), lambda p: py_strip(p) != ""))
+    df = df.withColumn("_g3", F.struct(F.size("_g2").alias("n"), F.try_element_at("_g2", F.lit(1)).alias("tag"),
+                                       py_strip(F.try_element_at("_g2", F.lit(2))).alias("g")))
+    n, tag, g = F.col("_g3.n"), F.col("_g3.tag"), F.col("_g3.g")
+    err = (F.when(F.size("_g1") <= 1, "single_line").when(n == 1, "missing_directive").when(n != 2, "word_count")
+           .when(~tag.isin("%md", "%md-sandbox"), "md_tag").when(~g.startswith("--i18n-"), "guid_prefix"))
+    return (df.withColumn("guid", F.when(n >= 2, g)).withColumn("md_tag", tag).withColumn("n_parts", n)
+            .withColumn("error", err).drop("_g1", "_g2", "_g3"))
+
+
+def guid_findings(cells: DataFrame, doc: str = "doc_id", pos: str = "pos") -> DataFrame:
+    """Rule findings per markdown cell plus duplicate guids within a document
+    (the first passing cell of a guid wins): ``error`` and ``message``."""
+    g = with_guid_check(cells)
+    first = g.where(F.col("error").isNull()).groupBy(doc, "guid").agg(F.min(pos).alias("_first"))
+    j = g.join(first, [doc, "guid"], "left")
+    j = j.withColumn("error", F.when(F.col("error").isNull() & (F.col(pos) > F.col("_first")), F.lit("duplicate"))
+                     .otherwise(F.col("error")))
+    n = (F.col(pos) + 1).cast("string")
+
+    def fmt(key):
+        t = GUID_MESSAGES[key]
+        parts = []
+        for chunk in t.replace("{", "\x00{").split("\x00"):
+            if chunk.startswith("{"):
+                name, rest = chunk[1:].split("}", 1)
+                parts.append({"n": n, "line0": F.col("line0"), "k": F.col("n_parts").cast("string"),
+                              "tag": F.col("md_tag"), "guid": F.col("guid")}[name])
+                if rest:
+                    parts.append(F.lit(rest))
+            elif chunk:
+                parts.append(F.lit(chunk))
+        return F.concat(*parts)
+
+    msg = F.lit(None).cast("string")
+    for key in GUID_MESSAGES:
+        msg = F.when(F.col("error") == key, fmt(key)).otherwise(msg)
+    return j.withColumn("message", msg).drop("_first")

@@ -309,39 +309,34 @@ SELECT conv_id AS doc_id, CAST(turn AS BIGINT) AS pos,
 FROM conversations WHERE role = 'assistant'"""
 
 
-def with_guid_check(df, command="command", cm="cm"):
-    """Add ``guid`` and ``error``: the first failing i18n rule of a markdown
-    cell (NULL = passed), staged so each piece is computed once."""
-    df = df.withColumn("_g1", F.split(py_strip(col(command)), NL, -1))
-    df = df.withColumn("_g2", F.filter(F.split(py_strip(F.substring(col("_g1")[0], F.length(col(cm)) + 8, F.lit(1 << 20))),
-                                               " ", -1), lambda p: py_strip(p) != ""))
-    df = df.withColumn("_g3", F.struct(F.size("_g2").alias("n"), F.try_element_at("_g2", F.lit(1)).alias("tag"),
-                                       py_strip(F.try_element_at("_g2", F.lit(2))).alias("g")))
-    n, tag, g = col("_g3.n"), col("_g3.tag"), col("_g3.g")
-    err = (F.when(F.size("_g1") <= 1, "single_line").when(n == 1, "missing_directive").when(n != 2, "word_count")
-           .when(~tag.isin("%md", "%md-sandbox"), "md_tag").when(~g.startswith("--i18n-"), "guid_prefix"))
-    return (df.withColumn("guid", F.when(n >= 2, g)).withColumn("error", err).drop("_g1", "_g2", "_g3"))
+def _guid_msg_sql():
+    return """CASE error
+      WHEN 'single_line' THEN 'Cmd #' || (pos + 1) || ' | Expected MD to have more than 1 line of code with i18n enabled: ' || line0
+      WHEN 'missing_directive' THEN 'Cmd #' || (pos + 1) || ' | Missing the i18n directive: ' || line0
+      WHEN 'word_count' THEN 'Cmd #' || (pos + 1) || ' | Expected the first line of MD to have only two words, found ' || len(parts) || ': ' || line0
+      WHEN 'md_tag' THEN 'Cmd #' || (pos + 1) || ' | Expected word[0] of the first line of MD to be "%md" or "%md-sandbox", found ' || parts[1] || ': ' || line0
+      WHEN 'guid_prefix' THEN 'Cmd #' || (pos + 1) || ' | Expected word[1] of the first line of MD to start with "--i18n-", found ' || guid || ': ' || line0
+      WHEN 'duplicate' THEN 'Cmd #' || (pos + 1) || ' | Duplicate i18n GUID found: ' || guid END"""
 
 
 @query("guid_rules", f"""
 WITH c AS ({_MD_CELLS_SQL}),
-p AS (SELECT doc_id, pos, list_filter(string_split({strip("substr('%md' || tag, 1)")}, ' '), lambda x: {strip('x')} <> '') AS parts FROM c),
-r AS (SELECT doc_id, pos, CASE WHEN len(parts) >= 2 THEN {strip('parts[2]')} END AS guid,
+p AS (SELECT doc_id, pos, '%md' || tag AS line0,
+        list_filter(string_split({strip("'%md' || tag")}, ' '), lambda x: {strip('x')} <> '') AS parts FROM c),
+r AS (SELECT doc_id, pos, line0, parts, CASE WHEN len(parts) >= 2 THEN {strip('parts[2]')} END AS guid,
         CASE WHEN len(parts) = 1 THEN 'missing_directive' WHEN len(parts) <> 2 THEN 'word_count'
              WHEN parts[1] NOT IN ('%md', '%md-sandbox') THEN 'md_tag'
-             WHEN NOT starts_with({strip('parts[2]')}, '--i18n-') THEN 'guid_prefix' END AS error FROM p),
-f AS (SELECT doc_id, guid, min(pos) AS first_pos FROM r WHERE error IS NULL GROUP BY doc_id, guid)
-SELECT r.doc_id, r.pos, r.guid, CASE WHEN r.error IS NULL AND r.pos > f.first_pos THEN 'duplicate' ELSE r.error END AS error
-FROM r LEFT JOIN f ON r.doc_id = f.doc_id AND r.guid = f.guid""")
+             WHEN NOT starts_with({strip('parts[2]')}, '--i18n-') THEN 'guid_prefix' END AS error0 FROM p),
+f AS (SELECT doc_id, guid, min(pos) AS first_pos FROM r WHERE error0 IS NULL GROUP BY doc_id, guid),
+e AS (SELECT r.*, CASE WHEN r.error0 IS NULL AND r.pos > f.first_pos THEN 'duplicate' ELSE r.error0 END AS error
+      FROM r LEFT JOIN f ON r.doc_id = f.doc_id AND r.guid = f.guid)
+SELECT doc_id, pos, guid, error, {_guid_msg_sql()} AS message FROM e""")
 def guid_rules(t):
-    """Rows 49, 118: i18n guid rules on markdown cells (two words, %md tag,
-    '--i18n-' prefix), then duplicates within a notebook: the first passing
-    cell of a guid wins, later ones are errors (aggregate + join, no sort)."""
-    g = with_guid_check(md_cells(t)).select("doc_id", "pos", "guid", "error")
-    first = g.where(col("error").isNull()).groupBy("doc_id", "guid").agg(F.min("pos").alias("_first"))
-    j = g.join(first, ["doc_id", "guid"], "left")
-    err = F.when(col("error").isNull() & (col("pos") > col("_first")), F.lit("duplicate")).otherwise(col("error"))
-    return j.select("doc_id", "pos", "guid", err.alias("error"))
+    """Rows 49, 118: i18n guid rules on markdown cells (more than one line,
+    two words, %md tag, '--i18n-' prefix), then duplicates within a
+    notebook: the first passing cell of a guid wins, later ones are errors
+    (aggregate + join, no sort); with the reference's message texts."""
+    return K.guid_findings(md_cells(t)).select("doc_id", "pos", "guid", "error", "message")
 
 
 def bundles(t, translated: bool = False):
@@ -404,13 +399,13 @@ def bundle_to_map(t):
 
 
 def _merged(t):
-    g = with_guid_check(md_cells(t)).select("doc_id", "pos", "cm", "command", "guid", "error")
+    g = K.with_guid_check(md_cells(t)).select("doc_id", "pos", "cm", "command", "guid", "error", "md_tag")
     tr = bundle_map(bundles(t, translated=True)).withColumn("_have", F.lit(True))
     j = g.join(tr, ["doc_id", "guid"], "left")
     status = F.when(col("error").isNotNull(), "invalid").when(col("_have").isNull(), "missing").otherwise("translated")
     new = F.when(status == "translated",
-                 F.concat(col("cm"), F.lit(" DBTITLE 0,"), col("guid"), F.lit(NL), col("cm"), F.lit(" MAGIC %md"),
-                          F.lit(NL), col("body"))).otherwise(col("command"))
+                 F.concat(col("cm"), F.lit(" DBTITLE 0,"), col("guid"), F.lit(NL), col("cm"), F.lit(" MAGIC "),
+                          col("md_tag"), F.lit(NL), col("body"))).otherwise(col("command"))
     return j.select("doc_id", "pos", "cm", "guid", status.alias("status"), new.alias("cell"))
 
 
@@ -425,7 +420,7 @@ tr AS ({_bundle_map_sql(True)})
 SELECT r.doc_id, r.pos, r.cm, r.guid,
   CASE WHEN r.error IS NOT NULL THEN 'invalid' WHEN tr.guid IS NULL THEN 'missing' ELSE 'translated' END AS status,
   CASE WHEN r.error IS NULL AND tr.guid IS NOT NULL
-       THEN r.cm || ' DBTITLE 0,' || r.guid || chr(10) || r.cm || ' MAGIC %md' || chr(10) || tr.body ELSE r.command END AS cell
+       THEN r.cm || ' DBTITLE 0,' || r.guid || chr(10) || r.cm || ' MAGIC ' || r.parts[1] || chr(10) || tr.body ELSE r.command END AS cell
 FROM r LEFT JOIN tr ON r.doc_id = tr.doc_id AND r.guid = tr.guid"""
 
 

@@ -67,3 +67,53 @@ def test_severity_label_goldens(spark):
         severity_label(F.col("w"), F.col("e"), F.col("x")).alias("l"),
         F.when((F.col("e") > 0) | (F.col("x") > 0), "danger").otherwise("warning").alias("c")).collect()]
     assert got == [("| 7 Exceptions | 2 Errors | 1 Warnings |", "danger"), ("| 3 Warnings |", "warning")]
+
+
+GUID = "--i18n-a6e39b59-1715-4750-bd5d-5d638cf57c3a"
+
+
+def guid_rows(spark, cells):
+    df = spark.createDataFrame([(1, i, cm, c) for i, (cm, c) in enumerate(cells)], "doc_id int, pos int, cm string, command string")
+    return [(r.error, r.message) for r in K.guid_findings(df).orderBy("pos").collect()]
+
+
+def test_i18n_goldens(spark):
+    cases = {
+        "good_single": ("#", "# MAGIC %md --i18n-TBD\n# MAGIC \n# MAGIC # Build-Time Substitutions"),
+        "good_double_space": ("#", "# MAGIC %md  --i18n-TBD\n# MAGIC \n# MAGIC # Build-Time Substitutions"),
+        "good_sandbox": ("#", "# MAGIC %md-sandbox --i18n-TBD\n# MAGIC \n# MAGIC # Build-Time Substitutions"),
+        "missing_multi": ("#", "# MAGIC %md\n# MAGIC \n# MAGIC # Build-Time Substitutions"),
+        "missing_single": ("#", "# MAGIC %md | # Build-Time Substitutions"),
+        "extra_word": ("#", "# MAGIC %md --i18n-TBD # Title\n# MAGIC \n# MAGIC # Build-Time Substitutions"),
+        "sql_single": ("--", f"-- MAGIC %md {GUID} # Some Title"),
+    }
+    want = {
+        "good_single": (None, None), "good_double_space": (None, None), "good_sandbox": (None, None),
+        "missing_multi": ("missing_directive", "Cmd #1 | Missing the i18n directive: %md"),
+        "missing_single": ("single_line", "Cmd #1 | Expected MD to have more than 1 line of code with i18n enabled: "
+                                          "%md | # Build-Time Substitutions"),
+        "extra_word": ("word_count", "Cmd #1 | Expected the first line of MD to have only two words, found 4: "
+                                     "%md --i18n-TBD # Title"),
+        "sql_single": ("single_line", "Cmd #1 | Expected MD to have more than 1 line of code with i18n enabled: "
+                                      f"%md {GUID} # Some Title"),
+    }
+    for name, cell in cases.items():
+        assert guid_rows(spark, [cell]) == [want[name]], name
+
+
+def test_i18n_duplicate_and_unique(spark):
+    a = ("#", f"# MAGIC %md {GUID}\n# MAGIC # Some Title")
+    b = ("#", "# MAGIC %md --i18n-9d06d80d-2381-42d5-8f9e-cc99ee3cd82a\n# MAGIC # Some Title")
+    assert guid_rows(spark, [b, a]) == [(None, None), (None, None)]
+    got = guid_rows(spark, [("#", "x"), ("#", "y"), ("#", "z"), a, a])
+    assert got[4] == ("duplicate", f"Cmd #5 | Duplicate i18n GUID found: {GUID}")
+
+
+def test_link_parsing_goldens(spark):
+    body = "# MAGIC %md --i18n-TBD\n# MAGIC # {}\n# MAGIC # Bla bla bla"
+    one = '<a href="https://example.com" target="_blank">some link</a>'
+    two = '<a href="https://google.com" target="_blank">some link</a>'
+    texts = [body.format(""), body.format(one), f"{body.format(one)}\n# MAGIC # {two}",
+             body.format(one + two + '<a href="https://x.example" target="_blank">some link</a>')]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [len(r[0]) for r in df.select(K.html_links(F.col("t"))).collect()] == [0, 1, 2, 3]
