@@ -52,6 +52,17 @@ def with_leading_comments(df: DataFrame, command: str = "command", cm: str = "cm
     intermediate is computed once (no expression is copied into its users)."""
     c, n = F.col(cm), F.length(F.col(cm))
     lines = F.split(py_strip(F.col(command)), "\n", -1)
+    # the comment marker inside the cell follows its magic (%md, %sql, ...)
+    first = F.lower(lines[0])
+    magic = lambda m: first.startswith(F.concat(c, F.lit(f" magic {m}")))
+    df = df.withColumn("_cm", F.when(magic("%md"), F.lit(COMMENT_MARKERS["md"]))
+                       .when(magic("%sql"), F.lit(COMMENT_MARKERS["sql"]))
+                       .when(magic("%python"), F.lit(COMMENT_MARKERS["python"]))
+                       .when(magic("%scala"), F.lit(COMMENT_MARKERS["scala"]))
+                       .when(magic("%run"), c)
+                       .when(magic("%r"), F.lit(COMMENT_MARKERS["r"]))
+                       .otherwise(c))
+    cell_m, cn = F.col("_cm"), F.length(F.col("_cm"))
     df = df.withColumn("_lc1", F.transform(lines, lambda l: (
         F.when(l.startswith(F.concat(c, F.lit(" MAGIC"))), py_strip(F.substring(l, n + 7, F.lit(1 << 30))))
          .when(l.startswith(F.concat(c, F.lit(" COMMAND"))), py_strip(F.substring(l, n + 9, F.lit(1 << 30))))
@@ -62,13 +73,13 @@ def with_leading_comments(df: DataFrame, command: str = "command", cm: str = "cm
         F.when(x["s1"].startswith("%"), F.when(x["sp"] == 0, F.lit(""))
                .otherwise(py_strip(F.substring(x["l1"], x["sp"], F.lit(1 << 30))))).otherwise(x["l1"]))))
     df = df.withColumn("_lc4", F.transform("_lc3", lambda s: F.struct(
-        F.when((s == c) | (s == ""), "skip").when(s.startswith(c), "comment").otherwise("stop").alias("kind"),
-        py_strip(F.substring(s, n + 1, F.lit(1 << 30))).alias("text"))))
+        F.when((s == cell_m) | (s == ""), "skip").when(s.startswith(cell_m), "comment").otherwise("stop").alias("kind"),
+        py_strip(F.substring(s, cn + 1, F.lit(1 << 30))).alias("text"))))
     df = df.withColumn("_lcstop", F.array_position(F.transform("_lc4", lambda k: k["kind"] == "stop"), True))
     take = F.when(F.col("_lcstop") == 0, F.col("_lc4")).otherwise(
         F.slice("_lc4", F.lit(1), (F.col("_lcstop") - 1).cast("int")))
     df = df.withColumn(out, F.transform(F.filter(take, lambda k: k["kind"] == "comment"), lambda k: k["text"]))
-    return df.drop("_lc1", "_lc2", "_lc3", "_lc4", "_lcstop")
+    return df.drop("_cm", "_lc1", "_lc2", "_lc3", "_lc4", "_lcstop")
 
 
 def with_directives(df: DataFrame, comments: str = "comments") -> DataFrame:
@@ -124,23 +135,36 @@ def with_clean_todo(df: DataFrame, command: str = "command", cm: str = "cm",
     Line 0 must be the TODO directive; other non-blank lines must be
     commented (an offending line is reported and left out); the directive
     line is kept; '<cm> ' or '<cm>' is removed from the rest."""
-    c, n = F.col(cm), F.length(F.col(cm))
-    todo = F.concat(c, F.lit(" " + D_TODO))
+    c = F.col(cm)
+    lines = F.split(F.col(command), "\n", -1)
+    # a first line holding a magic (%md, %sql, ...) is kept and the comment
+    # prefix becomes '<cm> MAGIC <marker of that language>'; the last match wins
+    l0 = lines[0]
+    first, prefix = F.lit(0), c
+    for m in ["%r", "%md", "%sql", "%python", "%scala"]:
+        hit = (F.size(lines) > 1) & (l0.startswith(m) | l0.startswith(F.concat(c, F.lit(f" MAGIC {m}"))))
+        first = F.when(hit, F.lit(1)).otherwise(first)
+        prefix = F.when(hit, F.concat(c, F.lit(f" MAGIC {COMMENT_MARKERS[m[1:]]}"))).otherwise(prefix)
+    df = df.withColumn("_ctf", first).withColumn("_ctp", prefix)
+    p, n = F.col("_ctp"), F.length(F.col("_ctp"))
+    todo = F.concat(p, F.lit(" " + D_TODO))
     magic = F.concat(c, F.lit(" MAGIC"))
-    df = df.withColumn("_ct1", F.transform(F.split(F.col(command), "\n", -1), lambda line, i: F.struct(
+    df = df.withColumn("_ct1", F.transform(lines, lambda line, i: F.struct(
         line.alias("line"), py_strip(line).alias("s"), i.alias("i"))))
     df = df.withColumn("_ct2", F.transform("_ct1", lambda x: F.struct(
-        x["line"].alias("line"), x["s"].alias("s"),
-        F.when((x["i"] == 0) & (x["s"] != todo), 1)
-         .when(~x["line"].startswith(c) & (x["s"] != "") & (x["s"] != magic), 1).otherwise(0).alias("err"))))
-    out_line = lambda x: (F.when(x["err"] == 1, F.lit(""))
+        x["line"].alias("line"), x["s"].alias("s"), ((x["i"] == 0) & (F.col("_ctf") == 1)).alias("keep"),
+        F.when((x["i"] == 0) & (F.col("_ctf") == 1), 0)
+         .when((x["i"] == F.col("_ctf")) & (x["s"] != todo), 1)
+         .when(~x["line"].startswith(p) & (x["s"] != "") & (x["s"] != magic), 1).otherwise(0).alias("err"))))
+    out_line = lambda x: (F.when(x["keep"], x["line"])
+                          .when(x["err"] == 1, F.lit(""))
                           .when(x["s"].startswith(todo), x["line"])
                           .when((x["s"] == "") | (x["s"] == magic), x["line"])
-                          .when(x["s"].startswith(F.concat(c, F.lit(" "))), F.substring(x["line"], n + 2, F.lit(1 << 30)))
+                          .when(x["s"].startswith(F.concat(p, F.lit(" "))), F.substring(x["line"], n + 2, F.lit(1 << 30)))
                           .otherwise(F.substring(x["line"], n + 1, F.lit(1 << 30))))
     df = df.withColumn(out, F.array_join(F.transform("_ct2", out_line), "\n"))
     df = df.withColumn(errors, F.aggregate("_ct2", F.lit(0), lambda acc, x: acc + x["err"]))
-    return df.drop("_ct1", "_ct2")
+    return df.drop("_ct1", "_ct2", "_ctf", "_ctp")
 
 
 def line_of_first(text: Column, what: str) -> Column:

@@ -47,7 +47,13 @@ def commands(t):
     body = F.when(col("role") == "user",
                   F.array_join(F.transform(F.split("text", NL, -1), lambda l: F.concat(cm, F.lit(" "), l)), NL)
                   ).otherwise(col("text"))
-    return c.withColumn("command", F.concat(pre, header, F.lit(NL), body))
+    # some python / R TODO cells are SQL magic cells: '# MAGIC %sql', '# MAGIC -- TODO', '# MAGIC -- <line>'
+    magic = (col("role") == "user") & (k % 5 == 0) & (cm == "#")
+    magic_body = F.concat(cm, F.lit(" MAGIC %sql\n"), cm, F.lit(" MAGIC -- TODO\n"),
+                          F.array_join(F.transform(F.split("text", NL, -1),
+                                                   lambda l: F.concat(cm, F.lit(" MAGIC -- "), l)), NL))
+    return c.withColumn("command", F.when(magic, F.concat(pre, magic_body))
+                        .otherwise(F.concat(pre, header, F.lit(NL), body)))
 
 
 def directive_cells(t):
@@ -55,6 +61,38 @@ def directive_cells(t):
     return K.with_directives(K.with_leading_comments(commands(t)))
 
 
+def _todo_prefix_sql(cmd: str = "command") -> tuple[str, str]:
+    """(first, prefix) of the TODO cleaning: a magic first line is kept and
+    the prefix becomes '<cm> MAGIC <marker>' (last matching magic wins)."""
+    l0 = f"string_split({cmd}, chr(10))[1]"
+    many = f"len(string_split({cmd}, chr(10))) > 1"
+    first, prefix = "0", "cm"
+    for m, mk in [("%r", "#"), ("%md", "--"), ("%sql", "--"), ("%python", "#"), ("%scala", "//")]:
+        hit = f"({many} AND (starts_with({l0}, '{m}') OR starts_with({l0}, cm || ' MAGIC {m}')))"
+        first = f"CASE WHEN {hit} THEN 1 ELSE {first} END"
+        prefix = f"CASE WHEN {hit} THEN cm || ' MAGIC {mk}' ELSE {prefix} END"
+    return first, prefix
+
+
+def _clean_todo_lines_sql(cmd: str = "command") -> str:
+    """list of struct(line, err) for the TODO cleaning."""
+    first, prefix = _todo_prefix_sql(cmd)
+    keep = f"(i = 1 AND ({first}) = 1)"
+    err = (f"(CASE WHEN {keep} THEN 0 WHEN i - 1 = ({first}) AND {strip('line')} <> ({prefix}) || ' TODO' THEN 1 "
+           f"WHEN NOT starts_with(line, {prefix}) AND {strip('line')} <> '' AND {strip('line')} <> cm || ' MAGIC' THEN 1 "
+           f"ELSE 0 END)")
+    out = (f"CASE WHEN {keep} THEN line WHEN {err} = 1 THEN '' "
+           f"WHEN starts_with({strip('line')}, ({prefix}) || ' TODO') THEN line "
+           f"WHEN {strip('line')} = '' OR {strip('line')} = cm || ' MAGIC' THEN line "
+           f"WHEN starts_with({strip('line')}, ({prefix}) || ' ') THEN substr(line, length({prefix}) + 2) "
+           f"ELSE substr(line, length({prefix}) + 1) END")
+    return f"list_transform(string_split({cmd}, chr(10)), lambda line, i: {{'line': {out}, 'err': {err}}})"
+
+
+def _clean_todo_text_sql(cmd: str = "command") -> str:
+    return f"array_to_string(list_transform({_clean_todo_lines_sql(cmd)}, lambda r: r.line), chr(10))"
+
+
 # ------------------------------------------------------------------- cells
 
 @query("split_cells", """
@@ -105,18 +143,11 @@ def route_cells(t):
 @query("uncomment_todo", f"""
 WITH d AS ({DIRECTIVES_SQL}),
 td AS (SELECT doc_id, pos, cm, command FROM d WHERE list_contains(directives, 'TODO')),
-ln AS (SELECT doc_id, pos, cm, list_transform(string_split(command, chr(10)), lambda line, i: {{
-  'err': CASE WHEN i = 1 AND {strip('line')} <> cm || ' TODO' THEN 1
-              WHEN NOT starts_with(line, cm) AND {strip('line')} <> '' AND {strip('line')} <> cm || ' MAGIC' THEN 1 ELSE 0 END,
-  'line': line}}) AS res FROM td),
-o AS (SELECT doc_id, pos, list_transform(res, lambda r: CASE WHEN r.err = 1 THEN ''
-        WHEN starts_with({strip('r.line')}, cm || ' TODO') THEN r.line
-        WHEN {strip('r.line')} = '' OR {strip('r.line')} = cm || ' MAGIC' THEN r.line
-        WHEN starts_with({strip('r.line')}, cm || ' ') THEN substr(r.line, length(cm) + 2)
-        ELSE substr(r.line, length(cm) + 1) END) AS out,
-      list_sum(list_transform(res, lambda r: r.err)) AS errors FROM ln)
-SELECT doc_id, pos, CAST(errors AS INTEGER) AS errors, md5(array_to_string(out, chr(10))) AS cleaned_md5,
-  CAST(length(array_to_string(out, chr(10))) AS INTEGER) AS cleaned_len FROM o""")
+o AS (SELECT doc_id, pos, {{CLEAN}} AS res FROM td)
+SELECT doc_id, pos, CAST(list_sum(list_transform(res, lambda r: r.err)) AS INTEGER) AS errors,
+  md5(array_to_string(list_transform(res, lambda r: r.line), chr(10))) AS cleaned_md5,
+  CAST(length(array_to_string(list_transform(res, lambda r: r.line), chr(10))) AS INTEGER) AS cleaned_len FROM o""".replace(
+    "{CLEAN}", _clean_todo_lines_sql()))
 def uncomment_todo(t):
     """Row 112: TODO cells uncommented for the student output, with the
     position checks (directive first, every other line commented)."""
@@ -461,16 +492,6 @@ def translate_documents(t):
 
 # ------------------------------------------------------------ publish outputs
 
-def _clean_todo_text_sql(cmd: str = "command") -> str:
-    err = (f"(CASE WHEN i = 1 AND {strip('line')} <> cm || ' TODO' THEN 1 "
-           f"WHEN NOT starts_with(line, cm) AND {strip('line')} <> '' AND {strip('line')} <> cm || ' MAGIC' THEN 1 ELSE 0 END)")
-    return (f"array_to_string(list_transform(string_split({cmd}, chr(10)), lambda line, i: CASE WHEN {err} = 1 THEN '' "
-            f"WHEN starts_with({strip('line')}, cm || ' TODO') THEN line "
-            f"WHEN {strip('line')} = '' OR {strip('line')} = cm || ' MAGIC' THEN line "
-            f"WHEN starts_with({strip('line')}, cm || ' ') THEN substr(line, length(cm) + 2) "
-            f"ELSE substr(line, length(cm) + 1) END), chr(10))")
-
-
 _ROUTED_SQL = f"""
 WITH d AS ({DIRECTIVES_SQL}),
 r AS (SELECT *, CASE

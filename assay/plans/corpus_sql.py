@@ -24,13 +24,18 @@ FROM conversations"""
 COMMANDS_SQL = f"""
 SELECT *,
   CASE WHEN (doc_id + pos) % 11 = 0 THEN cm || ' INCLUDE_HEADER_TRUE' || chr(10) ELSE '' END ||
+  CASE WHEN role = 'user' AND (doc_id + pos) % 5 = 0 AND cm = '#' THEN
+    cm || ' MAGIC %sql' || chr(10) || cm || ' MAGIC -- TODO' || chr(10) ||
+    array_to_string(list_transform(string_split(text, chr(10)), lambda l: cm || ' MAGIC -- ' || l), chr(10))
+  ELSE
   CASE WHEN (doc_id + pos) % 13 = 0 THEN cm || ' WIP-NOTE'
        WHEN role = 'user' AND (doc_id + pos) % 7 = 0 THEN cm || ' ' || cm || ' TODO'
        WHEN role = 'user' THEN cm || ' TODO'
        WHEN role = 'assistant' THEN cm || ' ANSWER'
        ELSE cm || ' SOURCE_ONLY' END || chr(10) ||
   CASE WHEN role = 'user' THEN array_to_string(list_transform(string_split(text, chr(10)), lambda l: cm || ' ' || l), chr(10))
-       ELSE text END AS command
+       ELSE text END
+  END AS command
 FROM ({CELLS_SQL})"""
 
 
@@ -40,8 +45,18 @@ def _kind(line: str) -> str:
     l2 = (f"(CASE WHEN starts_with({strip(l1)}, '%') THEN (CASE WHEN position(' ' IN {l1}) = 0 THEN '' "
           f"ELSE {strip(f'substr({l1}, position(chr(32) IN {l1}))')} END) ELSE {l1} END)")
     s = strip(l2)
-    return (f"{{'kind': CASE WHEN {s} = cm OR {s} = '' THEN 'skip' WHEN starts_with({s}, cm) THEN 'comment' ELSE 'stop' END, "
-            f"'text': {strip(f'substr({s}, length(cm) + 1)')}}}")
+    return (f"{{'kind': CASE WHEN {s} = cell_m OR {s} = '' THEN 'skip' WHEN starts_with({s}, cell_m) THEN 'comment' ELSE 'stop' END, "
+            f"'text': {strip(f'substr({s}, length(cell_m) + 1)')}}}")
+
+
+def cell_marker_sql(command: str = "command") -> str:
+    first = f"lower(string_split({strip(command)}, chr(10))[1])"
+    return (f"CASE WHEN starts_with({first}, cm || ' magic %md') THEN '--' "
+            f"WHEN starts_with({first}, cm || ' magic %sql') THEN '--' "
+            f"WHEN starts_with({first}, cm || ' magic %python') THEN '#' "
+            f"WHEN starts_with({first}, cm || ' magic %scala') THEN '//' "
+            f"WHEN starts_with({first}, cm || ' magic %run') THEN cm "
+            f"WHEN starts_with({first}, cm || ' magic %r') THEN '#' ELSE cm END")
 
 
 def comments_sql(command: str = "command") -> str:
@@ -66,7 +81,8 @@ def classify_sql(c: str) -> str:
 
 DIRECTIVES_SQL = f"""
 WITH c AS ({COMMANDS_SQL}),
-lc AS (SELECT *, {comments_sql()} AS comments FROM c),
+cm0 AS (SELECT *, {cell_marker_sql()} AS cell_m FROM c),
+lc AS (SELECT *, {comments_sql()} AS comments FROM cm0),
 cl AS (SELECT *, list_transform(comments, lambda x: {classify_sql('x')}) AS classified FROM lc),
 d AS (SELECT *, list_transform(list_filter(classified, lambda x: x.cls = 'directive'), lambda x: x.text) AS directives,
         len(list_filter(classified, lambda x: x.cls = 'double_todo')) AS n_double,

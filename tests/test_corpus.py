@@ -117,3 +117,13 @@ def test_link_parsing_goldens(spark):
              body.format(one + two + '<a href="https://x.example" target="_blank">some link</a>')]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     assert [len(r[0]) for r in df.select(K.html_links(F.col("t"))).collect()] == [0, 1, 2, 3]
+
+
+def test_magic_cells(spark):
+    df = cells(spark, [(1, "#", "# MAGIC %sql\n# MAGIC -- TODO\n# MAGIC -- SELECT 1"),
+                       (2, "#", "# MAGIC %md\n# MAGIC # Heading\n# MAGIC text")])
+    d = K.with_directives(K.with_leading_comments(df))
+    got = {r.id: r.directives for r in d.collect()}
+    assert got == {1: ["TODO"], 2: []}      # '#' is a comment in python cells, not in %md cells
+    cleaned = {r.id: (r.cleaned, r.todo_errors) for r in K.with_clean_todo(df).collect()}
+    assert cleaned[1] == ("# MAGIC %sql\n# MAGIC -- TODO\nSELECT 1", 0)
