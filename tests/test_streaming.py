@@ -17,12 +17,19 @@ def test_stream_latest_equals_batch_twin(spark):
 
 
 def test_late_rows_are_reported(spark, tables):
+    import time
+
     root = sinks.new_scratch(spark, "late")
     ev = tables.events.select("event_id", "ts", "event_type")
-    # newest rows first, older rows later: with one file per trigger the
-    # watermark has moved past the old rows when they arrive
-    J.land_files(ev.withColumn("r", -F.col("event_id")), f"{root}/in", 3, "r")
-    s = J.file_stream(spark, f"{root}/in", ev.withColumn("r", -F.col("event_id")).schema, max_files_per_trigger=1)
+    # newest rows first, older rows later (one file per append, written in
+    # that order): with one file per trigger the watermark has moved past the
+    # old rows when they arrive
+    n = ev.count()
+    for lo, hi in [(2 * n // 3, n), (n // 3, 2 * n // 3), (0, n // 3)]:
+        ev.where((F.col("event_id") >= lo) & (F.col("event_id") < hi)).coalesce(1).write.mode("append") \
+            .parquet(f"{root}/in")
+        time.sleep(1.1)                      # distinct modification times order the files
+    s = J.file_stream(spark, f"{root}/in", ev.schema, max_files_per_trigger=1)
     q = J.windowed_counts(s, "ts", ["event_type"], "1 day", "1 hour", f"{root}/out", f"{root}/ckpt")
     dropped = J.rows_dropped_by_watermark(q)
     kept = spark.read.parquet(f"{root}/out").agg(F.sum("n")).first()[0] or 0
