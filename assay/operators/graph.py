@@ -17,7 +17,7 @@ from assay.session import checkpoint_dir
 
 def propagate_skips(nodes: DataFrame, edges: DataFrame, node: str = "id", ok: str = "ok",
                     child: str = "child", parent: str = "parent", max_rounds: int = 10_000,
-                    checkpoint_every: int = 4) -> DataFrame:
+                    checkpoint_every: int = 4, rows_per_partition: int = 1_000_000) -> DataFrame:
     """``nodes(node, ok)``, ``edges(child, parent)`` -> ``nodes + status``.
 
     A node is *skipped* when any node it depends on failed or was skipped,
@@ -27,23 +27,29 @@ def propagate_skips(nodes: DataFrame, edges: DataFrame, node: str = "id", ok: st
     # the edge list is read by every round: pin it once (reliable checkpoint)
     e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).checkpoint(eager=True)
     frontier = nodes.where(~F.coalesce(F.col(ok), F.lit(False))).select(F.col(node).alias("_id"))
-    skipped = None
-    cached = []
+    skipped, total = None, 0
+
+    def parts(df, rows):
+        return max(1, min(df.rdd.getNumPartitions(), -(-rows // rows_per_partition)))
+
     for rnd in range(max_rounds):
         new = (e.join(frontier, e._p == frontier._id, "left_semi").select(F.col("_c").alias("_id")).distinct())
         if skipped is not None:
             new = new.join(skipped, "_id", "left_anti")
+        new = new.cache()
+        n = new.count()        # materialises the round once, in full
+        if n == 0:
+            break
+        # a small frontier keeps few partitions, so the growing union of
+        # rounds does not carry hundreds of empty ones along
+        new = new.coalesce(parts(new, n))
+        total += n
+        skipped = new if skipped is None else skipped.unionByName(new)
         if (rnd + 1) % checkpoint_every == 0:
             # cut lineage: a lost executor re-reads these files instead of
             # replaying every earlier round
+            skipped = skipped.coalesce(parts(skipped, total)).checkpoint(eager=True)
             new = new.checkpoint(eager=True)
-            skipped = skipped.checkpoint(eager=True) if skipped is not None else None
-        else:
-            new = new.cache()
-            cached.append(new)
-        if new.count() == 0:   # also materialises the cached round in full
-            break
-        skipped = new if skipped is None else skipped.unionByName(new)
         frontier = new
     out = nodes
     if skipped is None:
