@@ -380,9 +380,9 @@ WITH m AS (SELECT c_custkey,
   CASE c_custkey % 3 WHEN 0 THEN true WHEN 1 THEN false END AS sql_access,
   c_acctbal > 5000 AS cc FROM customer)
 SELECT c_custkey,
-  concat_ws(',', CASE WHEN cc THEN 'allow-cluster-create' END, CASE WHEN sql_access THEN 'databricks-sql-access' END,
+  concat_ws(',', CASE WHEN cc THEN 'allow-cluster-create' END, CASE WHEN sql_access THEN 'sql-access' END,
             CASE WHEN wa THEN 'workspace-access' END) AS adds,
-  concat_ws(',', CASE WHEN NOT cc THEN 'allow-cluster-create' END, CASE WHEN NOT sql_access THEN 'databricks-sql-access' END,
+  concat_ws(',', CASE WHEN NOT cc THEN 'allow-cluster-create' END, CASE WHEN NOT sql_access THEN 'sql-access' END,
             CASE WHEN NOT wa THEN 'workspace-access' END) AS removes
 FROM m""")
 def entitlement_changes(t):
@@ -390,7 +390,7 @@ def entitlement_changes(t):
     skip) to sorted add and remove lists, per row (no shuffle)."""
     c = t.customer
     m = F.create_map(F.lit("workspace-access"), col("c_custkey") % 2 == 0,
-                     F.lit("databricks-sql-access"),
+                     F.lit("sql-access"),
                      F.when(col("c_custkey") % 3 == 0, True).when(col("c_custkey") % 3 == 1, False),
                      F.lit("allow-cluster-create"), col("c_acctbal") > 5000)
     adds = F.array_join(F.array_sort(F.map_keys(F.map_filter(m, lambda k, v: F.coalesce(v, F.lit(False))))), ",")
@@ -488,7 +488,7 @@ def users_nested(t):
     k = col("c_custkey")
     ent = F.array_compact(F.array(
         F.when(k % 2 == 0, F.struct(F.lit("allow-cluster-create").alias("value"))),
-        F.when(k % 3 == 0, F.struct(F.lit("databricks-sql-access").alias("value"))),
+        F.when(k % 3 == 0, F.struct(F.lit("sql-access").alias("value"))),
         F.struct(F.lit("workspace-access").alias("value"))))
     groups = F.array_compact(F.array(
         F.struct(F.lit("users").alias("display")),
