@@ -3,6 +3,8 @@ plans, batches, and reconcile joins over users (rows 24-29, 31, 48, 134-138)."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from assay.functions import names as N
@@ -265,8 +267,15 @@ def tenant_keys(t):
 USERNAME_PATTERN = "class+{n}@example.com"
 WORKSPACE_PATTERN = "ws-{n}"
 WORKSPACE_HASH_SEED = "workspace"
+
+
+def workspace_name(n: int) -> str:
+    """Name of workspace ``n`` as the roster builds it (for ignore lists)."""
+    v = int(hashlib.md5(f"{WORKSPACE_HASH_SEED}:0:{n}".encode()).hexdigest(), 16)
+    digits = "".join(N.BASE36_DIGITS[(v // 36 ** i) % 36] for i in range(5))
+    return f"ws-{n:03d}-{digits}"
 TEMPLATE_GROUPS = {"instructors": [0, "instructor@example.com"], "analysts": ["analyst@example.com"]}
-IGNORED_WORKSPACES = [3, "ws-007"]
+IGNORED_WORKSPACES = [3, workspace_name(7)]
 
 
 @query("roster_generate", f"""
@@ -275,8 +284,11 @@ WITH w AS (SELECT n_nationkey + 1 AS ws, (SELECT count(*) FROM customer c WHERE
 u AS (SELECT ws, 'class+' || printf('%03d', i) || '@example.com' AS username FROM (SELECT ws, unnest(range(0, max_p + 1)) AS i FROM w)),
 extra AS (SELECT ws, x AS username FROM w, (VALUES ('instructor@example.com'), ('analyst@example.com')) v(x)),
 a AS (SELECT * FROM u UNION ALL SELECT * FROM extra WHERE username NOT IN (SELECT username FROM u WHERE u.ws = extra.ws))
-SELECT 'ws-' || printf('%03d', ws) AS workspace, username FROM a
-WHERE ws NOT IN (3) AND 'ws-' || printf('%03d', ws) NOT IN ('ws-007')""")
+SELECT name AS workspace, username FROM (
+  SELECT *, 'ws-' || printf('%03d', ws) || '-' ||
+    {_b36_sql(f"CAST((('0x' || md5('{WORKSPACE_HASH_SEED}:0:' || CAST(ws AS VARCHAR)))::UHUGEINT % {36 ** 5}) AS BIGINT)", 5)} AS name
+  FROM a)
+WHERE ws NOT IN (3) AND name NOT IN ('{workspace_name(7)}')""")
 def roster_generate(t):
     """Rows 75, 135: per workspace (one per nation) users 000..N where N is
     the nation's customer count, plus template group members that are not
@@ -292,7 +304,9 @@ def roster_generate(t):
     extra = w.select("ws", F.explode(F.array(*[F.lit(x) for x in named])).alias("username"))
     extra = extra.join(users, ["ws", "username"], "left_anti")
     a = users.unionByName(extra)
-    ws_name = F.concat(F.lit("ws-"), N.zero_pad(col("ws"), 3))
+    # workspace name: pattern + stable base-36 hash of (seed, 0, number), as the template names them
+    ws_name = F.lower(F.concat(F.lit("ws-"), N.zero_pad(col("ws"), 3), F.lit("-"),
+                               N.stable_hash(F.lit(WORKSPACE_HASH_SEED), F.lit(0), col("ws"), length=5)))
     nums = [x for x in IGNORED_WORKSPACES if isinstance(x, int)]
     names_ = [x for x in IGNORED_WORKSPACES if isinstance(x, str)]
     return a.where(~col("ws").isin(nums) & ~ws_name.isin(names_)).select(ws_name.alias("workspace"), "username")
