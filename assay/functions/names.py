@@ -20,8 +20,8 @@ def _c(x) -> Column:
 def clean_string(value, replacement: str = "_") -> Column:
     """Every char that is not an ASCII letter or a Unicode decimal digit ->
     ``replacement``; runs of the replacement collapse to one."""
-    v = F.regexp_replace(_c(value).cast("string"), r"[^a-zA-Z\p{Nd}]", replacement)
-    rep = replacement.replace("\\", "\\\\").replace("$", "\\$")
+    rep = replacement.replace("\\", "\\\\").replace("$", "\\$")   # literal in a Java replacement
+    v = F.regexp_replace(_c(value).cast("string"), r"[^a-zA-Z\p{Nd}]", rep)
     pat = "(" + "".join("\\" + ch if not ch.isalnum() else ch for ch in replacement) + ")+"
     return F.regexp_replace(v, pat, rep)
 
