@@ -3,10 +3,10 @@ estate reports over nested records (rows 13-20, 34-43, 59, 123-132)."""
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import functions as F
 
+from assay.operators import reports as R
 from assay.operators.ordering import with_row_index
 from assay.plans import standins as S
 from assay.plans.registry import query
@@ -28,13 +28,7 @@ FROM r GROUP BY suite_id""")
 def run_sections(t):
     """Row 34: results split into FAILED / IGNORED / SUCCESS (plus other);
     a suite passed iff it has no FAILED run.  One grouped pass."""
-    r = S.run_records(t)
-    st = col("result_state")
-    return r.groupBy("suite_id").agg(
-        F.count_if(st == "FAILED").alias("failed"), F.count_if(st == "IGNORED").alias("ignored"),
-        F.count_if(st == "SUCCESS").alias("success"),
-        F.count_if(~st.isin("FAILED", "IGNORED", "SUCCESS")).alias("other"),
-        (F.count_if(st == "FAILED") == 0).alias("passed"))
+    return R.run_sections(S.run_records(t), "suite_id", "result_state")
 
 
 def run_responses(t):
@@ -68,8 +62,7 @@ def run_records(t):
     """Row 123 (and 9): nested run responses normalised to the 12-field run
     record: absent keys -> 0 / UNKNOWN, FAILED of an ignored test -> IGNORED."""
     r = run_responses(t)
-    rs = F.coalesce(col("state.result_state"), F.lit("UNKNOWN"))
-    rs = F.when((rs == "FAILED") & col("ignore_failures"), F.lit("IGNORED")).otherwise(rs)
+    rs = R.normalized_state(col("state.result_state"), col("ignore_failures"))
     path = F.coalesce(col("task.notebook_task.notebook_path"), F.lit("UNKNOWN"))
     return r.select(col("job_id").cast("string").alias("suite_id"), col("run_id").cast("string").alias("test_id"),
                     path.alias("name"), rs.alias("result_state"),
@@ -94,7 +87,7 @@ def run_report(t):
                  F.when(col("result_state") == "FAILED", 1).when(col("result_state") == "IGNORED", 2)
                  .otherwise(3).alias("section"),
                  "result_state", duration_label(col("execution_duration")).alias("duration"))
-    return with_row_index(p, ["section", "notebook_path"], "position")
+    return R.report_order(p, ["section", "notebook_path"], "position")
 
 
 @query("cleanup_eligible", f"""
@@ -107,13 +100,8 @@ FROM customer c LEFT JOIN g ON c.c_custkey = g.job_id""")
 def cleanup_eligible(t):
     """Row 36: a job may be deleted when all its runs are TERMINATED and
     SUCCESS; a job with zero runs is eligible."""
-    runs = S.job_runs(t)
-    ok = (col("life_cycle_state") == "TERMINATED") & F.coalesce(col("result_state") == "SUCCESS", F.lit(False))
-    g = runs.groupBy("job_id").agg(F.count(F.lit(1)).alias("n_runs"), F.every(ok).alias("all_ok"))
     jobs = t.customer.select(col("c_custkey").alias("job_id"))
-    j = jobs.join(g, "job_id", "left")
-    return j.select("job_id", F.coalesce("n_runs", F.lit(0).cast("bigint")).alias("n_runs"),
-                    F.coalesce("all_ok", F.lit(True)).alias("eligible"))
+    return R.cleanup_eligible(jobs, S.job_runs(t), "job_id", "life_cycle_state", "result_state")
 
 
 @query("ambiguous_names", """
@@ -122,9 +110,7 @@ FROM part GROUP BY p_name HAVING count(*) > 1""")
 def ambiguous_names(t):
     """Row 37: names that resolve to more than one record (bounded output:
     count and id range rather than the id list)."""
-    return (t.part.groupBy("p_name").agg(F.count(F.lit(1)).alias("n"), F.min("p_partkey").alias("first_id"),
-                                         F.max("p_partkey").alias("last_id"))
-            .where(col("n") > 1))
+    return R.ambiguous(t.part, "p_name", "p_partkey")
 
 
 @query("severity_rollup", """
@@ -140,21 +126,8 @@ FROM c""")
 def severity_rollup(t):
     """Row 38: per thread the non-zero severity counts as one label and a
     colour (danger on any error or exception)."""
-    e = t.events
-    c = e.groupBy(col("user_id").alias("thread")).agg(
-        F.count_if(col("event_type") == "click").alias("warnings"),
-        F.count_if(col("event_type") == "signup").alias("errors"),
-        F.count_if(col("event_type") == "error").alias("exceptions"))
-    return c.select("thread", "warnings", "errors", "exceptions",
-                    severity_label(col("warnings"), col("errors"), col("exceptions")).alias("label"),
-                    F.when((col("errors") > 0) | (col("exceptions") > 0), "danger").otherwise("warning").alias("color"))
-
-
-def severity_label(warnings, errors, exceptions):
-    def part(n, word):
-        return F.when(n > 0, F.concat(F.lit(" "), n.cast("string"), F.lit(f" {word} |"))).otherwise(F.lit(""))
-    return F.concat(F.lit("| "), F.trim(F.concat(part(exceptions, "Exceptions"), part(errors, "Errors"),
-                                                 part(warnings, "Warnings"))))
+    et = col("event_type")
+    return R.severity_rollup(t.events, "user_id", et == "click", et == "signup", et == "error")
 
 
 @query("completeness_vs_baseline", """
@@ -169,14 +142,8 @@ def completeness_vs_baseline(t):
     """Row 40: per user file count against the first user's count: extra,
     half imported, or missing (no folder).  The baseline is a one-row
     aggregate used as a scalar subquery."""
-    c = t.events.groupBy("user_id").agg(F.count(F.lit(1)).alias("file_count"))
-    base = c.agg(F.min_by("file_count", "user_id")).scalar()   # scalar subquery, evaluated once
-    u = t.customer.select(col("c_custkey").alias("user_id"))
-    j = u.join(c, "user_id", "left").withColumn("baseline", base)
-    status = (F.when(col("file_count").isNull(), "missing").when(col("file_count") > col("baseline"), "extra files found")
-              .otherwise("half imported"))
-    return (j.where(col("file_count").isNull() | (col("file_count") != col("baseline")))
-            .select("user_id", "file_count", "baseline", status.alias("status")))
+    users = t.customer.select(col("c_custkey").alias("user_id"))
+    return R.completeness(users, t.events.select("user_id"), "user_id")
 
 
 @query("round_index", """
@@ -229,13 +196,7 @@ j AS (SELECT req.grp, g.grp IS NOT NULL AS present, coalesce(g.passed, false) AS
 SELECT j.*, (SELECT bool_and(present AND passed) FROM j) AS gate FROM j""")
 def required_groups_gate(t):
     """Row 43: every required group present and passing."""
-    spark = t.spark
-    req = spark.createDataFrame([(g,) for g in REQUIRED_GROUPS], "grp string")
-    g = t.events.groupBy(col("event_type").alias("grp")).agg(F.every(col("value") > 0).alias("passed"))
-    j = req.join(g.withColumn("_p", F.lit(True)), "grp", "left").select(
-        "grp", col("_p").isNotNull().alias("present"), F.coalesce("passed", F.lit(False)).alias("passed"))
-    gate = j.agg(F.every(col("present") & col("passed"))).scalar()
-    return j.withColumn("gate", gate)
+    return R.required_groups_gate(REQUIRED_GROUPS, t.events, "event_type", col("value") > 0)
 
 
 @query("pattern_counts", """
@@ -244,9 +205,8 @@ SELECT c_nationkey, CAST(count_if(contains(c_name, 'Customer#')) AS BIGINT) AS u
 FROM customer GROUP BY c_nationkey""")
 def pattern_counts(t):
     """Row 35: counts of names matching patterns, per nation."""
-    return t.customer.groupBy("c_nationkey").agg(
-        F.count_if(col("c_name").contains("Customer#")).alias("users"),
-        F.count_if(col("c_mktsegment").contains("BUILD")).alias("instructors"))
+    return R.pattern_counts(t.customer, ["c_nationkey"], {"users": col("c_name").contains("Customer#"),
+                                                           "instructors": col("c_mktsegment").contains("BUILD")})
 
 
 # ------------------------------------------------------------- ACL and owners
@@ -288,18 +248,7 @@ def acl_flatten(t):
     """Row 125: nested ACL -> (principal kind, principal, non-inherited
     permission) rows: explode entries, unpivot principal columns, explode
     permissions."""
-    a = acls(t).select("object_id", F.explode("access_control_list").alias("e"))
-    kinds = F.when(col("e.user_name").isNotNull(), F.struct(F.lit("user").alias("principal_type"),
-                                                            col("e.user_name").alias("principal")))
-    kinds = kinds.when(col("e.group_name").isNotNull(), F.struct(F.lit("group").alias("principal_type"),
-                                                                 col("e.group_name").alias("principal")))
-    kinds = kinds.when(col("e.service_principal_name").isNotNull(),
-                       F.struct(F.lit("service_principal").alias("principal_type"),
-                                col("e.service_principal_name").alias("principal")))
-    p = a.select("object_id", kinds.alias("k"), F.explode("e.all_permissions").alias("p"))
-    return (p.where(~col("p.inherited"))
-            .select("object_id", col("k.principal_type").alias("principal_type"), col("k.principal").alias("principal"),
-                    col("p.permission_level").alias("permission_level")))
+    return R.flatten_acl(acls(t), "object_id")
 
 
 @query("owner_resolution", _ACL_SQL + """,
@@ -312,14 +261,8 @@ FROM customer c LEFT JOIN o ON c.c_custkey = o.object_id""")
 def owner_resolution(t):
     """Row 126: the owner of each object; ambiguous when not exactly one
     (owner sets are per object ACLs, so bounded)."""
-    f = acl_flatten(t)
-    o = f.where(col("permission_level") == "IS_OWNER").groupBy("object_id").agg(
-        F.array_sort(F.collect_set("principal")).alias("owners"))
-    objs = t.customer.select(col("c_custkey").alias("object_id"))
-    j = objs.join(o, "object_id", "left")
-    n = F.when(col("owners").isNull(), F.lit(0)).otherwise(F.size("owners"))
-    return j.select("object_id", n.cast("int").alias("n_owners"),
-                    F.when(n == 1, F.try_element_at("owners", F.lit(1))).alias("owner"), (n != 1).alias("ambiguous"))
+    return R.resolve_owners(R.flatten_acl(acls(t), "object_id"),
+                            t.customer.select(col("c_custkey").alias("object_id")), "object_id")
 
 
 @query("stale_entities", f"""
@@ -332,14 +275,9 @@ WHERE p.continuous AND (u.last_update IS NULL OR u.last_update < TIMESTAMP '{S.N
 def stale_entities(t):
     """Row 127: continuous pipelines whose last update is missing or older
     than 30 minutes before 'now' (a parameter)."""
-    p = t.customer.select(col("c_custkey").alias("pipeline_id"), (col("c_custkey") % 2 == 0).alias("continuous"))
-    u = t.events.groupBy(col("user_id").alias("pipeline_id")).agg(F.max("ts").alias("last_update"))
-    j = p.join(u, "pipeline_id", "left")
-    now = S.now_col()
-    mins = F.floor((F.unix_micros(now.cast("timestamp")) - F.unix_micros(col("last_update").cast("timestamp")))
-                   / 60_000_000).cast("bigint")
-    stale = col("continuous") & (col("last_update").isNull() | (col("last_update") < now - F.expr("INTERVAL 30 MINUTES")))
-    return j.where(stale).select("pipeline_id", "last_update", mins.alias("minutes_since"))
+    p = t.customer.select(col("c_custkey").alias("pipeline_id"))
+    u = t.events.select(col("user_id").alias("pipeline_id"), "ts")
+    return R.stale(p, u, "pipeline_id", "ts", col("pipeline_id") % 2 == 0, S.now_col(), 30)
 
 
 @query("paged_union", """SELECT DISTINCT conv_id, turn, role FROM conversations""")
@@ -353,8 +291,7 @@ def paged_union(t):
         c.where(col("turn") % 2 == 1).select("conv_id", "turn", "role", (page_no + 1).alias("page")))
     pages = items.groupBy("conv_id", "page").agg(
         F.to_json(F.collect_list(F.struct("turn", "role"))).alias("body"))
-    landed = pages.select("conv_id", F.explode(F.from_json("body", "array<struct<turn:bigint,role:string>>")).alias("i"))
-    return landed.select("conv_id", col("i.turn").alias("turn"), col("i.role").alias("role")).distinct()
+    return R.union_pages(pages, "body", "turn:bigint,role:string", ["conv_id"], ["turn", "role"])
 
 
 @query("run_filter", f"""
@@ -366,12 +303,11 @@ ORDER BY start_time DESC, run_id DESC LIMIT 25 OFFSET 5""")
 def run_filter(t):
     """Row 129: completed runs of one job in a time range, newest first,
     offset 5 limit 25 (paging is the feature; the filters reach the scan)."""
-    r = S.job_runs(t)
-    f = r.where((col("life_cycle_state") == "TERMINATED") & (col("job_id") == 7)
-                & (col("start_time") >= F.lit("2024-01-05").cast("timestamp_ntz"))
-                & (col("start_time") < F.lit("2024-01-25").cast("timestamp_ntz")))
-    return f.select("job_id", "run_id", "start_time").orderBy(col("start_time").desc(), col("run_id").desc()) \
-        .offset(5).limit(25)
+    r = S.job_runs(t).select("job_id", "run_id", "start_time", "life_cycle_state")
+    f = R.filter_runs(r, job="job_id", job_id=7, state="life_cycle_state", states=["TERMINATED"], ts="start_time",
+                      start="2024-01-05", end="2024-01-25", order=[col("start_time").desc(), col("run_id").desc()],
+                      offset=5, limit=25)
+    return f.select("job_id", "run_id", "start_time")
 
 
 @query("entitlement_changes", """
@@ -393,9 +329,7 @@ def entitlement_changes(t):
                      F.lit("sql-access"),
                      F.when(col("c_custkey") % 3 == 0, True).when(col("c_custkey") % 3 == 1, False),
                      F.lit("allow-cluster-create"), col("c_acctbal") > 5000)
-    adds = F.array_join(F.array_sort(F.map_keys(F.map_filter(m, lambda k, v: F.coalesce(v, F.lit(False))))), ",")
-    rem = F.array_join(F.array_sort(F.map_keys(F.map_filter(m, lambda k, v: F.coalesce(~v, F.lit(False))))), ",")
-    return c.select("c_custkey", adds.alias("adds"), rem.alias("removes"))
+    return R.entitlement_changes(c, "c_custkey", m)
 
 
 NAME_PREFIXES = ["sma", "ring", "blu"]
@@ -410,11 +344,7 @@ FROM p""")
 def name_part_match(t):
     """Row 131: underscore parts of a name matched exactly or by prefix
     against a list; each name once."""
-    p = t.part.select("p_partkey", F.translate("p_name", " ", "_").alias("name"))
-    parts = F.split("name", "_")
-    exact = F.exists(parts, lambda x: x.isin(NAME_PREFIXES))
-    pref = F.exists(parts, lambda x: reduce(lambda a, b: a | b, [x.startswith(s) for s in NAME_PREFIXES]))
-    return p.select("p_partkey", "name", exact.alias("exact_match"), pref.alias("prefix_match")).distinct()
+    return R.name_part_match(t.part, "p_partkey", F.translate("p_name", " ", "_"), NAME_PREFIXES)
 
 
 @query("scan_union", """
@@ -426,16 +356,14 @@ UNION ALL SELECT 'partsupp', NULL, NULL, NULL, NULL, NULL, 'source not available
 def scan_union(t):
     """Rows 59, 132: heterogeneous per-source records merged by name (missing
     columns null), fixed lead columns, a failing source as an error row."""
-    o = t.orders.select(F.lit("orders").alias("source"), col("o_orderkey").alias("id"),
-                        col("o_totalprice").alias("totalprice"))
-    c = t.customer.select(F.lit("customer").alias("source"), col("c_custkey").alias("id"), col("c_name").alias("name"),
-                          col("c_nationkey").alias("nationkey"), col("c_acctbal").alias("acctbal"))
-    s = t.supplier.select(F.lit("supplier").alias("source"), col("s_suppkey").alias("id"), col("s_name").alias("name"),
-                          col("s_nationkey").alias("nationkey"), col("s_acctbal").alias("acctbal"))
-    u = o.unionByName(c, allowMissingColumns=True).unionByName(s, allowMissingColumns=True)
-    u = u.withColumn("error", F.lit(None).cast("string"))
-    err = t.spark.createDataFrame([("partsupp", "source not available")], "source string, error string")
-    u = u.unionByName(err, allowMissingColumns=True)
+    frames = {
+        "orders": t.orders.select(col("o_orderkey").alias("id"), col("o_totalprice").alias("totalprice")),
+        "customer": t.customer.select(col("c_custkey").alias("id"), col("c_name").alias("name"),
+                                      col("c_nationkey").alias("nationkey"), col("c_acctbal").alias("acctbal")),
+        "supplier": t.supplier.select(col("s_suppkey").alias("id"), col("s_name").alias("name"),
+                                      col("s_nationkey").alias("nationkey"), col("s_acctbal").alias("acctbal")),
+    }
+    u = R.union_sources(frames, ["id"], {"partsupp": "source not available"})
     return u.select("source", "id", "name", "nationkey", "acctbal", "totalprice", "error")
 
 
@@ -456,9 +384,7 @@ def running_uptime(t):
     """Row 17: non-terminated clusters with uptime in hours (1 dp) from a
     'now' parameter, and the over-12-hours flag."""
     c = clusters(t).where(col("state") != "TERMINATED")
-    now = S.now_col()
-    ms = (F.unix_micros(now.cast("timestamp")) - F.unix_micros(col("start_time").cast("timestamp"))) / 1000
-    up = F.round(ms / 3600000.0, 1)
+    up = R.uptime_hours(col("start_time"), S.now_col())
     return c.select("cluster_id", up.alias("uptime_hours"), (up > 12).alias("over_12h"))
 
 
@@ -515,7 +441,6 @@ CONTRACT = [
     ("o_orderstatus", "int", None, None, True),
     ("o_custkey", "bigint", None, None, True),
 ]
-E_NOT_NONE, E_TYPE, E_MIN_L, E_MIN_V = "Error-Not-None", "Error-Type", "Error-Min-Len", "Error-Min-Value"
 
 
 @query("column_contract", """
@@ -530,26 +455,7 @@ UNION ALL SELECT 'o_custkey', 'Error-Not-None', CAST(count_if(o_custkey IS NULL)
 def column_contract(t):
     """Row 20: a parameter contract applied to whole columns in one
     aggregate pass: one count per (column, error code)."""
-    o = t.orders
-    aggs, labels = [], []
-    for name, typ, min_len, min_val, non_none in CONTRACT:
-        c = col(name)
-        if non_none or min_len is not None:
-            aggs.append(F.count_if(c.isNull()))
-            labels.append((name, E_NOT_NONE))
-        if dict(o.dtypes)[name] != typ:
-            aggs.append(F.count_if(c.isNotNull() & c.try_cast(typ).isNull()))
-            labels.append((name, E_TYPE))
-        if min_len is not None:
-            aggs.append(F.count_if(F.length(c) < min_len))
-            labels.append((name, E_MIN_L))
-        if min_val is not None:
-            aggs.append(F.count_if(c < min_val))
-            labels.append((name, E_MIN_V))
-    one = o.agg(*[a.alias(f"_v{i}") for i, a in enumerate(aggs)])
-    rows = [F.struct(F.lit(n).alias("column_name"), F.lit(e).alias("error_code"), col(f"_v{i}").alias("violations"))
-            for i, (n, e) in enumerate(labels)]
-    return one.select(F.inline(F.array(*rows)))
+    return R.column_contract(t.orders, CONTRACT)
 
 
 ALLOWED_KEYS = ["o_orderkey", "o_totalprice", "o_comment", "o_orderdate"]
@@ -559,8 +465,7 @@ ALLOWED_KEYS = ["o_orderkey", "o_totalprice", "o_comment", "o_orderdate"]
 def project_allowlist(t):
     """Row 13: keep only allow-listed columns that exist (column pruning
     reaches the parquet scan)."""
-    o = t.orders
-    return o.select(*[c for c in o.columns if c in ALLOWED_KEYS])
+    return R.select_allowed(t.orders, ALLOWED_KEYS)
 
 
 INCLUDE_BRANDS = ["Brand#1", "Brand#2", "Brand#3", "Brand#77"]
@@ -580,15 +485,7 @@ WHERE b.brand IS NULL OR (i.brand IS NOT NULL AND e.brand IS NOT NULL) OR (i.bra
 def list_partition_audit(t):
     """Row 14: include and exclude lists must be disjoint, name existing
     values and together cover all of them."""
-    spark = t.spark
-    b = t.part.select(col("p_brand").alias("brand")).distinct().withColumn("_b", F.lit(True))
-    i = spark.createDataFrame([(x,) for x in INCLUDE_BRANDS], "brand string").withColumn("_i", F.lit(True))
-    e = spark.createDataFrame([(x,) for x in EXCLUDE_BRANDS], "brand string").withColumn("_e", F.lit(True))
-    j = b.join(i, "brand", "full_outer").join(e, "brand", "full_outer")
-    inc, exc, ex = col("_i").isNotNull(), col("_e").isNotNull(), col("_b").isNotNull()
-    problem = F.when(~ex, "unknown").when(inc & exc, "both").when(~inc & ~exc, "neither")
-    return (j.select("brand", inc.alias("included"), exc.alias("excluded"), ex.alias("exists_"), problem.alias("problem"))
-            .where(col("problem").isNotNull()))
+    return R.list_partition_audit(t.part, "p_brand", INCLUDE_BRANDS, EXCLUDE_BRANDS).withColumnRenamed("p_brand", "brand")
 
 
 @query("predicate_tagging", """
@@ -597,16 +494,11 @@ FROM part WHERE NOT starts_with(p_name, 'hot ')""")
 def predicate_tagging(t):
     """Row 15: caller predicates as Columns: exclude, ignore-failures flag,
     test-round assignment."""
-    return tag_by_predicates(t.part, exclude=col("p_name").startswith("hot "),
-                             ignore=col("p_type") == "PROMO", round_pred=col("p_size") > 40, round_no=3) \
+    return R.tag_by_predicates(t.part, exclude=col("p_name").startswith("hot "),
+                               ignore=col("p_type") == "PROMO", round_pred=col("p_size") > 40, round_no=3) \
         .select("p_partkey", "ignored", "test_round")
 
 
-def tag_by_predicates(df, exclude, ignore, round_pred, round_no, default_round=2):
-    return (df.where(~exclude).withColumn("ignored", ignore)
-            .withColumn("test_round", F.when(round_pred, F.lit(round_no)).otherwise(F.lit(default_round))))
-
-
 def _rel_paths_spark(t):
     p = S.page_paths(t)
     host = F.split("path", "/")[1]
@@ -635,12 +527,4 @@ FROM o WHERE NOT contains(lower(path), 'wip')""")
 def path_classification(t):
     """Row 16: path rules -> test round, order (natural sorted order, with
     two pinned set-up notebooks first), solution flag; WIP paths dropped."""
-    r = _rel_paths_spark(t)
-    o = with_row_index(r, ["path", "page_id"], "nat")
-    lp = F.lower("path")
-    pinned = lp.isin("includes/reset", "includes/workspace-setup")
-    order = F.when(lp == "includes/reset", 0).when(lp == "includes/workspace-setup", 1).otherwise(col("nat"))
-    rnd = F.when(pinned, 1).when(lp.contains("includes/"), 0).otherwise(2)
-    return (o.where(~lp.contains("wip"))
-            .select("page_id", "path", order.cast("bigint").alias("notebook_order"), rnd.alias("test_round"),
-                    (~pinned).alias("include_solution")))
+    return R.classify_paths(_rel_paths_spark(t), "path", "page_id")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from assay.operators import corpus as K
-from assay.plans.reports import severity_label
+from assay.operators.reports import severity_label
 
 
 def cells(spark, rows):
