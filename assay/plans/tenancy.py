@@ -8,6 +8,7 @@ import hashlib
 from pyspark.sql import functions as F
 
 from assay.functions import names as N
+from assay.operators import tenancy as T
 from assay.operators.ordering import batch_of
 from assay.plans import standins as S
 from assay.plans.registry import query
@@ -31,9 +32,7 @@ def missing_resources(t):
     cl = (t.orders.where(col("o_orderstatus") == "F")
           .select(F.concat(F.lit("odl_user_"), F.lpad(col("o_custkey").cast("string"), 9, "0"), F.lit("_cluster"))
                   .alias("cluster_name")))
-    digits = cl.select(F.regexp_replace("cluster_name", "[^0-9]", "").alias("digits")).distinct()
-    u = t.customer.select("c_custkey", "c_name", F.regexp_replace("c_name", "[^0-9]", "").alias("digits"))
-    return u.join(digits, "digits", "left_anti").select("c_custkey", "c_name")
+    return T.missing_by_digits(t.customer.select("c_custkey", "c_name"), "c_name", cl, "cluster_name")
 
 
 PROTECTED_USERS = ["legacy-1@example.com"]
@@ -56,12 +55,7 @@ SELECT username, 'remove' FROM e WHERE username NOT IN (SELECT username FROM d)
 def roster_reconcile(t):
     """Row 25: desired vs existing users: create the missing (anti join),
     remove the extra unless protected (anti join the other way)."""
-    d = S.users(t).select("username")
-    e = existing_users(t)
-    create = d.join(e, "username", "left_anti").withColumn("action", F.lit("create"))
-    remove = (e.join(d, "username", "left_anti").where(~col("username").isin(PROTECTED_USERS))
-              .withColumn("action", F.lit("remove")))
-    return create.unionByName(remove)
+    return T.reconcile_users(S.users(t).select("username"), existing_users(t), "username", PROTECTED_USERS)
 
 
 def existing_schemas(t):
@@ -85,15 +79,9 @@ def prefix_match_users(t):
     name is exploded into its '_'-delimited prefixes, so the prefix test is
     an equi-join; both the reference's mode (users *with* a match) and the
     intended one (users without) are returned."""
-    u = S.users(t).select("username", F.lower(N.clean_string(F.substring_index("username", "@", 1), "_")).alias("prefix"))
-    s = existing_schemas(t)
-    parts = F.split("schema_name", "_")
-    pref = s.select(F.explode(F.transform(F.sequence(F.lit(1), F.size(parts) - 1),
-                                          lambda i: F.array_join(F.slice(parts, 1, i), "_"))).alias("prefix")).distinct()
-    m = u.join(pref, "prefix", "left_semi").select("username")
-    has = m.withColumn("mode", F.lit("has_schema"))
-    missing = u.join(m, "username", "left_anti").select("username", F.lit("missing_schema").alias("mode"))
-    return has.unionByName(missing)
+    u = S.users(t)
+    return T.prefix_matches(u, "username", F.lower(N.clean_string(F.substring_index("username", "@", 1), "_")),
+                            existing_schemas(t), "schema_name")
 
 
 def references(t):
@@ -115,13 +103,7 @@ SELECT r.ref, u.c_custkey FROM r LEFT JOIN u ON (contains(r.ref, '@') AND r.ref
 def resolve_references(t):
     """Row 27: references split by '@' into names and ids, each resolved by
     its own equi-join, then unioned; unresolved ones keep a NULL key."""
-    r = references(t)
-    u = S.users(t).select("c_custkey", "username")
-    by_name = r.where(col("ref").contains("@")).join(u, r.ref == u.username, "left").select("ref", "c_custkey")
-    by_id = (r.where(~col("ref").contains("@"))
-             .join(u.select(col("c_custkey").cast("string").alias("_k"), "c_custkey"), col("ref") == col("_k"), "left")
-             .select("ref", "c_custkey"))
-    return by_name.unionByName(by_id)
+    return T.resolve_references(references(t), "ref", S.users(t), "username", "c_custkey")
 
 
 @query("lookup_by_example", """
@@ -139,15 +121,7 @@ def lookup_by_example(t):
     ex = o.select("o_orderkey", F.when(col("o_orderkey") % 3 == 0, col("o_custkey")).alias("id"),
                   F.when(col("o_orderkey") % 3 != 0,
                          F.concat(F.lit("Customer#"), F.lpad((col("o_custkey") + bump).cast("string"), 9, "0"))).alias("name"))
-    c = t.customer.select("c_custkey", "c_name")
-    by_id = ex.where(col("id").isNotNull()).join(c, col("id") == col("c_custkey")).select("o_orderkey", "c_custkey")
-    by_name = ex.where(col("id").isNull()).join(c, col("name") == col("c_name")).select("o_orderkey", "c_custkey")
-    m = by_id.unionByName(by_name).groupBy("o_orderkey").agg(F.min("c_custkey").alias("c_custkey"))
-    j = ex.select("o_orderkey").join(m, "o_orderkey", "left")
-    return j.select("o_orderkey", "c_custkey", col("c_custkey").isNull().alias("unresolved"))
-
-
-MODES = ["create", "ignore", "update", "overwrite", "error"]
+    return T.lookup_by_example(ex, "o_orderkey", "id", "name", t.customer, "c_custkey", "c_name")
 
 
 def incoming_customers(t):
@@ -174,38 +148,7 @@ def upsert_modes(t):
     """Row 29: base vs incoming in one full outer join; per mode the rows
     kept, inserted, updated and the conflicts an 'error' / 'create' run
     reports.  (The merged frame itself is ``upsert(base, new, mode)``.)"""
-    j = upsert_join(t.customer.select("c_custkey", "c_name", "c_acctbal"), incoming_customers(t))
-    s = j.agg(F.count_if("in_base").alias("nb"), F.count_if(col("in_new") & ~col("in_base")).alias("ins"),
-              F.count_if(col("in_new") & col("in_base")).alias("both_"))
-    m = F.explode(F.array(*[F.lit(x) for x in MODES])).alias("mode")
-    s = s.select(m, "nb", "ins", "both_")
-    ins_modes = col("mode").isin("create", "ignore", "overwrite")
-    return s.select("mode",
-                    F.when(ins_modes, col("nb") + col("ins")).otherwise(col("nb")).cast("bigint").alias("n_rows"),
-                    F.when(ins_modes, col("ins")).otherwise(0).cast("bigint").alias("n_inserted"),
-                    F.when(col("mode").isin("update", "overwrite"), col("both_")).otherwise(0).cast("bigint").alias("n_updated"),
-                    F.when(col("mode").isin("create", "error"), col("both_")).otherwise(0).cast("bigint").alias("n_conflicts"))
-
-
-def upsert_join(base, new, key="c_custkey"):
-    vals = [c for c in base.columns if c != key]
-    b = base.select(key, *[col(c).alias(f"b_{c}") for c in vals], F.lit(True).alias("_b"))
-    n = new.select(key, *[col(c).alias(f"n_{c}") for c in vals], F.lit(True).alias("_n"))
-    return (b.join(n, key, "full_outer").withColumn("in_base", F.coalesce("_b", F.lit(False)))
-            .withColumn("in_new", F.coalesce("_n", F.lit(False))).drop("_b", "_n"))
-
-
-def upsert(base, new, mode: str, key="c_custkey"):
-    """The merged frame for one mode (create / ignore / update / overwrite);
-    'error' returns the conflicting keys."""
-    vals = [c for c in base.columns if c != key]
-    j = upsert_join(base, new, key)
-    if mode == "error":
-        return j.where(col("in_base") & col("in_new")).select(key)
-    take_new = {"create": ~col("in_base"), "ignore": ~col("in_base"), "update": col("in_base") & col("in_new"),
-                "overwrite": col("in_new")}[mode]
-    keep = col("in_base") | (take_new if mode != "update" else F.lit(False))
-    return j.where(keep).select(key, *[F.when(take_new, col(f"n_{c}")).otherwise(col(f"b_{c}")).alias(c) for c in vals])
+    return T.upsert_summary(t.customer.select("c_custkey", "c_name", "c_acctbal"), incoming_customers(t), "c_custkey")
 
 
 # Group template: group -> market segments whose customers belong ('*' = all).
@@ -225,16 +168,10 @@ def membership_gap(t):
     (exploded; the '*' entry is a plain projection, other entries an
     equi-join on segment) against existing memberships, both directions."""
     u = S.users(t).select("c_custkey", "username", "c_mktsegment")
-    tpl = t.spark.createDataFrame([(g, s) for g, ss in GROUP_TEMPLATE.items() for s in ss], "grp string, seg string")
-    star = [g for g, ss in GROUP_TEMPLATE.items() if "*" in ss]
-    by_seg = tpl.where(col("seg") != "*").join(u, col("seg") == col("c_mktsegment")).select("grp", "username")
-    every = u.select(F.explode(F.array(*[F.lit(g) for g in star])).alias("grp"), "username")
-    want = by_seg.unionByName(every).distinct()
+    want = T.desired_memberships(u, "username", "c_mktsegment", GROUP_TEMPLATE)
     have = u.where(col("c_custkey") % 2 == 0).select(
         F.when(col("c_custkey") % 4 == 0, "builders").otherwise("everyone").alias("grp"), "username")
-    add = want.join(have, ["grp", "username"], "left_anti").withColumn("action", F.lit("add"))
-    rem = have.join(want, ["grp", "username"], "left_anti").withColumn("action", F.lit("remove"))
-    return add.unionByName(rem)
+    return T.membership_gap(want, have, ["grp", "username"])
 
 
 # ----------------------------------------------------------------- tenancy
@@ -255,13 +192,9 @@ SELECT k.*, c.n > 1 AS collision FROM k JOIN c USING (user_hash)""")
 def tenant_keys(t):
     """Rows 64, 134: per user the hash, schema and catalog names, with a
     collision audit (36^4 values: same hash for two users)."""
-    u = S.users(t)
-    k = u.select("c_custkey", "username",
-                 N.stable_hash(F.concat("username", "workspace_id"), length=4).alias("user_hash"),
-                 N.schema_name("username", F.lit(COURSE_CODE), col("workspace_id")).alias("schema_name"),
-                 N.catalog_name("username", col("workspace_id")).alias("catalog_name"))
-    c = k.groupBy("user_hash").agg(F.count(F.lit(1)).alias("_n"))
-    return k.join(c, "user_hash").withColumn("collision", col("_n") > 1).drop("_n")
+    u = S.users(t).select("c_custkey", "username", "workspace_id")
+    return T.tenant_keys(u, "username", col("workspace_id"), COURSE_CODE).select(
+        "user_hash", "c_custkey", "username", "schema_name", "catalog_name", "collision")
 
 
 USERNAME_PATTERN = "class+{n}@example.com"
@@ -298,7 +231,7 @@ def roster_generate(t):
     cnt = t.customer.groupBy(col("c_nationkey").alias("n_nationkey")).agg(F.count(F.lit(1)).alias("max_p"))
     w = n.join(cnt, "n_nationkey", "left").select((col("n_nationkey") + 1).alias("ws"),
                                                   F.coalesce("max_p", F.lit(0)).alias("max_p"))
-    users = generate_range(w, "ws", "max_p").select(
+    users = T.generate_range(w, "ws", "max_p").select(
         "ws", F.concat(F.lit("class+"), N.zero_pad(col("i"), 3), F.lit("@example.com")).alias("username"))
     named = [x for g in TEMPLATE_GROUPS.values() for x in g if isinstance(x, str)]
     extra = w.select("ws", F.explode(F.array(*[F.lit(x) for x in named])).alias("username"))
@@ -312,23 +245,6 @@ def roster_generate(t):
     return a.where(~col("ws").isin(nums) & ~ws_name.isin(names_)).select(ws_name.alias("workspace"), "username")
 
 
-RANGE_CHUNK = 10_000
-
-
-def generate_range(df, key: str, upper: str, chunk: int = RANGE_CHUNK):
-    """Rows ``(key, i)`` for i in 0..upper per input row, generated in two
-    levels: chunk starts first (spread over tasks by a shuffle), then at
-    most ``chunk`` numbers per chunk, so one huge range is never one array
-    or one task."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    starts = df.select(key, col(upper).cast("bigint").alias("_u"),
-                       F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor(col(upper) / chunk).cast("bigint")))
-                       .alias("_c"))
-    starts = starts.repartition(n, key, "_c")
-    lo = col("_c") * chunk
-    return starts.select(key, F.explode(F.sequence(lo, F.least(lo + chunk - 1, col("_u")))).alias("i"))
-
-
 PROTECTED_SCHEMAS = ["default", "information_schema"]
 SCHEMA_PREFIX = "customer_"
 
@@ -365,14 +281,9 @@ def provision_plan(t):
     existing ones -> create / skip / drop+create (reinstall) / drop of
     orphans with the user prefix; protected names are kept.  A plan only."""
     u = S.users(t)
-    exp = u.select("c_custkey", N.schema_name("username", F.lit(COURSE_CODE), col("workspace_id")).alias("name"))
-    ex = existing_databases(t).withColumn("_ex", F.lit(True))
-    j = exp.join(ex, "name", "full_outer")
-    e, x = col("c_custkey").isNotNull(), col("_ex").isNotNull()
-    action = (F.when(e & ~x, "create").when(e & (col("c_custkey") % 6 == 0), "drop_create").when(e, "skip")
-              .when(col("name").isin(PROTECTED_SCHEMAS), "keep").when(col("name").startswith(SCHEMA_PREFIX), "drop")
-              .otherwise("keep"))
-    return j.select("name", action.alias("action"))
+    exp = u.select(N.schema_name("username", F.lit(COURSE_CODE), col("workspace_id")).alias("name"), "c_custkey")
+    return T.provision_plan(exp, existing_databases(t), "name", col("c_custkey") % 6 == 0, SCHEMA_PREFIX,
+                            PROTECTED_SCHEMAS)
 
 
 @query("batch_assign", """
