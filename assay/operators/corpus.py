@@ -235,3 +235,36 @@ def guid_findings(cells: DataFrame, doc: str = "doc_id", pos: str = "pos") -> Da
     for key in GUID_MESSAGES:
         msg = F.when(F.col("error") == key, fmt(key)).otherwise(msg)
     return j.withColumn("message", msg).drop("_first")
+
+
+# The bundle markers that open a segment.
+BUNDLE_SPLIT = r"(?m)^<hr>--i18n-|^<hr sandbox>--i18n-"
+
+
+def bundle_map(b):
+    """bundle text -> (doc_id, guid, body): split on the markers, guid up to
+    the first newline, later duplicates win."""
+    parts = b.select("doc_id", F.posexplode(F.split("bundle", BUNDLE_SPLIT, -1)).alias("i", "part"))
+    nl = F.instr("part", "\n")
+    guid = py_strip(F.concat(F.lit("--i18n-"), F.when(nl == 0, F.col("part")).otherwise(F.substring("part", F.lit(1), nl - 1))))
+    body = F.when(nl == 0, F.lit("")).otherwise(F.substring("part", nl + 1, 1 << 30))
+    x = parts.where(F.col("i") > 0).select("doc_id", "i", guid.alias("guid"), body.alias("body"))
+    return x.groupBy("doc_id", "guid").agg(F.max_by("body", "i").alias("body"))
+
+
+def read_segments(files):
+    """(file, text) -> (file, guid, contents): a marker line opens a segment,
+    other lines append to it; line 0 is the file name; a later segment with
+    the same guid replaces the earlier one.  Computed inside each file row."""
+    f = files.select("file", F.split("text", "\n", -1).alias("lines"))
+    is_m = lambda l: l.startswith("<hr>--i18n-") | l.startswith("<hr sandbox>--i18n-")
+    f = f.withColumn("marks", F.filter(F.sequence(F.lit(2), F.greatest(F.size("lines"), F.lit(2))),
+                                       lambda i: (i <= F.size("lines")) & is_m(F.element_at("lines", i))))
+    f = f.withColumn("segs", F.transform("marks", lambda m, k: F.struct(
+        m.alias("m"), F.coalesce(F.try_element_at("marks", k + 2), F.size("lines") + 1).alias("nx"))))
+    s = f.select("file", "lines", F.explode("segs").alias("s"))
+    ml = F.element_at("lines", F.col("s.m"))
+    guid = py_strip(F.when(ml.startswith("<hr>--i18n-"), F.substring(ml, 12, 1 << 20)).otherwise(F.substring(ml, 20, 1 << 20)))
+    body = F.array_join(F.slice("lines", F.col("s.m") + 1, F.col("s.nx") - F.col("s.m") - 1), "\n")
+    x = s.select("file", guid.alias("guid"), F.col("s.m").alias("m"), body.alias("contents"))
+    return x.groupBy("file", "guid").agg(F.max_by("contents", "m").alias("contents"))

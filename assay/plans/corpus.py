@@ -388,20 +388,6 @@ def bundles(t, translated: bool = False):
                     F.concat(F.lit("## conv-"), col("conv_id").cast("string"), F.lit(NL), body).alias("bundle"))
 
 
-BUNDLE_SPLIT = r"(?m)^<hr>--i18n-|^<hr sandbox>--i18n-"
-
-
-def bundle_map(b):
-    """bundle text -> (doc_id, guid, body): split on the markers, guid up to
-    the first newline, later duplicates win."""
-    parts = b.select("doc_id", F.posexplode(F.split("bundle", BUNDLE_SPLIT, -1)).alias("i", "part"))
-    nl = F.instr("part", NL)
-    guid = py_strip(F.concat(F.lit("--i18n-"), F.when(nl == 0, col("part")).otherwise(F.substring("part", F.lit(1), nl - 1))))
-    body = F.when(nl == 0, F.lit("")).otherwise(F.substring("part", nl + 1, 1 << 30))
-    x = parts.where(col("i") > 0).select("doc_id", "i", guid.alias("guid"), body.alias("body"))
-    return x.groupBy("doc_id", "guid").agg(F.max_by("body", "i").alias("body"))
-
-
 def _bundle_sql(translated: bool) -> str:
     where = "WHERE (conv_id + turn) % 10 <> 0" if translated else ""
     text = "'[tr] ' || text" if translated else "text"
@@ -425,13 +411,13 @@ SELECT doc_id, guid, arg_max(body, i) AS body FROM (
 SELECT doc_id, guid, md5(body) AS body_md5, CAST(length(body) AS INTEGER) AS body_len FROM ({_bundle_map_sql(False)})""")
 def bundle_to_map(t):
     """Row 119: translation bundle text -> guid map per document."""
-    m = bundle_map(bundles(t))
+    m = K.bundle_map(bundles(t))
     return m.select("doc_id", "guid", F.md5("body").alias("body_md5"), F.length("body").alias("body_len"))
 
 
 def _merged(t):
     g = K.with_guid_check(md_cells(t)).select("doc_id", "pos", "cm", "command", "guid", "error", "md_tag")
-    tr = bundle_map(bundles(t, translated=True)).withColumn("_have", F.lit(True))
+    tr = K.bundle_map(bundles(t, translated=True)).withColumn("_have", F.lit(True))
     j = g.join(tr, ["doc_id", "guid"], "left")
     status = F.when(col("error").isNotNull(), "invalid").when(col("_have").isNull(), "missing").otherwise("translated")
     new = F.when(status == "translated",
@@ -711,24 +697,6 @@ def segment_files(t, latest: bool = False):
                     .alias("text"))
 
 
-def read_segments(files):
-    """(file, text) -> (file, guid, contents): a marker line opens a segment,
-    other lines append to it; line 0 is the file name; a later segment with
-    the same guid replaces the earlier one.  Computed inside each file row."""
-    f = files.select("file", F.split("text", NL, -1).alias("lines"))
-    is_m = lambda l: l.startswith("<hr>--i18n-") | l.startswith("<hr sandbox>--i18n-")
-    f = f.withColumn("marks", F.filter(F.sequence(F.lit(2), F.greatest(F.size("lines"), F.lit(2))),
-                                       lambda i: (i <= F.size("lines")) & is_m(F.element_at("lines", i))))
-    f = f.withColumn("segs", F.transform("marks", lambda m, k: F.struct(
-        m.alias("m"), F.coalesce(F.try_element_at("marks", k + 2), F.size("lines") + 1).alias("nx"))))
-    s = f.select("file", "lines", F.explode("segs").alias("s"))
-    ml = F.element_at("lines", col("s.m"))
-    guid = py_strip(F.when(ml.startswith("<hr>--i18n-"), F.substring(ml, 12, 1 << 20)).otherwise(F.substring(ml, 20, 1 << 20)))
-    body = F.array_join(F.slice("lines", col("s.m") + 1, col("s.nx") - col("s.m") - 1), NL)
-    x = s.select("file", guid.alias("guid"), col("s.m").alias("m"), body.alias("contents"))
-    return x.groupBy("file", "guid").agg(F.max_by("contents", "m").alias("contents"))
-
-
 def _segment_files_sql(latest: bool) -> str:
     where = "WHERE conv_id % 25 <> 0 AND (conv_id + turn) % 10 <> 0" if latest else ""
     text = "CASE WHEN (conv_id + turn) % 9 = 0 THEN text || ' (rev)' ELSE text END" if latest else "text"
@@ -758,7 +726,7 @@ SELECT file, guid, CAST(len(string_split(contents, chr(10))) AS INTEGER) AS n_li
 FROM ({_segments_sql(False)})""")
 def segment_lines(t):
     """Row 51: segment files parsed into guid -> contents."""
-    s = read_segments(segment_files(t))
+    s = K.read_segments(segment_files(t))
     return s.select("file", "guid", F.size(F.split("contents", NL, -1)).alias("n_lines"),
                     F.md5(py_strip(col("contents"))).alias("contents_md5"))
 
@@ -788,8 +756,8 @@ def segment_diff(t):
         F.concat(col("file"), F.when(col("_b").isNull(), F.lit(" from latest")).otherwise(F.lit(" from original")))
         .alias("message"))
     common = files.where(col("_a") & col("_b")).select("file")
-    a = read_segments(fa).join(common, "file", "left_semi").select("file", "guid", F.sha2(py_strip(col("contents")), 256).alias("ha"))
-    b = read_segments(fb).join(common, "file", "left_semi").select("file", "guid", F.sha2(py_strip(col("contents")), 256).alias("hb"))
+    a = K.read_segments(fa).join(common, "file", "left_semi").select("file", "guid", F.sha2(py_strip(col("contents")), 256).alias("ha"))
+    b = K.read_segments(fb).join(common, "file", "left_semi").select("file", "guid", F.sha2(py_strip(col("contents")), 256).alias("hb"))
     j = a.join(b, ["file", "guid"], "full_outer")
     kind = (F.when(col("ha").isNull(), "Cell Added").when(col("hb").isNull(), "Cell Removed")
             .when(col("ha") != col("hb"), "Cell Changed"))
