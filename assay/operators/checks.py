@@ -345,3 +345,14 @@ def summarize(results: DataFrame, suite_col: str = "suite") -> DataFrame:
                           .cast("int"))
            .withColumn("suite_passed", F.col("percentage") == 100))
     return results.join(tot, suite_col, "left")
+
+
+def latest_results(results: DataFrame, suite: str, check: str, passed: Column, order: list[str]) -> DataFrame:
+    """The cross-suite aggregator: per (suite, check) the last result by
+    ``order`` wins (``max_by``, partially aggregated), then per suite the
+    number of checks, the score, truncated percentage and verdict."""
+    latest = results.groupBy(suite, check).agg(F.max_by(passed, F.struct(*order)).alias("_ok"))
+    g = latest.groupBy(suite).agg(F.count(F.lit(1)).alias("n_checks"), F.count_if("_ok").alias("score"))
+    pct = F.floor(F.lit(100.0) * F.col("score") / F.col("n_checks")).cast("int")
+    return g.select(suite, "n_checks", "score", F.col("n_checks").alias("max_score"), pct.alias("percentage"),
+                    (pct == 100).alias("passed"))

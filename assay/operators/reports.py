@@ -281,3 +281,17 @@ def classify_paths(df: DataFrame, path: str, tie: str) -> DataFrame:
     return (o.where(~lp.contains("wip"))
             .select(tie, path, order.cast("bigint").alias("notebook_order"), rnd.alias("test_round"),
                     (~pinned).alias("include_solution")))
+
+
+def latest_run_verdict(jobs: DataFrame, runs: DataFrame, job: str, order: list[str], life_cycle: str,
+                       result: str) -> DataFrame:
+    """Latest run per job (``max_by`` on ``order``) with its verdict; jobs
+    without runs are reported as NO_RUNS (left join from the job list)."""
+    o = F.struct(*order)
+    latest = runs.groupBy(job).agg(F.max_by(life_cycle, o).alias(life_cycle), F.max_by(result, o).alias(result),
+                                   F.count(F.lit(1)).alias("n_runs"))
+    j = jobs.select(job).join(latest.withColumn("_has", F.lit(True)), job, "left")
+    verdict = (F.when(col("_has").isNull(), "NO_RUNS").when(col(life_cycle) != "TERMINATED", "PENDING")
+               .when(col(result) == "SUCCESS", "OK").otherwise("FAILED"))
+    return j.select(job, F.coalesce(col("n_runs"), F.lit(0).cast("bigint")).alias("n_runs"), life_cycle, result,
+                    verdict.alias("verdict"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from assay.operators import checks as C
+from assay.operators import reports as R
 from assay.operators.graph import propagate_skips
 from assay.operators.ordering import cascade_status
 from assay.plans import standins as S
@@ -24,15 +26,8 @@ FROM l GROUP BY user_id""")
 def latest_scorecard(t):
     """Row 33: results keyed by check id (user x event type), last write by
     (ts, event_id) wins, then score per suite.  Two partial aggregations."""
-    e = t.events.select("user_id", "event_type", "ts", "event_id",
-                        (col("event_type") != "error").alias("ok"))
-    latest = e.groupBy("user_id", "event_type").agg(
-        F.max_by("ok", F.struct("ts", "event_id")).alias("ok"))
-    g = latest.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_checks"),
-                                       F.count_if("ok").alias("score"))
-    pct = F.floor(F.lit(100.0) * col("score") / col("n_checks")).cast("int")
-    return g.select("user_id", "n_checks", "score", col("n_checks").alias("max_score"),
-                    pct.alias("percentage"), (pct == 100).alias("passed"))
+    e = t.events.select("user_id", "event_type", "ts", "event_id")
+    return C.latest_results(e, "user_id", "event_type", col("event_type") != "error", ["ts", "event_id"])
 
 
 @query("skip_cascade_linear", """
@@ -105,18 +100,9 @@ FROM customer c LEFT JOIN l ON c.c_custkey = l.job_id""")
 def latest_run_verdict(t):
     """Row 47: latest run per job by start time (``max_by``), left-joined to
     the expected jobs so jobs with zero runs are reported."""
-    runs = S.job_runs(t)
-    order = F.struct("start_time", "run_id")
-    latest = runs.groupBy("job_id").agg(
-        F.max_by("life_cycle_state", order).alias("life_cycle_state"),
-        F.max_by("result_state", order).alias("result_state"),
-        F.count(F.lit(1)).alias("n_runs"))
     jobs = t.customer.select(col("c_custkey").alias("job_id"))
-    j = jobs.join(latest.withColumn("_has", F.lit(True)), "job_id", "left")
-    verdict = (F.when(col("_has").isNull(), "NO_RUNS").when(col("life_cycle_state") != "TERMINATED", "PENDING")
-               .when(col("result_state") == "SUCCESS", "OK").otherwise("FAILED"))
-    return j.select("job_id", F.coalesce(col("n_runs"), F.lit(0).cast("bigint")).alias("n_runs"),
-                    "life_cycle_state", "result_state", verdict.alias("verdict"))
+    return R.latest_run_verdict(jobs, S.job_runs(t), "job_id", ["start_time", "run_id"], "life_cycle_state",
+                                "result_state")
 
 
 @query("check_sequence", """
