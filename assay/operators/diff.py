@@ -162,3 +162,20 @@ def spec_drift(records: DataFrame, spec: dict, id_cols: list[str],
             parts.append(F.when(F.col(b).isNotNull(), F.concat(F.lit(f"{b}="), F.col(b).cast("string"))))
     err = F.array_join(F.array_compact(F.array(*parts)), ", ")
     return (records.select(*id_cols, err.alias("error")).where(F.col("error") != ""))
+
+
+def policy_audit(policies: DataFrame, name: str, definition: str, acl: str, expected_pool: str,
+                 exempt_type: str = "dlt", group: str = "users", level: str = "CAN_USE",
+                 acl_prefix: str = "Student") -> DataFrame:
+    """Policies whose JSON definition names another pool than ``expected_pool``
+    (unless of the exempt cluster type), and policies named ``acl_prefix...``
+    whose ACL lacks ``level`` for ``group`` (first permission of the entry)."""
+    ctype = F.get_json_object(definition, "$.cluster_type.value")
+    pool = F.get_json_object(definition, "$.instance_pool_id.value")
+    wrong = policies.where(~ctype.eqNullSafe(F.lit(exempt_type)) & ~pool.eqNullSafe(F.lit(expected_pool))).select(
+        F.col(name).alias("policy"), F.lit("Wrong instance pool").alias("error"))
+    has_use = F.exists(acl, lambda a: (a["group_name"] == group)
+                       & (F.try_element_at(a["all_permissions"], F.lit(1))["permission_level"] == level))
+    missing = policies.where(F.col(name).startswith(acl_prefix) & ~has_use).select(
+        F.col(name).alias("policy"), F.lit(f"Missing {group} access").alias("error"))
+    return wrong.unionByName(missing)

@@ -332,17 +332,7 @@ SELECT name, 'Missing users access' FROM p WHERE starts_with(name, 'Student') AN
 def policy_audit(t):
     """Row 107: policy JSON whose pool differs from the expected one (unless
     a pipeline policy), and student policies lacking CAN_USE for 'users'."""
-    p = policies(t)
-    ctype = F.get_json_object("definition", "$.cluster_type.value")
-    pool = F.get_json_object("definition", "$.instance_pool_id.value")
-    wrong = p.where((ctype != "dlt") & ~pool.eqNullSafe(F.lit("pool-0"))).select(
-        col("name").alias("policy"), F.lit("Wrong instance pool").alias("error"))
-    has_use = F.exists("access_control_list",
-                       lambda a: (a["group_name"] == "users")
-                       & (F.try_element_at(a["all_permissions"], F.lit(1))["permission_level"] == "CAN_USE"))
-    missing = p.where(col("name").startswith("Student") & ~has_use).select(
-        col("name").alias("policy"), F.lit("Missing users access").alias("error"))
-    return wrong.unionByName(missing)
+    return D.policy_audit(policies(t), "name", "definition", "access_control_list", "pool-0")
 
 
 @query("artifact_presence", r"""

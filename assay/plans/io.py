@@ -10,6 +10,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 from assay.functions.text import py_strip
 from assay.plans import standins as S
 from assay.plans.registry import query
+from assay.sources import files as FS
 from assay.sources import sinks
 
 col = F.col
@@ -53,19 +54,14 @@ def config_overrides(t):
     """Row 5: JSON configs parsed with a fixed schema (PERMISSIVE: malformed
     text and wrongly typed fields become flags, not failures), then
     per-brand overrides (from nation) by left join + coalesce."""
-    c = part_configs(t)
-    parsed = F.from_json("config", CONFIG_SCHEMA, {"mode": "PERMISSIVE"})
-    keys = F.json_object_keys("config")
-    c = c.select("p_partkey", "p_brand", parsed.alias("c"), keys.alias("keys"))
-    ok = col("keys").isNotNull()
-    type_error = ok & F.array_contains("keys", "rounds") & col("c.rounds").isNull()
+    c = FS.parse_json_column(part_configs(t), "config", CONFIG_SCHEMA, ["rounds"])
     o = t.nation.where(col("n_nationkey") % 3 == 0).select(
         F.concat(F.lit("Brand#"), col("n_nationkey").cast("string")).alias("p_brand"),
         (col("n_regionkey") + 1).alias("o_rounds"))
     j = c.join(o, "p_brand", "left")
-    return j.select("p_partkey", F.when(ok, col("c.name")).alias("name"), F.when(ok, col("c.version")).alias("version"),
-                    F.coalesce("o_rounds", F.when(ok, col("c.rounds"))).alias("rounds"), type_error.alias("type_error"),
-                    (~ok).alias("corrupt"), col("o_rounds").isNotNull().alias("overridden"))
+    return j.select("p_partkey", col("cfg.name").alias("name"), col("cfg.version").alias("version"),
+                    F.coalesce("o_rounds", col("cfg.rounds")).alias("rounds"), "type_error", "corrupt",
+                    col("o_rounds").isNotNull().alias("overridden"))
 
 
 PUBLISHING_SCHEMA = ("announcements struct<email_addresses: array<string>, slack_channels: array<struct<name: string, "
