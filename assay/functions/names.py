@@ -61,24 +61,30 @@ def stable_hash(*args, length: int) -> Column:
     return F.concat(*digits)
 
 
-def unique_name(username, course_code, workspace_id, lesson_name=None, sep: str = "-") -> Column:
-    """``local-part hash da course [lesson]`` cleaned with ``sep`` and lower-cased."""
+def user_hash(username, workspace_id) -> Column:
+    """The 4-character per-user hash of ``username + workspace_id``."""
+    return stable_hash(F.concat(_c(username), _c(workspace_id).cast("string")), length=4)
+
+
+def unique_name(username, course_code, workspace_id, lesson_name=None, sep: str = "-", hash_col=None) -> Column:
+    """``local-part hash da course [lesson]`` cleaned with ``sep`` and
+    lower-cased; pass ``hash_col`` when the hash is already a column."""
     local = F.substring_index(_c(username), "@", 1)
-    h = stable_hash(F.concat(_c(username), _c(workspace_id).cast("string")), length=4)
+    h = _c(hash_col) if hash_col is not None else user_hash(username, workspace_id)
     parts = [local, h, F.lit("da"), _c(course_code)]
     if lesson_name is not None:
         parts.append(_c(lesson_name))
     return F.lower(clean_string(F.concat_ws(" ", *parts), sep))
 
 
-def schema_name(username, course_code, workspace_id, lesson_name=None) -> Column:
-    return unique_name(username, course_code, workspace_id, lesson_name, sep="_")
+def schema_name(username, course_code, workspace_id, lesson_name=None, hash_col=None) -> Column:
+    return unique_name(username, course_code, workspace_id, lesson_name, sep="_", hash_col=hash_col)
 
 
-def catalog_name(username, workspace_id, lesson_name=None) -> Column:
+def catalog_name(username, workspace_id, lesson_name=None, hash_col=None) -> Column:
     """Per-user catalog: ``local-part hash da [lesson]`` cleaned with '_'."""
     local = F.substring_index(_c(username), "@", 1)
-    h = stable_hash(F.concat(_c(username), _c(workspace_id).cast("string")), length=4)
+    h = _c(hash_col) if hash_col is not None else user_hash(username, workspace_id)
     parts = [local, h, F.lit("da")] + ([_c(lesson_name)] if lesson_name is not None else [])
     return F.lower(clean_string(F.concat_ws(" ", *parts), "_"))
 

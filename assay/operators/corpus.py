@@ -138,11 +138,13 @@ def with_clean_todo(df: DataFrame, command: str = "command", cm: str = "cm",
     c = F.col(cm)
     lines = F.split(F.col(command), "\n", -1)
     # a first line holding a magic (%md, %sql, ...) is kept and the comment
-    # prefix becomes '<cm> MAGIC <marker of that language>'; the last match wins
-    l0 = lines[0]
+    # prefix becomes '<cm> MAGIC <marker of that language>'; the last match
+    # wins.  Only the first line is looked at (cheap even if re-evaluated).
+    l0 = F.substring_index(F.col(command), "\n", 1)
+    many = F.instr(F.col(command), "\n") > 0
     first, prefix = F.lit(0), c
     for m in ["%r", "%md", "%sql", "%python", "%scala"]:
-        hit = (F.size(lines) > 1) & (l0.startswith(m) | l0.startswith(F.concat(c, F.lit(f" MAGIC {m}"))))
+        hit = many & (l0.startswith(m) | l0.startswith(F.concat(c, F.lit(f" MAGIC {m}"))))
         first = F.when(hit, F.lit(1)).otherwise(first)
         prefix = F.when(hit, F.concat(c, F.lit(f" MAGIC {COMMENT_MARKERS[m[1:]]}"))).otherwise(prefix)
     df = df.withColumn("_ctf", first).withColumn("_ctp", prefix)

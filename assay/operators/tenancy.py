@@ -133,9 +133,9 @@ def membership_gap(want: DataFrame, have: DataFrame, keys: list[str]) -> DataFra
 def tenant_keys(users: DataFrame, user: str, workspace_id: Column, course_code: str) -> DataFrame:
     """Hash, schema and catalog names per user, with a collision audit (two
     users on one 4-character hash)."""
-    k = users.select("*", N.stable_hash(F.concat(col(user), workspace_id.cast("string")), length=4).alias("user_hash"),
-                     N.schema_name(user, F.lit(course_code), workspace_id).alias("schema_name"),
-                     N.catalog_name(user, workspace_id).alias("catalog_name"))
+    k = users.withColumn("user_hash", N.user_hash(user, workspace_id))     # computed once, reused below
+    k = k.select("*", N.schema_name(user, F.lit(course_code), workspace_id, hash_col="user_hash").alias("schema_name"),
+                 N.catalog_name(user, workspace_id, hash_col="user_hash").alias("catalog_name"))
     c = k.groupBy("user_hash").agg(F.count(F.lit(1)).alias("_n"))
     return k.join(c, "user_hash").withColumn("collision", col("_n") > 1).drop("_n")
 
