@@ -11,12 +11,41 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType
 
 from assay.operators.ordering import with_row_index
 
 
 # ---- whole frames ---------------------------------------------------------------
 
+def _has_map(t) -> bool:
+    if isinstance(t, MapType):
+        return True
+    if isinstance(t, ArrayType):
+        return _has_map(t.elementType)
+    if isinstance(t, StructType):
+        return any(_has_map(f.dataType) for f in t.fields)
+    return False
+
+
+def comparable(c: Column, t) -> Column:
+    """A form of ``c`` that ``<=>`` accepts: maps become their entries sorted
+    by key (so key order does not matter, as for Python dicts), recursively."""
+    if not _has_map(t):
+        return c
+    if isinstance(t, MapType):
+        return F.array_sort(F.transform(F.map_entries(c), lambda e: F.struct(
+            comparable(e["key"], t.keyType).alias("key"), comparable(e["value"], t.valueType).alias("value"))))
+    if isinstance(t, ArrayType):
+        return F.transform(c, lambda x: comparable(x, t.elementType))
+    return F.struct(*[comparable(c[f.name], f.dataType).alias(f.name) for f in t.fields])
+
+
+def _cmp_cols(df: DataFrame, cols: list[str], prefix: str) -> list[Column]:
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return [comparable(F.col(c), types[c]).alias(f"{prefix}{c}") for c in cols]
+
+
 def multiset_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows whose multiplicity differs: ``side`` (left_only / right_only) and
     ``n`` (how many more copies that side has).  Order-insensitive; map-side
@@ -32,8 +61,8 @@ def keyed_diff(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """Full outer join on ``keys``; per key the presence and the names of the
     columns whose values differ (null-safe)."""
     vals = [c for c in a.columns if c not in keys]
-    la = a.select(*keys, *[F.col(c).alias(f"_a_{c}") for c in vals], F.lit(True).alias("_in_a"))
-    lb = b.select(*keys, *[F.col(c).alias(f"_b_{c}") for c in vals], F.lit(True).alias("_in_b"))
+    la = a.select(*keys, *_cmp_cols(a, vals, "_a_"), F.lit(True).alias("_in_a"))
+    lb = b.select(*keys, *_cmp_cols(b, vals, "_b_"), F.lit(True).alias("_in_b"))
     j = la.join(lb, keys, "full_outer")
     diffs = F.array_compact(F.array(*[F.when(~F.col(f"_a_{c}").eqNullSafe(F.col(f"_b_{c}")), F.lit(c))
                                       for c in vals]))
@@ -56,8 +85,8 @@ def rows_equal(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """Per key: are the rows equal as name-keyed dicts (column order ignored,
     None == None; a missing row on one side is unequal)."""
     vals = sorted(c for c in a.columns if c not in keys)
-    la = a.select(*keys, *[F.col(c).alias(f"_a_{c}") for c in vals], F.lit(True).alias("_in_a"))
-    lb = b.select(*keys, *[F.col(c).alias(f"_b_{c}") for c in sorted(vals)], F.lit(True).alias("_in_b"))
+    la = a.select(*keys, *_cmp_cols(a, vals, "_a_"), F.lit(True).alias("_in_a"))
+    lb = b.select(*keys, *_cmp_cols(b, vals, "_b_"), F.lit(True).alias("_in_b"))
     j = la.join(lb, keys, "full_outer")
     eq = reduce(lambda x, y: x & y, [F.col(f"_a_{c}").eqNullSafe(F.col(f"_b_{c}")) for c in vals], F.lit(True))
     both = F.col("_in_a").isNotNull() & F.col("_in_b").isNotNull()

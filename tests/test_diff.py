@@ -71,3 +71,11 @@ def test_spec_drift(spark):
     recs = spark.createDataFrame([(1, "Brand#2", 11), (2, "Brand#3", None)], "id int, p_brand string, p_size int")
     got = {r.id: r.error for r in D.spec_drift(recs, {"p_brand": "Brand#2", "p_size": 11, "p_x": 1}, ["id"]).collect()}
     assert got == {1: "p_x=None", 2: "p_brand=Brand#3, p_size=None, p_x=None"}
+
+
+def test_diffs_accept_map_and_array_columns(spark):
+    a = spark.createDataFrame([(1, [1, 2], {"a": 1, "b": 2}), (2, [3], {"b": 2})], "k int, arr array<int>, m map<string,int>")
+    b = spark.createDataFrame([(1, [1, 2], {"b": 2, "a": 1}), (2, [3], {"b": 3})], "k int, arr array<int>, m map<string,int>")
+    assert [(r.k, r.changed_columns) for r in D.keyed_diff(a, b, ["k"]).collect()] == [(2, "m")]
+    assert {r.k: r.rows_equal for r in D.rows_equal(a, b, ["k"]).collect()} == {1: True, 2: False}
+    assert D.multiset_diff(a, b).count() == 2
