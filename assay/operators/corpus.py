@@ -270,3 +270,47 @@ def read_segments(files):
     body = F.array_join(F.slice("lines", F.col("s.m") + 1, F.col("s.nx") - F.col("s.m") - 1), "\n")
     x = s.select("file", guid.alias("guid"), F.col("s.m").alias("m"), body.alias("contents"))
     return x.groupBy("file", "guid").agg(F.max_by("contents", "m").alias("contents"))
+
+
+def segment_digests(files: DataFrame) -> DataFrame:
+    """(file, text) -> one row per file (``_is_file``) plus one per segment
+    guid with the SHA-256 of its stripped contents (later duplicates win);
+    a single explode per file row, so the files are read once."""
+    f = files.select("file", F.split("text", "\n", -1).alias("lines"))
+    is_m = lambda l: l.startswith("<hr>--i18n-") | l.startswith("<hr sandbox>--i18n-")
+    f = f.withColumn("marks", F.filter(F.sequence(F.lit(2), F.greatest(F.size("lines"), F.lit(2))),
+                                       lambda i: (i <= F.size("lines")) & is_m(F.element_at("lines", i))))
+    segs = F.transform("marks", lambda m, k: F.struct(
+        F.lit(False).alias("is_file"), m.alias("m"),
+        F.coalesce(F.try_element_at("marks", k + 2), F.size("lines") + 1).alias("nx")))
+    marker = F.array(F.struct(F.lit(True).alias("is_file"), F.lit(0).alias("m"), F.lit(0).alias("nx")))
+    s = f.select("file", "lines", F.explode(F.concat(marker, segs)).alias("s"))
+    ml = F.element_at("lines", F.greatest(F.col("s.m"), F.lit(1)))
+    guid = F.when(F.col("s.is_file"), F.lit("")).otherwise(
+        py_strip(F.when(ml.startswith("<hr>--i18n-"), F.substring(ml, 12, 1 << 20)).otherwise(F.substring(ml, 20, 1 << 20))))
+    body = F.when(F.col("s.is_file"), F.lit("")).otherwise(
+        F.array_join(F.slice("lines", F.col("s.m") + 1, F.col("s.nx") - F.col("s.m") - 1), "\n"))
+    x = s.select("file", F.col("s.is_file").alias("_is_file"), guid.alias("guid"), F.col("s.m").alias("m"),
+                 F.sha2(py_strip(body), 256).alias("h"))
+    return x.groupBy("file", "_is_file", "guid").agg(F.max_by("h", "m").alias("h"))
+
+
+def segment_diff(original: DataFrame, latest: DataFrame) -> DataFrame:
+    """Missing Notebook per file, else Cell Added / Removed / Changed per
+    guid (whitespace-stripped compare): one full outer join of the two
+    digest sets, then one grouping per file (a file is one document)."""
+    a = segment_digests(original).withColumnRenamed("h", "ha")
+    b = segment_digests(latest).withColumnRenamed("h", "hb")
+    j = a.join(b, ["file", "_is_file", "guid"], "full_outer")
+    kind = (F.when(F.col("ha").isNull(), "Cell Added").when(F.col("hb").isNull(), "Cell Removed")
+            .when(F.col("ha") != F.col("hb"), "Cell Changed"))
+    g = j.groupBy("file").agg(
+        F.bool_or(F.col("_is_file") & F.col("ha").isNotNull()).alias("in_a"),
+        F.bool_or(F.col("_is_file") & F.col("hb").isNotNull()).alias("in_b"),
+        F.collect_list(F.when(~F.col("_is_file") & kind.isNotNull(),
+                              F.struct(kind.alias("change_type"), F.col("guid").alias("message")))).alias("ch"))
+    missing = lambda side: F.array(F.struct(F.lit("Missing Notebook").alias("change_type"),
+                                            F.concat(F.col("file"), F.lit(f" from {side}")).alias("message")))
+    out = (F.when(F.col("in_a") & F.col("in_b"), F.col("ch"))
+           .when(F.col("in_a"), missing("latest")).otherwise(missing("original")))
+    return g.select("file", F.inline(out))

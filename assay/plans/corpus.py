@@ -750,24 +750,10 @@ FULL OUTER JOIN (SELECT * FROM b WHERE file IN (SELECT file FROM both_files)) b
 WHERE a.guid IS NULL OR b.guid IS NULL OR {strip('a.contents')} <> {strip('b.contents')}""")
 def segment_diff(t):
     """Rows 60, 105: original vs latest segment files: Missing Notebook per file
-    (the union of both file lists as one full outer join),
-    then Cell Added / Removed / Changed per guid (whitespace-stripped
-    compare) -- one full outer join per level."""
-    fa, fb = segment_files(t), segment_files(t, latest=True)
-    na, nb = fa.select("file").withColumn("_a", F.lit(True)), fb.select("file").withColumn("_b", F.lit(True))
-    files = na.join(nb, "file", "full_outer")
-    missing = files.where(col("_a").isNull() | col("_b").isNull()).select(
-        "file", F.lit("Missing Notebook").alias("change_type"),
-        F.concat(col("file"), F.when(col("_b").isNull(), F.lit(" from latest")).otherwise(F.lit(" from original")))
-        .alias("message"))
-    common = files.where(col("_a") & col("_b")).select("file")
-    a = K.read_segments(fa).join(common, "file", "left_semi").select("file", "guid", F.sha2(py_strip(col("contents")), 256).alias("ha"))
-    b = K.read_segments(fb).join(common, "file", "left_semi").select("file", "guid", F.sha2(py_strip(col("contents")), 256).alias("hb"))
-    j = a.join(b, ["file", "guid"], "full_outer")
-    kind = (F.when(col("ha").isNull(), "Cell Added").when(col("hb").isNull(), "Cell Removed")
-            .when(col("ha") != col("hb"), "Cell Changed"))
-    cells_ = j.select("file", kind.alias("change_type"), col("guid").alias("message")).where(col("change_type").isNotNull())
-    return missing.unionByName(cells_)
+    (the union of both file lists), else Cell Added / Removed / Changed per
+    guid (whitespace-stripped compare); each side is read once and joined
+    once on (file, guid) with a per-file marker row."""
+    return K.segment_diff(segment_files(t), segment_files(t, latest=True))
 
 
 # ------------------------------------------------------------ links and lint
