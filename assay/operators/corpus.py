@@ -314,3 +314,14 @@ def segment_diff(original: DataFrame, latest: DataFrame) -> DataFrame:
     out = (F.when(F.col("in_a") & F.col("in_b"), F.col("ch"))
            .when(F.col("in_a"), missing("latest")).otherwise(missing("original")))
     return g.select("file", F.inline(out))
+
+
+def split_notebooks(df: DataFrame, text: str = "text", language: str = "language") -> DataFrame:
+    """Notebook sources -> ordered cells ``(…, pos, command)``: split on the
+    language's ``\\n<cm> COMMAND ----------\\n`` delimiter (literal, quoted
+    for the regex), after dropping the ``<cm> … notebook source`` first line."""
+    cm = comment_marker(F.col(language))
+    body = F.regexp_replace(F.col(text), r"^[^\n]* notebook source\n", "")
+    delim = F.concat(F.lit("\\Q"), cell_delimiter(cm), F.lit("\\E"))
+    parts = F.call_function("split", body, delim, F.lit(-1))
+    return df.select("*", F.posexplode(parts).alias("pos", "command"))

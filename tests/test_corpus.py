@@ -127,3 +127,12 @@ def test_magic_cells(spark):
     assert got == {1: ["TODO"], 2: []}      # '#' is a comment in python cells, not in %md cells
     cleaned = {r.id: (r.cleaned, r.todo_errors) for r in K.with_clean_todo(df).collect()}
     assert cleaned[1] == ("# MAGIC %sql\n# MAGIC -- TODO\nSELECT 1", 0)
+
+
+def test_split_notebooks_round_trip(spark):
+    src = "# notebook source\n# MAGIC %md\n# MAGIC x\n\n# COMMAND ----------\n\nprint(1)\n\n# COMMAND ----------\n\n# TODO"
+    sql = "-- notebook source\nSELECT 1\n\n-- COMMAND ----------\n\nSELECT 2"
+    df = spark.createDataFrame([(1, "python", src), (2, "sql", sql)], "id int, language string, text string")
+    got = [(r.id, r.pos, r.command) for r in K.split_notebooks(df).orderBy("id", "pos").collect()]
+    assert got == [(1, 0, "# MAGIC %md\n# MAGIC x\n"), (1, 1, "\nprint(1)\n"), (1, 2, "\n# TODO"),
+                   (2, 0, "SELECT 1\n"), (2, 1, "\nSELECT 2")]
