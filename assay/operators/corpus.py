@@ -190,23 +190,50 @@ GUID_MESSAGES = {
     "md_tag": 'Cmd #{n} | Expected word[0] of the first line of MD to be "%md" or "%md-sandbox", found {tag}: {line0}',
     "guid_prefix": 'Cmd #{n} | Expected word[1] of the first line of MD to start with "--i18n-", found {guid}: {line0}',
     "duplicate": "Cmd #{n} | Duplicate i18n GUID found: {guid}",
+    "no_title": "Cmd #{n} | Missing the i18n directive, no title.",
+    "title_words": "Cmd #{n} | Expected the title to have only one word, found {k}: {guid}",
+    "title_prefix": 'Cmd #{n} | Expected the cell title to start with "--i18n-", found {guid}: {title}',
 }
 
 
 def with_guid_check(df: DataFrame, command: str = "command", cm: str = "cm") -> DataFrame:
-    """Add ``guid``, ``md_tag``, ``line0``, ``n_parts`` and ``error`` -- the
-    first failing i18n rule of a markdown cell (NULL = passed) -- staged so
-    each piece is computed once."""
-    df = df.withColumn("_g1", F.split(py_strip(F.col(command)), "\n", -1))
-    df = df.withColumn("line0", F.substring(F.col("_g1")[0], F.length(F.col(cm)) + 8, F.lit(1 << 20)))
+    """Add ``titled``, ``title``, ``guid``, ``md_tag``, ``line0``, ``n_parts``
+    and ``error`` -- the first failing i18n rule of a markdown cell (NULL =
+    passed; non-markdown cells are not checked).  A cell whose first line is
+    ``<cm> DBTITLE …`` carries its guid in the title (after the comma), else
+    the guid is the second word of the ``%md`` line.  Staged so each piece is
+    computed once."""
+    c, cmd = F.col(cm), F.col(command)
+    titled = cmd.startswith(F.concat(c, F.lit(" DBTITLE ")))
+    nl = F.instr(cmd, "\n")
+    df = df.withColumn("titled", titled)
+    df = df.withColumn("title", F.when(titled, py_strip(F.substring_index(cmd, "\n", 1))))
+    df = df.withColumn("_body", F.when(titled, py_strip(F.when(nl > 0, F.substring(cmd, nl + 1, F.lit(1 << 30)))
+                                                        .otherwise(F.lit("")))).otherwise(cmd))
+    df = df.withColumn("_md", F.col("_body").startswith(F.concat(c, F.lit(" MAGIC %md"))))
+    # body form
+    df = df.withColumn("_g1", F.split(py_strip(F.col("_body")), "\n", -1))
+    df = df.withColumn("line0", F.substring(F.col("_g1")[0], F.length(c) + 8, F.lit(1 << 20)))
     df = df.withColumn("_g2", F.filter(F.split(py_strip(F.col("line0")), " ", -1), lambda p: py_strip(p) != ""))
     df = df.withColumn("_g3", F.struct(F.size("_g2").alias("n"), F.try_element_at("_g2", F.lit(1)).alias("tag"),
                                        py_strip(F.try_element_at("_g2", F.lit(2))).alias("g")))
     n, tag, g = F.col("_g3.n"), F.col("_g3.tag"), F.col("_g3.g")
-    err = (F.when(F.size("_g1") <= 1, "single_line").when(n == 1, "missing_directive").when(n != 2, "word_count")
-           .when(~tag.isin("%md", "%md-sandbox"), "md_tag").when(~g.startswith("--i18n-"), "guid_prefix"))
-    return (df.withColumn("guid", F.when(n >= 2, g)).withColumn("md_tag", tag).withColumn("n_parts", n)
-            .withColumn("error", err).drop("_g1", "_g2", "_g3"))
+    body_err = (F.when(F.size("_g1") <= 1, "single_line").when(n == 1, "missing_directive").when(n != 2, "word_count")
+                .when(~tag.isin("%md", "%md-sandbox"), "md_tag").when(~g.startswith("--i18n-"), "guid_prefix"))
+    # title form
+    df = df.withColumn("_t1", F.split(F.col("title"), ",", -1))
+    df = df.withColumn("_tg", py_strip(F.try_element_at("_t1", F.lit(2))))
+    tg = F.col("_tg")
+    tw = F.size(F.split(tg, " ", -1))
+    title_err = (F.when((F.size("_t1") == 1) | (tg == ""), "no_title").when(tw != 1, "title_words")
+                 .when(~tg.startswith("--i18n-"), "title_prefix"))
+    md = F.col("_md")
+    return (df.withColumn("guid", F.when(~md, None).when(F.col("titled"), F.when(tg != "", tg))
+                          .otherwise(F.when(n >= 2, g)))
+            .withColumn("md_tag", tag)
+            .withColumn("n_parts", F.when(F.col("titled"), tw).otherwise(n))
+            .withColumn("error", F.when(~md, None).when(F.col("titled"), title_err).otherwise(body_err))
+            .drop("_body", "_md", "_g1", "_g2", "_g3", "_t1", "_tg"))
 
 
 def guid_findings(cells: DataFrame, doc: str = "doc_id", pos: str = "pos") -> DataFrame:
@@ -226,7 +253,7 @@ def guid_findings(cells: DataFrame, doc: str = "doc_id", pos: str = "pos") -> Da
             if chunk.startswith("{"):
                 name, rest = chunk[1:].split("}", 1)
                 parts.append({"n": n, "line0": F.col("line0"), "k": F.col("n_parts").cast("string"),
-                              "tag": F.col("md_tag"), "guid": F.col("guid")}[name])
+                              "tag": F.col("md_tag"), "guid": F.col("guid"), "title": F.col("title")}[name])
                 if rest:
                     parts.append(F.lit(rest))
             elif chunk:

@@ -332,17 +332,52 @@ def md_cells(t):
            .when(col("pos") % 4 == 3, F.concat(F.lit(" "), dup))
            .otherwise(F.concat(F.lit(" "), guid)))
     cmd = F.concat(col("cm"), F.lit(" MAGIC %md"), tag, F.lit(NL), col("text"))
-    return c.select("doc_id", "pos", "cm", cmd.alias("command"))
+    # some cells carry the guid in a title line instead (one with an extra word)
+    title = F.concat(col("cm"), F.lit(" DBTITLE 1, "), guid, F.when(k % 24 == 1, F.lit(" extra")).otherwise(F.lit("")))
+    titled = F.concat(title, F.lit(NL), col("cm"), F.lit(" MAGIC %md"), F.lit(NL), col("text"))
+    return c.select("doc_id", "pos", "cm", F.when(k % 8 == 1, titled).otherwise(cmd).alias("command"))
 
 
 _MD_CELLS_SQL = """
-SELECT conv_id AS doc_id, CAST(turn AS BIGINT) AS pos,
-  CASE conv_id % 4 WHEN 0 THEN '#' WHEN 1 THEN '--' WHEN 2 THEN '//' ELSE '#' END AS cm, text,
-  CASE WHEN (conv_id + turn) % 9 = 0 THEN ''
-       WHEN (conv_id + turn) % 10 = 0 THEN ' --i18n-' || conv_id || '-' || turn || ' extra'
-       WHEN turn % 4 = 3 THEN ' --i18n-' || conv_id || '-' || (turn - 2)
-       ELSE ' --i18n-' || conv_id || '-' || turn END AS tag
-FROM conversations WHERE role = 'assistant'"""
+SELECT doc_id, pos, cm, CASE WHEN (doc_id + pos) % 8 = 1
+    THEN cm || ' DBTITLE 1, --i18n-' || doc_id || '-' || pos || CASE WHEN (doc_id + pos) % 24 = 1 THEN ' extra' ELSE '' END
+         || chr(10) || cm || ' MAGIC %md' || chr(10) || text
+    ELSE cm || ' MAGIC %md' || tag || chr(10) || text END AS command
+FROM (
+  SELECT conv_id AS doc_id, CAST(turn AS BIGINT) AS pos,
+    CASE conv_id % 4 WHEN 0 THEN '#' WHEN 1 THEN '--' WHEN 2 THEN '//' ELSE '#' END AS cm, text,
+    CASE WHEN (conv_id + turn) % 9 = 0 THEN ''
+         WHEN (conv_id + turn) % 10 = 0 THEN ' --i18n-' || conv_id || '-' || turn || ' extra'
+         WHEN turn % 4 = 3 THEN ' --i18n-' || conv_id || '-' || (turn - 2)
+         ELSE ' --i18n-' || conv_id || '-' || turn END AS tag
+  FROM conversations WHERE role = 'assistant')"""
+
+
+def _guid_check_sql(src: str) -> str:
+    """(doc_id, pos, cm, command) -> + titled, title, line0, parts, tw, md, guid, error0."""
+    nl = "position(chr(10) IN command)"
+    body = (f"CASE WHEN titled THEN {strip(f'CASE WHEN {nl} > 0 THEN substr(command, {nl} + 1) ELSE left(command, 0) END')} "
+            f"ELSE command END")
+    return f"""
+SELECT *, CASE WHEN NOT md THEN NULL WHEN titled THEN (CASE WHEN tg <> '' THEN tg END)
+               WHEN len(parts) >= 2 THEN {strip('parts[2]')} END AS guid,
+  CASE WHEN NOT md THEN NULL
+       WHEN titled THEN (CASE WHEN len(tparts) = 1 OR tg = '' THEN 'no_title' WHEN tw <> 1 THEN 'title_words'
+                              WHEN NOT starts_with(tg, '--i18n-') THEN 'title_prefix' END)
+       WHEN len(lines) <= 1 THEN 'single_line' WHEN len(parts) = 1 THEN 'missing_directive'
+       WHEN len(parts) <> 2 THEN 'word_count' WHEN parts[1] NOT IN ('%md', '%md-sandbox') THEN 'md_tag'
+       WHEN NOT starts_with({strip('parts[2]')}, '--i18n-') THEN 'guid_prefix' END AS error0
+FROM (
+  SELECT *, list_filter(string_split({strip('line0')}, ' '), lambda x: {strip('x')} <> '') AS parts,
+    string_split(title, ',') AS tparts, {strip("string_split(title, ',')[2]")} AS tg,
+    len(string_split({strip("string_split(title, ',')[2]")}, ' ')) AS tw
+  FROM (
+    SELECT *, substr(lines[1], length(cm) + 8) AS line0 FROM (
+      SELECT *, string_split({strip('body')}, chr(10)) AS lines, starts_with(body, cm || ' MAGIC %md') AS md FROM (
+        SELECT *, {body} AS body FROM (
+          SELECT *, starts_with(command, cm || ' DBTITLE ') AS titled,
+            CASE WHEN starts_with(command, cm || ' DBTITLE ') THEN {strip('split_part(command, chr(10), 1)')} END AS title
+          FROM ({src}))))))"""
 
 
 def _guid_msg_sql():
@@ -352,19 +387,16 @@ def _guid_msg_sql():
       WHEN 'word_count' THEN 'Cmd #' || (pos + 1) || ' | Expected the first line of MD to have only two words, found ' || len(parts) || ': ' || line0
       WHEN 'md_tag' THEN 'Cmd #' || (pos + 1) || ' | Expected word[0] of the first line of MD to be "%md" or "%md-sandbox", found ' || parts[1] || ': ' || line0
       WHEN 'guid_prefix' THEN 'Cmd #' || (pos + 1) || ' | Expected word[1] of the first line of MD to start with "--i18n-", found ' || guid || ': ' || line0
-      WHEN 'duplicate' THEN 'Cmd #' || (pos + 1) || ' | Duplicate i18n GUID found: ' || guid END"""
+      WHEN 'duplicate' THEN 'Cmd #' || (pos + 1) || ' | Duplicate i18n GUID found: ' || guid
+      WHEN 'no_title' THEN 'Cmd #' || (pos + 1) || ' | Missing the i18n directive, no title.'
+      WHEN 'title_words' THEN 'Cmd #' || (pos + 1) || ' | Expected the title to have only one word, found ' || tw || ': ' || guid
+      WHEN 'title_prefix' THEN 'Cmd #' || (pos + 1) || ' | Expected the cell title to start with "--i18n-", found ' || guid || ': ' || title END"""
 
 
 @query("guid_rules", f"""
-WITH c AS ({_MD_CELLS_SQL}),
-p AS (SELECT doc_id, pos, '%md' || tag AS line0,
-        list_filter(string_split({strip("'%md' || tag")}, ' '), lambda x: {strip('x')} <> '') AS parts FROM c),
-r AS (SELECT doc_id, pos, line0, parts, CASE WHEN len(parts) >= 2 THEN {strip('parts[2]')} END AS guid,
-        CASE WHEN len(parts) = 1 THEN 'missing_directive' WHEN len(parts) <> 2 THEN 'word_count'
-             WHEN parts[1] NOT IN ('%md', '%md-sandbox') THEN 'md_tag'
-             WHEN NOT starts_with({strip('parts[2]')}, '--i18n-') THEN 'guid_prefix' END AS error0 FROM p),
-f AS (SELECT doc_id, guid, min(pos) AS first_pos FROM r WHERE error0 IS NULL GROUP BY doc_id, guid),
-e AS (SELECT r.*, CASE WHEN r.error0 IS NULL AND r.pos > f.first_pos THEN 'duplicate' ELSE r.error0 END AS error
+WITH r AS ({_guid_check_sql(_MD_CELLS_SQL)}),
+f AS (SELECT doc_id, guid, min(pos) AS first_pos FROM r WHERE error0 IS NULL AND md GROUP BY doc_id, guid),
+e AS (SELECT r.*, CASE WHEN r.md AND r.error0 IS NULL AND r.pos > f.first_pos THEN 'duplicate' ELSE r.error0 END AS error
       FROM r LEFT JOIN f ON r.doc_id = f.doc_id AND r.guid = f.guid)
 SELECT doc_id, pos, guid, error, {_guid_msg_sql()} AS message FROM e""")
 def guid_rules(t):
@@ -421,28 +453,27 @@ def bundle_to_map(t):
 
 
 def _merged(t):
-    g = K.with_guid_check(md_cells(t)).select("doc_id", "pos", "cm", "command", "guid", "error", "md_tag")
+    g = K.with_guid_check(md_cells(t)).select("doc_id", "pos", "cm", "command", "guid", "error", "md_tag", "titled")
     tr = K.bundle_map(bundles(t, translated=True)).withColumn("_have", F.lit(True))
     j = g.join(tr, ["doc_id", "guid"], "left")
     status = F.when(col("error").isNotNull(), "invalid").when(col("_have").isNull(), "missing").otherwise("translated")
-    new = F.when(status == "translated",
+    new = (F.when((status == "translated") & col("titled"),
+                  F.concat(col("cm"), F.lit(" DBTITLE 0,"), col("guid"), F.lit(NL), col("body")))
+           .when(status == "translated",
                  F.concat(col("cm"), F.lit(" DBTITLE 0,"), col("guid"), F.lit(NL), col("cm"), F.lit(" MAGIC "),
-                          col("md_tag"), F.lit(NL), col("body"))).otherwise(col("command"))
+                          col("md_tag"), F.lit(NL), col("body"))).otherwise(col("command")))
     return j.select("doc_id", "pos", "cm", "guid", status.alias("status"), new.alias("cell"))
 
 
 _MERGED_SQL = f"""
-WITH c AS ({_MD_CELLS_SQL}),
-p AS (SELECT *, cm || ' MAGIC %md' || tag || chr(10) || text AS command,
-        list_filter(string_split({strip("'%md' || tag")}, ' '), lambda x: {strip('x')} <> '') AS parts FROM c),
-r AS (SELECT *, CASE WHEN len(parts) >= 2 THEN {strip('parts[2]')} END AS guid,
-        CASE WHEN len(parts) = 1 THEN 'missing_directive' WHEN len(parts) <> 2 THEN 'word_count'
-             WHEN NOT starts_with({strip('parts[2]')}, '--i18n-') THEN 'guid_prefix' END AS error FROM p),
+WITH r AS ({_guid_check_sql(_MD_CELLS_SQL)}),
 tr AS ({_bundle_map_sql(True)})
 SELECT r.doc_id, r.pos, r.cm, r.guid,
-  CASE WHEN r.error IS NOT NULL THEN 'invalid' WHEN tr.guid IS NULL THEN 'missing' ELSE 'translated' END AS status,
-  CASE WHEN r.error IS NULL AND tr.guid IS NOT NULL
-       THEN r.cm || ' DBTITLE 0,' || r.guid || chr(10) || r.cm || ' MAGIC ' || r.parts[1] || chr(10) || tr.body ELSE r.command END AS cell
+  CASE WHEN r.error0 IS NOT NULL THEN 'invalid' WHEN tr.guid IS NULL THEN 'missing' ELSE 'translated' END AS status,
+  CASE WHEN r.error0 IS NULL AND tr.guid IS NOT NULL AND r.titled THEN r.cm || ' DBTITLE 0,' || r.guid || chr(10) || tr.body
+       WHEN r.error0 IS NULL AND tr.guid IS NOT NULL
+       THEN r.cm || ' DBTITLE 0,' || r.guid || chr(10) || r.cm || ' MAGIC ' || r.parts[1] || chr(10) || tr.body
+       ELSE r.command END AS cell
 FROM r LEFT JOIN tr ON r.doc_id = tr.doc_id AND r.guid = tr.guid"""
 
 

@@ -136,3 +136,30 @@ def test_split_notebooks_round_trip(spark):
     got = [(r.id, r.pos, r.command) for r in K.split_notebooks(df).orderBy("id", "pos").collect()]
     assert got == [(1, 0, "# MAGIC %md\n# MAGIC x\n"), (1, 1, "\nprint(1)\n"), (1, 2, "\n# TODO"),
                    (2, 0, "SELECT 1\n"), (2, 1, "\nSELECT 2")]
+
+
+def test_i18n_titled_goldens(spark):
+    body = "\n# MAGIC %md\n# MAGIC \n# MAGIC # Build-Time Substitutions"
+    cases = {
+        "no_space": ("#", "# DBTITLE 1,--i18n-TBD" + body),
+        "single_space": ("#", "# DBTITLE 1, --i18n-TBD" + body),
+        "double_space": ("#", "# DBTITLE 1,  --i18n-TBD" + body),
+        "sandbox": ("#", "# DBTITLE 1,--i18n-TBD\n# MAGIC %md-sandbox\n# MAGIC # Build-Time Substitutions"),
+        "funky": ("#", "# DBTITLE 1" + body),
+        "missing": ("#", "# DBTITLE 1," + body),
+        "extra": ("#", "# DBTITLE 1,--i18n-TBD some garbage" + body),
+        "sql": ("--", f"-- DBTITLE 1,{GUID}\n-- MAGIC %md-sandbox\n-- MAGIC # Some Title"),
+        "not_md": ("#", "# DBTITLE 1,whatever\nprint(1)"),
+    }
+    want = {
+        "no_space": (None, None), "single_space": (None, None), "double_space": (None, None), "sandbox": (None, None),
+        "funky": ("no_title", "Cmd #1 | Missing the i18n directive, no title."),
+        "missing": ("no_title", "Cmd #1 | Missing the i18n directive, no title."),
+        "extra": ("title_words", "Cmd #1 | Expected the title to have only one word, found 3: --i18n-TBD some garbage"),
+        "sql": (None, None), "not_md": (None, None),
+    }
+    for name, cell in cases.items():
+        assert guid_rows(spark, [cell]) == [want[name]], name
+    dup = ("#", f"# DBTITLE 1,{GUID}\n# MAGIC %md\n# MAGIC # Some Title")
+    assert guid_rows(spark, [("#", "x"), ("#", "y"), ("#", "z"), dup, dup])[4] == (
+        "duplicate", f"Cmd #5 | Duplicate i18n GUID found: {GUID}")
