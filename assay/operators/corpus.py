@@ -208,11 +208,11 @@ def with_guid_check(df: DataFrame, command: str = "command", cm: str = "cm") ->
     nl = F.instr(cmd, "\n")
     df = df.withColumn("titled", titled)
     df = df.withColumn("title", F.when(titled, py_strip(F.substring_index(cmd, "\n", 1))))
-    df = df.withColumn("_body", F.when(titled, py_strip(F.when(nl > 0, F.substring(cmd, nl + 1, F.lit(1 << 30)))
-                                                        .otherwise(F.lit("")))).otherwise(cmd))
-    df = df.withColumn("_md", F.col("_body").startswith(F.concat(c, F.lit(" MAGIC %md"))))
+    df = df.withColumn("md_body", F.when(titled, py_strip(F.when(nl > 0, F.substring(cmd, nl + 1, F.lit(1 << 30)))
+                                                          .otherwise(F.lit("")))).otherwise(cmd))
+    df = df.withColumn("_md", F.col("md_body").startswith(F.concat(c, F.lit(" MAGIC %md"))))
     # body form
-    df = df.withColumn("_g1", F.split(py_strip(F.col("_body")), "\n", -1))
+    df = df.withColumn("_g1", F.split(py_strip(F.col("md_body")), "\n", -1))
     df = df.withColumn("line0", F.substring(F.col("_g1")[0], F.length(c) + 8, F.lit(1 << 20)))
     df = df.withColumn("_g2", F.filter(F.split(py_strip(F.col("line0")), " ", -1), lambda p: py_strip(p) != ""))
     df = df.withColumn("_g3", F.struct(F.size("_g2").alias("n"), F.try_element_at("_g2", F.lit(1)).alias("tag"),
@@ -233,7 +233,7 @@ def with_guid_check(df: DataFrame, command: str = "command", cm: str = "cm") ->
             .withColumn("md_tag", tag)
             .withColumn("n_parts", F.when(F.col("titled"), tw).otherwise(n))
             .withColumn("error", F.when(~md, None).when(F.col("titled"), title_err).otherwise(body_err))
-            .drop("_body", "_md", "_g1", "_g2", "_g3", "_t1", "_tg"))
+            .drop("_md", "_g1", "_g2", "_g3", "_t1", "_tg"))
 
 
 def guid_findings(cells: DataFrame, doc: str = "doc_id", pos: str = "pos") -> DataFrame:
@@ -352,3 +352,25 @@ def split_notebooks(df: DataFrame, text: str = "text", language: str = "language
     delim = F.concat(F.lit("\\Q"), cell_delimiter(cm), F.lit("\\E"))
     parts = F.call_function("split", body, delim, F.lit(-1))
     return df.select("*", F.posexplode(parts).alias("pos", "command"))
+
+
+def merge_translations(cells: DataFrame, translations: DataFrame, doc: str = "doc_id") -> DataFrame:
+    """Markdown cells ``(doc, pos, cm, command)`` with a translation map
+    ``(doc, guid, body)``: a passing guid found in the map is replaced by the
+    translated body under a ``<cm> DBTITLE 0,<guid>`` title (plus the
+    ``<cm> MAGIC %md`` line for the body form); a passing guid missing from
+    it keeps its text under that title (status ``missing``, a warning);
+    failing cells, duplicates included, stay as they are (``invalid``)."""
+    g = guid_findings(cells, doc).select(doc, "pos", "cm", "command", "guid", "error", "md_tag", "titled", "md_body")
+    tr = translations.select(doc, "guid", "body").withColumn("_have", F.lit(True))
+    j = g.join(tr, [doc, "guid"], "left")
+    status = (F.when(F.col("error").isNotNull(), "invalid").when(F.col("_have").isNull(), "missing")
+              .otherwise("translated"))
+    head = F.concat(F.col("cm"), F.lit(" DBTITLE 0,"), F.col("guid"), F.lit("\n"))
+    magic = F.concat(F.col("cm"), F.lit(" MAGIC "), F.col("md_tag"), F.lit("\n"))
+    text = F.when(status == "translated", F.col("body")).otherwise(
+        F.when(F.col("titled"), F.col("md_body")).otherwise(py_strip(F.col("command"))))
+    new = (F.when(status == "invalid", F.col("command"))
+           .when(F.col("titled"), F.concat(head, text))
+           .otherwise(F.concat(head, magic, text)))
+    return j.select(doc, "pos", "cm", "guid", status.alias("status"), new.alias("cell"))

@@ -453,28 +453,24 @@ def bundle_to_map(t):
 
 
 def _merged(t):
-    g = K.with_guid_check(md_cells(t)).select("doc_id", "pos", "cm", "command", "guid", "error", "md_tag", "titled")
-    tr = K.bundle_map(bundles(t, translated=True)).withColumn("_have", F.lit(True))
-    j = g.join(tr, ["doc_id", "guid"], "left")
-    status = F.when(col("error").isNotNull(), "invalid").when(col("_have").isNull(), "missing").otherwise("translated")
-    new = (F.when((status == "translated") & col("titled"),
-                  F.concat(col("cm"), F.lit(" DBTITLE 0,"), col("guid"), F.lit(NL), col("body")))
-           .when(status == "translated",
-                 F.concat(col("cm"), F.lit(" DBTITLE 0,"), col("guid"), F.lit(NL), col("cm"), F.lit(" MAGIC "),
-                          col("md_tag"), F.lit(NL), col("body"))).otherwise(col("command")))
-    return j.select("doc_id", "pos", "cm", "guid", status.alias("status"), new.alias("cell"))
+    """markdown cells merged with the translated bundle (see ``merge_translations``)."""
+    return K.merge_translations(md_cells(t), K.bundle_map(bundles(t, translated=True)))
 
 
 _MERGED_SQL = f"""
 WITH r AS ({_guid_check_sql(_MD_CELLS_SQL)}),
+f AS (SELECT doc_id, guid, min(pos) AS first_pos FROM r WHERE error0 IS NULL AND md GROUP BY doc_id, guid),
+e AS (SELECT r.*, CASE WHEN r.md AND r.error0 IS NULL AND r.pos > f.first_pos THEN 'duplicate' ELSE r.error0 END AS error
+      FROM r LEFT JOIN f ON r.doc_id = f.doc_id AND r.guid = f.guid),
 tr AS ({_bundle_map_sql(True)})
-SELECT r.doc_id, r.pos, r.cm, r.guid,
-  CASE WHEN r.error0 IS NOT NULL THEN 'invalid' WHEN tr.guid IS NULL THEN 'missing' ELSE 'translated' END AS status,
-  CASE WHEN r.error0 IS NULL AND tr.guid IS NOT NULL AND r.titled THEN r.cm || ' DBTITLE 0,' || r.guid || chr(10) || tr.body
-       WHEN r.error0 IS NULL AND tr.guid IS NOT NULL
-       THEN r.cm || ' DBTITLE 0,' || r.guid || chr(10) || r.cm || ' MAGIC ' || r.parts[1] || chr(10) || tr.body
-       ELSE r.command END AS cell
-FROM r LEFT JOIN tr ON r.doc_id = tr.doc_id AND r.guid = tr.guid"""
+SELECT e.doc_id, e.pos, e.cm, e.guid,
+  CASE WHEN e.error IS NOT NULL THEN 'invalid' WHEN tr.guid IS NULL THEN 'missing' ELSE 'translated' END AS status,
+  CASE WHEN e.error IS NOT NULL THEN e.command
+       ELSE e.cm || ' DBTITLE 0,' || e.guid || chr(10) ||
+            CASE WHEN e.titled THEN '' ELSE e.cm || ' MAGIC ' || e.parts[1] || chr(10) END ||
+            CASE WHEN tr.guid IS NOT NULL THEN tr.body WHEN e.titled THEN e.body ELSE {strip('e.command')} END
+  END AS cell
+FROM e LEFT JOIN tr ON e.doc_id = tr.doc_id AND e.guid = tr.guid"""
 
 
 @query("translation_merge", f"""
