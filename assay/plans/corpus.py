@@ -289,7 +289,7 @@ x AS (SELECT doc_id, pos, role, CASE
         WHEN v = 0 THEN target || ' x'
         WHEN v = 1 THEN target
         ELSE NULL END AS target,
-      CASE WHEN role = 'user' AND v = 2 THEN 'Missing closing quote in %run target' END AS warning,
+      CASE WHEN role = 'user' AND v = 2 THEN 'Cmd #' || (pos + 1) || ' | Missing closing quote in %run target' END AS warning,
       CASE WHEN role <> 'user' AND pos % 5 < 4 THEN 'Using unsupported repo' END AS error
       FROM r)
 SELECT doc_id, pos, target, warning, error FROM x WHERE target IS NOT NULL OR warning IS NOT NULL OR error IS NOT NULL""")
@@ -308,7 +308,8 @@ def run_targets(t):
     target = (F.when(quoted & (qpos > 0), F.substring(rest, F.lit(1), qpos - 1))
               .when(quoted, F.lit(None))
               .when(spos > 1, F.substring(link, F.lit(1), spos - 1)).otherwise(link))
-    warning = F.when(is_run & quoted & (qpos == 0), F.lit("Missing closing quote in %run target"))
+    warning = F.when(is_run & quoted & (qpos == 0),
+                     F.concat(F.lit("Cmd #"), (col("pos") + 1).cast("string"), F.lit(" | Missing closing quote in %run target")))
     is_pip = col("command").startswith(F.concat(col("cm"), F.lit(" MAGIC %pip")))
     banned = F.lit(False)
     for r in BANNED_REPOS:
