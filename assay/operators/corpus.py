@@ -374,3 +374,27 @@ def merge_translations(cells: DataFrame, translations: DataFrame, doc: str = "do
            .when(F.col("titled"), F.concat(head, text))
            .otherwise(F.concat(head, magic, text)))
     return j.select(doc, "pos", "cm", "guid", status.alias("status"), new.alias("cell"))
+
+
+# Per notebook language the magic that must not appear in its
+# own cells, and the warning text.
+OWN_MAGICS = {"python": ['%python', 'Found "%python" in a Python notebook'],
+              "sql": ['%sql', 'Found "%sql" in a SQL notebook'],
+              "scala": ['%scala', 'Found "%scala" in a Scala notebook'],
+              "r": ['%r ', 'Found "%r" in an R notebook', '%r\n', 'Found "%r" in an R notebook']}
+
+
+def magic_findings(cells: DataFrame, command: str = "command", cm: str = "cm", language: str = "language",
+                   pos: str = "pos") -> DataFrame:
+    """Warnings for a cell (other than a markdown cell) that names its own
+    notebook language's magic; R cells are checked for '%r ' and '%r\\n'
+    separately.  One projection and an explode, no join."""
+    cmd, lang = F.col(command), F.lower(F.col(language))
+    not_md = ~cmd.startswith(F.concat(F.col(cm), F.lit(" MAGIC %md")))
+    checks = []
+    for name, pairs in OWN_MAGICS.items():
+        for i in range(0, len(pairs), 2):
+            token, text = pairs[i], pairs[i + 1]
+            hit = not_md & (lang == name) & (F.instr(cmd, token) > 0)
+            checks.append(F.when(hit, F.concat(F.lit("Cmd #"), (F.col(pos) + 1).cast("string"), F.lit(f" | {text}"))))
+    return cells.select("*", F.explode(F.array_compact(F.array(*checks))).alias("warning"))

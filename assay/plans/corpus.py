@@ -11,7 +11,7 @@ from assay.functions.text import py_strip
 from assay.operators import corpus as K
 from assay.operators import manifest as M
 from assay.plans import standins as S
-from assay.plans.corpus_sql import DIRECTIVES_SQL, lst, strip
+from assay.plans.corpus_sql import COMMANDS_SQL, DIRECTIVES_SQL, lst, strip
 from assay.plans.registry import query
 
 col = F.col
@@ -52,8 +52,11 @@ def commands(t):
     magic_body = F.concat(cm, F.lit(" MAGIC %sql\n"), cm, F.lit(" MAGIC -- TODO\n"),
                           F.array_join(F.transform(F.split("text", NL, -1),
                                                    lambda l: F.concat(cm, F.lit(" MAGIC -- "), l)), NL))
+    # some source-only cells end with their own language's magic (a lint warning)
+    own = F.when((col("role") == "system") & (k % 3 == 0),
+                 F.concat(F.lit(NL), cm, F.lit(" MAGIC %"), col("language"), F.lit(" x"))).otherwise(F.lit(""))
     return c.withColumn("command", F.when(magic, F.concat(pre, magic_body))
-                        .otherwise(F.concat(pre, header, F.lit(NL), body)))
+                        .otherwise(F.concat(pre, header, F.lit(NL), body, own)))
 
 
 def directive_cells(t):
@@ -162,6 +165,26 @@ def uncomment_todo(t):
     return c.select(F.inline(keep))
 
 
+@query("magic_lint", f"""
+WITH c AS ({COMMANDS_SQL}),
+w AS (
+  SELECT doc_id, pos, 'Cmd #' || (pos + 1) || ' | Found "%python" in a Python notebook' AS warning FROM c
+    WHERE language = 'python' AND NOT starts_with(command, cm || ' MAGIC %md') AND contains(command, '%python')
+  UNION ALL SELECT doc_id, pos, 'Cmd #' || (pos + 1) || ' | Found "%sql" in a SQL notebook' FROM c
+    WHERE language = 'sql' AND NOT starts_with(command, cm || ' MAGIC %md') AND contains(command, '%sql')
+  UNION ALL SELECT doc_id, pos, 'Cmd #' || (pos + 1) || ' | Found "%scala" in a Scala notebook' FROM c
+    WHERE language = 'scala' AND NOT starts_with(command, cm || ' MAGIC %md') AND contains(command, '%scala')
+  UNION ALL SELECT doc_id, pos, 'Cmd #' || (pos + 1) || ' | Found "%r" in an R notebook' FROM c
+    WHERE language = 'r' AND NOT starts_with(command, cm || ' MAGIC %md') AND contains(command, '%r ')
+  UNION ALL SELECT doc_id, pos, 'Cmd #' || (pos + 1) || ' | Found "%r" in an R notebook' FROM c
+    WHERE language = 'r' AND NOT starts_with(command, cm || ' MAGIC %md') AND contains(command, '%r' || chr(10)))
+SELECT * FROM w""")
+def magic_lint(t):
+    """Row 113: cells (other than markdown) that use their own notebook
+    language's magic, with the reference's warning text."""
+    return K.magic_findings(commands(t)).select("doc_id", "pos", "warning")
+
+
 # Tokens a published text must not contain (the reference's
 # list with its missing comma, which fuses R_ONLY and VIDEO), the licence
 # phrases flagged as well, and the copyright holder of the year check.

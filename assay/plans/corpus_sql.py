@@ -34,7 +34,8 @@ SELECT *,
        WHEN role = 'assistant' THEN cm || ' ANSWER'
        ELSE cm || ' SOURCE_ONLY' END || chr(10) ||
   CASE WHEN role = 'user' THEN array_to_string(list_transform(string_split(text, chr(10)), lambda l: cm || ' ' || l), chr(10))
-       ELSE text END
+       ELSE text END ||
+  CASE WHEN role = 'system' AND (doc_id + pos) % 3 = 0 THEN chr(10) || cm || ' MAGIC %' || language || ' x' ELSE '' END
   END AS command
 FROM ({CELLS_SQL})"""
 
