@@ -595,6 +595,14 @@ def assemble_documents(t):
     return docs.select("doc_id", "target", F.size("cells").cast("bigint").alias("n_cells"), F.md5(src).alias("source_md5"))
 
 
+# The gate rule messages.
+GATE_MESSAGES = {
+    "header": "One of the two header directives (INCLUDE_HEADER_TRUE or INCLUDE_HEADER_FALSE) were not found.",
+    "footer": "One of the two footer directives (INCLUDE_FOOTER_TRUE or INCLUDE_FOOTER_FALSE) were not found.",
+    "todo": "Found more TODO commands (%d) than ANSWER commands (%d)",
+}
+
+
 @query("doc_gate_rules", _ROUTED_SQL + """,
 s AS (SELECT doc_id,
         CAST(count_if(list_contains(targets, 'student') AND NOT list_contains(targets, 'solution') AND list_contains(directives, 'TODO')) AS BIGINT) AS todo_count,
@@ -605,7 +613,11 @@ s AS (SELECT doc_id,
       FROM r GROUP BY doc_id)
 SELECT *, concat_ws(',', CASE WHEN NOT found_header THEN 'missing_header_directive' END,
                          CASE WHEN NOT found_footer THEN 'missing_footer_directive' END,
-                         CASE WHEN answer_count < todo_count THEN 'more_todo_than_answer' END) AS errors
+                         CASE WHEN answer_count < todo_count THEN 'more_todo_than_answer' END) AS errors,
+  concat_ws(chr(10),
+    CASE WHEN NOT found_header THEN 'One of the two header directives (INCLUDE_HEADER_TRUE or INCLUDE_HEADER_FALSE) were not found.' END,
+    CASE WHEN NOT found_footer THEN 'One of the two footer directives (INCLUDE_FOOTER_TRUE or INCLUDE_FOOTER_FALSE) were not found.' END,
+    CASE WHEN answer_count < todo_count THEN 'Found more TODO commands (' || todo_count || ') than ANSWER commands (' || answer_count || ')' END) AS messages
 FROM s""")
 def doc_gate_rules(t):
     """Row 52: per notebook the TODO / ANSWER counts, header and footer
@@ -626,7 +638,11 @@ def doc_gate_rules(t):
     errors = F.concat_ws(",", F.when(~col("found_header"), F.lit("missing_header_directive")),
                          F.when(~col("found_footer"), F.lit("missing_footer_directive")),
                          F.when(col("answer_count") < col("todo_count"), F.lit("more_todo_than_answer")))
-    return s.withColumn("errors", errors)
+    messages = F.concat_ws("\n", *[F.when(c, F.lit(m)) for c, m in [
+        (~col("found_header"), GATE_MESSAGES["header"]), (~col("found_footer"), GATE_MESSAGES["footer"])]],
+        F.when(col("answer_count") < col("todo_count"),
+               F.format_string(GATE_MESSAGES["todo"], col("todo_count"), col("answer_count"))))
+    return s.withColumn("errors", errors).withColumn("messages", messages)
 
 
 @query("resource_bundle", f"""
