@@ -301,6 +301,8 @@ def run_cells(t):
 
 # Retired library repositories a %pip cell must not install.
 BANNED_REPOS = ["helper-lib", "rest-lib", "gems-lib", "courseware-lib"]
+REPO_BASE = "https://example.org/"
+CURRENT_REPO = "current-lib"
 
 
 @query("run_targets", f"""
@@ -313,7 +315,9 @@ x AS (SELECT doc_id, pos, role, CASE
         WHEN v = 1 THEN target
         ELSE NULL END AS target,
       CASE WHEN role = 'user' AND v = 2 THEN 'Cmd #' || (pos + 1) || ' | Missing closing quote in %run target' END AS warning,
-      CASE WHEN role <> 'user' AND pos % 5 < 4 THEN 'Using unsupported repo' END AS error
+      CASE WHEN role <> 'user' AND pos % 5 < 4 THEN 'Cmd #' || (pos + 1) || ' | Using unsupported repo, https://example.org/' ||
+        CASE pos % 5 WHEN 0 THEN 'helper-lib' WHEN 1 THEN 'rest-lib' WHEN 2 THEN 'gems-lib' ELSE 'courseware-lib' END ||
+        ' is no longer supported; please use https://example.org/current-lib instead.' END AS error
       FROM r)
 SELECT doc_id, pos, target, warning, error FROM x WHERE target IS NOT NULL OR warning IS NOT NULL OR error IS NOT NULL""")
 def run_targets(t):
@@ -334,10 +338,13 @@ def run_targets(t):
     warning = F.when(is_run & quoted & (qpos == 0),
                      F.concat(F.lit("Cmd #"), (col("pos") + 1).cast("string"), F.lit(" | Missing closing quote in %run target")))
     is_pip = col("command").startswith(F.concat(col("cm"), F.lit(" MAGIC %pip")))
-    banned = F.lit(False)
-    for r in BANNED_REPOS:
-        banned = banned | col("command").contains(f"https://example.org/{r}")
-    error = F.when(is_pip & banned, F.lit("Using unsupported repo"))
+    error = F.lit(None).cast("string")
+    for r in reversed(BANNED_REPOS):
+        full = f"{REPO_BASE}{r}"
+        error = F.when(is_pip & col("command").contains(full), F.concat(
+            F.lit("Cmd #"), (col("pos") + 1).cast("string"),
+            F.lit(f" | Using unsupported repo, {full} is no longer supported; please use {REPO_BASE}{CURRENT_REPO} instead.")
+        )).otherwise(error)
     out = c.select("doc_id", "pos", F.when(is_run, target).alias("target"), warning.alias("warning"), error.alias("error"))
     return out.where(col("target").isNotNull() | col("warning").isNotNull() | col("error").isNotNull())
 
