@@ -44,6 +44,16 @@ def cell_delimiter(cm: Column) -> Column:
     return F.concat(F.lit("\n"), cm, F.lit(" COMMAND ----------\n"))
 
 
+# Directive message texts (the publishing-help pointer neutral).
+DIRECTIVE_MESSAGES = {
+    "double_todo": "Found double-comment of TODO directive",
+    "hyphen": "Hyphen found in directive ",
+    "unsupported": "Unsupported directive ",
+    "see": ", see the publishing help for more information.",
+    "multiple": "Found multiple directives (",
+}
+
+
 def with_leading_comments(df: DataFrame, command: str = "command", cm: str = "cm",
                           out: str = "comments") -> DataFrame:
     """Add ``out``: the comment texts before the first non-comment line.
@@ -104,7 +114,7 @@ def with_directives(df: DataFrame, comments: str = "comments") -> DataFrame:
          .when(x["d"] != x["mod"], F.when(x["mod"].isin("__" + D_TODO, "___" + D_TODO), "double_todo")
                .otherwise("none"))
          .when(x["warn"] > 0, "warned").otherwise("directive").alias("cls"),
-        x["warn"].alias("warn"))))
+        x["warn"].alias("warn"), x["d"].alias("d"))))
     df = df.withColumn("directives", F.transform(F.filter("_dc3", lambda x: x["cls"] == "directive"),
                                                  lambda x: x["text"]))
     df = df.withColumn("n_main", F.size(F.filter("directives", lambda x: ~x.isin(HEADER_FOOTER))))
@@ -112,6 +122,18 @@ def with_directives(df: DataFrame, comments: str = "comments") -> DataFrame:
                        + F.when(F.col("n_main") > 1, 1).otherwise(0))
     df = df.withColumn("warnings", F.aggregate(
         "_dc3", F.lit(0), lambda acc, x: acc + F.when(x["cls"] == "warned", x["warn"]).otherwise(0)))
+    # message bodies in the order the reference reports them
+    q = F.lit('"')
+    per_comment = F.flatten(F.transform("_dc3", lambda x: F.array_compact(F.array(
+        F.when(x["cls"] == "double_todo", F.lit(DIRECTIVE_MESSAGES["double_todo"])),
+        F.when((x["cls"] == "warned") & x["d"].contains("-"),
+               F.concat(F.lit(DIRECTIVE_MESSAGES["hyphen"]), q, x["d"], q, F.lit(": "), x["text"])),
+        F.when((x["cls"] == "warned") & ~x["d"].isin(SUPPORTED_DIRECTIVES),
+               F.concat(F.lit(DIRECTIVE_MESSAGES["unsupported"]), q, x["d"], q, F.lit(DIRECTIVE_MESSAGES["see"])))))))
+    multiple = F.when(F.col("n_main") > 1, F.concat(
+        F.lit(DIRECTIVE_MESSAGES["multiple"]), F.col("n_main").cast("string"), F.lit("): ['"),
+        F.array_join("directives", "', '"), F.lit("']")))
+    df = df.withColumn("messages", F.array_compact(F.concat(per_comment, F.array(multiple))))
     return df.drop("_dc1", "_dc2", "_dc3")
 
 

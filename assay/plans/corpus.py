@@ -11,7 +11,7 @@ from assay.functions.text import py_strip
 from assay.operators import corpus as K
 from assay.operators import manifest as M
 from assay.plans import standins as S
-from assay.plans.corpus_sql import COMMANDS_SQL, DIRECTIVES_SQL, lst, strip
+from assay.plans.corpus_sql import COMMANDS_SQL, DIRECTIVES_SQL, directive_messages_sql, lst, strip
 from assay.plans.registry import query
 
 col = F.col
@@ -117,14 +117,17 @@ def split_cells(t):
 WITH d AS ({DIRECTIVES_SQL})
 SELECT doc_id, pos, CAST(len(comments) AS INTEGER) AS n_comments, array_to_string(directives, ',') AS directives,
   CAST(n_main AS INTEGER) AS n_main, CAST(n_double + CASE WHEN n_main > 1 THEN 1 ELSE 0 END AS INTEGER) AS errors,
-  CAST(n_warn AS INTEGER) AS warnings
+  CAST(n_warn AS INTEGER) AS warnings,
+  array_to_string(list_transform({directive_messages_sql()}, lambda m: 'Cmd #' || (pos + 1) || ' | ' || m), chr(10)) AS messages
 FROM d""")
 def extract_directives(t):
     """Row 110: leading comments of each cell and the directives among them,
     with double-comment errors and hyphen / unsupported warnings."""
     c = directive_cells(t)
+    msgs = F.transform("messages", lambda m: F.concat(F.lit("Cmd #"), (col("pos") + 1).cast("string"), F.lit(" | "), m))
     return c.select("doc_id", "pos", F.size("comments").alias("n_comments"),
-                    F.array_join("directives", ",").alias("directives"), "n_main", "errors", "warnings")
+                    F.array_join("directives", ",").alias("directives"), "n_main", "errors", "warnings",
+                    F.array_join(msgs, "\n").alias("messages"))
 
 
 @query("route_cells", f"""

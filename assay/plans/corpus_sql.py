@@ -89,3 +89,20 @@ d AS (SELECT *, list_transform(list_filter(classified, lambda x: x.cls = 'direct
         len(list_filter(classified, lambda x: x.cls = 'double_todo')) AS n_double,
         coalesce(list_sum(list_transform(classified, lambda x: x.warnings)), 0) AS n_warn FROM cl)
 SELECT *, len(list_filter(directives, lambda x: x NOT IN {lst(K.HEADER_FOOTER)})) AS n_main FROM d"""
+
+
+def directive_messages_sql() -> str:
+    """message bodies per cell from ``classified``, ``directives`` and ``n_main``."""
+    q = chr(39)
+    per = ("flatten(list_transform(classified, lambda x: list_filter(["
+           "CASE WHEN x.cls = 'double_todo' THEN 'Found double-comment of TODO directive' END, "
+           "CASE WHEN x.cls = 'warned' AND contains(x.text, '-') THEN 'Hyphen found in directive \"' || x.text || '\": ' || x.text END, "
+           f"CASE WHEN x.cls = 'warned' AND x.text NOT IN {lst(K.SUPPORTED_DIRECTIVES)} THEN "
+           "'Unsupported directive \"' || x.text || '\", see the publishing help for more information.' END], "
+           "lambda m: m IS NOT NULL)))")
+    open_b = q + "): [" + q * 3            # SQL literal for the text  ): ['
+    sep = q * 3 + ", " + q * 3             # SQL literal for the text  ', '
+    close = q * 3 + "]" + q                # SQL literal for the text  ']
+    multiple = (f"CASE WHEN n_main > 1 THEN ['Found multiple directives (' || n_main || {open_b} || "
+                f"array_to_string(directives, {sep}) || {close}] ELSE [] END")
+    return f"list_concat({per}, {multiple})"

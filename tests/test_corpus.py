@@ -190,3 +190,13 @@ def test_magic_findings(spark):
     got = sorted((r.pos, r.warning) for r in K.magic_findings(df).collect())
     assert got == [(0, 'Cmd #1 | Found "%python" in a Python notebook'), (2, 'Cmd #3 | Found "%r" in an R notebook'),
                    (2, 'Cmd #3 | Found "%r" in an R notebook'), (3, 'Cmd #4 | Found "%sql" in a SQL notebook')]
+
+
+def test_directive_messages(spark):
+    df = cells(spark, [(2, "#", "# # TODO\n# x = 1"), (4, "#", "# WIP-NOTE\nprint(1)"), (6, "#", "# TODO\n# ANSWER\nx")])
+    d = K.with_directives(K.with_leading_comments(df))
+    got = {r.id: r.messages for r in d.collect()}
+    assert got[2] == ["Found double-comment of TODO directive"]
+    assert got[4] == ['Hyphen found in directive "WIP-NOTE": WIP-NOTE',
+                      'Unsupported directive "WIP-NOTE", see the publishing help for more information.']
+    assert got[6] == ["Found multiple directives (2): ['TODO', 'ANSWER']"]
