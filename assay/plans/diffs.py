@@ -155,7 +155,7 @@ def schema_audit(t):
                                                      "expected_nullable boolean")
     j = exp.join(schemas.select("table", "name", "type", "nullable"), ["table", "name"], "left")
     # the data side of the audit: nulls per audited field, one pass per table
-    present = {(r.table, r.name) for r in schemas.select("table", "name").collect()}
+    present = {(name, f.name) for name in TABLES for f in getattr(t, name).schema.fields}   # metadata only
     counts = None
     for name in sorted({tb for tb, _, _, _ in SCHEMA_EXPECTATIONS}):
         fields = [f for tb, f, _, _ in SCHEMA_EXPECTATIONS if tb == name and (tb, f) in present]
