@@ -80,12 +80,53 @@ def _event_checks():
     ]
 
 
-@query("stream_scorecard")
+N_BATCH_FILES = 4
+
+
+def _land_ranges(t, name, n_files):
+    """events landed as ``n_files`` files, one per equal event-id range,
+    written one after the other (one file per append)."""
+    spark = t.spark
+    root = sinks.new_scratch(spark, name)
+    ev = t.events
+    top = ev.agg(F.max("event_id") + 1).scalar()
+    bucket = F.floor(col("event_id") * n_files / top)
+    for b in range(n_files):
+        ev.where(bucket == b).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    return spark, root, ev.schema
+
+
+_BATCH_SQL = """
+WITH e AS (SELECT *, CAST(floor(event_id * 4 / (SELECT max(event_id) + 1 FROM events)) AS INTEGER) AS b FROM events),
+a AS (SELECT b, min(event_id) AS batch_first,
+        count_if(user_id IS NULL) = 0 AS ok1,
+        count_if(NOT coalesce(event_type IN ('signup','purchase','error','view','click'), false)) = 0 AS ok2,
+        coalesce(bool_and(coalesce(value > 0, false)), true) AS ok3,
+        coalesce(abs(avg(value) - 25.0) <= 5.0, false) AS ok4,
+        coalesce(bool_and(coalesce(NOT (event_type = 'error'), false)), true) AS ok5,
+        coalesce(bool_and(coalesce(json_extract_string(props, '$.k') IS NOT NULL, false)), true) AS ok6
+      FROM e GROUP BY b),
+u AS (SELECT batch_first, seq, check_id, ok FROM a, (VALUES (1, 'user_set'), (2, 'known_type'), (3, 'value_positive'),
+        (4, 'mean_value'), (5, 'no_errors'), (6, 'json_props')) v(seq, check_id),
+        LATERAL (SELECT CASE seq WHEN 1 THEN ok1 WHEN 2 THEN ok2 WHEN 3 THEN ok3 WHEN 4 THEN ok4 WHEN 5 THEN ok5 ELSE ok6 END AS ok)),
+w AS (SELECT *, coalesce(bool_or(NOT ok) OVER (PARTITION BY batch_first ORDER BY seq
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), false) AS skipped FROM u),
+st AS (SELECT batch_first, CAST(seq AS INTEGER) AS seq, check_id,
+         CASE WHEN skipped THEN 'skipped' WHEN ok THEN 'passed' ELSE 'failed' END AS status,
+         CAST(CASE WHEN NOT skipped AND ok THEN 1 ELSE 0 END AS INTEGER) AS points FROM w)
+SELECT st.*, CAST(sum(points) OVER (PARTITION BY batch_first) AS BIGINT) AS score, CAST(6 AS BIGINT) AS max_score,
+  CAST(floor(100.0 * sum(points) OVER (PARTITION BY batch_first) / 6) AS INTEGER) AS percentage
+FROM st"""
+
+
+@query("stream_scorecard", _BATCH_SQL)
 def stream_scorecard(t):
     """Rows 82, 85: the event constraints evaluated on every micro-batch (one file
     per trigger) with foreachBatch; each batch's scorecard is written under
-    its batch id (idempotent on replay) and identified by its first event."""
-    spark, root, schema = _landed(t, "stream-score", n_files=4)
+    its batch id (idempotent on replay) and identified by its first event.
+    Files hold equal event-id ranges, so each batch's rows are known whatever
+    order the files are picked in."""
+    spark, root, schema = _land_ranges(t, "stream-score", N_BATCH_FILES)
     s = J.file_stream(spark, f"{root}/in", schema, max_files_per_trigger=1)
     J.batch_scorecards(s, _event_checks, f"{root}/out", J.checkpoint_location(root, "ckpt/score"), "event_id")
     r = spark.read.parquet(f"{root}/out")
