@@ -9,6 +9,7 @@ is collected across rows.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from assay.functions.text import py_strip
@@ -262,8 +263,12 @@ def guid_findings(cells: DataFrame, doc: str = "doc_id", pos: str = "pos") -> Da
     """Rule findings per markdown cell plus duplicate guids within a document
     (the first passing cell of a guid wins): ``error`` and ``message``."""
     g = with_guid_check(cells)
-    first = g.where(F.col("error").isNull()).groupBy(doc, "guid").agg(F.min(pos).alias("_first"))
-    j = g.join(first, [doc, "guid"], "left")
+    # first passing cell per (document, guid): a window over one document's
+    # cells (bounded by the document), so the check is computed once -- no
+    # self-join and no filter on the derived error (which Catalyst would push
+    # below the projections and recompute)
+    w = Window.partitionBy(doc, "guid")
+    j = g.withColumn("_first", F.min(F.when(F.col("error").isNull(), F.col(pos))).over(w))
     j = j.withColumn("error", F.when(F.col("error").isNull() & (F.col(pos) > F.col("_first")), F.lit("duplicate"))
                      .otherwise(F.col("error")))
     n = (F.col(pos) + 1).cast("string")
