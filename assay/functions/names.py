@@ -56,9 +56,9 @@ def stable_hash(*args, length: int) -> Column:
     for i in range(8):
         chunk = F.conv(F.substring(hx, 4 * i + 1, 4), 16, 10).cast("bigint")
         r = (r * F.lit(65536) + chunk) % F.lit(m)
-    digits = [F.substring(F.lit(BASE36_DIGITS), ((r / F.lit(36 ** i)).cast("bigint") % 36 + 1).cast("int"), 1)
-              for i in range(length)]
-    return F.concat(*digits)
+    # base-36 digits of r (most significant first), padded, then reversed:
+    # least significant digit first, as the hash is defined
+    return F.reverse(F.lpad(F.lower(F.conv(r.cast("string"), 10, 36)), length, "0"))
 
 
 def user_hash(username, workspace_id) -> Column:
