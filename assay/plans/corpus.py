@@ -348,8 +348,14 @@ def run_targets(t):
             F.lit("Cmd #"), (col("pos") + 1).cast("string"),
             F.lit(f" | Using unsupported repo, {full} is no longer supported; please use {REPO_BASE}{CURRENT_REPO} instead.")
         )).otherwise(error)
-    out = c.select("doc_id", "pos", F.when(is_run, target).alias("target"), warning.alias("warning"), error.alias("error"))
-    return out.where(col("target").isNotNull() | col("warning").isNotNull() | col("error").isNotNull())
+    out = c.select("doc_id", "pos", F.struct(F.when(is_run, target).alias("target"), warning.alias("warning"),
+                                             error.alias("error")).alias("f"))
+    # keep rows with a finding through a 0/1-element explode (a filter would be
+    # pushed below the projection and evaluate every expression twice)
+    f = col("f")
+    keep = F.when(f["target"].isNotNull() | f["warning"].isNotNull() | f["error"].isNotNull(), F.array(f)).otherwise(
+        F.array().cast("array<struct<target:string,warning:string,error:string>>"))
+    return out.select("doc_id", "pos", F.inline(keep))
 
 
 # ------------------------------------------------------------ i18n and bundles
