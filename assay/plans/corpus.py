@@ -210,17 +210,21 @@ def forbidden_tokens(t):
     """Row 113: forbidden tokens, flagged licence phrases and copyright
     years 2017-2998 found in each document (one finding per token)."""
     d = t.documents.select("doc_id", "text")
+    return d.select("doc_id", F.explode(token_hits(col("text"))).alias("token"))
+
+
+def token_hits(text):
+    """Forbidden tokens, flagged phrases and copyright tags found in a text."""
     toks = F.array(*[F.lit(x) for x in FORBIDDEN_TOKENS + FLAGGED_PHRASES])
     # one regex pass decides whether a document can hold any token at all;
     # only those documents pay for the exact per-token containment test
-    maybe = col("text").rlike("|".join(re.escape(x) for x in FORBIDDEN_TOKENS + FLAGGED_PHRASES))
-    found = F.when(maybe, F.filter(toks, lambda x: F.instr(col("text"), x) > 0)).otherwise(
+    maybe = text.rlike("|".join(re.escape(x) for x in FORBIDDEN_TOKENS + FLAGGED_PHRASES))
+    found = F.when(maybe, F.filter(toks, lambda x: F.instr(text, x) > 0)).otherwise(
         F.array().cast("array<string>"))
-    years = F.when(F.instr(col("text"), f" {COPYRIGHT_HOLDER}") > 0, F.array_distinct(
-        F.regexp_extract_all("text", F.lit(f"{YEAR_PATTERN} {COPYRIGHT_HOLDER}"), 1))).otherwise(
+    years = F.when(F.instr(text, f" {COPYRIGHT_HOLDER}") > 0, F.array_distinct(
+        F.regexp_extract_all(text, F.lit(f"{YEAR_PATTERN} {COPYRIGHT_HOLDER}"), 1))).otherwise(
         F.array().cast("array<string>"))
-    tags = F.transform(years, lambda y: F.concat(y, F.lit(f" {COPYRIGHT_HOLDER}")))
-    return d.select("doc_id", F.explode(F.concat(found, tags)).alias("token"))
+    return F.concat(found, F.transform(years, lambda y: F.concat(y, F.lit(f" {COPYRIGHT_HOLDER}"))))
 
 
 # Literals a source document must not use (parameters).
@@ -238,12 +242,15 @@ def prohibited_lines(t):
     """Row 114: for each prohibited literal, the stripped line of its first
     occurrence in a source-language document."""
     d = t.documents.where(col("lang").isin(SOURCE_LANGS)).select("doc_id", "text")
-    hits = F.array(*[F.struct(F.lit(w).alias("what"), K.line_of_first(col("text"), w).alias("line"))
-                     for w in PROHIBITED])
-    x = d.select("doc_id", F.explode(hits).alias("h"))
+    x = d.select("doc_id", F.explode(prohibited_hits(col("text"))).alias("h"))
     return x.where(col("h.line").isNotNull()).select("doc_id", col("h.what").alias("what"), col("h.line").alias("line"))
 
 
+def prohibited_hits(text):
+    """(what, first line holding it or NULL) for every prohibited literal."""
+    return F.array(*[F.struct(F.lit(w).alias("what"), K.line_of_first(text, w).alias("line")) for w in PROHIBITED])
+
+
 HREF_PATTERN = "^/[a-z]"  # second, parameterised link rule (lower-case slug)
 
 
@@ -910,10 +917,16 @@ def _per_doc_findings(t):
              .agg(F.count(F.lit(1)).alias("n_warnings"))
              .select(F.concat(F.lit("page-"), col("page_id").cast("string")).alias("doc_key"),
                      F.lit(0).cast("bigint").alias("n_errors"), "n_warnings"))
-    docs = (forbidden_tokens(t).select("doc_id", F.lit(1).alias("e"), F.lit(0).alias("w"))
-            .unionByName(prohibited_lines(t).select("doc_id", F.lit(0).alias("e"), F.lit(1).alias("w")))
-            .groupBy("doc_id").agg(F.sum("e").alias("n_errors"), F.sum("w").alias("n_warnings"))
-            .select(F.concat(F.lit("doc-"), col("doc_id").cast("string")).alias("doc_key"), "n_errors", "n_warnings"))
+    # documents: token errors and prohibited-literal warnings in one pass over the text
+    d = t.documents.select("doc_id", "lang", "text")
+    n_err = F.size(token_hits(col("text"))).cast("bigint")
+    n_warn = F.when(col("lang").isin(SOURCE_LANGS),
+                    F.size(F.filter(prohibited_hits(col("text")), lambda h: h["line"].isNotNull()))).otherwise(0)
+    counts = d.select(F.concat(F.lit("doc-"), col("doc_id").cast("string")).alias("doc_key"),
+                      F.struct(n_err.alias("n_errors"), n_warn.cast("bigint").alias("n_warnings")).alias("c"))
+    keep = F.when((col("c.n_errors") + col("c.n_warnings")) > 0, F.array("c")).otherwise(
+        F.array().cast("array<struct<n_errors:bigint,n_warnings:bigint>>"))
+    docs = counts.select("doc_key", F.inline(keep))
     out = conv.unionByName(pages).unionByName(docs)
     return (out.select("doc_key", col("n_errors").cast("bigint").alias("n_errors"),
                        col("n_warnings").cast("bigint").alias("n_warnings"))
