@@ -236,14 +236,18 @@ SOURCE_LANGS = ["en", "fr", "de"]
 WITH d AS (SELECT doc_id, text FROM documents WHERE lang IN {lst(SOURCE_LANGS)}),
 w AS (SELECT * FROM (VALUES {', '.join("('" + x.replace("'", "''") + "')" for x in PROHIBITED)}) v(what)),
 h AS (SELECT doc_id, what, text, instr(text, what) AS p FROM d, w WHERE instr(text, what) > 0)
-SELECT doc_id, what, {strip("split_part(substr(text, 1, p - 1), chr(10), -1) || split_part(substr(text, p), chr(10), 1)")} AS line
-FROM h""")
+SELECT doc_id, what, line, 'Cmd #1 | Course includes prohibited use of ' || what || ':' || chr(10) || '| ' || line AS message
+FROM (SELECT doc_id, what, {strip("split_part(substr(text, 1, p - 1), chr(10), -1) || split_part(substr(text, p), chr(10), 1)")} AS line
+      FROM h)""")
 def prohibited_lines(t):
     """Row 114: for each prohibited literal, the stripped line of its first
     occurrence in a source-language document."""
     d = t.documents.where(col("lang").isin(SOURCE_LANGS)).select("doc_id", "text")
     x = d.select("doc_id", F.explode(prohibited_hits(col("text"))).alias("h"))
-    return x.where(col("h.line").isNotNull()).select("doc_id", col("h.what").alias("what"), col("h.line").alias("line"))
+    # a document is one cell: the reference's message template, numbered Cmd #1
+    msg = F.concat(F.lit("Cmd #1 | Course includes prohibited use of "), col("h.what"), F.lit(":\n| "), col("h.line"))
+    return x.where(col("h.line").isNotNull()).select("doc_id", col("h.what").alias("what"), col("h.line").alias("line"),
+                                                     msg.alias("message"))
 
 
 def prohibited_hits(text):
