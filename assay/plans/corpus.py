@@ -261,15 +261,19 @@ HREF_PATTERN = "^/[a-z]"  # second, parameterised link rule (lower-case slug)
 @query("html_link_lint", f"""
 SELECT page_id, CAST(u.i - 1 AS INTEGER) AS link_no, u.link,
   NOT contains(u.link, 'target="_blank"') AS missing_target,
-  NOT regexp_matches(regexp_extract(u.link, 'href="([^"]*)"', 1), '{HREF_PATTERN}') AS bad_href
+  NOT regexp_matches(regexp_extract(u.link, 'href="([^"]*)"', 1), '{HREF_PATTERN}') AS bad_href,
+  CASE WHEN NOT contains(u.link, 'target="_blank"')
+       THEN 'Cmd #1 | Found HTML link without the required target="_blank": ' || u.link END AS message
 FROM pages, unnest(regexp_extract_all(html, '<a .*?</a>')) WITH ORDINALITY AS u(link, i)""")
 def html_link_lint(t):
     """Row 115: HTML links lacking target="_blank", and links whose href
     breaks a parameterised pattern."""
     p = t.pages.select("page_id", F.posexplode(K.html_links(col("html"))).alias("link_no", "link"))
     href = F.regexp_extract("link", 'href="([^"]*)"', 1)
-    return p.select("page_id", "link_no", "link", (~col("link").contains('target="_blank"')).alias("missing_target"),
-                    (~href.rlike(HREF_PATTERN)).alias("bad_href"))
+    missing = ~col("link").contains('target="_blank"')
+    msg = F.when(missing, F.concat(F.lit('Cmd #1 | Found HTML link without the required target="_blank": '), col("link")))
+    return p.select("page_id", "link_no", "link", missing.alias("missing_target"),
+                    (~href.rlike(HREF_PATTERN)).alias("bad_href"), msg.alias("message"))
 
 
 def markdown_pages(t):
