@@ -200,3 +200,18 @@ def test_directive_messages(spark):
     assert got[4] == ['Hyphen found in directive "WIP-NOTE": WIP-NOTE',
                       'Unsupported directive "WIP-NOTE", see the publishing help for more information.']
     assert got[6] == ["Found multiple directives (2): ['TODO', 'ANSWER']"]
+
+
+def test_segment_diff_operator(spark):
+    a = spark.createDataFrame([
+        ("x.md", "x.md\n<hr>--i18n-1\nsame\n<hr>--i18n-2\nold text\n<hr>--i18n-3\ngone"),
+        ("only_a.md", "only_a.md\n<hr>--i18n-9\nz"),
+    ], "file string, text string")
+    b = spark.createDataFrame([
+        ("x.md", "x.md\n<hr>--i18n-1\n  same  \n<hr>--i18n-2\nnew text\n<hr sandbox>--i18n-4\nadded"),
+        ("only_b.md", "only_b.md\n<hr>--i18n-8\ny"),
+    ], "file string, text string")
+    got = sorted((r.file, r.change_type, r.message) for r in K.segment_diff(a, b).collect())
+    assert got == [("only_a.md", "Missing Notebook", "only_a.md from latest"),
+                   ("only_b.md", "Missing Notebook", "only_b.md from original"),
+                   ("x.md", "Cell Added", "4"), ("x.md", "Cell Changed", "2"), ("x.md", "Cell Removed", "3")]
