@@ -69,3 +69,11 @@ def test_entry_contract(spark):
     assert df.count() == 10
     assert set(E.oracle_sql()) <= set(E.queries())
     assert "status" in df.columns and "score" in df.columns
+
+
+def test_every_query_names_its_survey_rows():
+    import re
+
+    for name, fn in QUERIES.items():
+        assert re.search(r"[Rr]ows? [0-9]", fn.__doc__ or ""), name
+    assert set(ORACLES) == set(QUERIES)
