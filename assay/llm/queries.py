@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import bpe, exact, mixing, quality, urls
+from assay.llm import bpe, exact, htmltext, langid, licenses, mixing, neardup, pii, quality, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,3 +114,39 @@ FROM n WINDOW g AS (PARTITION BY norm)""")
 def op10(documents: DataFrame) -> DataFrame:
     """The document that stays of each group of equal texts."""
     return exact.exact_dedup(documents)
+
+
+@register("op2_near_dedup", "documents")
+def op2(documents: DataFrame) -> DataFrame:
+    """The group of near copies of every document."""
+    return neardup.near_dedup(documents)
+
+
+@register("op3_language_id", "documents")
+def op3(documents: DataFrame) -> DataFrame:
+    """Predicted language of every document."""
+    return langid.identify(documents, public_tokenizers.path(BPE_RANKS))
+
+
+
+
+
+@register("op4_license_scan", "documents")
+def op4(documents: DataFrame) -> DataFrame:
+    """License phrases and passages in every document."""
+    return licenses.scan(documents).drop("spans")
+
+
+@register("op5_pii", "documents")
+def op5(documents: DataFrame) -> DataFrame:
+    """Personal data and the terms that reveal it, in every document."""
+    found = pii.find(documents)
+    of = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("long")
+    return found.select("doc_id", *[of(k).alias(f"n_{k}") for k in pii.KINDS[:4]],
+                        F.sha2(pii.as_text("base"), 256).alias("base_sha256"), pii.as_text("spans").alias("spans"))
+
+
+@register("op6_html_text", "pages")
+def op6(pages: DataFrame) -> DataFrame:
+    """Main text of every page."""
+    return htmltext.extract(pages.select("page_id", "url", "html")).withColumn("n_chars", F.length("text").cast("long"))

@@ -74,7 +74,7 @@ def filter_urls(urls: DataFrame, rules: DataFrame, url: str = "url", suspect=SUS
     """``urls`` with ``host, path, rule, verdict``; columns that are named so are replaced.
 
     ``rules``: ``verdict, host, path`` (see ``RULES``), any number of rows; of
-    rules with one host and path, block beats allow.  A null url, or one
+    rules of one length, block beats allow.  A null url, or one
     without ``://``, has an empty host and path; only a rule without a host
     label could meet it, so it is allowed.  Repeated urls are judged once and
     each row gets the verdict; no column but ``url`` plays a part.
@@ -102,8 +102,8 @@ def filter_urls(urls: DataFrame, rules: DataFrame, url: str = "url", suspect=SUS
         .withColumn("digest", digest).withColumn("prefix", F.substring("digest", 1, PREFIX_DIGITS))
         .join(listed, "prefix")
         .where((F.col("digest") == F.col("rule_digest")) & F.startswith(F.col("path"), F.col("rule_path"))))
-    # Any rule beats any word; longer beats shorter, block beats allow.
-    rank = F.struct(F.col("rule").isNotNull(), F.coalesce(F.length("rule"), F.lit(0)), F.length("rule_path") * -1, F.col("verdict") == "block")
+    # Any rule beats any word; longer beats shorter, of one length block beats allow.
+    rank = F.struct(F.col("rule").isNotNull(), F.coalesce(F.length("rule"), F.lit(0)), F.col("verdict") == "block", "rule")
     best = met.groupBy("host", "path").agg(F.max_by(F.struct("rule", "verdict"), rank).alias("best"))
     return (parsed.join(best, ["host", "path"], "left")
             .select(*rest, "host", "path", F.col("best.rule").alias("rule"),
