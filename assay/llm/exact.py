@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from assay.llm.staging import stage
 
 SPACES = r"[\x20\x09-\x0D]+"
-MIN_CHARS, MAX_CHARS = 512, 4096
-#: What ends a chunk: a space after a word with one of these endings.
-CUT = r"(?<=[aeiou][dnrst])\x20"
+MIN_CHARS, MAX_CHARS = 256, 4096
+#: What ends a chunk: a space after a word with one of these endings, as there is one in some hundred characters.
+CUT = r"(?<=[dlst][aeiou][nrst])\x20"
 
 
 def normalised(text: Column) -> Column:
