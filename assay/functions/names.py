@@ -90,13 +90,14 @@ def catalog_name(username, workspace_id, lesson_name=None, hash_col=None) -> Col
 
 
 def lesson_number(path) -> Column:
-    """Numeric prefix before the first ' - ' (leading non-digits dropped), else -1."""
+    """Numeric prefix before the first ' - ' (leading non-digits dropped), else
+    -1; BIGINT, NULL where a number does not fit it."""
     p = _c(path)
     prefix = py_strip(F.substring_index(p, " - ", 1))
     stripped = F.regexp_replace(prefix, r"^[^\p{Nd}]+", "")
     return (F.when(~p.contains(" - "), F.lit(-1))
-            .when(stripped.rlike(r"^[0-9]+$") & (F.length(stripped) <= 9), stripped.cast("int"))
-            .otherwise(F.lit(-1)))
+            .when(stripped.rlike(r"^[0-9]+$"), stripped.try_cast("bigint"))
+            .otherwise(F.lit(-1)).cast("bigint"))
 
 
 def zero_pad(n, width: int = 3) -> Column:

@@ -19,6 +19,18 @@ def py_strip(value) -> Column:
     return F.regexp_replace(_c(value), rf"^{WS}+|{WS}+$", "")
 
 
+def tail(value, start) -> Column:
+    """The text from position ``start`` (1-based) to its end."""
+    v = _c(value)
+    return F.substring(v, start, F.length(v))
+
+
+def left_pad(value, width: int, pad: str = " ") -> Column:
+    """Padded on the left to ``width``; longer text stays whole (``lpad`` cuts it)."""
+    v = _c(value)
+    return F.when(F.length(v) < width, F.lpad(v, width, pad)).otherwise(v)
+
+
 def html_escape(value) -> Column:
     """``html.escape(quote=True)``: & < > " '."""
     v = F.replace(_c(value), F.lit("&"), F.lit("&amp;"))

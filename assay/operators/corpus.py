@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from assay.functions.text import py_strip
+from assay.functions.text import py_strip, tail
 
 # Directive names, the SQL words that look like directives,
 # and the header/footer directives that do not count as a cell's directive.
@@ -75,17 +75,17 @@ def with_leading_comments(df: DataFrame, command: str = "command", cm: str = "cm
                        .otherwise(c))
     cell_m, cn = F.col("_cm"), F.length(F.col("_cm"))
     df = df.withColumn("_lc1", F.transform(lines, lambda l: (
-        F.when(l.startswith(F.concat(c, F.lit(" MAGIC"))), py_strip(F.substring(l, n + 7, F.lit(1 << 30))))
-         .when(l.startswith(F.concat(c, F.lit(" COMMAND"))), py_strip(F.substring(l, n + 9, F.lit(1 << 30))))
+        F.when(l.startswith(F.concat(c, F.lit(" MAGIC"))), py_strip(tail(l, n + 7)))
+         .when(l.startswith(F.concat(c, F.lit(" COMMAND"))), py_strip(tail(l, n + 9)))
          .otherwise(l))))
     df = df.withColumn("_lc2", F.transform("_lc1", lambda l: F.struct(
         l.alias("l1"), py_strip(l).alias("s1"), F.instr(l, " ").alias("sp"))))
     df = df.withColumn("_lc3", F.transform("_lc2", lambda x: py_strip(
         F.when(x["s1"].startswith("%"), F.when(x["sp"] == 0, F.lit(""))
-               .otherwise(py_strip(F.substring(x["l1"], x["sp"], F.lit(1 << 30))))).otherwise(x["l1"]))))
+               .otherwise(py_strip(tail(x["l1"], x["sp"])))).otherwise(x["l1"]))))
     df = df.withColumn("_lc4", F.transform("_lc3", lambda s: F.struct(
         F.when((s == cell_m) | (s == ""), "skip").when(s.startswith(cell_m), "comment").otherwise("stop").alias("kind"),
-        py_strip(F.substring(s, cn + 1, F.lit(1 << 30))).alias("text"))))
+        py_strip(tail(s, cn + 1)).alias("text"))))
     df = df.withColumn("_lcstop", F.array_position(F.transform("_lc4", lambda k: k["kind"] == "stop"), True))
     take = F.when(F.col("_lcstop") == 0, F.col("_lc4")).otherwise(
         F.slice("_lc4", F.lit(1), (F.col("_lcstop") - 1).cast("int")))
@@ -185,8 +185,8 @@ def with_clean_todo(df: DataFrame, command: str = "command", cm: str = "cm",
                           .when(x["err"] == 1, F.lit(""))
                           .when(x["s"].startswith(todo), x["line"])
                           .when((x["s"] == "") | (x["s"] == magic), x["line"])
-                          .when(x["s"].startswith(F.concat(p, F.lit(" "))), F.substring(x["line"], n + 2, F.lit(1 << 30)))
-                          .otherwise(F.substring(x["line"], n + 1, F.lit(1 << 30))))
+                          .when(x["s"].startswith(F.concat(p, F.lit(" "))), tail(x["line"], n + 2))
+                          .otherwise(tail(x["line"], n + 1)))
     df = df.withColumn(out, F.array_join(F.transform("_ct2", out_line), "\n"))
     df = df.withColumn(errors, F.aggregate("_ct2", F.lit(0), lambda acc, x: acc + x["err"]))
     return df.drop("_ct1", "_ct2", "_ctf", "_ctp")
@@ -196,7 +196,7 @@ def line_of_first(text: Column, what: str) -> Column:
     """The stripped line holding the first occurrence of ``what`` (NULL if absent)."""
     pos = F.instr(text, what)
     before = F.substring_index(F.substring(text, F.lit(1), pos - 1), "\n", -1)
-    after = F.substring_index(F.substring(text, pos, 1 << 30), "\n", 1)
+    after = F.substring_index(tail(text, pos), "\n", 1)
     return F.when(pos > 0, py_strip(F.concat(before, after)))
 
 
@@ -231,12 +231,12 @@ def with_guid_check(df: DataFrame, command: str = "command", cm: str = "cm") ->
     nl = F.instr(cmd, "\n")
     df = df.withColumn("titled", titled)
     df = df.withColumn("title", F.when(titled, py_strip(F.substring_index(cmd, "\n", 1))))
-    df = df.withColumn("md_body", F.when(titled, py_strip(F.when(nl > 0, F.substring(cmd, nl + 1, F.lit(1 << 30)))
+    df = df.withColumn("md_body", F.when(titled, py_strip(F.when(nl > 0, tail(cmd, nl + 1))
                                                           .otherwise(F.lit("")))).otherwise(cmd))
     df = df.withColumn("_md", F.col("md_body").startswith(F.concat(c, F.lit(" MAGIC %md"))))
     # body form
     df = df.withColumn("_g1", F.split(py_strip(F.col("md_body")), "\n", -1))
-    df = df.withColumn("line0", F.substring(F.col("_g1")[0], F.length(c) + 8, F.lit(1 << 20)))
+    df = df.withColumn("line0", tail(F.col("_g1")[0], F.length(c) + 8))
     df = df.withColumn("_g2", F.filter(F.split(py_strip(F.col("line0")), " ", -1), lambda p: py_strip(p) != ""))
     df = df.withColumn("_g3", F.struct(F.size("_g2").alias("n"), F.try_element_at("_g2", F.lit(1)).alias("tag"),
                                        py_strip(F.try_element_at("_g2", F.lit(2))).alias("g")))
@@ -303,7 +303,7 @@ def bundle_map(b):
     parts = b.select("doc_id", F.posexplode(F.split("bundle", BUNDLE_SPLIT, -1)).alias("i", "part"))
     nl = F.instr("part", "\n")
     guid = py_strip(F.concat(F.lit("--i18n-"), F.when(nl == 0, F.col("part")).otherwise(F.substring("part", F.lit(1), nl - 1))))
-    body = F.when(nl == 0, F.lit("")).otherwise(F.substring("part", nl + 1, 1 << 30))
+    body = F.when(nl == 0, F.lit("")).otherwise(tail("part", nl + 1))
     x = parts.where(F.col("i") > 0).select("doc_id", "i", guid.alias("guid"), body.alias("body"))
     return x.groupBy("doc_id", "guid").agg(F.max_by("body", "i").alias("body"))
 
@@ -320,7 +320,7 @@ def read_segments(files):
         m.alias("m"), F.coalesce(F.try_element_at("marks", k + 2), F.size("lines") + 1).alias("nx"))))
     s = f.select("file", "lines", F.explode("segs").alias("s"))
     ml = F.element_at("lines", F.col("s.m"))
-    guid = py_strip(F.when(ml.startswith("<hr>--i18n-"), F.substring(ml, 12, 1 << 20)).otherwise(F.substring(ml, 20, 1 << 20)))
+    guid = py_strip(F.when(ml.startswith("<hr>--i18n-"), tail(ml, 12)).otherwise(tail(ml, 20)))
     body = F.array_join(F.slice("lines", F.col("s.m") + 1, F.col("s.nx") - F.col("s.m") - 1), "\n")
     x = s.select("file", guid.alias("guid"), F.col("s.m").alias("m"), body.alias("contents"))
     return x.groupBy("file", "guid").agg(F.max_by("contents", "m").alias("contents"))
@@ -341,7 +341,7 @@ def segment_digests(files: DataFrame) -> DataFrame:
     s = f.select("file", "lines", F.explode(F.concat(marker, segs)).alias("s"))
     ml = F.element_at("lines", F.greatest(F.col("s.m"), F.lit(1)))
     guid = F.when(F.col("s.is_file"), F.lit("")).otherwise(
-        py_strip(F.when(ml.startswith("<hr>--i18n-"), F.substring(ml, 12, 1 << 20)).otherwise(F.substring(ml, 20, 1 << 20))))
+        py_strip(F.when(ml.startswith("<hr>--i18n-"), tail(ml, 12)).otherwise(tail(ml, 20))))
     body = F.when(F.col("s.is_file"), F.lit("")).otherwise(
         F.array_join(F.slice("lines", F.col("s.m") + 1, F.col("s.nx") - F.col("s.m") - 1), "\n"))
     x = s.select("file", F.col("s.is_file").alias("_is_file"), guid.alias("guid"), F.col("s.m").alias("m"),

@@ -1,8 +1,8 @@
 """Frame, row, schema, snapshot, tree and spec comparison as distributed plans.
 
-Nothing is collected: each diff is one shuffle (a full outer join on the key,
-or one signed group-by for multiset equality) and returns the differences
-as rows.  Wide text is compared through ``sha2`` so only digests shuffle.
+Nothing is collected: each diff is one shuffle (a signed group-by, by key or by
+whole row, for frames; a full outer join on the key for snapshots and trees)
+and returns the differences as rows.  Wide values are compared through digests.
 """
 
 from __future__ import annotations
@@ -11,8 +11,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType
+from pyspark.sql.types import ArrayType, MapType, NumericType, StructType
 
+from assay.functions.text import left_pad
 from assay.operators.ordering import with_row_index
 
 
@@ -41,56 +42,129 @@ def comparable(c: Column, t) -> Column:
     return F.struct(*[comparable(c[f.name], f.dataType).alias(f.name) for f in t.fields])
 
 
-def _cmp_cols(df: DataFrame, cols: list[str], prefix: str) -> list[Column]:
-    types = {f.name: f.dataType for f in df.schema.fields}
-    return [comparable(F.col(c), types[c]).alias(f"{prefix}{c}") for c in cols]
+def _comparable_frames(a: DataFrame, b: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Both frames with ``cols`` as values that compare alike: maps as sorted
+    entries, numbers of two types as their common type; values of two kinds
+    (text and number, say) never compare equal."""
+    ta, tb = ({f.name: f.dataType for f in x.schema.fields} for x in (a, b))
+
+    def value(c: str, own, other) -> Column:
+        v = comparable(F.col(f"`{c}`"), own)
+        if own == other:
+            return v
+        if isinstance(own, NumericType) and isinstance(other, NumericType):
+            common = a.select(f"`{c}`").unionByName(b.select(f"`{c}`")).schema[c].dataType
+            return v.cast(common)
+        return F.when(v.isNotNull(), F.concat(F.lit(own.simpleString() + ":"), v.cast("string")))
+
+    return (a.select(*[value(c, ta[c], tb[c]).alias(c) for c in cols]),
+            b.select(*[value(c, tb[c], ta[c]).alias(c) for c in cols]))
+
+
+def _columns(a: DataFrame, b: DataFrame) -> tuple[list[str], list[tuple[str, str]]]:
+    """Columns of both frames, and (column, side) of those that only one has."""
+    return ([c for c in a.columns if c in b.columns],
+            [(c, "left_only") for c in a.columns if c not in b.columns] + [(c, "right_only") for c in b.columns if c not in a.columns])
 
 
 def multiset_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     """Rows whose multiplicity differs: ``side`` (left_only / right_only) and
     ``n`` (how many more copies that side has).  Order-insensitive; map-side
-    partial aggregation collapses duplicates before the shuffle."""
-    cols = a.columns
-    u = a.select(*cols, F.lit(1).alias("_s")).unionByName(b.select(*cols, F.lit(-1).alias("_s")))
-    g = u.groupBy(*cols).agg(F.sum("_s").alias("_d")).where(F.col("_d") != 0)
-    return g.select(*cols, F.when(F.col("_d") > 0, "left_only").otherwise("right_only").alias("side"),
-                    F.abs(F.col("_d")).cast("bigint").alias("n"))
+    partial aggregation collapses duplicates before the shuffle.
+
+    Frames with different columns have no row in common: all rows differ, and
+    for each column of one side only there is a row of nulls whose ``side`` is
+    ``<side> column <name>``, so that empty frames differ as well."""
+    both, alone = _columns(a, b)
+    cols = both + [c for c, _ in alone]
+    sided = [F.lit(side).alias("_f") for side in (("a", "b") if alone else ("", ""))]
+    u = a.select(*a.columns, sided[0], F.lit(1).alias("_s")).unionByName(
+        b.select(*b.columns, sided[1], F.lit(-1).alias("_s")), allowMissingColumns=True)
+    g = u.groupBy(*cols, "_f").agg(F.sum("_s").alias("_d")).where(F.col("_d") != 0)
+    out = g.select(*cols, F.when(F.col("_d") > 0, "left_only").otherwise("right_only").alias("side"),
+                   F.abs(F.col("_d")).cast("bigint").alias("n"))
+    if alone:
+        names = F.explode(F.array(*[F.lit(f"{side} column {c}") for c, side in alone]))
+        kinds = {f.name: f.dataType for f in out.schema.fields}
+        out = out.unionByName(a.sparkSession.range(1).select(
+            *[F.lit(None).cast(kinds[c]).alias(c) for c in cols], names.alias("side"), F.lit(1).cast("bigint").alias("n")))
+    return out
+
+
+def _grouped(a: DataFrame, b: DataFrame, keys: list[str], vals: list[str]) -> DataFrame:
+    """Per key (null keys are equal): rows on each side, and for each column
+    and the whole row whether its values differ as a multiset.
+
+    One aggregate over the union of both frames; what crosses the shuffle is a
+    key, two counts and a signed sum of 64-bit digests for each column, after
+    map-side combine, so neither null nor repeated keys go to a join."""
+    missing = [k for k in keys if k not in a.columns or k not in b.columns]
+    if missing:
+        raise ValueError(f"key columns must be in both frames: {missing}")
+    ca, cb = _comparable_frames(a, b, keys + vals)
+
+    def side(df: DataFrame, sign: int) -> DataFrame:
+        digest = lambda *c: (F.xxhash64(*[F.col(f"`{x}`") for x in c]) * F.lit(sign).cast("decimal(1,0)"))
+        return df.select(*[f"`{k}`" for k in keys], F.lit(int(sign > 0)).alias("_a"), F.lit(int(sign < 0)).alias("_b"),
+                         *[digest(c).alias(f"_d_{c}") for c in vals],
+                         (digest(*vals) if vals else F.lit(sign).cast("decimal(20,0)")).alias("_row"))
+
+    u = side(ca, 1).unionByName(side(cb, -1))
+    g = u.groupBy(*[f"`{k}`" for k in keys]).agg(
+        F.sum("_a").alias("_a"), F.sum("_b").alias("_b"), F.sum("_row").alias("_row"),
+        *[F.sum(f"`_d_{c}`").alias(f"_d_{c}") for c in vals])
+    return g.withColumn("_same", (F.col("_a") == F.col("_b")) & (F.col("_row") == 0))
 
 
 def keyed_diff(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
-    """Full outer join on ``keys``; per key the presence and the names of the
-    columns whose values differ (null-safe)."""
-    vals = [c for c in a.columns if c not in keys]
-    la = a.select(*keys, *_cmp_cols(a, vals, "_a_"), F.lit(True).alias("_in_a"))
-    lb = b.select(*keys, *_cmp_cols(b, vals, "_b_"), F.lit(True).alias("_in_b"))
-    j = la.join(lb, keys, "full_outer")
-    diffs = F.array_compact(F.array(*[F.when(~F.col(f"_a_{c}").eqNullSafe(F.col(f"_b_{c}")), F.lit(c))
-                                      for c in vals]))
-    kind = (F.when(F.col("_in_b").isNull(), "left_only").when(F.col("_in_a").isNull(), "right_only")
-            .when(F.size(diffs) > 0, "changed"))
-    return (j.select(*keys, kind.alias("kind"),
-                     F.when(F.col("_in_a") & F.col("_in_b"), F.array_join(diffs, ",")).alias("changed_columns"))
-            .where(F.col("kind").isNotNull()))
+    """Per key the presence (``kind``: left_only, right_only, changed) and the
+    names of the columns whose values differ (null-safe).
+
+    Keys may be null, null equalling null, and may repeat: the rows of a key are
+    compared as a multiset.  A column that only one frame has is reported by a
+    row of null keys, of kind ``column_left_only`` or ``column_right_only``."""
+    both, alone = _columns(a, b)
+    vals = [c for c in both if c not in keys]
+    g = _grouped(a, b, keys, vals)
+    diffs = F.array_compact(F.array(*[F.when(F.col(f"`_d_{c}`") != 0, F.lit(c)) for c in vals])) if vals else F.array()
+    kind = (F.when(F.col("_b") == 0, "left_only").when(F.col("_a") == 0, "right_only").when(~F.col("_same"), "changed"))
+    out = g.select(*[f"`{k}`" for k in keys], kind.alias("kind"),
+                   F.when((F.col("_a") > 0) & (F.col("_b") > 0), F.array_join(diffs, ",")).alias("changed_columns")
+                   ).where(F.col("kind").isNotNull())
+    if alone:
+        kinds = {f.name: f.dataType for f in out.schema.fields}
+        found = F.inline(F.array(*[F.struct(F.lit(f"column_{side}").alias("kind"), F.lit(c).alias("changed_columns")) for c, side in alone]))
+        out = out.unionByName(a.sparkSession.range(1).select(*[F.lit(None).cast(kinds[k]).alias(k) for k in keys], found))
+    return out
 
 
 def ordered_diff(a: DataFrame, b: DataFrame, order: list[str]) -> DataFrame:
     """Positional compare (the reference's ``zipWithIndex`` semantics) on the
-    caller's order: rows at the same index must be equal."""
-    ia = with_row_index(a, order, "row_idx")
-    ib = with_row_index(b, order, "row_idx")
-    return keyed_diff(ia, ib, ["row_idx"])
+    caller's order: rows at the same index must be equal.  Only the order keys
+    and a digest of each column are numbered and pinned, not whole rows."""
+    both, alone = _columns(a, b)
+    ca, cb = _comparable_frames(a, b, both)
+
+    def numbered(df: DataFrame, compared: DataFrame) -> DataFrame:
+        wide = compared.select(*[F.xxhash64(f"`{c}`").alias(f"_v_{c}") for c in both], *[F.col(f"`{k}`").alias(f"_k_{k}") for k in order])
+        idx = with_row_index(wide, [f"_k_{k}" for k in order], "row_idx")
+        return idx.select("row_idx", *[F.col(f"`_v_{c}`").alias(c) for c in both])
+
+    missing = [k for k in order if k not in both]
+    if missing:
+        raise ValueError(f"order columns must be in both frames: {missing}")
+    one_sided = [F.lit(None).cast("bigint").alias(c) for c, side in alone if side == "left_only"]
+    other = [F.lit(None).cast("bigint").alias(c) for c, side in alone if side == "right_only"]
+    return keyed_diff(numbered(a, ca).select("*", *one_sided), numbered(b, cb).select("*", *other), ["row_idx"])
 
 
 def rows_equal(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
     """Per key: are the rows equal as name-keyed dicts (column order ignored,
-    None == None; a missing row on one side is unequal)."""
-    vals = sorted(c for c in a.columns if c not in keys)
-    la = a.select(*keys, *_cmp_cols(a, vals, "_a_"), F.lit(True).alias("_in_a"))
-    lb = b.select(*keys, *_cmp_cols(b, vals, "_b_"), F.lit(True).alias("_in_b"))
-    j = la.join(lb, keys, "full_outer")
-    eq = reduce(lambda x, y: x & y, [F.col(f"_a_{c}").eqNullSafe(F.col(f"_b_{c}")) for c in vals], F.lit(True))
-    both = F.col("_in_a").isNotNull() & F.col("_in_b").isNotNull()
-    return j.select(*keys, (both & eq).alias("rows_equal"))
+    None == None; a missing row or a missing column is unequal; repeated keys
+    are compared as multisets)."""
+    both, alone = _columns(a, b)
+    g = _grouped(a, b, keys, [c for c in both if c not in keys])
+    return g.select(*[f"`{k}`" for k in keys], (F.col("_same") & F.lit(not alone)).alias("rows_equal"))
 
 
 def frame_summary(diff: DataFrame) -> DataFrame:
@@ -140,7 +214,7 @@ def snapshot_diff(a: DataFrame, b: DataFrame, key: str = "path", text: str = "co
     db = digest(b, key, text).withColumnsRenamed({"_h": "_hb", "_len": "len_b"})
     j = da.join(db, key, "full_outer")
     label = F.concat(_thousands(F.col("len_a")), F.lit(" vs "), _thousands(F.col("len_b")), F.lit(":"))
-    label = F.when(F.length(label) < 20, F.lpad(label, 20, " ")).otherwise(label)
+    label = left_pad(label, 20)
     kind = (F.when(F.col("_hb").isNull(), "deleted").when(F.col("_ha").isNull(), "added")
             .when(F.col("_ha") != F.col("_hb"), "differs"))
     msg = (F.when(kind == "deleted", F.concat(F.lit("Notebook deleted: `"), F.col(key), F.lit("`")))
@@ -201,10 +275,10 @@ def policy_audit(policies: DataFrame, name: str, definition: str, acl: str, expe
     whose ACL lacks ``level`` for ``group`` (first permission of the entry)."""
     ctype = F.get_json_object(definition, "$.cluster_type.value")
     pool = F.get_json_object(definition, "$.instance_pool_id.value")
-    wrong = policies.where(~ctype.eqNullSafe(F.lit(exempt_type)) & ~pool.eqNullSafe(F.lit(expected_pool))).select(
-        F.col(name).alias("policy"), F.lit("Wrong instance pool").alias("error"))
-    has_use = F.exists(acl, lambda a: (a["group_name"] == group)
-                       & (F.try_element_at(a["all_permissions"], F.lit(1))["permission_level"] == level))
-    missing = policies.where(F.col(name).startswith(acl_prefix) & ~has_use).select(
-        F.col(name).alias("policy"), F.lit(f"Missing {group} access").alias("error"))
-    return wrong.unionByName(missing)
+    wrong = ~ctype.eqNullSafe(F.lit(exempt_type)) & ~pool.eqNullSafe(F.lit(expected_pool))
+    # Entries of users have no group, and a policy may have no entries: neither is access.
+    has_use = F.coalesce(F.exists(acl, lambda a: a["group_name"].eqNullSafe(F.lit(group)) & F.try_element_at(
+        a["all_permissions"], F.lit(1))["permission_level"].eqNullSafe(F.lit(level))), F.lit(False))
+    errors = F.array_compact(F.array(F.when(wrong, F.lit("Wrong instance pool")), F.when(
+        F.col(name).startswith(acl_prefix) & ~has_use, F.lit(f"Missing {group} access"))))
+    return policies.select(F.col(name).alias("policy"), F.explode_outer(errors).alias("error")).where("error is not null")

@@ -1,14 +1,16 @@
 """Failure propagation over an explicit dependency DAG.
 
-Semi-naive frontier expansion: each round joins the newly failed/skipped
-nodes to the edge list (one shuffle join), so the number of rounds is the
-DAG depth, not the data size.  Lineage is cut with a reliable
-``checkpoint()`` (in ``spark.checkpoint.dir``) every few rounds so an executor
-loss re-reads the checkpoint instead of replaying every round.
+Frontier expansion: a round joins the nodes reached last to the edge list, a
+few hops in one job, and sets apart what earlier rounds reached.  The loop ends
+when a round reaches nothing new, whatever the depth.  Each round is written by
+a reliable ``checkpoint()`` (in ``spark.checkpoint.dir``), so that an executor
+loss re-reads files instead of replaying rounds; nothing is cached.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,46 +18,35 @@ from assay.session import checkpoint_dir
 
 
 def propagate_skips(nodes: DataFrame, edges: DataFrame, node: str = "id", ok: str = "ok",
-                    child: str = "child", parent: str = "parent", max_rounds: int = 10_000,
-                    checkpoint_every: int = 4, rows_per_partition: int = 1_000_000) -> DataFrame:
+                    child: str = "child", parent: str = "parent", hops: int = 4) -> DataFrame:
     """``nodes(node, ok)``, ``edges(child, parent)`` -> ``nodes + status``.
 
     A node is *skipped* when any node it depends on failed or was skipped,
-    otherwise *passed* / *failed* by ``ok``.
+    otherwise *passed* / *failed* by ``ok``.  Cycles end as well.
     """
     checkpoint_dir(nodes.sparkSession)
-    # the edge list is read by every round: pin it once (reliable checkpoint)
-    e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).checkpoint(eager=True)
-    frontier = nodes.where(~F.coalesce(F.col(ok), F.lit(False))).select(F.col(node).alias("_id"))
-    skipped, total = None, 0
-
-    def parts(df, rows):
-        return max(1, min(df.rdd.getNumPartitions(), -(-rows // rows_per_partition)))
-
-    for rnd in range(max_rounds):
-        new = (e.join(frontier, e._p == frontier._id, "left_semi").select(F.col("_c").alias("_id")).distinct())
+    passed = F.coalesce(F.col(ok), F.lit(False))
+    # Children by parent, read by every hop: pinned once, laid out by parent.
+    e = edges.select(F.col(child).alias("_c"), F.col(parent).alias("_p")).repartition("_p").checkpoint(eager=True)
+    frontier = nodes.where(~passed).select(F.col(node).alias("_id"))
+    skipped = None
+    while True:
+        steps, at = [], frontier
+        for hop in range(1, hops + 1):
+            at = e.join(at, e._p == at._id, "left_semi").select(F.col("_c").alias("_id")).distinct()
+            steps.append(at.withColumn("_hop", F.lit(hop)))
+        new = reduce(DataFrame.union, steps).groupBy("_id").agg(F.max("_hop").alias("_hop"))
         if skipped is not None:
             new = new.join(skipped, "_id", "left_anti")
-        new = new.cache()
-        n = new.count()        # materialises the round once, in full
-        if n == 0:
+        new = new.checkpoint(eager=True)
+        if new.isEmpty():
             break
-        # a small frontier keeps few partitions, so the growing union of
-        # rounds does not carry hundreds of empty ones along
-        new = new.coalesce(parts(new, n))
-        total += n
-        skipped = new if skipped is None else skipped.unionByName(new)
-        if (rnd + 1) % checkpoint_every == 0:
-            # cut lineage: a lost executor re-reads these files instead of
-            # replaying every earlier round
-            skipped = skipped.coalesce(parts(skipped, total)).checkpoint(eager=True)
-            new = new.checkpoint(eager=True)
-        frontier = new
-    out = nodes
+        # What an inner hop reached has been followed up within the round.
+        frontier = new.where(F.col("_hop") == hops).select("_id")
+        skipped = new.select("_id") if skipped is None else skipped.union(new.select("_id"))
+    state = F.when(passed, "passed").otherwise("failed")
     if skipped is None:
-        return out.withColumn("status", F.when(F.coalesce(F.col(ok), F.lit(False)), "passed").otherwise("failed"))
+        return nodes.withColumn("status", state)
     flagged = skipped.select(F.col("_id").alias(node), F.lit(True).alias("_skipped"))
-    out = out.join(flagged, node, "left")
-    st = (F.when(F.col("_skipped"), "skipped")
-          .when(F.coalesce(F.col(ok), F.lit(False)), "passed").otherwise("failed"))
-    return out.withColumn("status", st).drop("_skipped")
+    return (nodes.join(flagged, node, "left")
+            .withColumn("status", F.when(F.col("_skipped"), "skipped").otherwise(state)).drop("_skipped"))

@@ -108,22 +108,27 @@ def pattern_counts(df: DataFrame, by: list[str], patterns: dict[str, Column]) ->
 
 def flatten_acl(df: DataFrame, obj: str, acl: str = "access_control_list") -> DataFrame:
     """Nested ACL -> (object, principal_type, principal, permission_level) for
-    non-inherited permissions: explode entries, pick the principal column,
-    explode permissions."""
+    permissions that are not inherited (an absent flag is not): explode
+    entries, each principal that an entry names, and permissions."""
     a = df.select(obj, F.explode(acl).alias("e"))
-    kinds = (F.when(col("e.user_name").isNotNull(), F.struct(F.lit("user").alias("principal_type"),
-                                                             col("e.user_name").alias("principal")))
-             .when(col("e.group_name").isNotNull(), F.struct(F.lit("group").alias("principal_type"),
-                                                             col("e.group_name").alias("principal")))
-             .when(col("e.service_principal_name").isNotNull(),
-                   F.struct(F.lit("service_principal").alias("principal_type"),
-                            col("e.service_principal_name").alias("principal"))))
-    p = a.select(obj, kinds.alias("k"), F.explode("e.all_permissions").alias("p"))
-    return (p.where(~col("p.inherited"))
+    named = F.filter(F.array(*[F.struct(F.lit(kind).alias("principal_type"), col(f"e.{field}").alias("principal")) for kind, field in
+                               (("user", "user_name"), ("group", "group_name"), ("service_principal", "service_principal_name"))]),
+                     lambda k: k["principal"].isNotNull())
+    p = a.select(obj, F.explode(named).alias("k"), col("e.all_permissions").alias("ps")).select(obj, "k", F.explode("ps").alias("p"))
+    return (p.where(~F.coalesce(col("p.inherited"), F.lit(False)))
             .select(obj, col("k.principal_type").alias("principal_type"), col("k.principal").alias("principal"),
                     col("p.permission_level").alias("permission_level")))
 
 
+def holders_outside(users: DataFrame, entitlement: str, group: str, entitlements: str = "entitlements",
+                    groups: str = "groups") -> DataFrame:
+    """Users who hold ``entitlement`` and are not in ``group``; absent arrays
+    and names count as empty."""
+    has = F.exists(F.coalesce(entitlements, F.array()), lambda e: e["value"].eqNullSafe(F.lit(entitlement)))
+    inside = F.exists(F.coalesce(groups, F.array()), lambda g: g["display"].eqNullSafe(F.lit(group)))
+    return users.where(has & ~inside)
+
+
 def resolve_owners(flat: DataFrame, objects: DataFrame, obj: str) -> DataFrame:
     """Owner of each object (IS_OWNER principals); ambiguous unless exactly one."""
     o = flat.where(col("permission_level") == "IS_OWNER").groupBy(obj).agg(

@@ -36,8 +36,9 @@ def prefix_matches(users: DataFrame, user: str, prefix: Column, names: DataFrame
     reference's mode (``has_schema``) and the intended one (``missing_schema``)."""
     u = users.select(user, prefix.alias("_prefix"))
     parts = F.split(name, sep)
-    pref = names.select(F.explode(F.transform(F.sequence(F.lit(1), F.size(parts) - 1),
-                                              lambda i: F.array_join(F.slice(parts, 1, i), sep))).alias("_prefix")).distinct()
+    lead = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, 1, i), sep))
+    pref = (names.where(F.contains(F.col(name), F.lit(sep)))      # a name without ``sep`` has no leading part
+            .select(F.explode(lead).alias("_prefix")).distinct())
     m = u.join(pref, "_prefix", "left_semi").select(user)
     has = m.withColumn("mode", F.lit("has_schema"))
     missing = u.join(m, user, "left_anti").select(user, F.lit("missing_schema").alias("mode"))

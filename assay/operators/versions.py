@@ -14,9 +14,9 @@ SEMVER = r"^[0-9]+\.[0-9]+\.[0-9]+$"
 
 
 def parse(version: Column) -> Column:
-    """'N.N.N' -> struct(major, minor, patch) of ints (NULL fields otherwise)."""
+    """'N.N.N' -> struct(major, minor, patch) of BIGINTs (NULL fields otherwise)."""
     parts = F.split(version, r"\.")
-    return F.struct(*[F.try_element_at(parts, F.lit(i + 1)).try_cast("int").alias(n)
+    return F.struct(*[F.try_element_at(parts, F.lit(i + 1)).try_cast("bigint").alias(n)
                       for i, n in enumerate(["major", "minor", "patch"])])
 
 

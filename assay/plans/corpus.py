@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from assay.functions.text import py_strip
+from assay.functions.text import py_strip, tail
 from assay.operators import corpus as K
 from assay.operators import manifest as M
 from assay.plans import standins as S
@@ -298,7 +298,7 @@ def md_link_lint(t):
     m = markdown_pages(t)
     links = m.select("page_id", F.explode(F.regexp_extract_all("md", F.lit(r"(?<!!)\[.*?\]\(.*?\)"), 0)).alias("link"))
     rel = F.regexp_extract("link", r"\(\$.*\)", 0)
-    return links.where(rel != "").select("page_id", "link", F.substring(rel, 3, 1 << 20).alias("_t")) \
+    return links.where(rel != "").select("page_id", "link", tail(rel, 3).alias("_t")) \
         .select("page_id", "link", F.expr("substring(_t, 1, length(_t) - 1)").alias("target"))
 
 
@@ -345,9 +345,9 @@ def run_targets(t):
     prefix = F.concat(col("cm"), F.lit(" MAGIC %run"))
     is_run = col("command").startswith(prefix)
     line0 = F.substring_index("command", NL, 1)
-    link = py_strip(F.substring(line0, F.length(prefix) + 1, 1 << 20))
+    link = py_strip(tail(line0, F.length(prefix) + 1))
     quoted = link.startswith('"')
-    rest = F.substring(link, 2, 1 << 20)
+    rest = tail(link, 2)
     qpos = F.instr(rest, '"')
     spos = F.instr(link, " ")
     target = (F.when(quoted & (qpos > 0), F.substring(rest, F.lit(1), qpos - 1))
@@ -695,7 +695,7 @@ def bundle_frame(t):
     m = _merged(t).where(col("status") != "invalid").select("doc_id", "pos", "guid")
     c = cells(t).select("doc_id", "pos", "text", "language")
     j = m.join(c, ["doc_id", "pos"])
-    seg = F.concat(F.lit("<hr>--i18n-"), F.substring("guid", 8, 1 << 20), F.lit(NL), col("text"))
+    seg = F.concat(F.lit("<hr>--i18n-"), tail("guid", 8), F.lit(NL), col("text"))
     g = j.groupBy("doc_id", "language").agg(F.count(F.lit(1)).alias("n_cells"),
                                             F.sort_array(F.collect_list(F.struct("pos", seg.alias("seg")))).alias("_s"))
     bundle = F.concat(F.lit("## conv-"), col("doc_id").cast("string"), F.lit(NL),

@@ -46,17 +46,37 @@ def _changed_cols_sql(cols, a="a", b="b"):
 _VALS = [c for c in ORDER_COLS if c != "o_orderkey"]
 
 
+def _lists_sql(cols):
+    """Each column, and the whole row, of a key's rows as a sorted list."""
+    row = "{" + ", ".join(f"'{c}': {c}" for c in cols) + "}"
+    return ", ".join(f"list_sort(list({c})) AS {c}" for c in cols) + f", list_sort(list({row})) AS _row, count(*) AS _n"
+
+
+def loose_key(key, by):
+    """Keys that are null, and keys that repeat."""
+    return F.when(col(by) % 500 == 0, F.lit(None)).when(col(by) % 100 == 1, col(key) - 1).otherwise(col(key))
+
+
+def _loose_key_sql(key):
+    return f"CASE WHEN {key} % 500 = 0 THEN NULL WHEN {key} % 100 = 1 THEN {key} - 1 ELSE {key} END"
+
+
 @query("frame_compare_keyed", f"""
-WITH a AS (SELECT * FROM orders), b AS ({ALTERED_ORDERS_SQL}),
-j AS (SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey,
-        CASE WHEN b.o_orderkey IS NULL THEN 'left_only' WHEN a.o_orderkey IS NULL THEN 'right_only'
-             WHEN {_changed_cols_sql(_VALS)} <> '' THEN 'changed' END AS kind,
-        CASE WHEN a.o_orderkey IS NOT NULL AND b.o_orderkey IS NOT NULL THEN {_changed_cols_sql(_VALS)} END AS changed_columns
-      FROM a FULL OUTER JOIN b ON a.o_orderkey = b.o_orderkey)
+WITH a AS (SELECT k, {_lists_sql(_VALS)} FROM (SELECT *, {_loose_key_sql('o_orderkey')} AS k FROM orders) GROUP BY k),
+b AS (SELECT k, {_lists_sql(_VALS)} FROM (SELECT *, {_loose_key_sql('o_orderkey')} AS k FROM ({ALTERED_ORDERS_SQL}) WHERE o_orderkey % 777 <> 3) GROUP BY k),
+j AS (SELECT coalesce(a.k, b.k) AS o_orderkey,
+        CASE WHEN b._n IS NULL THEN 'left_only' WHEN a._n IS NULL THEN 'right_only'
+             WHEN a._row IS DISTINCT FROM b._row THEN 'changed' END AS kind,
+        CASE WHEN a._n IS NOT NULL AND b._n IS NOT NULL THEN {_changed_cols_sql(_VALS)} END AS changed_columns
+      FROM a FULL OUTER JOIN b ON a.k IS NOT DISTINCT FROM b.k)
 SELECT * FROM j WHERE kind IS NOT NULL""")
 def frame_compare_keyed(t):
-    """Row 97, keyed mode: full outer join on the key, changed column names."""
-    return D.keyed_diff(t.orders, altered_orders(t), ["o_orderkey"])
+    """Row 97, keyed mode: per key the presence and the changed column names,
+    with null and repeated keys."""
+    key = loose_key("o_orderkey", "o_orderkey")
+    a = t.orders.select(*ORDER_COLS).withColumn("o_orderkey", key)
+    b = altered_orders(t).where(col("o_orderkey") % 777 != 3).select(*ORDER_COLS).withColumn("o_orderkey", key)
+    return D.keyed_diff(a, b, ["o_orderkey"])
 
 
 @query("frame_compare_ordered", f"""
@@ -83,27 +103,33 @@ def frame_compare_verdict(t):
     return D.frame_summary(D.multiset_diff(t.orders, altered_orders(t)))
 
 
-@query("check_rows", """
-WITH a AS (SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer),
-b AS (SELECT c_custkey, c_name,
-             CASE WHEN c_custkey % 50 = 0 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END AS c_nationkey,
+_CUST = ["c_name", "c_nationkey", "c_mktsegment"]
+
+
+@query("check_rows", f"""
+WITH x AS (SELECT *, {_loose_key_sql('c_custkey')} AS k FROM customer),
+a AS (SELECT k, {_lists_sql(_CUST)} FROM x GROUP BY k),
+b AS (SELECT k, {_lists_sql(_CUST)} FROM (
+        SELECT k, c_name, CASE WHEN c_custkey % 50 = 0 THEN (c_nationkey + 1) % 25 ELSE c_nationkey END AS c_nationkey,
              CASE WHEN c_custkey % 70 = 0 THEN NULL ELSE c_mktsegment END AS c_mktsegment
-      FROM customer WHERE c_custkey % 97 <> 1)
-SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey,
-  a.c_custkey IS NOT NULL AND b.c_custkey IS NOT NULL AND a.c_name IS NOT DISTINCT FROM b.c_name
-    AND a.c_nationkey IS NOT DISTINCT FROM b.c_nationkey AND a.c_mktsegment IS NOT DISTINCT FROM b.c_mktsegment AS rows_equal
-FROM a FULL OUTER JOIN b ON a.c_custkey = b.c_custkey""")
+        FROM x WHERE c_custkey % 97 <> 1) GROUP BY k)
+SELECT coalesce(a.k, b.k) AS c_custkey,
+  a._n IS NOT NULL AND b._n IS NOT NULL AND a._row IS NOT DISTINCT FROM b._row AS rows_equal
+FROM a FULL OUTER JOIN b ON a.k IS NOT DISTINCT FROM b.k""")
 def check_rows(t):
     """Row 96: rows compared as name-keyed dicts per key: column order is
-    ignored, None equals None, a missing row is unequal (customer against a
-    revised copy)."""
-    a = t.customer.select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-    b = (t.customer.where(col("c_custkey") % 97 != 1)
-         .select("c_mktsegment", "c_nationkey", "c_name", "c_custkey")   # column order is ignored
+    ignored, None equals None, a missing row is unequal, null keys are equal
+    and the rows of a repeated key are compared as a multiset (customer
+    against a revised copy)."""
+    key = loose_key("c_custkey", "c_custkey").alias("k")
+    x = t.customer.select("c_custkey", *_CUST, key)
+    a = x.select("k", *_CUST)
+    b = (x.where(col("c_custkey") % 97 != 1)
          .withColumn("c_nationkey", F.when(col("c_custkey") % 50 == 0, (col("c_nationkey") + 1) % 25)
                      .otherwise(col("c_nationkey")))
-         .withColumn("c_mktsegment", F.when(col("c_custkey") % 70 == 0, F.lit(None)).otherwise(col("c_mktsegment"))))
-    return D.rows_equal(a, b, ["c_custkey"])
+         .withColumn("c_mktsegment", F.when(col("c_custkey") % 70 == 0, F.lit(None)).otherwise(col("c_mktsegment")))
+         .select("c_mktsegment", "c_nationkey", "c_name", "k"))   # column order is ignored
+    return D.rows_equal(a, b, ["k"]).withColumnRenamed("k", "c_custkey")
 
 
 # Expected fields for the schema audit: (table, field, class name, nullable or None).
@@ -315,8 +341,10 @@ def policies(t):
         F.struct(F.concat(F.lit("pool-"), (k % 5).cast("string")).alias("value")).alias("instance_pool_id")))
     name = F.concat(F.when(col("user_id") % 2 == 0, "Student-").otherwise("Admin-"), col("event_id").cast("string"))
     perm = F.when(k % 3 != 0, "CAN_USE").otherwise("CAN_VIEW")
-    acl = F.array(F.struct(F.lit("users").alias("group_name"),
-                           F.array(F.struct(perm.alias("permission_level"))).alias("all_permissions")))
+    entry = lambda group, level: F.struct(group.alias("group_name"), F.array(
+        F.struct(level.alias("permission_level"))).alias("all_permissions"))
+    # a user's entry, which has no group, beside that of the group; some policies without entries
+    acl = F.when(k % 17 != 0, F.array(entry(F.lit(None).cast("string"), F.lit("CAN_MANAGE")), entry(F.lit("users"), perm)))
     return e.select(name.alias("name"), definition.alias("definition"), acl.alias("access_control_list"))
 
 
@@ -324,11 +352,11 @@ def policies(t):
 WITH e AS (SELECT event_id, user_id, event_type, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
 p AS (SELECT CASE WHEN user_id % 2 = 0 THEN 'Student-' ELSE 'Admin-' END || CAST(event_id AS VARCHAR) AS name,
         CASE WHEN event_type = 'view' THEN 'dlt' ELSE 'all-purpose' END AS cluster_type,
-        'pool-' || CAST(k % 5 AS VARCHAR) AS pool, CASE WHEN k % 3 <> 0 THEN 'CAN_USE' ELSE 'CAN_VIEW' END AS perm
+        'pool-' || CAST(k % 5 AS VARCHAR) AS pool, CASE WHEN k % 17 = 0 THEN NULL WHEN k % 3 <> 0 THEN 'CAN_USE' ELSE 'CAN_VIEW' END AS perm
       FROM e)
 SELECT name AS policy, 'Wrong instance pool' AS error FROM p WHERE cluster_type <> 'dlt' AND pool <> 'pool-0'
 UNION ALL
-SELECT name, 'Missing users access' FROM p WHERE starts_with(name, 'Student') AND perm <> 'CAN_USE'""")
+SELECT name, 'Missing users access' FROM p WHERE starts_with(name, 'Student') AND perm IS DISTINCT FROM 'CAN_USE'""")
 def policy_audit(t):
     """Row 107: policy JSON whose pool differs from the expected one (unless
     a pipeline policy), and student policies lacking CAN_USE for 'users'."""

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from assay.functions.text import left_pad
 from assay.operators import reports as R
 from assay.operators.ordering import with_row_index
 from assay.plans import standins as S
@@ -74,7 +75,7 @@ def run_records(t):
 
 @query("run_report", f"""
 WITH r AS ({S.RUN_RECORDS_SQL}),
-p AS (SELECT *, '/tests/' || suite_id || '/' || lpad(test_id, 8, '0') AS notebook_path,
+p AS (SELECT *, '/tests/' || suite_id || '/' || CASE WHEN length(test_id) < 8 THEN lpad(test_id, 8, '0') ELSE test_id END AS notebook_path,
         CASE result_state WHEN 'FAILED' THEN 1 WHEN 'IGNORED' THEN 2 ELSE 3 END AS section FROM r)
 SELECT section, notebook_path, result_state, {DURATION_LABEL_SQL.format(d='execution_duration')} AS duration,
   CAST(row_number() OVER (ORDER BY section, notebook_path) - 1 AS BIGINT) AS position
@@ -83,7 +84,7 @@ def run_report(t):
     """Row 124: report rows by section (Failed, Ignored, Success), sorted by
     path, with duration labels; the order is a distributed row index."""
     r = S.run_records(t)
-    p = r.select(F.concat(F.lit("/tests/"), col("suite_id"), F.lit("/"), F.lpad("test_id", 8, "0")).alias("notebook_path"),
+    p = r.select(F.concat(F.lit("/tests/"), col("suite_id"), F.lit("/"), left_pad("test_id", 8, "0")).alias("notebook_path"),
                  F.when(col("result_state") == "FAILED", 1).when(col("result_state") == "IGNORED", 2)
                  .otherwise(3).alias("section"),
                  "result_state", duration_label(col("execution_duration")).alias("duration"))
@@ -221,11 +222,13 @@ def acls(t):
                           F.lit(None).cast("string").alias("service_principal_name"),
                           F.array(F.struct(F.when(k % 4 == 0, "IS_OWNER").otherwise("CAN_MANAGE").alias("permission_level"),
                                            F.lit(False).alias("inherited")),
-                                  perm("CAN_VIEW", k % 3 == 0)).alias("all_permissions"))
+                                  perm("CAN_VIEW", F.when(k % 3 == 0, True).when(k % 3 == 1, False))   # else absent
+                                  ).alias("all_permissions"))
     group_entry = F.struct(F.lit(None).cast("string").alias("user_name"), col("c_mktsegment").alias("group_name"),
                            F.lit(None).cast("string").alias("service_principal_name"),
                            F.array(perm("CAN_RUN", k % 2 == 0)).alias("all_permissions"))
-    sp_entry = F.struct(F.lit(None).cast("string").alias("user_name"), F.lit(None).cast("string").alias("group_name"),
+    # an entry may name two principals
+    sp_entry = F.struct(F.lit(None).cast("string").alias("user_name"), F.when(k % 10 == 0, "ops").alias("group_name"),
                         F.concat(F.lit("sp-"), col("c_nationkey").cast("string")).alias("service_principal_name"),
                         F.array(perm("IS_OWNER", F.lit(False))).alias("all_permissions"))
     acl = F.when(k % 5 == 0, F.array(user_entry, group_entry, sp_entry)).otherwise(F.array(user_entry, group_entry))
@@ -239,6 +242,7 @@ e AS (
          CASE WHEN c_custkey % 4 = 0 THEN 'IS_OWNER' ELSE 'CAN_MANAGE' END AS permission_level, false AS inherited FROM u
   UNION ALL SELECT c_custkey, 'user', username, 'CAN_VIEW', c_custkey % 3 = 0 FROM u
   UNION ALL SELECT c_custkey, 'group', c_mktsegment, 'CAN_RUN', c_custkey % 2 = 0 FROM u
+  UNION ALL SELECT c_custkey, 'group', 'ops', 'IS_OWNER', false FROM u WHERE c_custkey % 10 = 0
   UNION ALL SELECT c_custkey, 'service_principal', 'sp-' || CAST(c_nationkey AS VARCHAR), 'IS_OWNER', false FROM u WHERE c_custkey % 5 = 0)"""
 
 
@@ -417,21 +421,20 @@ def users_nested(t):
         F.when(k % 3 == 0, F.struct(F.lit("sql-access").alias("value"))),
         F.struct(F.lit("workspace-access").alias("value"))))
     groups = F.array_compact(F.array(
-        F.struct(F.lit("users").alias("display")),
+        F.struct(F.when(k % 13 != 0, "users").alias("display")),          # absent names
         F.when(k % 7 == 0, F.struct(F.lit("admins").alias("display")))))
+    groups = F.when(k % 11 != 0, groups)                                  # users without the field
     return u.select(k.cast("string").alias("id"), col("username").alias("userName"), ent.alias("entitlements"),
                     groups.alias("groups"))
 
 
 @query("entitlement_audit", f"""
 WITH u AS ({S.USERS_SQL})
-SELECT CAST(c_custkey AS VARCHAR) AS id, username AS userName FROM u WHERE c_custkey % 2 = 0 AND c_custkey % 7 <> 0""")
+SELECT CAST(c_custkey AS VARCHAR) AS id, username AS userName FROM u 
+WHERE c_custkey % 2 = 0 AND NOT (c_custkey % 7 = 0 AND c_custkey % 11 <> 0)""")
 def entitlement_audit(t):
     """Row 19: users holding an entitlement while not in the admins group."""
-    u = users_nested(t)
-    has = F.exists("entitlements", lambda e: e["value"] == "allow-cluster-create")
-    admin = F.exists("groups", lambda g: g["display"] == "admins")
-    return u.where(has & ~admin).select("id", "userName")
+    return R.holders_outside(users_nested(t), "allow-cluster-create", "admins").select("id", "userName")
 
 
 # Column contract (row 20): (column, expected type, min_length, min_value, non_none)

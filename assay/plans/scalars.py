@@ -86,8 +86,8 @@ s AS (
   FROM p)
 SELECT p_partkey, path,
   CAST(CASE WHEN NOT contains(path, ' - ') THEN -1
-       WHEN regexp_matches(pre, '^[0-9]+$') AND length(pre) <= 9 THEN CAST(pre AS INTEGER)
-       ELSE -1 END AS INTEGER) AS lesson_number
+       WHEN regexp_matches(pre, '^[0-9]+$') THEN TRY_CAST(pre AS BIGINT)
+       ELSE -1 END AS BIGINT) AS lesson_number
 FROM s""")
 def lesson_number(t):
     """Row 65: numeric lesson prefix or -1."""

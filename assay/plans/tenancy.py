@@ -22,7 +22,7 @@ COURSE_CODE = "asdf"
 
 
 @query("missing_resources", """
-WITH cl AS (SELECT DISTINCT regexp_replace('odl_user_' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') || '_cluster', '[^0-9]', '', 'g') AS digits
+WITH cl AS (SELECT DISTINCT regexp_replace('odl_user_' || printf('%09d', o_custkey) || '_cluster', '[^0-9]', '', 'g') AS digits
             FROM orders WHERE o_orderstatus = 'F')
 SELECT c_custkey, c_name FROM customer
 WHERE regexp_replace(c_name, '[^0-9]', '', 'g') NOT IN (SELECT digits FROM cl)""")
@@ -30,7 +30,7 @@ def missing_resources(t):
     """Row 24: users without a cluster, matched on the digits of the names
     (clusters named after users' numbers; an anti join on the digits)."""
     cl = (t.orders.where(col("o_orderstatus") == "F")
-          .select(F.concat(F.lit("odl_user_"), F.lpad(col("o_custkey").cast("string"), 9, "0"), F.lit("_cluster"))
+          .select(F.concat(F.lit("odl_user_"), N.zero_pad(col("o_custkey"), 9), F.lit("_cluster"))
                   .alias("cluster_name")))
     return T.missing_by_digits(t.customer.select("c_custkey", "c_name"), "c_name", cl, "cluster_name")
 
@@ -61,7 +61,7 @@ def roster_reconcile(t):
 def existing_schemas(t):
     """schemas named '<user prefix>_<part name>' for parts whose key is a customer key."""
     p = t.part.select("p_partkey", "p_name")
-    name = F.concat(F.lit("customer_"), F.lpad(col("p_partkey").cast("string"), 9, "0"), F.lit("_"),
+    name = F.concat(F.lit("customer_"), N.zero_pad(col("p_partkey"), 9), F.lit("_"),
                     N.clean_string(col("p_name"), "_"))
     return p.select(F.lower(name).alias("schema_name"))
 
@@ -69,7 +69,7 @@ def existing_schemas(t):
 @query("prefix_match_users", f"""
 WITH u AS (SELECT username, lower(regexp_replace(regexp_replace(split_part(username, '@', 1), '[^a-zA-Z\\p{{Nd}}]', '_', 'g'), '_+', '_', 'g')) AS prefix
            FROM ({S.USERS_SQL})),
-s AS (SELECT lower('customer_' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') || '_' ||
+s AS (SELECT lower('customer_' || printf('%09d', p_partkey) || '_' ||
              regexp_replace(regexp_replace(p_name, '[^a-zA-Z\\p{{Nd}}]', '_', 'g'), '_+', '_', 'g')) AS schema_name FROM part),
 m AS (SELECT DISTINCT u.username FROM u JOIN s ON starts_with(s.schema_name, u.prefix || '_'))
 SELECT username, 'has_schema' AS mode FROM m
@@ -108,7 +108,7 @@ def resolve_references(t):
 
 @query("lookup_by_example", """
 WITH ex AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN o_custkey END AS id,
-              CASE WHEN o_orderkey % 3 <> 0 THEN 'Customer#' || lpad(CAST(o_custkey + (o_orderkey % 7 = 1)::INT * 100000 AS VARCHAR), 9, '0') END AS name
+              CASE WHEN o_orderkey % 3 <> 0 THEN 'Customer#' || printf('%09d', o_custkey + (o_orderkey % 7 = 1)::INT * 100000) END AS name
             FROM orders),
 m AS (SELECT ex.o_orderkey, min(c.c_custkey) AS c_custkey FROM ex JOIN customer c
         ON (ex.id IS NOT NULL AND c.c_custkey = ex.id) OR (ex.id IS NULL AND c.c_name = ex.name) GROUP BY ex.o_orderkey)
@@ -120,7 +120,7 @@ def lookup_by_example(t):
     bump = F.when(col("o_orderkey") % 7 == 1, 100000).otherwise(0)
     ex = o.select("o_orderkey", F.when(col("o_orderkey") % 3 == 0, col("o_custkey")).alias("id"),
                   F.when(col("o_orderkey") % 3 != 0,
-                         F.concat(F.lit("Customer#"), F.lpad((col("o_custkey") + bump).cast("string"), 9, "0"))).alias("name"))
+                         F.concat(F.lit("Customer#"), N.zero_pad((col("o_custkey") + bump), 9))).alias("name"))
     return T.lookup_by_example(ex, "o_orderkey", "id", "name", t.customer, "c_custkey", "c_name")
 
 
@@ -255,7 +255,7 @@ def existing_databases(t):
     u = S.users(t).where(col("c_custkey") % 3 == 0).select(
         N.schema_name("username", F.lit(COURSE_CODE), col("workspace_id")).alias("name"))
     orphans = t.part.where(col("p_partkey") % 50 == 0).select(
-        F.concat(F.lit(SCHEMA_PREFIX), F.lpad((col("p_partkey") + 100000).cast("string"), 9, "0"),
+        F.concat(F.lit(SCHEMA_PREFIX), N.zero_pad((col("p_partkey") + 100000), 9),
                  F.lit("_zzzz_da_" + COURSE_CODE)).alias("name"))
     prot = t.spark.createDataFrame([(x,) for x in PROTECTED_SCHEMAS], "name string")
     return u.unionByName(orphans).unionByName(prot)
@@ -266,7 +266,7 @@ WITH u AS ({S.USERS_SQL}),
 h AS (SELECT c_custkey, username, {_b36_sql(f"CAST((('0x' || md5(username || workspace_id))::UHUGEINT % {36 ** 4}) AS BIGINT)", 4)} AS user_hash FROM u),
 exp AS (SELECT c_custkey, {_schema_sql('user_hash')} AS name FROM h),
 ex AS (SELECT name FROM exp WHERE c_custkey % 3 = 0
-       UNION ALL SELECT '{SCHEMA_PREFIX}' || lpad(CAST(p_partkey + 100000 AS VARCHAR), 9, '0') || '_zzzz_da_{COURSE_CODE}' FROM part WHERE p_partkey % 50 = 0
+       UNION ALL SELECT '{SCHEMA_PREFIX}' || printf('%09d', p_partkey + 100000) || '_zzzz_da_{COURSE_CODE}' FROM part WHERE p_partkey % 50 = 0
        UNION ALL SELECT * FROM (VALUES ('default'), ('information_schema')) v(name))
 SELECT coalesce(exp.name, ex.name) AS name,
   CASE WHEN exp.name IS NOT NULL AND ex.name IS NULL THEN 'create'

@@ -79,3 +79,44 @@ def test_diffs_accept_map_and_array_columns(spark):
     assert [(r.k, r.changed_columns) for r in D.keyed_diff(a, b, ["k"]).collect()] == [(2, "m")]
     assert {r.k: r.rows_equal for r in D.rows_equal(a, b, ["k"]).collect()} == {1: True, 2: False}
     assert D.multiset_diff(a, b).count() == 2
+
+
+def test_self_diff_is_empty_with_null_and_repeated_keys(spark):
+    x = spark.createDataFrame([(None, 1), (None, None), (1, 2), (1, 2), (1, None), (2, 3)], "k int, v int")
+    assert D.multiset_diff(x, x).count() == 0
+    assert D.keyed_diff(x, x, ["k"]).count() == 0
+    assert all(r.rows_equal for r in D.rows_equal(x, x, ["k"]).collect())
+
+
+def test_repeated_keys_are_compared_as_multisets(spark):
+    a = spark.createDataFrame([(None, 1, "x"), (1, 1, "x"), (1, 2, "y"), (2, 1, "x"), (2, 1, "x"), (3, 1, "x")], "k int, v int, s string")
+    b = spark.createDataFrame([(None, 2, "x"), (1, 1, "y"), (1, 2, "x"), (2, 1, "x"), (4, 1, "x")], "k int, v int, s string")
+    got = {r.k: (r.kind, r.changed_columns) for r in D.keyed_diff(a, b, ["k"]).collect()}
+    assert got == {None: ("changed", "v"), 1: ("changed", ""), 2: ("changed", "v,s"), 3: ("left_only", None), 4: ("right_only", None)}
+    assert {r.k: r.rows_equal for r in D.rows_equal(a, b, ["k"]).collect()} == dict.fromkeys([None, 1, 2, 3, 4], False)
+
+
+def test_columns_of_one_side_are_reported_in_all_modes(spark):
+    a = spark.createDataFrame([(1, 2)], "k int, v int")
+    b = spark.createDataFrame([(1, 2, None)], "k int, v int, z string")
+    for x, y, side in ((a, b, "right_only"), (b, a, "left_only")):
+        assert {r.side for r in D.multiset_diff(x, y).collect()} == {"left_only", "right_only", f"{side} column z"}
+        assert [(r.k, r.kind, r.changed_columns) for r in D.keyed_diff(x, y, ["k"]).collect()] == [(None, f"column_{side}", "z")]
+        assert [(r.kind, r.changed_columns) for r in D.ordered_diff(x, y, ["k"]).collect()] == [(f"column_{side}", "z")]
+        assert [r.rows_equal for r in D.rows_equal(x, y, ["k"]).collect()] == [False]
+        assert D.multiset_diff(x.where("false"), y.where("false")).count() == 1
+
+
+def test_types_compare_by_value(spark):
+    a, b = spark.createDataFrame([(1, 2, 1.5)], "k int, v int, d double"), spark.createDataFrame([(1, 2.0, "1.5")], "k bigint, v double, d string")
+    assert [(r.kind, r.changed_columns) for r in D.keyed_diff(a, b, ["k"]).collect()] == [("changed", "d")]
+    assert [(r.kind, r.changed_columns) for r in D.ordered_diff(a, b, ["k"]).collect()] == [("changed", "d")]
+
+
+def test_policy_audit_with_entries_of_users(spark):
+    rows = [("Student-1", "{}", [(None, [("CAN_USE",)])]), ("Student-2", "{}", [(None, [("X",)]), ("users", [("CAN_USE",)])]), ("Student-3", "{}", None),
+            ("Student-4", "{}", []), ("Admin-1", "{}", None)]
+    df = spark.createDataFrame(rows, "name string, definition string, acl array<struct<group_name:string,all_permissions:array<struct<permission_level:string>>>>")
+    got = sorted((r.policy, r.error) for r in D.policy_audit(df, "name", "definition", "acl", "p").collect())
+    assert [p for p, e in got if e == "Missing users access"] == ["Student-1", "Student-3", "Student-4"]
+    assert len([p for p, e in got if e == "Wrong instance pool"]) == 5
