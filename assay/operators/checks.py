@@ -15,10 +15,13 @@ a suite passes iff its percentage is 100.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import html
+from dataclasses import dataclass, field, replace
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType
 
 from assay.functions.text import html_escape
 
@@ -29,10 +32,12 @@ class Check:
     description: str
     passed: Column                      # aggregate boolean
     points: int = 1
-    depends_on: list[str] | None = None  # None -> previous check
+    depends_on: list[str] | str | None = None  # None -> previous check
     hint: str | None = None
     actual: Column | None = None         # aggregate value shown in hints
     extra: dict = field(default_factory=dict)
+    escape_html: bool = False            # description and hint are shown escaped
+    message: str | None = None           # of the exception that evaluating the check raised
     scalar: bool = False                 # ``passed`` / ``actual`` are scalar subqueries or literals,
                                          # evaluated on the aggregated row instead of inside the agg
 
@@ -228,8 +233,12 @@ class Suite:
     def fail_pre_req(self, *, test_case_id, e: Exception, depends_on=None):
         return self.fail(f"Execute prerequisites. {e}", test_case_id=test_case_id, depends_on=depends_on)
 
-    def run(self, df: DataFrame) -> DataFrame:
-        return run_suite(df, self.checks, suite=self.name)
+    def run(self, df: DataFrame, isolated: bool = False) -> DataFrame:
+        """The result rows.  ``isolated``: a check that raises fails alone,
+        with its exception as ``message``, and others are not affected; the
+        checks are then evaluated once beforehand."""
+        checks = isolate(df, self.checks) if isolated else self.checks
+        return run_suite(df, checks, suite=self.name)
 
 
 # ---- compilation -------------------------------------------------------------
@@ -245,7 +254,7 @@ def _resolve_deps(suite: str, checks: list[Check]) -> list[list[int]]:
             d = [i - 1] if i > 0 else []
         else:
             d = []
-            for dep in c.depends_on:
+            for dep in [c.depends_on] if isinstance(c.depends_on, str) else c.depends_on:
                 # accept both bare ids and suite-prefixed ids
                 dep = dep[len(suite) + 1:] if dep.startswith(suite + "-") else dep
                 if dep in ids:
@@ -255,12 +264,41 @@ def _resolve_deps(suite: str, checks: list[Check]) -> list[list[int]]:
     return deps
 
 
+def isolate(df: DataFrame, checks: list[Check]) -> list[Check]:
+    """The checks with each one that raises replaced by a failed check that
+    carries the exception's text as ``message``.
+
+    All are evaluated in one job; only if that raises is each evaluated by
+    itself to find those at fault.  Nothing but booleans reaches the driver."""
+    def evaluate(some: list[Check]) -> None:
+        run_suite(df, [replace(c, depends_on=[]) for c in some]).select("status").collect()
+
+    def told(e: Exception) -> str:
+        return str(e).strip().split("\n")[0]
+
+    try:
+        evaluate(checks)
+        return checks
+    except PySparkException:
+        out = []
+        for c in checks:
+            try:
+                evaluate([c])
+                out.append(c)
+            except PySparkException as e:
+                failed = replace(c, passed=F.lit(False), scalar=True, message=told(e))
+                if c.actual is not None:
+                    failed = replace(failed, actual=F.lit("actual_value() call failed"))
+                out.append(failed)
+        return out
+
+
 def run_suite(df: DataFrame, checks: list[Check], suite: str = "suite",
               extra: dict[str, Column] | None = None) -> DataFrame:
     """One aggregate pass over ``df`` -> one result row per check.
 
     Columns: suite, seq, check_id, description, status, passed, points,
-    max_points, hint, score, max_score, percentage, suite_passed, plus any
+    max_points, hint, (message, if a check raised when isolated,) score, max_score, percentage, suite_passed, plus any
     ``extra`` aggregates computed in the same pass.  Statuses,
     score and percentage are computed on the single aggregated row before it
     is unpivoted, so the checked frame is scanned exactly once.
@@ -277,7 +315,7 @@ def run_suite(df: DataFrame, checks: list[Check], suite: str = "suite",
             continue
         aggs.append(c.passed.alias(f"_ok{i}"))
         if c.hint is not None and c.actual is not None:
-            aggs.append(c.actual.cast("string").alias(f"_act{i}"))
+            aggs.append(c.actual.alias(f"_act{i}"))
     extra = extra or {}
     aggs += [c.alias(k) for k, c in extra.items()]
     one = df.agg(*(aggs or [F.count(F.lit(1)).alias("_rows")]))
@@ -286,7 +324,7 @@ def run_suite(df: DataFrame, checks: list[Check], suite: str = "suite",
         if c.scalar:
             one = one.withColumn(f"_ok{i}", c.passed)
             if c.hint is not None and c.actual is not None:
-                one = one.withColumn(f"_act{i}", c.actual.cast("string"))
+                one = one.withColumn(f"_act{i}", c.actual)
     # failure / skip flags composed in check order over the single row
     for i, c in enumerate(checks):
         ok = F.coalesce(F.col(f"_ok{i}"), F.lit(False))
@@ -303,23 +341,32 @@ def run_suite(df: DataFrame, checks: list[Check], suite: str = "suite",
     one = (one.withColumn("score", score.cast("bigint")).withColumn("max_score", F.lit(max_score).cast("bigint"))
               .withColumn("percentage", pct))
     rows = []
+    kinds = {f.name: f.dataType for f in one.schema.fields}
+    any_message = any(c.message is not None for c in checks)
     for i, c in enumerate(checks):
         status = F.col(f"_st{i}")
         hint = F.lit(None).cast("string")
         if c.hint is not None:
             h = F.lit(c.hint)
             if c.actual is not None:
-                act = F.coalesce(F.col(f"_act{i}"), F.lit("None"))
-                h = F.replace(h, F.lit("[[ACTUAL_VALUE]]"), html_escape(act))
-                h = F.replace(h, F.lit("[[LEN_ACTUAL_VALUE]]"), F.length(act).cast("string"))
+                raw, kind = F.col(f"_act{i}"), kinds[f"_act{i}"]
+                act = html_escape(F.coalesce(raw.cast("string"), F.lit("None")))
+                # the length of what has one, else the value itself
+                size = (F.length(raw) if isinstance(kind, (StringType, BinaryType)) else
+                        F.size(raw) if isinstance(kind, (ArrayType, MapType)) else F.lit(None))
+                h = F.replace(h, F.lit("[[ACTUAL_VALUE]]"), act)
+                h = F.replace(h, F.lit("[[LEN_ACTUAL_VALUE]]"), F.coalesce(F.when(raw.isNotNull(), size).cast("string"), act))
+            if c.escape_html:
+                h = html_escape(h)
             hint = F.when(status == "failed", h)
         rows.append(F.struct(
             F.lit(i + 1).alias("seq"),
             F.lit(c.check_id).alias("check_id"),
-            F.lit(c.description).alias("description"),
+            F.lit(html.escape(c.description) if c.escape_html else c.description).alias("description"),
             status.alias("status"),
             F.lit(int(c.points)).alias("max_points"),
             hint.alias("hint"),
+            *[F.lit(c.message or "").alias("message")] * any_message,
         ))
     exploded = one.select(F.inline(F.array(*rows)), "score", "max_score", "percentage", *extra.keys())
     return (exploded

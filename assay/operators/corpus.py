@@ -297,56 +297,63 @@ def guid_findings(cells: DataFrame, doc: str = "doc_id", pos: str = "pos") -> Da
 BUNDLE_SPLIT = r"(?m)^<hr>--i18n-|^<hr sandbox>--i18n-"
 
 
+def _latest(segments):
+    """Of an array of (guid, body) in order, the last of each guid: sorted by
+    guid and backwards by place, and each compared with its neighbour.  All
+    inside the row, so bodies are not shuffled."""
+    placed = F.array_sort(F.transform(segments, lambda s, i: F.struct(
+        s["guid"].alias("guid"), (-i).alias("back"), s["body"].alias("body"))))
+    before = F.concat(F.array(F.lit(None).cast("struct<guid:string,back:int,body:string>")), placed)
+    return F.array_compact(F.zip_with(placed, F.slice(before, F.lit(1), F.size(placed)), lambda s, p: F.when(
+        p.isNull() | (p["guid"] != s["guid"]), F.struct(s["guid"].alias("guid"), s["body"].alias("body")))))
+
+
 def bundle_map(b):
     """bundle text -> (doc_id, guid, body): split on the markers, guid up to
-    the first newline, later duplicates win."""
-    parts = b.select("doc_id", F.posexplode(F.split("bundle", BUNDLE_SPLIT, -1)).alias("i", "part"))
-    nl = F.instr("part", "\n")
-    guid = py_strip(F.concat(F.lit("--i18n-"), F.when(nl == 0, F.col("part")).otherwise(F.substring("part", F.lit(1), nl - 1))))
-    body = F.when(nl == 0, F.lit("")).otherwise(tail("part", nl + 1))
-    x = parts.where(F.col("i") > 0).select("doc_id", "i", guid.alias("guid"), body.alias("body"))
-    return x.groupBy("doc_id", "guid").agg(F.max_by("body", "i").alias("body"))
+    the first newline, later duplicates win (one bundle to a document)."""
+    def segment(part):
+        nl = F.instr(part, "\n")
+        guid = py_strip(F.concat(F.lit("--i18n-"), F.when(nl == 0, part).otherwise(F.substring(part, F.lit(1), nl - 1))))
+        return F.struct(guid.alias("guid"), F.when(nl == 0, F.lit("")).otherwise(tail(part, nl + 1)).alias("body"))
+
+    parts = F.split("bundle", BUNDLE_SPLIT, -1)
+    found = _latest(F.transform(F.slice(parts, F.lit(2), F.size(parts)), segment))
+    return b.select("doc_id", F.inline_outer(found)).where("guid is not null")
+
+
+#: A line break before a marker line; the first line of a file opens nothing.
+SEGMENT_SPLIT = r"\n(?=<hr>--i18n-|<hr sandbox>--i18n-)"
+
+
+def _segments(text):
+    """A file's segments in order, as an array of (guid, body)."""
+    def segment(part):
+        nl = F.instr(part, "\n")
+        line = F.when(nl == 0, part).otherwise(F.substring(part, F.lit(1), nl - 1))
+        guid = py_strip(F.when(line.startswith("<hr>--i18n-"), tail(line, 12)).otherwise(tail(line, 20)))
+        return F.struct(guid.alias("guid"), F.when(nl == 0, F.lit("")).otherwise(tail(part, nl + 1)).alias("body"))
+
+    parts = F.split(text, SEGMENT_SPLIT, -1)
+    return F.transform(F.slice(parts, F.lit(2), F.size(parts)), segment)
 
 
 def read_segments(files):
     """(file, text) -> (file, guid, contents): a marker line opens a segment,
     other lines append to it; line 0 is the file name; a later segment with
-    the same guid replaces the earlier one.  Computed inside each file row."""
-    f = files.select("file", F.split("text", "\n", -1).alias("lines"))
-    is_m = lambda l: l.startswith("<hr>--i18n-") | l.startswith("<hr sandbox>--i18n-")
-    f = f.withColumn("marks", F.filter(F.sequence(F.lit(2), F.greatest(F.size("lines"), F.lit(2))),
-                                       lambda i: (i <= F.size("lines")) & is_m(F.element_at("lines", i))))
-    f = f.withColumn("segs", F.transform("marks", lambda m, k: F.struct(
-        m.alias("m"), F.coalesce(F.try_element_at("marks", k + 2), F.size("lines") + 1).alias("nx"))))
-    s = f.select("file", "lines", F.explode("segs").alias("s"))
-    ml = F.element_at("lines", F.col("s.m"))
-    guid = py_strip(F.when(ml.startswith("<hr>--i18n-"), tail(ml, 12)).otherwise(tail(ml, 20)))
-    body = F.array_join(F.slice("lines", F.col("s.m") + 1, F.col("s.nx") - F.col("s.m") - 1), "\n")
-    x = s.select("file", guid.alias("guid"), F.col("s.m").alias("m"), body.alias("contents"))
-    return x.groupBy("file", "guid").agg(F.max_by("contents", "m").alias("contents"))
+    the same guid replaces the earlier one.  Computed inside each file row, in
+    time that grows with its length."""
+    s = files.select("file", F.inline_outer(_latest(_segments(F.col("text")))))
+    return s.where("guid is not null").select("file", "guid", F.col("body").alias("contents"))
 
 
 def segment_digests(files: DataFrame) -> DataFrame:
     """(file, text) -> one row per file (``_is_file``) plus one per segment
     guid with the SHA-256 of its stripped contents (later duplicates win);
     a single explode per file row, so the files are read once."""
-    f = files.select("file", F.split("text", "\n", -1).alias("lines"))
-    is_m = lambda l: l.startswith("<hr>--i18n-") | l.startswith("<hr sandbox>--i18n-")
-    f = f.withColumn("marks", F.filter(F.sequence(F.lit(2), F.greatest(F.size("lines"), F.lit(2))),
-                                       lambda i: (i <= F.size("lines")) & is_m(F.element_at("lines", i))))
-    segs = F.transform("marks", lambda m, k: F.struct(
-        F.lit(False).alias("is_file"), m.alias("m"),
-        F.coalesce(F.try_element_at("marks", k + 2), F.size("lines") + 1).alias("nx")))
-    marker = F.array(F.struct(F.lit(True).alias("is_file"), F.lit(0).alias("m"), F.lit(0).alias("nx")))
-    s = f.select("file", "lines", F.explode(F.concat(marker, segs)).alias("s"))
-    ml = F.element_at("lines", F.greatest(F.col("s.m"), F.lit(1)))
-    guid = F.when(F.col("s.is_file"), F.lit("")).otherwise(
-        py_strip(F.when(ml.startswith("<hr>--i18n-"), tail(ml, 12)).otherwise(tail(ml, 20))))
-    body = F.when(F.col("s.is_file"), F.lit("")).otherwise(
-        F.array_join(F.slice("lines", F.col("s.m") + 1, F.col("s.nx") - F.col("s.m") - 1), "\n"))
-    x = s.select("file", F.col("s.is_file").alias("_is_file"), guid.alias("guid"), F.col("s.m").alias("m"),
-                 F.sha2(py_strip(body), 256).alias("h"))
-    return x.groupBy("file", "_is_file", "guid").agg(F.max_by("h", "m").alias("h"))
+    digests = F.transform(_latest(_segments(F.col("text"))), lambda s: F.struct(
+        F.lit(False).alias("_is_file"), s["guid"].alias("guid"), F.sha2(py_strip(s["body"]), 256).alias("h")))
+    marker = F.array(F.struct(F.lit(True).alias("_is_file"), F.lit("").alias("guid"), F.sha2(F.lit(""), 256).alias("h")))
+    return files.select("file", F.inline(F.concat(marker, F.coalesce(digests, F.array()))))
 
 
 def segment_diff(original: DataFrame, latest: DataFrame) -> DataFrame:
@@ -405,10 +412,11 @@ def merge_translations(cells: DataFrame, translations: DataFrame, doc: str = "do
 
 # Per notebook language the magic that must not appear in its
 # own cells, and the warning text.
-OWN_MAGICS = {"python": ['%python', 'Found "%python" in a Python notebook'],
-              "sql": ['%sql', 'Found "%sql" in a SQL notebook'],
-              "scala": ['%scala', 'Found "%scala" in a Scala notebook'],
-              "r": ['%r ', 'Found "%r" in an R notebook', '%r\n', 'Found "%r" in an R notebook']}
+OWN_MAGICS = (("python", "%python", 'Found "%python" in a Python notebook'),
+              ("sql", "%sql", 'Found "%sql" in a SQL notebook'),
+              ("scala", "%scala", 'Found "%scala" in a Scala notebook'),
+              ("r", "%r ", 'Found "%r" in an R notebook'),
+              ("r", "%r\n", 'Found "%r" in an R notebook'))
 
 
 def magic_findings(cells: DataFrame, command: str = "command", cm: str = "cm", language: str = "language",
@@ -419,9 +427,7 @@ def magic_findings(cells: DataFrame, command: str = "command", cm: str = "cm", l
     cmd, lang = F.col(command), F.lower(F.col(language))
     not_md = ~cmd.startswith(F.concat(F.col(cm), F.lit(" MAGIC %md")))
     checks = []
-    for name, pairs in OWN_MAGICS.items():
-        for i in range(0, len(pairs), 2):
-            token, text = pairs[i], pairs[i + 1]
-            hit = not_md & (lang == name) & (F.instr(cmd, token) > 0)
-            checks.append(F.when(hit, F.concat(F.lit("Cmd #"), (F.col(pos) + 1).cast("string"), F.lit(f" | {text}"))))
+    for name, token, text in OWN_MAGICS:
+        hit = not_md & (lang == name) & (F.instr(cmd, token) > 0)
+        checks.append(F.when(hit, F.concat(F.lit("Cmd #"), (F.col(pos) + 1).cast("string"), F.lit(f" | {text}"))))
     return cells.select("*", F.explode(F.array_compact(F.array(*checks))).alias("warning"))

@@ -12,14 +12,14 @@ from assay.sources import sinks
 from assay.streaming import jobs as J
 
 col = F.col
-N_FILES = 8
+ROWS_PER_FILE = 100_000      # of a landed file, and event ids of a range; the number of files follows the table
 
 
-def _landed(t, name, n_files=N_FILES):
+def _landed(t, name):
     spark = t.spark
     root = sinks.new_scratch(spark, name)
     ev = t.events
-    J.land_files(ev, f"{root}/in", n_files, "event_id")
+    J.land_files(ev, f"{root}/in", ROWS_PER_FILE)
     return spark, root, ev.schema
 
 
@@ -33,14 +33,14 @@ SELECT user_id, CAST(count(*) AS BIGINT) AS n_checks, CAST(count_if(ok) AS BIGIN
 FROM l GROUP BY user_id""")
 def stream_latest_scorecard(t):
     """Rows 82, 83: last result per check (user x event type) kept as streaming
-    state over files arriving two per trigger; the final state equals the
+    state over files arriving one per trigger; the final state equals the
     batch result whatever the file order, so the batch oracle applies."""
     spark, root, schema = _landed(t, "stream-latest")
-    s = J.file_stream(spark, f"{root}/in", schema, max_files_per_trigger=2)
+    s = J.file_stream(spark, f"{root}/in", schema, max_files_per_trigger=1)
     s = s.select("user_id", "event_type", "ts", "event_id", (col("event_type") != "error").alias("ok"))
     J.latest_per_key(s, ["user_id", "event_type"], "ok", ["ts", "event_id"], f"{root}/out",
                      J.checkpoint_location(root, "ckpt/latest"))
-    latest = spark.read.parquet(f"{root}/out")
+    latest = J.read_latest(spark, f"{root}/out", ["user_id", "event_type"], "ok")
     g = latest.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_checks"), F.count_if("ok").alias("score"))
     pct = F.floor(F.lit(100.0) * col("score") / col("n_checks")).cast("int")
     return g.select("user_id", "n_checks", "score", col("n_checks").alias("max_score"), pct.alias("percentage"),
@@ -80,24 +80,19 @@ def _event_checks():
     ]
 
 
-N_BATCH_FILES = 4
-
-
-def _land_ranges(t, name, n_files):
-    """events landed as ``n_files`` files, one per equal event-id range,
-    written one after the other (one file per append)."""
+def _land_ranges(t, name):
+    """events landed as one file per range of event ids, in one pass."""
     spark = t.spark
     root = sinks.new_scratch(spark, name)
     ev = t.events
-    top = ev.agg(F.max("event_id") + 1).scalar()
-    bucket = F.floor(col("event_id") * n_files / top)
-    for b in range(n_files):
-        ev.where(bucket == b).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    J.land_ranges(ev, f"{root}/in", "event_id", RANGE_WIDTH)
     return spark, root, ev.schema
 
 
-_BATCH_SQL = """
-WITH e AS (SELECT *, CAST(floor(event_id * 4 / (SELECT max(event_id) + 1 FROM events)) AS INTEGER) AS b FROM events),
+RANGE_WIDTH = 25_000
+
+_BATCH_SQL = f"""
+WITH e AS (SELECT *, CAST(event_id // {RANGE_WIDTH} AS BIGINT) AS b FROM events),
 a AS (SELECT b, min(event_id) AS batch_first,
         count_if(user_id IS NULL) = 0 AS ok1,
         count_if(NOT coalesce(event_type IN ('signup','purchase','error','view','click'), false)) = 0 AS ok2,
@@ -126,7 +121,7 @@ def stream_scorecard(t):
     its batch id (idempotent on replay) and identified by its first event.
     Files hold equal event-id ranges, so each batch's rows are known whatever
     order the files are picked in."""
-    spark, root, schema = _land_ranges(t, "stream-score", N_BATCH_FILES)
+    spark, root, schema = _land_ranges(t, "stream-score")
     s = J.file_stream(spark, f"{root}/in", schema, max_files_per_trigger=1)
     J.batch_scorecards(s, _event_checks, f"{root}/out", J.checkpoint_location(root, "ckpt/score"), "event_id")
     r = spark.read.parquet(f"{root}/out")

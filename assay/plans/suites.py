@@ -30,6 +30,27 @@ def latest_scorecard(t):
     return C.latest_results(e, "user_id", "event_type", col("event_type") != "error", ["ts", "event_id"])
 
 
+@query("isolated_suite", """
+WITH a AS (SELECT count(*) AS n, count_if(o_custkey % 7 = 0) AS zeros, coalesce(bool_and(o_totalprice > 0), true) AS positive FROM orders),
+c AS (SELECT * FROM (VALUES (1, 'priced'), (2, 'per_customer_class'), (3, 'behind_it'), (4, 'has_rows')) v(seq, check_id))
+SELECT CAST(seq AS INTEGER) AS seq, check_id,
+  CASE seq WHEN 1 THEN CASE WHEN positive THEN 'passed' ELSE 'failed' END WHEN 2 THEN CASE WHEN zeros > 0 THEN 'failed' ELSE 'passed' END
+    WHEN 3 THEN CASE WHEN zeros > 0 THEN 'skipped' ELSE 'passed' END ELSE CASE WHEN n > 0 THEN 'passed' ELSE 'failed' END END AS status,
+  seq = 2 AND zeros > 0 AS raised
+FROM a, c""")
+def isolated_suite(t):
+    """Row 101: a suite with a check that divides by zero: it fails alone,
+    with a message, the check behind it is skipped and the others run."""
+    o = t.orders
+    s = (C.Suite("orders").test_true(col("o_totalprice") > 0, "prices are positive", test_case_id="priced")
+         .test_true(col("o_totalprice") / (col("o_custkey") % 7) > 0, "price per class", test_case_id="per_customer_class", depends_on=[])
+         .test_true(col("o_totalprice") > 0, "after it", test_case_id="behind_it", depends_on="per_customer_class")
+         .test(F.count(F.lit(1)) > 0, "there are orders", test_case_id="has_rows", depends_on=[]))
+    r = s.run(o, isolated=True)
+    raised = col("message") != "" if "message" in r.columns else F.lit(False)
+    return r.select("seq", "check_id", "status", raised.alias("raised"))
+
+
 @query("skip_cascade_linear", """
 WITH r AS (SELECT user_id, event_id, ts, event_type <> 'error' AS ok FROM events),
 w AS (SELECT *, coalesce(bool_or(NOT ok) OVER (PARTITION BY user_id ORDER BY ts, event_id

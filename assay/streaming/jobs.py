@@ -18,9 +18,16 @@ def checkpoint_location(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def land_files(df: DataFrame, path: str, n_files: int, order: str) -> None:
-    """Write a table as ``n_files`` parquet files split by ranges of ``order``."""
-    df.repartitionByRange(n_files, order).write.mode("overwrite").parquet(path)
+def land_files(df: DataFrame, path: str, rows_per_file: int) -> None:
+    """Write a table as parquet files of at most ``rows_per_file`` rows, as it is partitioned."""
+    df.write.mode("overwrite").option("maxRecordsPerFile", rows_per_file).parquet(path)
+
+
+def land_ranges(df: DataFrame, path: str, key: str, width: int) -> None:
+    """Write a table as one parquet file for each range of ``width`` keys, in
+    one pass; the range is the folder's name."""
+    (df.withColumn("_range", F.floor(F.col(key) / width)).repartition("_range")
+     .write.mode("overwrite").partitionBy("_range").parquet(path))
 
 
 def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -32,18 +39,32 @@ def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: i
 
 def latest_per_key(stream: DataFrame, keys: list[str], value: str, order: list[str], out_path: str,
                    checkpoint: str) -> None:
-    """Last value per key (by ``order``) maintained incrementally; the
-    complete result replaces the sink table on every micro-batch."""
+    """Last value per key (by ``order``) maintained incrementally.  A
+    micro-batch writes the keys it has changed under its batch id (a replay
+    replaces its own files), so its cost follows the batch, not all keys;
+    :func:`read_latest` takes the newest row of each key."""
     agg = stream.groupBy(*keys).agg(F.max_by(value, F.struct(*order)).alias(value))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
-    q = (agg.writeStream.outputMode("complete").foreachBatch(write)
+    q = (agg.writeStream.outputMode("update").foreachBatch(write)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
 
 
+def read_latest(spark: SparkSession, out_path: str, keys: list[str], value: str) -> DataFrame:
+    """The state that :func:`latest_per_key` has written, one row for each key."""
+    rows = spark.read.parquet(out_path)
+    return rows.groupBy(*keys).agg(F.max_by(value, F.col("batch_id").cast("bigint")).alias(value))
+
+
+def compact_latest(spark: SparkSession, out_path: str, to_path: str, keys: list[str], value: str) -> None:
+    """Write the state as a single batch to another folder; batches that were
+    compacted can then be dropped."""
+    read_latest(spark, out_path, keys, value).write.mode("overwrite").parquet(f"{to_path}/batch_id=0")
+
+
 def event_time(df: DataFrame, ts: str):
     """Watermarks need TIMESTAMP: a TIMESTAMP_NTZ column is read as UTC wall
     clock (independent of the session time zone)."""

@@ -1,4 +1,6 @@
-"""Golden values re-typed from the reference's unit tests."""
+"""Naming, text and URL builders: own inputs, results worked out by hand or by plain Python."""
+
+import hashlib
 
 from pyspark.sql import functions as F
 
@@ -7,7 +9,16 @@ from assay.functions import text as X
 from assay.functions import urls as U
 from assay.plans.scalars import duration_label
 
-WS = "9876543210"
+WORKSPACE = "5550001"
+
+
+def plain_hash(text, length):
+    """md5 as an integer, base 36, least significant digit first."""
+    n, out = int(hashlib.md5(text.encode()).hexdigest(), 16), ""
+    for _ in range(length):
+        n, digit = divmod(n, 36)
+        out += "0123456789abcdefghijklmnopqrstuvwxyz"[digit]
+    return out
 
 
 def one(spark, col, **values):
@@ -15,46 +26,42 @@ def one(spark, col, **values):
     return row[0]
 
 
-def test_stable_hash_goldens(spark):
-    df = spark.createDataFrame([("mickey.mouse@disney.com",), ("donald.duck@disney.com",)], "u string")
-    got = [r[0] for r in df.select(N.stable_hash(F.concat("u", F.lit(WS)), length=4)).collect()]
-    assert got == ["g4qd", "511r"]
+def test_stable_hash(spark):
+    # Parity values: the hashes of two fixed inputs.
+    parity = {"mickey.mouse@disney.com9876543210": "g4qd", "donald.duck@disney.com9876543210": "511r"}
+    texts = [*parity, "", "a", "ünïcode", "x" * 1000]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = {r.t: (r.a, r.b) for r in df.select("t", N.stable_hash("t", length=4).alias("a"), N.stable_hash("t", length=8).alias("b")).collect()}
+    assert got == {t: (plain_hash(t, 4), plain_hash(t, 8)) for t in texts}
+    assert {t: got[t][0] for t in parity} == parity
+    two = spark.range(1).select(N.stable_hash(F.lit("p"), F.lit(7), length=5)).first()[0]
+    assert two == plain_hash("p:7", 5)
 
 
 def test_unique_and_schema_names(spark):
-    u = F.lit("mickey.mouse@disney.com")
+    user = "Ann-Lee.O_Neil+qa@corp.example"
+    h = plain_hash(user + WORKSPACE, 4)
+    u, ws = F.lit(user), F.lit(WORKSPACE)
     row = spark.range(1).select(
-        N.unique_name(u, F.lit("test"), F.lit(WS), sep="-").alias("a"),
-        N.unique_name(u, F.lit("test"), F.lit(WS), F.lit("Smoke Test"), sep="_").alias("b"),
-        N.schema_name(u, F.lit("asdf"), F.lit(WS), F.lit("Skinning Cats")).alias("c"),
-        N.schema_name(F.lit("donald.duck@disney.com"), F.lit("qwer"), F.lit(WS)).alias("d"),
-        N.catalog_name(F.lit("donald.duck@disney.com"), F.lit(WS)).alias("e"),
-        N.catalog_name(u, F.lit(WS), F.lit("Lesson #12")).alias("f"),
-    ).first()
-    assert row.a == "mickey-mouse-g4qd-da-test"
-    assert row.b == "mickey_mouse_g4qd_da_test_smoke_test"
-    assert row.c == "mickey_mouse_g4qd_da_asdf_skinning_cats"
-    assert row.d == "donald_duck_511r_da_qwer"
-    assert row.e == "donald_duck_511r_da"
-    assert row.f == "mickey_mouse_g4qd_da_lesson_12"
+        N.unique_name(u, F.lit("sql1"), ws, sep="-").alias("a"), N.unique_name(u, F.lit("sql1"), ws, F.lit("Week 3: Joins"), sep="_").alias("b"),
+        N.schema_name(u, F.lit("x y"), ws).alias("c"), N.catalog_name(u, ws).alias("d"), N.catalog_name(u, ws, F.lit("No.7")).alias("e")).first()
+    assert row.a == f"ann-lee-o-neil-qa-{h}-da-sql1"
+    assert row.b == f"ann_lee_o_neil_qa_{h}_da_sql1_week_3_joins"
+    assert row.c == f"ann_lee_o_neil_qa_{h}_da_x_y"
+    assert row.d == f"ann_lee_o_neil_qa_{h}_da" and row.e == f"ann_lee_o_neil_qa_{h}_da_no_7"
 
 
 def test_clean_names(spark):
-    df = spark.createDataFrame([("Test #123 - Getting Started",), ("Testing Courses, Part 1 & 2",), (None,)], "n string")
+    df = spark.createDataFrame([("Joins (inner/outer) -- v2!",), ("__Ärger & Co__",), (None,)], "n string")
     rows = df.select(N.to_clean_lesson_name("n").alias("a"), N.to_build_name("n").alias("b")).collect()
-    assert rows[0].a == "Test_123_Getting_Started"
-    assert rows[1].b == "testing-courses-part-1-2"
+    assert (rows[0].a, rows[0].b) == ("Joins_inner_outer_v2_", "joins-inner-outer-v2-")
+    assert (rows[1].a, rows[1].b) == ("_rger_Co_", "-rger-co-")
     assert rows[2].a is None and rows[2].b is None
 
 
 LESSONS = [
-    ("Includes/Whatever", -1), ("AB - 03 - Lesson Three", -1), (" - 03 - Lesson Three", -1),
-    ("32A - Lesson Three", -1), ("32 B - Lesson Three", -1),
-    ("ADE 2 - Streaming Architecture with DLT/ADE 2.1 - Operations", 2),
-    ("ADE 6 - Automate Production Jobs - WIP/ADE 6.1 - Getting Started", 6),
-    ("DE 0 - Intro to PySpark/DE 0.00 - Module Introduction", 0),
-    ("DE 1 - Workspace Basics/DE 1.1 - Create and Manage Interactive Clusters", 1),
-    ("1 - Lesson One", 1), ("02 - Lesson Two", 2), ("P03 - Lesson Three", 3),
+    ("Appendix", -1), ("7", -1), ("", -1), (" - 4 - x", -1), ("4x - Tables", -1), ("Unit 4b - Tables", -1), ("4 5 - Tables", -1), ("-1 - y", 1),
+    ("Unit 04 - Tables/Unit 4.2 - Keys", 4), ("4 - Tables", 4), ("  0017   - Views - more", 17), ("#9 - Z", 9), ("Unit - Tables", -1),
 ]
 
 
