@@ -8,6 +8,8 @@ is collected across rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -293,6 +295,49 @@ def guid_findings(cells: DataFrame, doc: str = "doc_id", pos: str = "pos") -> Da
     return j.withColumn("message", msg).drop("_first")
 
 
+# Messages on link targets.
+TARGET_UNEXPECTED = 'Cmd #{n} | Found unexpected, relative, {what} target: "{original}" resolved as "{target}"'
+TARGET_MISSING = 'Cmd #{n} | Cannot find notebook for the {what} target: "{original}" resolved as "{target}"'
+
+
+def fill(template: str, **values) -> Column:
+    """A message template with its named placeholders filled from columns."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[F.lit(x) if i % 2 == 0 else values[x].cast("string") for i, x in enumerate(parts) if x])
+
+
+def resolve_target(path: Column, target: Column) -> Column:
+    """A ``./`` or ``../`` target seen from the document at ``path``: each
+    leading ``../`` goes up one folder; the result has no leading slash."""
+    climbs = F.regexp_extract(target, r"^((?:\.\./)*)", 1)
+    rest = F.when(climbs != "", tail(target, F.length(climbs) + 1)).when(target.startswith("./"), tail(target, 3)).otherwise(target)
+    parts = F.split(path, "/")
+    kept = F.greatest(F.size(parts) - 1 - F.length(climbs) / 3, F.lit(0)).cast("int")
+    parent = F.array_join(F.slice(parts, F.lit(1), kept), "/")
+    return F.regexp_replace(F.when(F.contains(path, F.lit("/")), F.concat(parent, F.lit("/"), rest)).otherwise(rest), "^/", "")
+
+
+def check_targets(links: DataFrame, paths: DataFrame, what: str, path: str = "path", pos: str = "pos",
+                  original: str = "original", target: str = "target") -> DataFrame:
+    """``links`` with ``resolved``, ``severity`` and ``message``: a target that
+    is neither ``./`` nor ``../`` is a warning, one that resolves to no path of
+    ``paths(path)`` and to no folder above one is an error.  Every path is
+    exploded into itself and its folders once; then one equi-join."""
+    parts = F.split("path", "/")
+    lead = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, F.lit(1), i), "/"))
+    top = F.when(F.size(parts) == 1, F.array(F.lit(""))).otherwise(F.array().cast("array<string>"))
+    known = paths.select(F.explode(F.concat(lead, top)).alias("resolved")).distinct().withColumn("_known", F.lit(True))
+    aimed = links.withColumn("_relative", F.col(target).startswith("./") | F.col(target).startswith("../"))
+    aimed = aimed.withColumn("resolved", F.when(F.col("_relative"), resolve_target(F.col(path), F.col(target))))
+    j = aimed.join(known, "resolved", "left")
+    severity = (F.when(F.col(target).isNull(), None).when(~F.col("_relative"), "warning")
+                .when(F.col("_known").isNull(), "error"))
+    n = F.col(pos) + 1
+    message = (F.when(severity == "warning", fill(TARGET_UNEXPECTED, n=n, what=F.lit(what), original=F.col(original), target=F.col(target)))
+               .when(severity == "error", fill(TARGET_MISSING, n=n, what=F.lit(what), original=F.col(original), target=F.col("resolved"))))
+    return j.withColumn("severity", severity).withColumn("message", message).drop("_relative", "_known")
+
+
 # The bundle markers that open a segment.
 BUNDLE_SPLIT = r"(?m)^<hr>--i18n-|^<hr sandbox>--i18n-"
 

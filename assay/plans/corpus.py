@@ -285,21 +285,48 @@ def markdown_pages(t):
     return p.select("page_id", md.alias("md"))
 
 
-@query("md_link_lint", r"""
+# The paths of all pages, each with its folders, as link targets may name them.
+_KNOWN_PAGES_SQL = f"""
+  SELECT DISTINCT array_to_string(parts[1:i], '/') AS known
+  FROM (SELECT string_split(regexp_replace(substr(path, 2), '/+$', ''), '/') AS parts FROM ({S.PAGE_PATHS_SQL})), unnest(range(1, len(parts) + 1)) AS u(i)"""
+
+
+def _resolve_sql(path: str, target: str) -> str:
+    """``resolve_target`` for paths that have folders."""
+    climbs = f"CAST(length(regexp_extract({target}, '^((\\.\\./)*)', 1)) / 3 AS INTEGER)"
+    rest = (f"CASE WHEN starts_with({target}, '../') THEN substr({target}, 3 * {climbs} + 1) "
+            f"WHEN starts_with({target}, './') THEN substr({target}, 3) ELSE {target} END")
+    parent = f"array_to_string(string_split({path}, '/')[1:greatest(len(string_split({path}, '/')) - 1 - {climbs}, 0)], '/')"
+    return f"regexp_replace({parent} || '/' || {rest}, '^/', '')"
+
+
+def page_notebooks(t):
+    """Every page as a notebook at ``host/folders/name``."""
+    return S.page_paths(t).select("page_id", F.regexp_replace(tail("path", 2), "/+$", "").alias("path"))
+
+
+@query("md_link_lint", rf"""
 WITH m AS (SELECT page_id, regexp_replace(html, '<a href="([^"]*)">([^<]*)</a>', '[\2]($.\1)', 'g') AS md FROM pages),
 m2 AS (SELECT page_id, CASE WHEN page_id % 5 = 0 THEN regexp_replace(md, '^(.*?)\[', '\1![') ELSE md END AS md FROM m),
 l AS (SELECT page_id, unnest(regexp_extract_all(md, '!?\[.*?\]\(.*?\)')) AS link FROM m2),
-r AS (SELECT page_id, link, regexp_extract(link, '\(\$.*\)') AS rel FROM l WHERE NOT starts_with(link, '!'))
-SELECT page_id, link, substr(rel, 3, length(rel) - 3) AS target FROM r WHERE rel <> ''""")
+r AS (SELECT page_id, link, regexp_extract(link, '\(\$.*\)') AS rel FROM l WHERE NOT starts_with(link, '!')),
+p AS (SELECT page_id, regexp_replace(substr(path, 2), '/+$', '') AS path FROM ({S.PAGE_PATHS_SQL})),
+x AS (SELECT page_id, link, substr(rel, 3, length(rel) - 3) AS target, path FROM r JOIN p USING (page_id) WHERE rel <> ''),
+y AS (SELECT *, {_resolve_sql('path', 'target')} AS resolved FROM x)
+SELECT page_id, link, target, resolved, CASE WHEN k.known IS NULL THEN 'error' END AS severity,
+  CASE WHEN k.known IS NULL THEN 'Cmd #1 | Cannot find notebook for the MD link target: "$' || target || '" resolved as "' || resolved || '"' END AS message
+FROM y LEFT JOIN ({_KNOWN_PAGES_SQL}) k ON k.known = y.resolved""")
 def md_link_lint(t):
     """Row 116: markdown links (not images, via look-behind) whose target is
-    relative (``($...)``); the target without '($' and ')'.  (The oracle,
-    lacking look-behind in RE2, matches an optional '!' and drops those.)"""
+    relative (``($...)``), resolved from the page's folder and looked up among
+    all pages and folders.  (The oracle, lacking look-behind in RE2, matches
+    an optional '!' and drops those.)"""
     m = markdown_pages(t)
     links = m.select("page_id", F.explode(F.regexp_extract_all("md", F.lit(r"(?<!!)\[.*?\]\(.*?\)"), 0)).alias("link"))
     rel = F.regexp_extract("link", r"\(\$.*\)", 0)
-    return links.where(rel != "").select("page_id", "link", tail(rel, 3).alias("_t")) \
-        .select("page_id", "link", F.expr("substring(_t, 1, length(_t) - 1)").alias("target"))
+    links = (links.where(rel != "").select("page_id", "link", F.regexp_replace(tail(rel, 2), r"\)$", "").alias("original"))
+             .select("*", tail("original", 2).alias("target"), F.lit(0).alias("pos")).join(page_notebooks(t), "page_id"))
+    return K.check_targets(links, page_notebooks(t), "MD link").select("page_id", "link", "target", "resolved", "severity", "message")
 
 
 def run_cells(t):
@@ -310,40 +337,60 @@ def run_cells(t):
     run = (F.when(k % 3 == 0, F.concat(F.lit('"'), target, F.lit(' x"')))
            .when(k % 3 == 1, F.concat(target, F.lit(" $arg=1")))
            .otherwise(F.concat(F.lit('"'), target)))
-    pip_repo = F.element_at(F.array(*[F.lit(r) for r in BANNED_REPOS + ["current-lib"]]),
-                            (col("pos") % (len(BANNED_REPOS) + 1) + 1).cast("int"))
+    repo = lambda k: F.element_at(F.array(*[F.lit(r) for r in BANNED_REPOS + [CURRENT_REPO]]),
+                                  (k % (len(BANNED_REPOS) + 1) + 1).cast("int"))
     cmd = F.when(col("role") == "user", F.concat(col("cm"), F.lit(" MAGIC %run "), run)).otherwise(
-        F.concat(col("cm"), F.lit(" MAGIC %pip install git+https://example.org/"), pip_repo))
-    return c.select("doc_id", "pos", "cm", cmd.alias("command"))
+        F.concat(col("cm"), F.lit(f" MAGIC %pip install git+{REPO_BASE}"), repo(col("pos")),
+                 F.when(col("pos") % 3 == 0, F.concat(F.lit(f" git+{REPO_BASE}"), repo(col("pos") + 1))).otherwise("")))
+    return c.select("doc_id", "pos", "cm", notebook_path(col("doc_id")).alias("path"), cmd.alias("command"))
+
+
+def notebook_path(doc_id):
+    return F.concat(F.lit("Course-"), (doc_id % 10).cast("string"), F.lit("/Nb-"), doc_id.cast("string"))
 
 
-# Retired library repositories a %pip cell must not install.
+def notebook_paths(t):
+    """All notebooks: one for each conversation, and a setup for two in three."""
+    ids = t.conversations.select(col("conv_id").alias("doc_id")).distinct()
+    setup = F.when(col("doc_id") % 3 != 0, F.concat(F.lit("Includes/Setup-"), col("doc_id").cast("string")))
+    return ids.select(F.explode(F.array_compact(F.array(notebook_path(col("doc_id")), setup))).alias("path"))
+
+
+# Messages, and retired library repositories a %pip cell must not install.
+RUN_UNCLOSED = "Cmd #{n} | Missing closing quote in %run target"
+PIP_RETIRED = "Cmd #{n} | Using unsupported repo, {repo} is no longer supported; please use {current} instead."
 BANNED_REPOS = ["helper-lib", "rest-lib", "gems-lib", "courseware-lib"]
 REPO_BASE = "https://example.org/"
 CURRENT_REPO = "current-lib"
 
 
+def _repo_sql(k):
+    cases = " ".join(f"WHEN {i} THEN '{r}'" for i, r in enumerate(BANNED_REPOS))
+    return f"CASE ({k}) % {len(BANNED_REPOS) + 1} {cases} END"
+
+
 @query("run_targets", f"""
-WITH c AS (SELECT conv_id AS doc_id, CAST(turn AS BIGINT) AS pos, role,
-             CASE conv_id % 4 WHEN 0 THEN '#' WHEN 1 THEN '--' WHEN 2 THEN '//' ELSE '#' END AS cm FROM conversations),
-r AS (SELECT doc_id, pos, role, cm, (doc_id + pos) % 3 AS v, '../Includes/Setup-' || CAST(doc_id AS VARCHAR) AS target FROM c),
-x AS (SELECT doc_id, pos, role, CASE
-        WHEN role <> 'user' THEN NULL
-        WHEN v = 0 THEN target || ' x'
-        WHEN v = 1 THEN target
-        ELSE NULL END AS target,
-      CASE WHEN role = 'user' AND v = 2 THEN 'Cmd #' || (pos + 1) || ' | Missing closing quote in %run target' END AS warning,
-      CASE WHEN role <> 'user' AND pos % 5 < 4 THEN 'Cmd #' || (pos + 1) || ' | Using unsupported repo, https://example.org/' ||
-        CASE pos % 5 WHEN 0 THEN 'helper-lib' WHEN 1 THEN 'rest-lib' WHEN 2 THEN 'gems-lib' ELSE 'courseware-lib' END ||
-        ' is no longer supported; please use https://example.org/current-lib instead.' END AS error
-      FROM r)
-SELECT doc_id, pos, target, warning, error FROM x WHERE target IS NOT NULL OR warning IS NOT NULL OR error IS NOT NULL""")
+WITH c AS (SELECT conv_id AS doc_id, CAST(turn AS BIGINT) AS pos, role FROM conversations),
+t AS (SELECT doc_id, pos, CASE (doc_id + pos) % 3 WHEN 0 THEN '../Includes/Setup-' || doc_id || ' x' WHEN 1 THEN '../Includes/Setup-' || doc_id END AS target
+      FROM c WHERE role = 'user'),
+r AS (SELECT *, substr(target, 4) AS resolved, target = '../Includes/Setup-' || doc_id AND doc_id % 3 <> 0 AS found FROM t),
+b AS (SELECT doc_id, pos, {_repo_sql('pos')} AS repo FROM c WHERE role <> 'user'
+      UNION ALL SELECT doc_id, pos, {_repo_sql('pos + 1')} FROM c WHERE role <> 'user' AND pos % 3 = 0)
+SELECT doc_id, pos, 'run' AS kind, target, resolved,
+  CASE WHEN target IS NULL THEN 'warning' WHEN NOT found THEN 'error' END AS severity,
+  CASE WHEN target IS NULL THEN 'Cmd #' || (pos + 1) || ' | Missing closing quote in %run target'
+       WHEN NOT found THEN 'Cmd #' || (pos + 1) || ' | Cannot find notebook for the %run target: "' || target || '" resolved as "' || resolved || '"' END AS message
+FROM r
+UNION ALL
+SELECT DISTINCT doc_id, pos, 'pip', NULL, NULL, 'error', 'Cmd #' || (pos + 1) || ' | Using unsupported repo, {REPO_BASE}' || repo ||
+  ' is no longer supported; please use {REPO_BASE}{CURRENT_REPO} instead.'
+FROM b WHERE repo IS NOT NULL""")
 def run_targets(t):
-    """Row 117: %run targets (quoted or up to the first space; a missing
-    closing quote is a warning) and %pip cells installing retired repos."""
+    """Row 117: %run targets (quoted, or up to the first space; a missing
+    closing quote is a warning) resolved and looked up among all notebooks,
+    and an error for each retired repository that a %pip cell installs."""
     c = run_cells(t)
     prefix = F.concat(col("cm"), F.lit(" MAGIC %run"))
-    is_run = col("command").startswith(prefix)
     line0 = F.substring_index("command", NL, 1)
     link = py_strip(tail(line0, F.length(prefix) + 1))
     quoted = link.startswith('"')
@@ -353,24 +400,19 @@ def run_targets(t):
     target = (F.when(quoted & (qpos > 0), F.substring(rest, F.lit(1), qpos - 1))
               .when(quoted, F.lit(None))
               .when(spos > 1, F.substring(link, F.lit(1), spos - 1)).otherwise(link))
-    warning = F.when(is_run & quoted & (qpos == 0),
-                     F.concat(F.lit("Cmd #"), (col("pos") + 1).cast("string"), F.lit(" | Missing closing quote in %run target")))
-    is_pip = col("command").startswith(F.concat(col("cm"), F.lit(" MAGIC %pip")))
-    error = F.lit(None).cast("string")
-    for r in reversed(BANNED_REPOS):
-        full = f"{REPO_BASE}{r}"
-        error = F.when(is_pip & col("command").contains(full), F.concat(
-            F.lit("Cmd #"), (col("pos") + 1).cast("string"),
-            F.lit(f" | Using unsupported repo, {full} is no longer supported; please use {REPO_BASE}{CURRENT_REPO} instead.")
-        )).otherwise(error)
-    out = c.select("doc_id", "pos", F.struct(F.when(is_run, target).alias("target"), warning.alias("warning"),
-                                             error.alias("error")).alias("f"))
-    # keep rows with a finding through a 0/1-element explode (a filter would be
-    # pushed below the projection and evaluate every expression twice)
-    f = col("f")
-    keep = F.when(f["target"].isNotNull() | f["warning"].isNotNull() | f["error"].isNotNull(), F.array(f)).otherwise(
-        F.array().cast("array<struct<target:string,warning:string,error:string>>"))
-    return out.select("doc_id", "pos", F.inline(keep))
+    runs = c.where(col("command").startswith(prefix)).select("doc_id", "pos", "path", target.alias("target"))
+    runs = K.check_targets(runs.withColumn("original", col("target")), notebook_paths(t), "%run")
+    unclosed = col("target").isNull()
+    runs = runs.select("doc_id", "pos", F.lit("run").alias("kind"), "target", "resolved",
+                       F.when(unclosed, "warning").otherwise(col("severity")).alias("severity"),
+                       F.when(unclosed, K.fill(RUN_UNCLOSED, n=col("pos") + 1)).otherwise(col("message")).alias("message"))
+    found = F.array_compact(F.array(*[F.when(F.contains("command", F.lit(REPO_BASE + r)), K.fill(
+        PIP_RETIRED, n=col("pos") + 1, repo=F.lit(REPO_BASE + r), current=F.lit(REPO_BASE + CURRENT_REPO))) for r in BANNED_REPOS]))
+    pips = (c.where(col("command").startswith(F.concat(col("cm"), F.lit(" MAGIC %pip"))))
+            .select("doc_id", "pos", F.explode(found).alias("message")))
+    none = F.lit(None).cast("string")
+    return runs.unionByName(pips.select("doc_id", "pos", F.lit("pip").alias("kind"), none.alias("target"), none.alias("resolved"),
+                                        F.lit("error").alias("severity"), "message"))
 
 
 # ------------------------------------------------------------ i18n and bundles
@@ -856,33 +898,28 @@ def segment_diff(t):
 
 # ------------------------------------------------------------ links and lint
 
+LINK_FORMS = (".", "..", "../..", "")      # by page: what stands before the link's own path
+
+
 @query("dangling_links", f"""
-WITH p AS ({S.PAGE_PATHS_SQL}),
-f AS (SELECT DISTINCT regexp_replace(path, '/+$', '') AS path FROM p),
-known AS (SELECT path FROM f UNION SELECT DISTINCT a AS path FROM (
-            SELECT unnest(list_transform(range(2, len(string_split(path, '/'))),
-                   lambda i: array_to_string(string_split(path, '/')[1:i], '/'))) AS a FROM f)),
-l AS (SELECT page_id, split_part(path, '/', 2) AS host, regexp_extract(u.link, 'href="([^"]*)"', 1) AS href
-      FROM p, unnest(regexp_extract_all(
-        (SELECT html FROM pages WHERE pages.page_id = p.page_id), '<a .*?</a>')) AS u(link)),
-r AS (SELECT page_id, href, CASE WHEN starts_with(href, '/') THEN '/' || host || href
-                               ELSE '/' || host || '/' || regexp_replace(href, '^\\./', '') END AS target FROM l)
-SELECT page_id, href, target FROM r WHERE target NOT IN (SELECT path FROM known)""")
+WITH p AS (SELECT page_id, regexp_replace(substr(path, 2), '/+$', '') AS path FROM ({S.PAGE_PATHS_SQL})),
+l AS (SELECT page_id, CAST(u.i - 1 AS INTEGER) AS link_no,
+        CASE page_id % 4 {" ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(LINK_FORMS))} END || regexp_extract(u.link, 'href="([^"]*)"', 1) AS href
+      FROM pages, unnest(regexp_extract_all(html, '<a .*?</a>')) WITH ORDINALITY AS u(link, i)),
+r AS (SELECT l.*, page_id % 4 <> 3 AS relative, CASE WHEN page_id % 4 <> 3 THEN {_resolve_sql('path', 'href')} END AS target FROM l JOIN p USING (page_id))
+SELECT page_id, link_no, href, target, CASE WHEN relative THEN 'error' ELSE 'warning' END AS severity,
+  CASE WHEN relative THEN 'Cmd #1 | Cannot find notebook for the link target: "' || href || '" resolved as "' || target || '"'
+       ELSE 'Cmd #1 | Found unexpected, relative, link target: "' || href || '" resolved as "' || href || '"' END AS message
+FROM r LEFT JOIN ({_KNOWN_PAGES_SQL}) k ON k.known = r.target WHERE NOT relative OR k.known IS NULL""")
 def dangling_links(t):
-    """Row 30: link targets resolved against the site of their page that are
-    neither a page nor a directory of pages (explode ancestors of all paths
-    once, then an anti join)."""
-    p = S.page_paths(t)
-    files = p.select(F.regexp_replace("path", "/+$", "").alias("path"))
-    # every page path and every directory above it (without the trailing '/')
-    known = M.manifest_from_files(files).select(F.regexp_replace("path", "/+$", "").alias("path")).distinct()
-    host = F.regexp_extract("url", r"^[a-zA-Z]+://([^/?#]*)", 1)
-    links = t.pages.select("page_id", host.alias("host"), F.explode(K.html_links(col("html"))).alias("link"))
-    href = F.regexp_extract("link", 'href="([^"]*)"', 1)
-    target = F.when(href.startswith("/"), F.concat(F.lit("/"), col("host"), href)).otherwise(
-        F.concat(F.lit("/"), col("host"), F.lit("/"), F.regexp_replace(href, r"^\./", "")))
-    r = links.select("page_id", href.alias("href"), target.alias("target"))
-    return r.join(known.select(col("path").alias("target")), "target", "left_anti").select("page_id", "href", "target")
+    """Row 30: links resolved from the folder of their page (``./``, and one
+    folder up for each ``../``) that are neither a page nor a folder of pages;
+    other links are a warning."""
+    lead = F.element_at(F.array(*[F.lit(x) for x in LINK_FORMS]), (col("page_id") % 4 + 1).cast("int"))
+    links = t.pages.select("page_id", F.posexplode(K.html_links(col("html"))).alias("link_no", "link"))
+    links = links.select("page_id", "link_no", F.concat(lead, F.regexp_extract("link", 'href="([^"]*)"', 1)).alias("href"), F.lit(0).alias("pos"))
+    found = K.check_targets(links.join(page_notebooks(t), "page_id"), page_notebooks(t), "link", original="href", target="href")
+    return found.where(col("severity").isNotNull()).select("page_id", "link_no", "href", col("resolved").alias("target"), "severity", "message")
 
 
 from assay.plans.registry import ORACLES  # noqa: E402
@@ -916,15 +953,17 @@ def _per_doc_findings(t):
                        (F.when(ignored, 0).otherwise(col("dir_err")) + col("todo_err") + gate).alias("e1"),
                        F.when(ignored, 0).otherwise(col("dir_warn")).alias("w1"))
     gr = guid_rules(t).where(col("error").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("e2"))
-    rt = run_targets(t).groupBy("doc_id").agg(F.count("error").alias("e3"), F.count("warning").alias("w3"))
+    rt = run_targets(t).select("doc_id", "severity").unionByName(
+        magic_lint(t).select("doc_id", F.lit("warning").alias("severity"))).groupBy("doc_id").agg(
+        F.count_if(col("severity") == "error").alias("e3"), F.count_if(col("severity") == "warning").alias("w3"))
     conv = (cell.join(gr, "doc_id", "full_outer").join(rt, "doc_id", "full_outer")
             .select(F.concat(F.lit("conv-"), col("doc_id").cast("string")).alias("doc_key"),
                     (F.coalesce("e1", F.lit(0)) + F.coalesce("e2", F.lit(0)) + F.coalesce("e3", F.lit(0))).alias("n_errors"),
                     (F.coalesce("w1", F.lit(0)) + F.coalesce("w3", F.lit(0))).alias("n_warnings")))
-    pages = (html_link_lint(t).where(col("missing_target") & (col("page_id") % 4 != 0)).groupBy("page_id")
-             .agg(F.count(F.lit(1)).alias("n_warnings"))
-             .select(F.concat(F.lit("page-"), col("page_id").cast("string")).alias("doc_key"),
-                     F.lit(0).cast("bigint").alias("n_errors"), "n_warnings"))
+    pages = (html_link_lint(t).where(col("missing_target") & (col("page_id") % 4 != 0)).select("page_id", F.lit("warning").alias("severity"))
+             .unionByName(md_link_lint(t).where("severity is not null").select("page_id", "severity")).groupBy("page_id")
+             .agg(F.count_if(col("severity") == "error").alias("n_errors"), F.count_if(col("severity") == "warning").alias("n_warnings"))
+             .select(F.concat(F.lit("page-"), col("page_id").cast("string")).alias("doc_key"), "n_errors", "n_warnings"))
     # documents: token errors and prohibited-literal warnings in one pass over the text
     d = t.documents.select("doc_id", "lang", "text")
     n_err = F.size(token_hits(col("text"))).cast("bigint")
@@ -944,14 +983,16 @@ def _per_doc_findings(t):
 _FINDINGS_SQL = f"""
 WITH ed AS ({ORACLES['extract_directives']}), ut AS ({ORACLES['uncomment_todo']}), gr AS ({ORACLES['guid_rules']}),
 rt AS ({ORACLES['run_targets']}), gt AS ({ORACLES['doc_gate_rules']}), hl AS ({ORACLES['html_link_lint']}),
+ml AS ({ORACLES['magic_lint']}), md AS ({ORACLES['md_link_lint']}),
 ft AS ({ORACLES['forbidden_tokens']}), pl AS ({ORACLES['prohibited_lines']}),
 fnd AS (
   SELECT 'conv-' || doc_id AS doc_key, 'directive' AS kind, 'error' AS severity, CAST(errors AS BIGINT) AS n FROM ed WHERE errors > 0
   UNION ALL SELECT 'conv-' || doc_id, 'directive', 'warning', warnings FROM ed WHERE warnings > 0
   UNION ALL SELECT 'conv-' || doc_id, 'todo', 'error', errors FROM ut WHERE errors > 0
   UNION ALL SELECT 'conv-' || doc_id, 'i18n', 'error', 1 FROM gr WHERE error IS NOT NULL
-  UNION ALL SELECT 'conv-' || doc_id, 'run', 'warning', 1 FROM rt WHERE warning IS NOT NULL
-  UNION ALL SELECT 'conv-' || doc_id, 'pip', 'error', 1 FROM rt WHERE error IS NOT NULL
+  UNION ALL SELECT 'conv-' || doc_id, kind, severity, 1 FROM rt WHERE severity IS NOT NULL
+  UNION ALL SELECT 'conv-' || doc_id, 'magic', 'warning', 1 FROM ml
+  UNION ALL SELECT 'page-' || page_id, 'md_link', severity, 1 FROM md WHERE severity IS NOT NULL
   UNION ALL SELECT 'conv-' || doc_id, 'gate', 'error', len(string_split(errors, ',')) FROM gt WHERE errors <> ''
   UNION ALL SELECT 'page-' || page_id, 'html_link', 'warning', 1 FROM hl WHERE missing_target
   UNION ALL SELECT 'doc-' || doc_id, 'token', 'error', 1 FROM ft

@@ -211,3 +211,20 @@ def test_segments_in_linear_time_on_a_scanned_table(spark, tmp_path):
         else:
             want["f.md", guid].append(line)
     assert got == {k: "\n".join(v) for k, v in want.items()}
+
+
+def test_relative_targets(spark):
+    """Targets from a/b/c: one folder up for each ../, folders count as found, others are told."""
+    paths = spark.createDataFrame([("a/b/c",), ("a/d",), ("x/y/z",), ("top",)], "path string")
+    want = {"./c": "a/b/c", "../d": "a/d", "../../x/y": "x/y", "../../x": "x", "../b": "a/b", "../../top": "top", "../../../top": "top",
+            "./q": None, "../c": None, "d": "warn", "/a/d": "warn", "..d": "warn", "../": None, "./": None}
+    links = spark.createDataFrame([(i, "a/b/c", t) for i, t in enumerate(want)], "pos int, path string, target string")
+    got = {r.target: r for r in K.check_targets(links, paths, "MD link", original="target").collect()}
+    for t, found in want.items():
+        assert got[t].severity == {None: "error", "warn": "warning"}.get(found), t
+        if found not in (None, "warn"):
+            assert got[t].resolved == found and got[t].message is None
+    assert got["./q"].message == 'Cmd #8 | Cannot find notebook for the MD link target: "./q" resolved as "a/b/q"'
+    assert got["d"].message == 'Cmd #10 | Found unexpected, relative, MD link target: "d" resolved as "d"'
+    flat = spark.createDataFrame([(0, "top", "./top"), (1, "top", "../nb")], "pos int, path string, target string")
+    assert {r.pos: (r.resolved, r.severity) for r in K.check_targets(flat, paths, "x", original="target").collect()} == {0: ("top", None), 1: ("nb", "error")}
