@@ -452,7 +452,7 @@ def merge_translations(cells: DataFrame, translations: DataFrame, doc: str = "do
     new = (F.when(status == "invalid", F.col("command"))
            .when(F.col("titled"), F.concat(head, text))
            .otherwise(F.concat(head, magic, text)))
-    return j.select(doc, "pos", "cm", "guid", status.alias("status"), new.alias("cell"))
+    return j.select(doc, "pos", "cm", "guid", "command", status.alias("status"), new.alias("cell"))
 
 
 # Per notebook language the magic that must not appear in its

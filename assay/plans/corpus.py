@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from assay.functions.text import py_strip, tail
+from assay.functions.text import WS, py_strip, tail
 from assay.operators import corpus as K
 from assay.operators import manifest as M
 from assay.plans import standins as S
@@ -43,7 +43,8 @@ def commands(t):
               .when(col("role") == "user", F.concat(cm, F.lit(" TODO")))
               .when(col("role") == "assistant", F.concat(cm, F.lit(" ANSWER")))
               .otherwise(F.concat(cm, F.lit(" SOURCE_ONLY"))))
-    pre = F.when(k % 11 == 0, F.concat(cm, F.lit(" INCLUDE_HEADER_TRUE\n"))).otherwise(F.lit(""))
+    pre = (F.when(k % 11 == 0, F.concat(cm, F.lit(" INCLUDE_HEADER_TRUE\n")))
+           .when(k % 11 == 5, F.concat(cm, F.lit(" INCLUDE_FOOTER_TRUE\n"))).otherwise(F.lit("")))
     body = F.when(col("role") == "user",
                   F.array_join(F.transform(F.split("text", NL, -1), lambda l: F.concat(cm, F.lit(" "), l)), NL)
                   ).otherwise(col("text"))
@@ -560,7 +561,7 @@ f AS (SELECT doc_id, guid, min(pos) AS first_pos FROM r WHERE error0 IS NULL AND
 e AS (SELECT r.*, CASE WHEN r.md AND r.error0 IS NULL AND r.pos > f.first_pos THEN 'duplicate' ELSE r.error0 END AS error
       FROM r LEFT JOIN f ON r.doc_id = f.doc_id AND r.guid = f.guid),
 tr AS ({_bundle_map_sql(True)})
-SELECT e.doc_id, e.pos, e.cm, e.guid,
+SELECT e.doc_id, e.pos, e.cm, e.guid, e.command,
   CASE WHEN e.error IS NOT NULL THEN 'invalid' WHEN tr.guid IS NULL THEN 'missing' ELSE 'translated' END AS status,
   CASE WHEN e.error IS NOT NULL THEN e.command
        ELSE e.cm || ' DBTITLE 0,' || e.guid || chr(10) ||
@@ -617,6 +618,11 @@ r AS (SELECT *, CASE
         ELSE ['student', 'solution'] END AS targets FROM d)"""
 
 HEADER_CELL = "{cm} MAGIC %md-sandbox\n{cm} MAGIC <div>course header</div>"
+FOOTER_CELL = "{cm} MAGIC %md-sandbox\n{cm} MAGIC <div>course footer</div>"
+
+
+def _fixed_cell_sql(template: str) -> str:
+    return "replace('" + template.replace("\n", "' || chr(10) || '") + "', '{cm}', cm)"
 
 
 @query("assemble_documents", _ROUTED_SQL + f""",
@@ -626,8 +632,11 @@ c AS (SELECT doc_id, pos, cm, target,
       FROM x),
 h AS (SELECT DISTINCT d.doc_id, d.cm, t.target FROM d, (VALUES ('student'), ('solution')) t(target)
       WHERE d.doc_id IN (SELECT doc_id FROM d WHERE list_contains(directives, 'INCLUDE_HEADER_TRUE'))),
-u AS (SELECT doc_id, pos, cm, target, cell FROM c
-      UNION ALL SELECT doc_id, -1, cm, target, cm || ' MAGIC %md-sandbox' || chr(10) || cm || ' MAGIC <div>course header</div>' FROM h),
+f AS (SELECT DISTINCT d.doc_id, d.cm, t.target FROM d, (VALUES ('student'), ('solution')) t(target)
+      WHERE d.doc_id IN (SELECT doc_id FROM d WHERE list_contains(directives, 'INCLUDE_FOOTER_TRUE'))),
+u AS (SELECT doc_id, pos, cm, target, regexp_replace(cell, '^[\\s\\p{{Z}}]+', '') AS cell FROM c
+      UNION ALL SELECT doc_id, -1, cm, target, {_fixed_cell_sql(HEADER_CELL)} FROM h
+      UNION ALL SELECT doc_id, 9223372036854775807, cm, target, {_fixed_cell_sql(FOOTER_CELL)} FROM f),
 g AS (SELECT doc_id, target, min(cm) AS cm, CAST(count(*) AS BIGINT) AS n_cells, list(cell ORDER BY pos) AS cells FROM u GROUP BY doc_id, target)
 SELECT doc_id, target, n_cells,
   md5(cm || '{NOTEBOOK_HEADER}' || chr(10) ||
@@ -637,7 +646,8 @@ FROM g""")
 def assemble_documents(t):
     """Row 121: student and solution documents assembled per notebook:
     optional header cell first, routed cells in order (TODO cells
-    uncommented for students), joined with the command delimiter.  The
+    uncommented for students), without white space before them, an optional
+    footer cell last, joined with the command delimiter.  The
     cells of a notebook are gathered once (one bounded group per notebook)
     and both documents are built from that one array."""
     c = directive_cells(t)
@@ -645,17 +655,19 @@ def assemble_documents(t):
     c = c.select("doc_id", "pos", "cm", F.struct(
         "pos", "command", "cleaned", "targets",
         F.array_contains("directives", K.D_TODO).alias("is_todo"),
-        F.array_contains("directives", K.D_INCLUDE_HEADER_TRUE).alias("has_hdr")).alias("x"))
+        F.array_contains("directives", K.D_INCLUDE_HEADER_TRUE).alias("has_hdr"),
+        F.array_contains("directives", K.D_INCLUDE_FOOTER_TRUE).alias("has_ftr")).alias("x"))
     g = c.groupBy("doc_id").agg(F.min("cm").alias("cm"), F.sort_array(F.collect_list("x")).alias("xs"))
     cm = col("cm")
-    header = F.concat(cm, F.lit(" MAGIC %md-sandbox\n"), cm, F.lit(" MAGIC <div>course header</div>"))
-    has_hdr = F.exists("xs", lambda x: x["has_hdr"])
+    fixed = lambda flag, cell: F.when(F.exists("xs", lambda x: x[flag]), F.array(K.fill(cell, cm=cm))).otherwise(
+        F.array().cast("array<string>"))
 
     def doc_for(target: str):
         picked = F.filter("xs", lambda x: F.array_contains(x["targets"], target))
         body = F.transform(picked, lambda x: F.when(x["is_todo"] & F.lit(target == "student"), x["cleaned"])
                            .otherwise(x["command"]))
-        return F.when(has_hdr, F.concat(F.array(header), body)).otherwise(body)
+        body = F.transform(body, lambda x: F.regexp_replace(x, rf"^{WS}+", ""))
+        return F.concat(fixed("has_hdr", HEADER_CELL), body, fixed("has_ftr", FOOTER_CELL))
 
     docs = g.select("doc_id", "cm", F.explode(F.array(
         F.struct(F.lit("student").alias("target"), doc_for("student").alias("cells")),
@@ -720,29 +732,29 @@ def doc_gate_rules(t):
 
 @query("resource_bundle", f"""
 WITH m AS ({_MERGED_SQL}),
-v AS (SELECT doc_id, pos, guid, cm FROM m WHERE status <> 'invalid'),
-c AS (SELECT conv_id AS doc_id, CAST(turn AS BIGINT) AS pos, text FROM conversations),
-b AS (SELECT v.doc_id, CASE v.doc_id % 4 WHEN 0 THEN 'python' WHEN 1 THEN 'sql' WHEN 2 THEN 'scala' ELSE 'r' END AS language,
+b AS (SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'python' WHEN 1 THEN 'sql' WHEN 2 THEN 'scala' ELSE 'r' END AS language,
         CAST(count(*) AS BIGINT) AS n_cells,
-        string_agg('<hr>--i18n-' || substr(v.guid, 8) || chr(10) || c.text, chr(10) ORDER BY v.pos) AS bundle
-      FROM v JOIN c ON v.doc_id = c.doc_id AND v.pos = c.pos GROUP BY v.doc_id)
-SELECT doc_id, language, n_cells, md5('## conv-' || doc_id || chr(10) || bundle) AS bundle_md5 FROM b""")
+        string_agg(replace(replace(replace(command, cm || ' MAGIC ', ''), '%md-sandbox --i18n-', '<hr sandbox>--i18n-'),
+                           '%md --i18n-', '<hr>--i18n-') || chr(10), '' ORDER BY pos) AS bundle
+      FROM m WHERE status <> 'invalid' GROUP BY doc_id)
+SELECT doc_id, language, n_cells, md5('# /conv-' || doc_id || chr(10) || bundle) AS bundle_md5 FROM b""")
 def resource_bundle(t):
     """Row 10: the markdown cells of each notebook (with a valid guid) as one
-    translation bundle, ordered by position; see ``sinks.write_bundles``."""
+    translation bundle, ordered by position: a path line, then the cells
+    without their magic prefix, the guid line as a marker; see
+    ``sinks.write_bundles``."""
     return bundle_frame(t).select("doc_id", "language", "n_cells", F.md5("bundle").alias("bundle_md5"))
 
 
 def bundle_frame(t):
-    m = _merged(t).where(col("status") != "invalid").select("doc_id", "pos", "guid")
-    c = cells(t).select("doc_id", "pos", "text", "language")
-    j = m.join(c, ["doc_id", "pos"])
-    seg = F.concat(F.lit("<hr>--i18n-"), tail("guid", 8), F.lit(NL), col("text"))
-    g = j.groupBy("doc_id", "language").agg(F.count(F.lit(1)).alias("n_cells"),
-                                            F.sort_array(F.collect_list(F.struct("pos", seg.alias("seg")))).alias("_s"))
-    bundle = F.concat(F.lit("## conv-"), col("doc_id").cast("string"), F.lit(NL),
-                      F.array_join(F.transform("_s", lambda x: x["seg"]), NL))
-    return g.select("doc_id", "language", "n_cells", bundle.alias("bundle"))
+    m = _merged(t).where(col("status") != "invalid")
+    cell = F.replace(col("command"), F.concat(col("cm"), F.lit(" MAGIC ")), F.lit(""))
+    cell = F.replace(cell, F.lit("%md-sandbox --i18n-"), F.lit("<hr sandbox>--i18n-"))
+    cell = F.concat(F.replace(cell, F.lit("%md --i18n-"), F.lit("<hr>--i18n-")), F.lit(NL))
+    g = m.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n_cells"), F.sort_array(F.collect_list(F.struct("pos", cell.alias("cell")))).alias("_s"))
+    language = F.element_at(F.array(*[F.lit(x) for x in ("python", "sql", "scala", "r")]), (col("doc_id") % 4 + 1).cast("int"))
+    bundle = F.concat(F.lit("# /conv-"), col("doc_id").cast("string"), F.lit(NL), F.array_join(F.transform("_s", lambda x: x["cell"]), ""))
+    return g.select("doc_id", language.alias("language"), "n_cells", bundle.alias("bundle"))
 
 
 # ------------------------------------------------------------ duplicates, logs

@@ -23,7 +23,8 @@ FROM conversations"""
 
 COMMANDS_SQL = f"""
 SELECT *,
-  CASE WHEN (doc_id + pos) % 11 = 0 THEN cm || ' INCLUDE_HEADER_TRUE' || chr(10) ELSE '' END ||
+  CASE (doc_id + pos) % 11 WHEN 0 THEN cm || ' INCLUDE_HEADER_TRUE' || chr(10)
+    WHEN 5 THEN cm || ' INCLUDE_FOOTER_TRUE' || chr(10) ELSE '' END ||
   CASE WHEN role = 'user' AND (doc_id + pos) % 5 = 0 AND cm = '#' THEN
     cm || ' MAGIC %sql' || chr(10) || cm || ' MAGIC -- TODO' || chr(10) ||
     array_to_string(list_transform(string_split(text, chr(10)), lambda l: cm || ' MAGIC -- ' || l), chr(10))
