@@ -88,10 +88,11 @@ def drop_exact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
     """The rows of ``docs`` that stay, unchanged."""
     stay = stage(exact_groups(docs, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
                  .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"), "copies"), "stay")
-    keyed = docs.withColumn("_digest_of", F.sha2(normalised(F.col(text)), 256))
-    on = [F.col(doc_id).eqNullSafe(F.col("_id")), F.col("_digest_of") == F.col("_digest")]
-    single = keyed.join(stay.where("copies = 1"), on, "left_semi")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).alias("of_id"),
+                        F.sha2(normalised(F.col(text)), 256).alias("of_digest"))
+    on = [F.col("of_id").eqNullSafe(F.col("_id")), F.col("of_digest") == F.col("_digest")]
+    kept = keyed.join(stay.where("copies = 1"), on, "left_semi")
     if not stay.where("copies > 1").isEmpty():
-        several = keyed.join(stay.where("copies > 1"), on, "left_semi").dropDuplicates([doc_id, "_digest_of"])
-        single = single.unionByName(several)
-    return single.drop("_digest_of")
+        several = keyed.join(stay.where("copies > 1"), on, "left_semi").groupBy("of_id", "of_digest").agg(F.any_value("row").alias("row"))
+        kept = kept.unionByName(several)
+    return kept.select("row.*")

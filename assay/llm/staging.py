@@ -52,8 +52,9 @@ def ship(spark: SparkSession) -> None:
             z.write(p, p.relative_to(root.parent).as_posix())
     to = f"{checkpoint_dir(spark).rstrip('/')}/llm/{root.name}-{uuid.uuid4().hex}.zip"
     path = sc._jvm.org.apache.hadoop.fs.Path(to)
-    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+    store = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = store.create(path)
     out.write(bytearray(data.getvalue()))
     out.close()
-    sc.addPyFile(to)
+    sc.addPyFile(store.makeQualified(path).toString())
     _shipped.add(sc.applicationId)

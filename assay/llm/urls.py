@@ -95,7 +95,8 @@ def filter_urls(urls: DataFrame, rules: DataFrame, url: str = "url", suspect=SUS
 
     host, path = host_and_path(F.col(f"`{url}`"))
     rest = [F.col(f"`{c}`") for c in urls.columns if c not in ("host", "path", "rule", "verdict")]
-    parsed = urls.select(*rest, host.alias("host"), path.alias("path"))
+    row = F.struct(*rest) if rest else F.lit(None)
+    parsed = urls.select(row.alias("row"), host.alias("host"), path.alias("path"))
     once = parsed.select("host", "path").distinct()
     met = (once.select("host", "path", F.explode(F.concat(
         expressions(F.col("host"), F.col("path"), F.lit(bounds[0]), F.lit(bounds[1])), words(F.col("host")))).alias("expression"))
@@ -106,5 +107,5 @@ def filter_urls(urls: DataFrame, rules: DataFrame, url: str = "url", suspect=SUS
     rank = F.struct(F.col("rule").isNotNull(), F.coalesce(F.length("rule"), F.lit(0)), F.col("verdict") == "block", "rule")
     best = met.groupBy("host", "path").agg(F.max_by(F.struct("rule", "verdict"), rank).alias("best"))
     return (parsed.join(best, ["host", "path"], "left")
-            .select(*rest, "host", "path", F.col("best.rule").alias("rule"),
+            .select(*["row.*"] * bool(rest), "host", "path", F.col("best.rule").alias("rule"),
                     F.coalesce(F.col("best.verdict"), F.lit("allow")).alias("verdict")))

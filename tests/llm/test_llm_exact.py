@@ -25,6 +25,8 @@ def test_edges(edge_docs, edge_rows, no_docs):
 
 
 def test_filter_keeps_one_row_of_each_text(edge_docs, edge_rows):
+    clash = edge_docs.withColumnsRenamed({"lang": "_id", "source": "copies", "n_chars": "row"})
+    assert sorted(map(repr, exact.drop_exact(clash).select("doc_id", "text").collect())) == sorted(map(repr, exact.drop_exact(edge_docs).select("doc_id", "text").collect()))
     kept = exact.drop_exact(edge_docs)
     assert kept.columns == edge_docs.columns
     texts = [re.sub(r"[\x20\x09-\x0D]+", " ", r.text or "") for r in kept.collect()]

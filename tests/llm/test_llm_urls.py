@@ -42,5 +42,9 @@ def test_no_rules_no_rows_and_other_columns(spark):
     empty = spark.createDataFrame([], "url string, host string, prefix string, digest string")
     got = urls.filter_urls(empty, urls.rules_frame(spark))
     assert got.count() == 0 and got.columns == ["url", "prefix", "digest", "host", "path", "rule", "verdict"]
+    only = spark.createDataFrame([("http://a.com/es/",)], "path string")
+    assert [tuple(r) for r in urls.filter_urls(only, urls.rules_frame(spark), url="path").collect()] == [("a.com", "/es/", "com/", "allow")]
+    best = spark.createDataFrame([("http://a.com/", "b", "r")], "url string, best string, `row` string")
+    assert [tuple(r)[:3] for r in urls.filter_urls(best, urls.rules_frame(spark)).collect()] == [("http://a.com/", "b", "r")]
     one = spark.createDataFrame([("http://a.com/", "z", "p", "d")], empty.schema)
     assert urls.filter_urls(one, urls.rules_frame(spark)).first()[1:] == ("p", "d", "a.com", "/", "com/", "allow")
