@@ -5,6 +5,8 @@ equi-joins (prefix tests become exploded prefixes)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,9 +15,19 @@ from assay.functions import names as N
 col = F.col
 
 
-def missing_by_digits(users: DataFrame, user_name: str, resources: DataFrame, resource_name: str) -> DataFrame:
-    """Users with no resource whose name carries the same digits (anti join)."""
-    d = resources.select(F.regexp_replace(resource_name, "[^0-9]", "").alias("_d")).distinct()
+def _starts_with_any(name: str, prefixes: tuple[str, ...]) -> Column:
+    return F.coalesce(reduce(lambda x, y: x | y, [col(name).startswith(p) for p in prefixes], F.lit(False)), F.lit(False))
+
+
+def missing_by_digits(users: DataFrame, user_name: str, resources: DataFrame, resource_name: str,
+                      user_prefixes: tuple[str, ...] | None = None, skip_prefixes: tuple[str, ...] = ()) -> DataFrame:
+    """Users with no resource whose name carries the same digits (anti join);
+    only users with one of ``user_prefixes`` are looked at (None: all), and
+    resources with one of ``skip_prefixes`` do not count."""
+    d = (resources.where(~_starts_with_any(resource_name, skip_prefixes))
+         .select(F.regexp_replace(resource_name, "[^0-9]", "").alias("_d")).distinct())
+    if user_prefixes is not None:
+        users = users.where(_starts_with_any(user_name, user_prefixes))
     u = users.withColumn("_d", F.regexp_replace(user_name, "[^0-9]", ""))
     return u.join(d, "_d", "left_anti").drop("_d")
 
@@ -23,10 +35,9 @@ def missing_by_digits(users: DataFrame, user_name: str, resources: DataFrame, re
 def reconcile_users(desired: DataFrame, existing: DataFrame, key: str, protected: list[str] = ()) -> DataFrame:
     """``create`` the desired users that do not exist, ``remove`` the existing
     ones nobody wants (protected names are kept)."""
-    create = desired.select(key).join(existing.select(key), key, "left_anti").withColumn("action", F.lit("create"))
-    remove = (existing.select(key).join(desired.select(key), key, "left_anti")
-              .where(~col(key).isin(list(protected))).withColumn("action", F.lit("remove")))
-    return create.unionByName(remove)
+    j = desired.select(key, F.lit(True).alias("_d")).join(existing.select(key, F.lit(True).alias("_e")), key, "full_outer")
+    action = F.when(col("_e").isNull(), "create").when(col("_d").isNull() & ~col(key).isin(list(protected)), "remove")
+    return j.select(key, action.alias("action")).where("action is not null")
 
 
 def prefix_matches(users: DataFrame, user: str, prefix: Column, names: DataFrame, name: str,
@@ -39,21 +50,18 @@ def prefix_matches(users: DataFrame, user: str, prefix: Column, names: DataFrame
     lead = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda i: F.array_join(F.slice(parts, 1, i), sep))
     pref = (names.where(F.contains(F.col(name), F.lit(sep)))      # a name without ``sep`` has no leading part
             .select(F.explode(lead).alias("_prefix")).distinct())
-    m = u.join(pref, "_prefix", "left_semi").select(user)
-    has = m.withColumn("mode", F.lit("has_schema"))
-    missing = u.join(m, user, "left_anti").select(user, F.lit("missing_schema").alias("mode"))
-    return has.unionByName(missing)
+    j = u.join(pref.withColumn("_has", F.lit(True)), "_prefix", "left")
+    return j.select(user, F.when(col("_has"), "has_schema").otherwise("missing_schema").alias("mode"))
 
 
 def resolve_references(refs: DataFrame, ref: str, users: DataFrame, name: str, key: str) -> DataFrame:
-    """A mixed list of names (with '@') and ids, each resolved by its own
-    equi-join; unresolved references keep a NULL key."""
-    by_name = refs.where(col(ref).contains("@")).join(users.select(col(name).alias("_n"), key),
-                                                       col(ref) == col("_n"), "left").select(ref, key)
-    by_id = (refs.where(~col(ref).contains("@"))
-             .join(users.select(col(key).cast("string").alias("_k"), key), col(ref) == col("_k"), "left")
-             .select(ref, key))
-    return by_name.unionByName(by_id)
+    """A mixed list of names (with '@') and ids, resolved in one equi-join:
+    every user stands under both; unresolved references keep a NULL key."""
+    keys = users.select(key, F.explode(F.array(F.struct(F.lit(True).alias("named"), col(name).alias("value")), F.struct(
+        F.lit(False).alias("named"), col(key).cast("string").alias("value")))).alias("k")).select(
+        key, col("k.named").alias("_named"), col("k.value").alias("_value"))
+    j = refs.join(keys, (col(ref).contains("@") == col("_named")) & (col(ref) == col("_value")), "left")
+    return j.select(ref, key)
 
 
 def lookup_by_example(examples: DataFrame, ex_key: str, ex_id: str, ex_name: str, records: DataFrame,

@@ -164,18 +164,19 @@ def path_parts(t):
                     X.path_dir("path", -1).alias("dir"), X.second_last_part("path").alias("parent"))
 
 
-@query("text_escape", f"""
-WITH t AS ({TITLES_SQL})
-SELECT page_id,
-  replace(replace(replace(replace(replace(title, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS html,
-  replace(replace(replace(title, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS chat,
-  url_encode(title) AS quoted
-FROM t""")
+@query("text_escape", """
+WITH e AS (SELECT page_id,
+  replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') AS escaped,
+  replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS chat, url_encode(html) AS quoted FROM pages)
+SELECT page_id, length(escaped) AS html_len, md5(escaped) AS html_md5, length(chat) AS chat_len, md5(chat) AS chat_md5,
+  length(quoted) AS quoted_len, md5(quoted) AS quoted_md5 FROM e""")
 def text_escape(t):
-    """Row 71: HTML, chat and URL escaping of page titles."""
-    p = page_titles(t)
-    return p.select("page_id", X.html_escape("title").alias("html"), X.chat_escape("title").alias("chat"),
-                    X.url_quote("title").alias("quoted"))
+    """Row 71: HTML, chat and URL escaping of whole pages (lengths and digests)."""
+    html = F.col("html")
+    forms = {"html": X.html_escape(html), "chat": X.chat_escape(html), "quoted": X.url_quote(html)}
+    e = t.pages.select("page_id", *[c.alias(n) for n, c in forms.items()])
+    return e.select("page_id", *[f(n).alias(f"{n}_{k}") for n in forms for k, f in (
+        ("len", lambda n: F.length(n).cast("bigint")), ("md5", F.md5))])
 
 
 TEMPLATE = "[{{role}} #{{turn}}] {{text}} {{missing}} {{ spaced }} :NOTE:"

@@ -23,16 +23,18 @@ COURSE_CODE = "asdf"
 
 @query("missing_resources", """
 WITH cl AS (SELECT DISTINCT regexp_replace('odl_user_' || printf('%09d', o_custkey) || '_cluster', '[^0-9]', '', 'g') AS digits
-            FROM orders WHERE o_orderstatus = 'F')
+            FROM orders WHERE o_orderstatus = 'F' AND o_orderkey % 10 <> 0)
 SELECT c_custkey, c_name FROM customer
 WHERE regexp_replace(c_name, '[^0-9]', '', 'g') NOT IN (SELECT digits FROM cl)""")
 def missing_resources(t):
     """Row 24: users without a cluster, matched on the digits of the names
-    (clusters named after users' numbers; an anti join on the digits)."""
+    (clusters named after users' numbers; an anti join on the digits); job and
+    pipeline clusters do not count."""
     cl = (t.orders.where(col("o_orderstatus") == "F")
-          .select(F.concat(F.lit("odl_user_"), N.zero_pad(col("o_custkey"), 9), F.lit("_cluster"))
+          .select(F.concat(F.when(col("o_orderkey") % 10 == 0, "job-").otherwise("odl_user_"), N.zero_pad(col("o_custkey"), 9), F.lit("_cluster"))
                   .alias("cluster_name")))
-    return T.missing_by_digits(t.customer.select("c_custkey", "c_name"), "c_name", cl, "cluster_name")
+    return T.missing_by_digits(t.customer.select("c_custkey", "c_name"), "c_name", cl, "cluster_name",
+                               user_prefixes=("Customer#", "class+"), skip_prefixes=("dlt-", "job-"))
 
 
 PROTECTED_USERS = ["legacy-1@example.com"]
