@@ -476,3 +476,43 @@ def magic_findings(cells: DataFrame, command: str = "command", cm: str = "cm", l
         hit = not_md & (lang == name) & (F.instr(cmd, token) > 0)
         checks.append(F.when(hit, F.concat(F.lit("Cmd #"), (F.col(pos) + 1).cast("string"), F.lit(f" | {text}"))))
     return cells.select("*", F.explode(F.array_compact(F.array(*checks))).alias("warning"))
+
+
+# The line that opens a change log, and the start of its headers.
+CHANGE_LOG_TAG = "## Change Log"
+CHANGE_LOG_VERSION = "### Version "
+
+
+def change_log(df: DataFrame, lines: str, wanted: str) -> DataFrame:
+    """``df`` with ``version, date, entries, error`` of its change log, an
+    array of lines.  Below the tag, every line that is neither empty nor an
+    entry must be a header ``### Version N.N.N (M-D-YYYY)``, or ``(TBD)``, up
+    to the ``wanted`` version (null: the first); its entries run to the next
+    heading.  ``error``: no_version, parts or version (a malformed header on
+    the way), date, no_entries, not_found; null if all is well."""
+    d = df.withColumn("_ls", F.transform(lines, py_strip))
+    d = d.withColumn("_tag", F.array_position("_ls", CHANGE_LOG_TAG))
+    numbered = F.transform("_ls", lambda x, i: F.struct((i + 1).alias("i"), x.alias("line")))
+    heads = F.filter(numbered, lambda x: (F.col("_tag") > 1) & (x["i"] > F.col("_tag")) & (x["line"] != "") & ~x["line"].startswith("* "))
+
+    def judged(x):
+        parts = F.split(x["line"], " ", -1)
+        error = (F.when(~x["line"].startswith(CHANGE_LOG_VERSION), "no_version").when(F.size(parts) != 4, "parts")
+                 .when(~F.get(parts, 2).rlike(r"^[0-9]+\.[0-9]+\.[0-9]+$"), "version"))
+        return F.struct(x["i"].alias("i"), F.get(parts, 2).alias("version"), F.get(parts, 3).alias("date"), error.alias("error"))
+
+    d = d.withColumn("_heads", F.transform(heads, judged))
+    hit = F.filter("_heads", lambda h: h["error"].isNull() & (F.col(wanted).isNull() | h["version"].eqNullSafe(F.col(wanted))))
+    bad = F.filter("_heads", lambda h: h["error"].isNotNull())
+    d = d.withColumn("_hit", F.get(hit, 0)).withColumn("_bad", F.get(bad, 0))
+    early = F.col("_bad").isNotNull() & (F.col("_hit").isNull() | (F.col("_bad.i") < F.col("_hit.i")))
+    d = d.withColumn("_at", F.when(~early, F.col("_hit")))
+    after = F.slice("_ls", F.col("_at.i") + 1, F.size("_ls"))
+    ends = F.filter(F.transform(after, lambda x, i: F.when(x.startswith("#"), i)), lambda i: i.isNotNull())
+    entries = F.filter(F.slice(after, F.lit(1), F.coalesce(F.get(ends, 0), F.size(after))), lambda x: x != "")
+    d = d.withColumn("entries", F.coalesce(entries, F.array().cast("array<string>")))
+    date = F.col("_at.date")
+    error = (F.when(early, F.col("_bad.error")).when(F.col("_hit").isNull(), "not_found")
+             .when((date != "(TBD)") & ~date.rlike(r"^\([0-9]+-[0-9]+-[0-9]+\)$"), "date").when(F.size("entries") == 0, "no_entries"))
+    return d.select(*df.columns, F.col("_at.version").alias("version"), F.substring(date, F.lit(2), F.length(date) - 2).alias("date"),
+                    "entries", error.alias("error"))

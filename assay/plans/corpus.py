@@ -773,8 +773,6 @@ def duplicate_keys(t):
         "source", "doc_id", "first_doc_id")
 
 
-CHANGE_LOG_TAG = "## Change Log"
-CHANGE_LOG_VERSION = "### Version "
 
 
 def readme_lines(t):
@@ -785,53 +783,57 @@ def readme_lines(t):
     def mk(line, i):
         date = F.when(i % 3 == 0, F.lit("TBD")).otherwise(
             F.concat((i % 12 + 1).cast("string"), F.lit("-"), (i % 28 + 1).cast("string"), F.lit("-2024")))
-        hdr = F.concat(F.lit(CHANGE_LOG_VERSION), (col("doc_id") % 10).cast("string"), F.lit("."), i.cast("string"),
+        # (a version with a letter in it, in the second header of some)
+        minor = F.when((col("doc_id") % 7 == 0) & (i == 6), F.lit("x")).otherwise(i.cast("string"))
+        hdr = F.concat(F.lit(K.CHANGE_LOG_VERSION), (col("doc_id") % 10).cast("string"), F.lit("."), minor,
                        F.lit(".0 ("), date, F.lit(")"))
-        return (F.when(i == 0, F.concat(F.lit("# "), col("source"))).when(i == 1, F.lit(CHANGE_LOG_TAG))
+        return (F.when(i == 0, F.concat(F.lit("# "), col("source"))).when(i == 1, F.lit(K.CHANGE_LOG_TAG))
                 .when((i - 2) % 4 == 0, hdr).otherwise(F.concat(F.lit("* "), line)))
     return d.select("doc_id", F.transform("lines", mk).alias("readme"))
 
 
+def wanted_version():
+    """Any, the second or an unknown version, by document."""
+    k = col("doc_id") % 3
+    return F.when(k == 1, F.concat((col("doc_id") % 10).cast("string"), F.lit(".6.0"))).when(k == 2, "0.0.0")
+
+
 @query("changelog_entries", f"""
-WITH d AS (SELECT doc_id, source, string_split(text, chr(10)) AS lines FROM documents),
-r AS (SELECT doc_id, list_transform(lines, lambda line, j: CASE
-        WHEN j - 1 = 0 THEN '# ' || source WHEN j - 1 = 1 THEN '{CHANGE_LOG_TAG}'
-        WHEN (j - 3) % 4 = 0 THEN '{CHANGE_LOG_VERSION}' || CAST(doc_id % 10 AS VARCHAR) || '.' || CAST(j - 1 AS VARCHAR) || '.0 (' ||
+WITH d AS (SELECT doc_id, source, string_split(text, chr(10)) AS lines,
+        CASE doc_id % 3 WHEN 1 THEN CAST(doc_id % 10 AS VARCHAR) || '.6.0' WHEN 2 THEN '0.0.0' END AS wanted FROM documents),
+r AS (SELECT doc_id, wanted, list_transform(lines, lambda line, j: CASE
+        WHEN j - 1 = 0 THEN '# ' || source WHEN j - 1 = 1 THEN '{K.CHANGE_LOG_TAG}'
+        WHEN (j - 3) % 4 = 0 THEN '{K.CHANGE_LOG_VERSION}' || CAST(doc_id % 10 AS VARCHAR) || '.' ||
+             CASE WHEN doc_id % 7 = 0 AND j = 7 THEN 'x' ELSE CAST(j - 1 AS VARCHAR) END || '.0 (' ||
              CASE WHEN (j - 1) % 3 = 0 THEN 'TBD' ELSE CAST((j - 1) % 12 + 1 AS VARCHAR) || '-' || CAST((j - 1) % 28 + 1 AS VARCHAR) || '-2024' END || ')'
         ELSE '* ' || line END) AS readme FROM d),
-s AS (SELECT doc_id, list_transform(readme, lambda l: {strip('l')}) AS ls FROM r),
-p AS (SELECT doc_id, ls, list_position(ls, '{CHANGE_LOG_TAG}') AS tag FROM s),
-v AS (SELECT doc_id, ls, tag,
-        list_filter(range(1, len(ls) + 1), lambda i: tag IS NOT NULL AND tag > 1 AND i > tag AND starts_with(ls[i], '{CHANGE_LOG_VERSION}'))[1] AS vi
-      FROM p),
-n AS (SELECT doc_id, ls, vi, coalesce(list_filter(range(1, len(ls) + 1), lambda i: vi IS NOT NULL AND i > vi AND starts_with(ls[i], '#'))[1], len(ls) + 1) AS nx FROM v),
-e AS (SELECT doc_id, vi, string_split(ls[vi], ' ') AS parts,
-        CASE WHEN vi IS NULL THEN [] ELSE list_filter(ls[vi + 1:nx - 1], lambda l: l <> '') END AS entries FROM n)
-SELECT doc_id, parts[3] AS version, substr(parts[4], 2, length(parts[4]) - 2) AS date,
-  CASE WHEN vi IS NULL THEN NULL
-       WHEN substr(parts[4], 2, length(parts[4]) - 2) = 'TBD' THEN true
-       ELSE regexp_matches(substr(parts[4], 2, length(parts[4]) - 2), '^[0-9]+-[0-9]+-[0-9]+$') END AS date_ok,
+s AS (SELECT doc_id, wanted, list_transform(readme, lambda l: {strip('l')}) AS ls FROM r),
+l AS (SELECT doc_id, wanted, ls, u.line, u.i FROM s, unnest(ls) WITH ORDINALITY AS u(line, i)),
+tag AS (SELECT doc_id, min(i) AS tag FROM l WHERE line = '{K.CHANGE_LOG_TAG}' GROUP BY doc_id),
+h AS (SELECT l.*, string_split(line, ' ') AS parts, string_split(string_split(line, ' ')[3], '.') AS nums
+      FROM l JOIN tag USING (doc_id) WHERE i > tag AND tag > 1 AND line <> '' AND NOT starts_with(line, '* ')),
+c AS (SELECT *, CASE WHEN NOT starts_with(line, '{K.CHANGE_LOG_VERSION}') THEN 'no_version' WHEN len(parts) <> 4 THEN 'parts'
+        WHEN len(nums) <> 3 OR NOT regexp_matches(parts[3], '^[0-9]+\\.[0-9]+\\.[0-9]+$') THEN 'version' END AS error FROM h),
+w AS (SELECT doc_id, min(i) FILTER (WHERE error IS NULL AND (wanted IS NULL OR wanted = parts[3])) AS vi, min(i) FILTER (WHERE error IS NOT NULL) AS ei,
+        arg_min(error, i) FILTER (WHERE error IS NOT NULL) AS error FROM c GROUP BY doc_id),
+f AS (SELECT s.doc_id, wanted, ls, CASE WHEN ei < coalesce(vi, ei + 1) THEN error WHEN vi IS NULL THEN 'not_found' END AS error, vi FROM s LEFT JOIN w USING (doc_id)),
+n AS (SELECT *, CASE WHEN error IS NULL THEN vi END AS v_at FROM f),
+m AS (SELECT *, coalesce(list_filter(range(1, len(ls) + 1), lambda i: i > v_at AND starts_with(ls[i], '#'))[1], len(ls) + 1) AS nx FROM n),
+e AS (SELECT *, string_split(ls[v_at], ' ') AS p, CASE WHEN v_at IS NULL THEN [] ELSE list_filter(ls[v_at + 1:nx - 1], lambda l: l <> '') END AS entries FROM m)
+SELECT doc_id, wanted, p[3] AS version, substr(p[4], 2, length(p[4]) - 2) AS date,
+  CASE WHEN error IS NOT NULL THEN error WHEN p[4] <> '(TBD)' AND NOT regexp_matches(p[4], '^\\([0-9]+-[0-9]+-[0-9]+\\)$') THEN 'date'
+       WHEN len(entries) = 0 THEN 'no_entries' END AS error,
   CAST(len(entries) AS INTEGER) AS n_entries, md5(array_to_string(entries, chr(10))) AS entries_md5
 FROM e""")
 def changelog_entries(t):
     """Rows 50, 77: the change-log state machine per README, inside each row:
-    find the tag, the first version header after it, and the entries up to
-    the next heading (empty lines skipped); date is M-D-YYYY or TBD."""
-    r = readme_lines(t).withColumn("ls", F.transform("readme", py_strip))
-    r = r.withColumn("tag", F.array_position("ls", CHANGE_LOG_TAG))
-    idx = F.sequence(F.lit(1), F.greatest(F.size("ls"), F.lit(1)))
-    r = r.withColumn("vi", F.try_element_at(F.filter(idx, lambda i: (col("tag") > 1) & (i > col("tag")) & F.try_element_at(
-        "ls", i).startswith(CHANGE_LOG_VERSION)), F.lit(1)))
-    r = r.withColumn("nx", F.coalesce(F.try_element_at(F.filter(idx, lambda i: col("vi").isNotNull() & (i > col("vi")) & F.try_element_at(
-        "ls", i).startswith("#")), F.lit(1)), F.size("ls") + 1))
-    r = r.withColumn("entries", F.when(col("vi").isNull(), F.array().cast("array<string>")).otherwise(
-        F.filter(F.slice("ls", col("vi") + 1, col("nx") - col("vi") - 1), lambda l: l != "")))
-    r = r.withColumn("parts", F.split(F.try_element_at("ls", col("vi")), " ", -1))
-    p4 = F.try_element_at("parts", F.lit(4))
-    date = F.substring(p4, F.lit(2), F.length(p4) - 2)
-    ok = F.when(col("vi").isNull(), F.lit(None)).when(date == "TBD", F.lit(True)).otherwise(date.rlike("^[0-9]+-[0-9]+-[0-9]+$"))
-    return r.select("doc_id", F.try_element_at("parts", F.lit(3)).alias("version"), date.alias("date"), ok.alias("date_ok"),
-                    F.size("entries").alias("n_entries"), F.md5(F.array_join("entries", NL)).alias("entries_md5"))
+    the tag, the headers after it up to the wanted version (the first one if
+    none is wanted), and the entries up to the next heading; a malformed
+    header on the way, an unknown version or a bad date (M-D-YYYY or TBD) is
+    reported."""
+    r = readme_lines(t).withColumn("wanted", wanted_version())
+    return K.change_log(r, "readme", "wanted").select(
+        "doc_id", "wanted", "version", "date", "error", F.size("entries").alias("n_entries"), F.md5(F.array_join("entries", NL)).alias("entries_md5"))
 
 
 # ------------------------------------------------------------ segment files

@@ -228,3 +228,17 @@ def test_relative_targets(spark):
     assert got["d"].message == 'Cmd #10 | Found unexpected, relative, MD link target: "d" resolved as "d"'
     flat = spark.createDataFrame([(0, "top", "./top"), (1, "top", "../nb")], "pos int, path string, target string")
     assert {r.pos: (r.resolved, r.severity) for r in K.check_targets(flat, paths, "x", original="target").collect()} == {0: ("top", None), 1: ("nb", "error")}
+
+
+def test_change_log_versions_and_errors(spark):
+    log = ["# t", "## Change Log", "", "### Version 1.10.0 (TBD)", "* a", "", "note", "### Version 1.9.0 (1-2-2024)", "* b", "## Other", "* c"]
+    rows = {"first": (log, None), "words between": (log, "1.9.0"), "second": ([x for x in log if x != "note"], "1.9.0"), "unknown": (log, "2.0.0"), "no tag": (["# t", "### Version 1.0.0 (TBD)", "* x"], None),
+            "loose line": (["# t", "## Change Log", "* early", "words", "### Version 1.0.0 (TBD)", "* x"], None),
+            "parts": (["# t", "## Change Log", "### Version 1.0.0", "* x"], None), "letters": (["# t", "## Change Log", "### Version 1.b.0 (TBD)", "* x"], None),
+            "date": (["# t", "## Change Log", "### Version 1.0.0 (May)", "* x"], None), "bare": (["# t", "## Change Log", "### Version 1.0.0 (TBD)", "# end"], None), "none": (None, None)}
+    df = spark.createDataFrame([(k, *v) for k, v in rows.items()], "k string, ls array<string>, w string")
+    got = {r.k: (r.version, r.date, list(r.entries), r.error) for r in K.change_log(df, "ls", "w").collect()}
+    assert got == {"first": ("1.10.0", "TBD", ["* a", "note"], None), "second": ("1.9.0", "1-2-2024", ["* b"], None), "words between": (None, None, [], "no_version"), "unknown": (None, None, [], "no_version"),
+                   "no tag": (None, None, [], "not_found"), "loose line": (None, None, [], "no_version"), "parts": (None, None, [], "parts"),
+                   "letters": (None, None, [], "version"), "date": ("1.0.0", "May", ["* x"], "date"), "bare": ("1.0.0", "TBD", [], "no_entries"),
+                   "none": (None, None, [], "not_found")}
