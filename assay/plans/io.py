@@ -173,13 +173,13 @@ def dataset_install(t):
     root = sinks.new_scratch(spark, "datasets")
     plan = [(1, "supplier", False), (1, "customer", False), (2, "supplier", False), (2, "customer", False),
             (3, "supplier", True)]
-    rows = []
+    rows, source = [], {name: getattr(t, name).count() for name in ("supplier", "customer")}
     for rnd, name, force in plan:
-        src = getattr(t, name)
-        action = sinks.install_dataset(spark, src, root, name, reinstall=force)
+        action = sinks.install_dataset(spark, getattr(t, name), root, name, reinstall=force)
         # validation right after each round (a later reinstall replaces the files)
         n = spark.read.parquet(f"{root}/{name}").count()
-        rows.append((rnd, name, action, n, n == src.count()))
+        rows.append((rnd, name, action, n, n == source[name]))
+    sinks.remove(spark, root)
     return spark.createDataFrame(rows, "round int, dataset string, action string, rows bigint, valid boolean")
 
 
