@@ -5,6 +5,7 @@ import random
 import public_tokenizers as P
 import pytest
 import tiktoken
+from llm_cases import edge_docs, edge_rows, no_docs, scratch  # noqa: F401
 
 from assay.llm import bpe
 from assay.llm.queries import BPE_RANKS, op8

@@ -2,6 +2,7 @@ import hashlib
 import re
 
 from pyspark.sql import functions as F
+from llm_cases import edge_docs, edge_rows, no_docs, prose, scratch  # noqa: F401
 
 from assay.llm import exact
 
@@ -34,8 +35,6 @@ def test_filter_keeps_one_row_of_each_text(edge_docs, edge_rows):
 
 
 def test_chunks_are_the_text_and_shared(spark):
-    from conftest import prose
-
     passage, texts = prose(8, 2000), ["", " ", "x" * 10_000, "中" * 9000]
     passage = " ".join(w + "les" if i % 17 == 0 else w for i, w in enumerate(passage.split(" ")))
     texts += [prose(1, 700) + " " + passage, "Other start. " + passage + prose(2, 50)]

@@ -2,6 +2,7 @@ import html
 import re
 
 import pytest
+from llm_cases import scratch  # noqa: F401
 
 from assay.llm import htmltext
 from assay.llm.queries import op6

@@ -1,6 +1,5 @@
 import re
-
-from conftest import DOCS, prose
+from llm_cases import DOCS, edge_docs, edge_rows, no_docs, prose, sample, scratch  # noqa: F401
 
 from assay.llm import licenses
 

@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from llm_cases import edge_docs, edge_rows, no_docs, sample, scratch  # noqa: F401
 
 from assay.llm import mixing
 

@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from llm_cases import scratch  # noqa: F401
 
 from assay.llm.queries import ORACLES, QUERIES
 

@@ -1,8 +1,7 @@
 import hashlib
 import re
 import sys
-
-from conftest import DOCS, prose
+from llm_cases import DOCS, edge_docs, edge_rows, no_docs, prose, sample, scratch  # noqa: F401
 
 from assay.llm import pii
 from assay.llm.queries import op5

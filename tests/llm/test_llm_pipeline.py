@@ -5,6 +5,7 @@ import public_tokenizers as P
 import pytest
 from test_llm_neardup import brute as near
 from test_llm_quality import brute as counts
+from llm_cases import edge_docs, edge_rows, no_docs, sample, scratch  # noqa: F401
 
 from assay.llm import bpe, mixing, quality
 from assay.llm.staging import stage

@@ -1,3 +1,5 @@
+from llm_cases import scratch  # noqa: F401
+
 from assay.llm import urls
 
 
