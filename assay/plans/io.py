@@ -93,8 +93,10 @@ def publishing_links(t):
                     F.create_map(F.lit("english"), en, F.lit("french"), fr).alias("translations"))
     js = e.select("event_id", F.to_json(info).alias("json"))
     parsed = js.select("event_id", F.from_json("json", PUBLISHING_SCHEMA).alias("p"))
-    langs = parsed.select("event_id", F.explode("p.translations").alias("language", "tr"))
-    return langs.select("event_id", "language", F.explode("tr.document_links").alias("link"))
+    # (outer: a plain explode puts a filter on the parsed value before the scan, which parses twice)
+    langs = parsed.select("event_id", F.explode_outer("p.translations").alias("language", "tr"))
+    links = langs.select("event_id", "language", F.explode_outer("tr.document_links").alias("link"))
+    return links.where("link is not null")
 
 
 def _csv_lines(t):
