@@ -9,16 +9,15 @@ that similarity are thus expected to meet in as many nodes of a level as of the
 level before, while others thin out.  A node of at most ``leaf`` classes is
 compared exhaustively; independent trees repeat that up to the wanted recall.
 
-A larger node goes on branching, and random parts of it are compared as well:
-a group of near copies that no branching takes apart, however large, is linked
-up by them.  From ``known_from`` levels on, a node whose classes are all
-connected already has nothing left to find and ends there.  What is still large
-and unconnected at ``deepest`` is compared block against block.
+First, of each node, or of random parts of a larger one, the strongest pairs
+that connect what looks alike are proposed and confirmed: a group of copies or
+near copies, however large, is linked up by as many pairs as it has members.  A
+node whose classes are all connected has nothing left to find.  Of the others,
+all pairs between two components are proposed; larger ones go on branching, and
+what is still large after ``deepest`` rounds is compared block against block.
 
 All comparisons so far are of signatures, well below the threshold, and only
 propose candidates.  Candidates are confirmed on the full sets of shingles.
-First each class with its two most alike; of the rest, those that lie in two
-components by then, as a link inside a component changes nothing.
 
 No group is collected: tasks see at most ``leaf`` classes of a node at once.
 """
@@ -27,12 +26,12 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,9 +46,9 @@ class Params:
     percent: int = 75           # least similarity
     positions: int = 128        # of the signature
     trees: int = 9
-    leaf: int = 32
-    known_from: int = 3
-    deepest: int = 10
+    leaf: int = 64
+    hops: int = 3               # levels of a round, beyond the first
+    deepest: int = 4            # rounds
     slack: float = 0.16         # below the threshold, for estimates: four standard deviations
 
 
@@ -111,9 +110,10 @@ def sketches(docs: DataFrame, doc_id: str, text: str, p: Params) -> DataFrame:
 _ROWS = T.StructType([T.StructField("path", T.LongType()), T.StructField("node", T.BinaryType())])
 
 
-def branch(rows: DataFrame, p: Params, level: int) -> DataFrame:
-    """``path, node`` of the children of every row with ``path, node,
-    signature``; at level 1 a row is a class and its paths are the trees."""
+def branch(rows: DataFrame, p: Params, hops: int, roots: bool) -> DataFrame:
+    """``path, node`` of the descendants, ``hops`` levels down, of every row
+    with ``path, node, signature``; ``roots``: a row is a class without a path,
+    and its paths are the trees."""
     ship(rows.sparkSession)
 
     def positions(path: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,44 +131,64 @@ def branch(rows: DataFrame, p: Params, level: int) -> DataFrame:
                 continue
             sig = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(n, p.positions)
             row = np.arange(n)
-            if level == 1:
+            if roots:
                 row = np.repeat(row, p.trees)
                 path = np.tile(tb.mix(np.arange(1, p.trees + 1, dtype=np.uint64)), n)
             else:
                 path = np.frombuffer(batch.column("path").to_numpy().tobytes(), np.uint64)
-            first, second, more = positions(path)
-            row = np.concatenate([row, row[more]])
-            at = np.concatenate([first, second[more]])
-            path = np.concatenate([path, path[more]])
-            value = sig[row, at].astype(np.uint64) | (at.astype(np.uint64) << np.uint64(32))
-            child = tb.mix(path * np.uint64(0x9E3779B97F4A7C15) + tb.mix(value))
-            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), batch.column("node").take(pa.array(row))], names=_ROWS.names)
+            for _ in range(hops):
+                first, second, more = positions(path)
+                row = np.concatenate([row, row[more]])
+                at = np.concatenate([first, second[more]])
+                path = np.concatenate([path, path[more]])
+                value = sig[row, at].astype(np.uint64) | (at.astype(np.uint64) << np.uint64(32))
+                path = tb.mix(path * np.uint64(0x9E3779B97F4A7C15) + tb.mix(value))
+            yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), batch.column("node").take(pa.array(row))], names=_ROWS.names)
 
     return rows.mapInArrow(run, _ROWS)
 
 
+def _forest(edges: list[tuple[float, int, int]], n: int) -> list[tuple[float, int, int]]:
+    """The strongest edges that connect what all of them connect."""
+    root, kept = list(range(n)), []
+    for edge in sorted(edges, reverse=True):
+        x, y = edge[1:]
+        while root[x] != x:
+            x = root[x]
+        while root[y] != y:
+            y = root[y]
+        if x != y:
+            root[x] = y
+            kept.append(edge)
+    return kept
+
+
 def leaf_pairs(rows: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
-    """``a, b, alike``: pairs of classes under one ``path`` that look alike by
-    their signatures.  ``rows`` have at most a few ``leaf`` nodes to a path."""
+    """``a, b, alike``: pairs of classes under one ``path``, of two ``root``
+    components, that look alike by their signatures; where ``forest`` is set,
+    the strongest of them that connect what they connect.  ``rows`` have at
+    most about ``leaf`` nodes to a path."""
     ship(rows.sparkSession)
     members = (rows.join(classes.select("node", "n", "sketch"), "node")
-               .groupBy("path").agg(F.collect_list(F.struct("node", "n", "sketch")).alias("m"))
-               .select("m.node", "m.n", "m.sketch"))
+               .groupBy("path", "forest").agg(F.collect_list(F.struct("node", "root", "n", "sketch")).alias("m"))
+               .select("m.node", "m.root", "m.n", "m.sketch", "forest"))
     schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType()), T.StructField("alike", T.FloatType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[tuple[bytes, bytes, float]] = []
-            for nodes, sizes, sketch in zip(*(c.to_pylist() for c in batch.columns)):
+            for nodes, roots, sizes, sketch, forest in zip(*(c.to_pylist() for c in batch.columns)):
+                edges = []
                 s = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(nodes), p.positions)
-                n = np.array(sizes)
+                n, number = np.array(sizes), {}
+                root = np.array([number.setdefault(r, len(number)) for r in roots])
                 for i in range(len(nodes) - 1):
                     alike = (s[i + 1:] == s[i]).mean(axis=1)
-                    close = (alike >= p.percent / 100 - p.slack) & (
+                    close = (alike >= p.percent / 100 - p.slack) & (root[i + 1:] != root[i]) & (
                         100 * np.minimum(n[i + 1:], n[i]) >= p.percent * np.maximum(n[i + 1:], n[i]))
-                    for j in np.flatnonzero(close).tolist():
-                        a, b = sorted((nodes[i], nodes[i + 1 + j]))
-                        found.append((a, b, float(alike[j])))
+                    edges += [(float(alike[j]), i, i + 1 + j) for j in np.flatnonzero(close).tolist()]
+                for likeness, i, j in _forest(edges, len(nodes)) if forest else edges:
+                    found.append((*sorted((nodes[i], nodes[j])), likeness))
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found) if found else ([], [], []), _PAIR)], names=schema.names)
 
     return members.mapInArrow(run, schema).where("a <> b").dropDuplicates(["a", "b"])
@@ -209,7 +229,11 @@ def confirm(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
 def _parts(rows: DataFrame, p: Params) -> DataFrame:
     """Large nodes (``path, node, size``) cut into random parts for comparison."""
     part = F.pmod(F.xxhash64("node", "path"), F.ceil(F.col("size") * 2 / p.leaf))
-    return rows.select(F.xxhash64("path", part, F.lit("part")).alias("path"), "node")
+    return rows.select(F.xxhash64("path", part, F.lit("part")).alias("path"), "node", "root", F.lit(True).alias("forest"))
+
+
+def _leaves(rows: DataFrame, forest: bool) -> DataFrame:
+    return rows.select("path", "node", "root", F.lit(forest).alias("forest"))
 
 
 def _blocks(rows: DataFrame, p: Params) -> DataFrame:
@@ -217,82 +241,56 @@ def _blocks(rows: DataFrame, p: Params) -> DataFrame:
     n = F.ceil(F.col("size") * 2 / p.leaf)
     own = F.pmod(F.xxhash64("node"), n)
     return (rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
-            .select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other"), F.lit("block")).alias("path"), "node"))
+            .select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other"), F.lit("block")).alias("path"), "node", "root", F.lit(False).alias("forest")))
 
 
-def links(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, p: Params) -> DataFrame:
-    """Confirmed links ``a, b`` that connect all classes that are connected."""
-    def children(rows: DataFrame, level: int) -> DataFrame:
-        if level > 1:
+def connected(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, p: Params) -> DataFrame:
+    """``node, root`` of all classes that have a confirmed link."""
+    def children(rows: DataFrame, first: bool) -> DataFrame:
+        if not first:
             rows = rows.join(classes.select("node", "signature"), "node").select("path", "node", "signature")
-        made = stage(branch(rows, p, level), "paths")
+        made = stage(branch(rows, p, 1 if first else p.hops, first), "paths")
         size = made.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
         return stage(made.join(size, "path"), "nodes")
 
-    def proposals(nodes: DataFrame, rest) -> DataFrame:
-        large = nodes.where(F.col("size") > p.leaf)
-        return nodes.where(F.col("size") <= p.leaf).select("path", "node").union(rest(large, p))
-
-    def texts_of(pairs: DataFrame) -> DataFrame:
+    def confirmed(pairs: DataFrame) -> DataFrame:
         wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", "id"), "node")
-        return docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(wanted, "id").select("node", "text")
-
-    # The first levels: whatever the nodes hold.
-    level, rows, found = 1, classes.select("node", "signature"), []
-    while level <= p.known_from:
-        nodes = children(rows, level)
-        found.append(leaf_pairs(proposals(nodes, _parts), classes, p))
-        rows = nodes.where(F.col("size") > p.leaf).select("path", "node")
+        texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(wanted, "id").select("node", "text")
+        return stage(confirm(pairs.select("a", "b"), texts, p), "links")
+
+    # First the strongest pairs that connect each node of the first level, or each part of a large one.
+    nodes = children(classes.select("node", "signature"), True)
+    large = F.col("size") > p.leaf
+    bare = nodes.withColumn("root", F.col("node"))
+    tried = stage(leaf_pairs(_parts(bare.where(large), p).union(_leaves(bare.where(~large), True)), classes, p), "pairs")
+    linked = confirmed(tried)
+    label = stage(components(linked), "labels")
+    # Then nodes that hold more than one component, and only pairs between components.
+    found, rows = [], nodes
+    for level in range(p.deepest):
+        rows = stage(_mixed(rows, label), "mixed")
+        found.append(leaf_pairs(_leaves(rows.where(~large), False), classes, p))
+        rows = rows.where(large)
         if rows.isEmpty():
             break
-        level += 1
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.union(more)
-    pairs = stage(pairs.dropDuplicates(["a", "b"]), "pairs")
-    texts = stage(texts_of(pairs), "texts")
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node"), "a", "b", "alike")
-    nearest = (ends.withColumn("nth", F.row_number().over(W.partitionBy("node").orderBy(F.desc("alike"), "a", "b")))
-               .where("nth <= 2").select("a", "b").distinct())
-    linked = stage(confirm(nearest, texts, p), "links")
-    while True:
-        label = stage(components(linked), "labels")
-        open_pairs = apart(pairs, label).select("a", "b")
-        more = stage(confirm(open_pairs, texts, p), "links")
-        if not more.isEmpty():
-            linked = linked.union(more)
-            label = stage(components(linked), "labels")
-        if rows.isEmpty() or level > p.deepest:
-            return linked
-        # Further levels: nodes that hold more than one component.
-        nodes = stage(_mixed(rows, label), "mixed")
-        if nodes.isEmpty():
-            return linked
-        level += 1
-        if level > p.deepest:
-            size = nodes.groupBy("path").agg(F.count("*").alias("size"))
-            pairs = leaf_pairs(_blocks(nodes.join(size, "path"), p), classes, p)
-            rows = nodes.limit(0)
+        if level == p.deepest - 1:
+            found.append(leaf_pairs(_blocks(rows, p), classes, p))
         else:
-            nodes = children(nodes, level)
-            pairs = leaf_pairs(proposals(nodes, _parts), classes, p)
-            rows = nodes.where(F.col("size") > p.leaf).select("path", "node")
-        pairs = stage(apart(pairs, label), "pairs")
-        texts = stage(texts_of(pairs), "texts")
-
-
-def apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
-    """Those of ``a, b`` that lie in two components."""
-    a, b = (label.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab")
-    return (pairs.join(a, "a", "left").join(b, "b", "left")
-            .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).drop("root_a", "root_b"))
+            rows = children(rows.select("path", "node"), False)
+    pairs = reduce(DataFrame.union, found).dropDuplicates(["a", "b"]).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+    pairs = stage(pairs, "pairs")
+    if pairs.isEmpty():
+        return label
+    return components(linked.union(confirmed(pairs)))
 
 
 def _mixed(rows: DataFrame, label: DataFrame) -> DataFrame:
-    """Rows whose path holds more than one component."""
-    known = rows.join(label, "node", "left").select("path", "node", F.coalesce("root", "node").alias("root"))
+    """Rows ``path, node, size`` whose path holds more than one component, with
+    the component ``root`` of each."""
+    known = (rows.select("path", "node", "size").join(label, "node", "left")
+             .select("path", "node", "size", F.coalesce("root", "node").alias("root")))
     several = known.groupBy("path").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    return known.join(several, "path", "left_semi").select("path", "node")
+    return known.join(several, "path", "left_semi")
 
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", params: Params = PRODUCTION) -> DataFrame:
@@ -308,7 +306,7 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", para
     least = member.groupBy("node").agg(F.min(F.struct("doc_id", "n_shingles", "signature", "sketch")).alias("x"))
     classes = stage(least.select("node", F.col("x.doc_id").alias("id"), F.col("x.n_shingles").alias("n"),
                                  "x.signature", "x.sketch"), "classes")
-    label = components(links(docs, classes, doc_id, text, params))
+    label = connected(docs, classes, doc_id, text, params)
     rooted = classes.select("node", "id").join(label, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
     rooted = stage(rooted, "rooted")
     smallest = rooted.groupBy("root").agg(F.min("id").alias("component"))

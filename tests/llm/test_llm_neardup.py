@@ -2,7 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import DOCS, prose
+from llm_cases import DOCS, edge_docs, edge_rows, no_docs, prose, sample, scratch  # noqa: F401
 
 from assay.llm import neardup
 from assay.llm.components import components
@@ -64,7 +64,7 @@ def test_groups_larger_than_a_leaf(spark):
     texts += [prose(50 + i, 150) + " " + passage for i in range(40)] + [prose(200 + i, 200) for i in range(40)] + [base] * 5
     rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, DOCS)
-    assert found(docs, params=neardup.Params(leaf=4, known_from=2, deepest=4)) == brute(rows)
+    assert found(docs, params=neardup.Params(leaf=4, hops=1, deepest=3)) == brute(rows)
 
 
 def test_components(spark):
