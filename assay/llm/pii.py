@@ -10,8 +10,9 @@ on, seen with the entity in at least ``support`` different texts, are spans of
 their own: in the texts that hold the entity, near it.  Spans are generalised:
 a value to its kind, a term to ``[term]``.
 
-Counts cover all documents.  Terms of contexts are few beside the corpus; the
-pass that counts them everywhere first drops words by a bitmap of fixed size,
+Counts cover all documents.  A term that stands near entities in too many
+texts cannot disclose, whatever its count elsewhere, and is left out first.  The
+pass that counts the others everywhere drops words by a bitmap of fixed size,
 so that only counts of terms in question (and a few that share a bit) move.
 """
 
@@ -48,7 +49,7 @@ class Params:
     near: int = 4              # words on either side of a value
     support: int = 2           # texts that a term and an entity share
     disclosure: float = 0.9    # of an entity's information
-    bits: int = 1 << 20
+    bits: int = 1 << 24
 
 
 PRODUCTION = Params()
@@ -165,8 +166,9 @@ def term_counts(docs: DataFrame, text: str, wanted: DataFrame, p: Params) -> Dat
                 words = words.view(np.int64)
                 keep = np.flatnonzero(held[words % p.bits])
                 owner = np.searchsorted(first, keep, "right") - 1
-                once = np.unique(np.stack([words[keep], owner]), axis=1)[0]
-                term, n = np.unique(once, return_counts=True)
+                # each term once for each document
+                pair = tb.mix(words[keep].view(np.uint64) + tb.mix(owner.astype(np.uint64) + np.uint64(1)))
+                term, n = np.unique(words[keep[np.unique(pair, return_index=True)[1]]], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n)], names=["term", "n"])
 
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
@@ -176,13 +178,18 @@ def disclosing(docs: DataFrame, scanned: DataFrame, text: str, p: Params) -> Dat
     """``entity, term, share``: terms that reveal too much of an entity."""
     near = scanned.select("digest", F.explode("near").alias("x")).select("digest", "x.entity", "x.term")
     together = (near.distinct().groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= p.support))
-    together = stage(together, "together")
     holders = near.select("digest", "entity").distinct().groupBy("entity").agg(F.count("*").alias("holders"))
+    # A term is in no fewer texts than those that have it near any entity.
+    seen = near.select("digest", "term").distinct().groupBy("term").agg(F.count("*").alias("seen"))
     total = F.lit(float(scanned.count()))
-    information = F.log2(total / F.col("holders"))
-    mutual = F.log2(total * F.col("both") / (F.col("holders") * F.greatest("n", "both")))
-    return (together.join(term_counts(docs, text, together, p), "term").join(holders, "entity")
-            .withColumn("share", F.when(information > 0, mutual / information).otherwise(0.0))
+
+    def share(n: Column) -> Column:
+        information = F.log2(total / F.col("holders"))
+        mutual = F.log2(total * F.col("both") / (F.col("holders") * n))
+        return F.when(information > 0, mutual / information).otherwise(0.0)
+
+    possible = stage(together.join(holders, "entity").join(seen, "term").where(share(F.greatest("both", "seen")) >= p.disclosure), "possible")
+    return (possible.join(term_counts(docs, text, possible, p), "term").withColumn("share", share(F.greatest("n", "both", "seen")))
             .where(F.col("share") >= p.disclosure).select("entity", "term", "share"))
 
 
@@ -218,7 +225,8 @@ def sanitise(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p: Par
     ship(docs.sparkSession)
     found = find(docs, doc_id, text, p).where("size(spans) > 0").select(
         F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "spans").dropDuplicates(["_id", "_digest"])
-    keyed = docs.join(found, F.col(doc_id).eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_digest")), "left").drop("_id", "_digest")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).alias("of_id"), F.xxhash64(text).alias("of_digest"))
+    keyed = rows.join(found, F.col("of_id").eqNullSafe(F.col("_id")) & (F.col("of_digest") == F.col("_digest")), "left").select("row.*", "spans")
     k, schema = docs.columns.index(text), docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
