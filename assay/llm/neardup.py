@@ -237,11 +237,23 @@ def _leaves(rows: DataFrame, forest: bool) -> DataFrame:
 
 
 def _blocks(rows: DataFrame, p: Params) -> DataFrame:
-    """Large nodes as pairs of blocks, so that all their nodes meet."""
-    n = F.ceil(F.col("size") * 2 / p.leaf)
-    own = F.pmod(F.xxhash64("node"), n)
-    return (rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), n - 1)))
-            .select(F.xxhash64("path", F.least("own", "other"), F.greatest("own", "other"), F.lit("block")).alias("path"), "node", "root", F.lit(False).alias("forest")))
+    """Large nodes (``path, node, root``) as pairs of blocks, so that classes of
+    two components meet: blocks of the largest component of a node with blocks
+    of the others, and those among themselves."""
+    each = rows.groupBy("path", "root").agg(F.count("*").alias("c"))
+    largest = each.groupBy("path").agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("total"))
+    half = p.leaf / 2
+    sized = rows.join(largest, "path").select(
+        "path", "node", "root", (F.col("root") == F.col("top.root")).alias("inside"),
+        F.ceil(F.col("top.c") / half).alias("ins"), F.ceil((F.col("total") - F.col("top.c")) / half).alias("outs"))
+    zero = F.lit(0).cast("long")
+    among = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
+    meet = lambda kind, x, y: F.struct(F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"))
+    inside = F.transform(F.sequence(zero, F.col("outs") - 1), lambda o: meet("across", among("ins"), o))
+    outside = F.concat(F.transform(F.sequence(zero, F.col("ins") - 1), lambda k: meet("across", k, among("outs"))),
+                       F.transform(F.sequence(zero, F.col("outs") - 1), lambda o: meet("others", F.least(o, among("outs")), F.greatest(o, among("outs")))))
+    met = sized.select("path", "node", "root", F.explode(F.when(F.col("inside"), inside).otherwise(outside)).alias("m"))
+    return met.select(F.xxhash64("path", "m.kind", "m.x", "m.y").alias("path"), "node", "root", F.lit(False).alias("forest"))
 
 
 def connected(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, p: Params) -> DataFrame:

@@ -91,3 +91,14 @@ def test_signature_estimates_similarity():
     a = np.unique(np.random.default_rng(1).integers(0, 2**63, 9000, dtype=np.uint64))
     x, y = neardup.signature(a[:8000], 1024), neardup.signature(a[1000:], 1024)
     assert (x == y).mean() == pytest.approx(7 / 9, abs=0.05)
+
+
+def test_blocks_let_two_components_meet(spark):
+    root = {i: 0 if i < 40 else 1 if i < 49 else i for i in range(53)}
+    rows = spark.createDataFrame([(7, i.to_bytes(2), r.to_bytes(2)) for i, r in root.items()], "path long, node binary, root binary")
+    groups = defaultdict(set)
+    for r in neardup._blocks(rows, neardup.Params(leaf=8)).collect():
+        groups[r.path].add(int.from_bytes(r.node))
+    met = {(a, b) for g in groups.values() for a in g for b in g if a < b}
+    assert {(a, b) for a in root for b in root if a < b and root[a] != root[b]} <= met
+    assert sum(map(len, groups.values())) < 53 * 7          # fewer rows than all blocks against all
