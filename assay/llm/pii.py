@@ -158,8 +158,13 @@ def term_counts(docs: DataFrame, text: str, wanted: DataFrame, p: Params) -> Dat
     bitmap[marks] = True
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
 
+    def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        term, inverse = np.unique(np.concatenate([t for t, _ in parts]), return_inverse=True)
+        return term, np.bincount(inverse, np.concatenate([n for _, n in parts]), len(term)).astype(np.int64)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.unpackbits(shared.value).astype(bool)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []      # added up in the task, so that a term moves once
         for batch in batches:
             for block in tb.blocks(batch.column(0)):
                 words, first = tb.word_hashes(block, lower=True)
@@ -168,8 +173,12 @@ def term_counts(docs: DataFrame, text: str, wanted: DataFrame, p: Params) -> Dat
                 owner = np.searchsorted(first, keep, "right") - 1
                 # each term once for each document
                 pair = tb.mix(words[keep].view(np.uint64) + tb.mix(owner.astype(np.uint64) + np.uint64(1)))
-                term, n = np.unique(words[keep[np.unique(pair, return_index=True)[1]]], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n)], names=["term", "n"])
+                parts.append(np.unique(words[keep[np.unique(pair, return_index=True)[1]]], return_counts=True))
+                if sum(len(t) for t, _ in parts) > 1_000_000:
+                    parts = [summed(parts)]
+        if parts:
+            term, n = summed(parts)
+            yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n)], names=["term", "n"])
 
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
