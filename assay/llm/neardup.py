@@ -2,19 +2,24 @@
 
 A document is the set of its distinct word shingles; documents with equal sets
 are one class, and only classes are compared.  Candidates come from random
-trees over the classes' minhash values: a tree node picks one or two positions
-of the minhash signature, and its documents go to the children named by their
-values there, on average to 1 / threshold of them.  Two documents of at least
-that similarity are thus expected to meet in as many nodes of a level as of the
-level before, while others thin out.  A node of at most ``leaf`` classes is
-compared exhaustively; independent trees repeat that up to the wanted recall.
+trees over the classes' minhash values: a tree node picks two positions of the
+minhash signature, and its documents go to the two children named by their
+values there.  Two documents above the threshold are thus expected to meet in
+half as many nodes again with each level, so that a pair is as good as never
+lost on the way down, however deep; those below one half thin out.  A node of
+at most ``leaf`` classes is compared exhaustively; independent trees repeat
+that up to the wanted recall, which is that of the deepest level.
 
 First, of each node, or of random parts of a larger one, the strongest pairs
 that connect what looks alike are proposed and confirmed: a group of copies or
 near copies, however large, is linked up by as many pairs as it has members.  A
-node whose classes are all connected has nothing left to find.  Of the others,
-all pairs between two components are proposed; larger ones go on branching, and
-what is still large after ``deepest`` rounds is compared block against block.
+node whose classes are all connected has nothing left to find.  In the larger
+others, the most linked classes of the largest component then meet each class
+beside it, so that copies near one base text only are linked up as well.  After that,
+all pairs between two components are proposed.  Larger ones are compared block
+against block where no more than some blocks are outside the largest component,
+and go on branching otherwise, level by level; what is still large after
+``deepest`` levels is compared block against block, too.
 
 All comparisons so far are of signatures, well below the threshold, and only
 propose candidates.  Candidates are confirmed on the full sets of shingles.
@@ -47,8 +52,9 @@ class Params:
     positions: int = 128        # of the signature
     trees: int = 9
     leaf: int = 64
-    hops: int = 3               # levels of a round, beyond the first
-    deepest: int = 4            # rounds
+    hops: int = 1               # levels of a round, beyond the first
+    deepest: int = 10           # rounds
+    outside: int = 128          # classes beside the largest component that blocks are made for at once
     slack: float = 0.16         # below the threshold, for estimates: four standard deviations
 
 
@@ -116,13 +122,11 @@ def branch(rows: DataFrame, p: Params, hops: int, roots: bool) -> DataFrame:
     and its paths are the trees."""
     ship(rows.sparkSession)
 
-    def positions(path: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        # The first position always; the second for one path in three.
+    def positions(path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         r = tb.mix(path ^ np.uint64(0x5851F42D4C957F2D))
         first = (r % np.uint64(p.positions)).astype(np.int64)
         step = 1 + ((r >> np.uint64(16)) % np.uint64(p.positions - 1)).astype(np.int64)
-        more = (r >> np.uint64(40)) % np.uint64(1000) < np.uint64(round(1000 * (100 / p.percent - 1)))
-        return first, (first + step) % p.positions, more
+        return first, (first + step) % p.positions
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,10 +141,8 @@ def branch(rows: DataFrame, p: Params, hops: int, roots: bool) -> DataFrame:
             else:
                 path = np.frombuffer(batch.column("path").to_numpy().tobytes(), np.uint64)
             for _ in range(hops):
-                first, second, more = positions(path)
-                row = np.concatenate([row, row[more]])
-                at = np.concatenate([first, second[more]])
-                path = np.concatenate([path, path[more]])
+                at = np.concatenate(positions(path))
+                row, path = np.tile(row, 2), np.tile(path, 2)
                 value = sig[row, at].astype(np.uint64) | (at.astype(np.uint64) << np.uint64(32))
                 path = tb.mix(path * np.uint64(0x9E3779B97F4A7C15) + tb.mix(value))
             yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), batch.column("node").take(pa.array(row))], names=_ROWS.names)
@@ -256,6 +258,29 @@ def _blocks(rows: DataFrame, p: Params) -> DataFrame:
     return met.select(F.xxhash64("path", "m.kind", "m.x", "m.y").alias("path"), "node", "root", F.lit(False).alias("forest"))
 
 
+def _centres(rows: DataFrame, linked: DataFrame, p: Params) -> DataFrame:
+    """Large nodes (``path, node, root``) cut into parts of the classes beside
+    the largest component, each with up to eight classes of it that have the
+    most links; only these and the others are compared."""
+    each = rows.groupBy("path", "root").agg(F.count("*").alias("c"))
+    top = each.groupBy("path").agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("total")).select(
+        "path", F.col("top.root").alias("of"), F.ceil((F.col("total") - F.col("top.c")) * 2 / p.leaf).alias("parts"), F.col("top.c").alias("c")).where("c > 1").drop("c")
+    known = rows.join(top, "path")
+    links = linked.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    centre = (known.where("root = of").join(links, "node").groupBy("path", "of", "parts", F.pmod(F.xxhash64("node"), F.lit(8)).alias("k"))
+              .agg(F.max(F.struct("links", "node")).alias("x"))
+              .select("path", F.col("x.node").alias("node"), F.col("of").alias("root"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")))
+    others = known.where("root <> of").select("path", "node", F.lit(b"").alias("root"), F.pmod(F.xxhash64("node", "path"), F.col("parts")).alias("part"))
+    return centre.union(others).select(F.xxhash64("path", "part", F.lit("centre")).alias("path"), "node", "root", F.lit(False).alias("forest"))
+
+
+def _few_outside(rows: DataFrame, p: Params) -> DataFrame:
+    """``path`` of the large nodes with few classes beside the largest
+    component: each class is in a bounded number of their blocks."""
+    each = rows.groupBy("path", "root").agg(F.count("*").alias("c"))
+    return each.groupBy("path").agg((F.sum("c") - F.max("c")).alias("outs")).where(F.col("outs") <= p.outside).select("path")
+
+
 def connected(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, p: Params) -> DataFrame:
     """``node, root`` of all classes that have a confirmed link."""
     def children(rows: DataFrame, first: bool) -> DataFrame:
@@ -277,18 +302,27 @@ def connected(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, p: Pa
     tried = stage(leaf_pairs(_parts(bare.where(large), p).union(_leaves(bare.where(~large), True)), classes, p), "pairs")
     linked = confirmed(tried)
     label = stage(components(linked), "labels")
+    # Then what is near the most linked classes of a large one.
+    rows = stage(_mixed(nodes.where(large), label), "mixed")
+    if not rows.isEmpty():
+        near = stage(leaf_pairs(_centres(rows, linked, p), classes, p).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
+        tried, linked = tried.union(near), linked.union(confirmed(near))
+        label = stage(components(linked), "labels")
     # Then nodes that hold more than one component, and only pairs between components.
     found, rows = [], nodes
     for level in range(p.deepest):
         rows = stage(_mixed(rows, label), "mixed")
-        found.append(leaf_pairs(_leaves(rows.where(~large), False), classes, p))
+        # Each written by itself: one plan of all levels would fill the driver.
+        found.append(stage(leaf_pairs(_leaves(rows.where(~large), False), classes, p), "found"))
         rows = rows.where(large)
         if rows.isEmpty():
             break
         if level == p.deepest - 1:
-            found.append(leaf_pairs(_blocks(rows, p), classes, p))
+            found.append(stage(leaf_pairs(_blocks(rows, p), classes, p), "found"))
         else:
-            rows = children(rows.select("path", "node"), False)
+            few = stage(_few_outside(rows, p), "few")
+            found.append(stage(leaf_pairs(_blocks(rows.join(few, "path", "left_semi"), p), classes, p), "found"))
+            rows = children(rows.join(few, "path", "left_anti").select("path", "node"), False)
     pairs = reduce(DataFrame.union, found).dropDuplicates(["a", "b"]).join(tried.select("a", "b"), ["a", "b"], "left_anti")
     pairs = stage(pairs, "pairs")
     if pairs.isEmpty():

@@ -67,6 +67,19 @@ def test_groups_larger_than_a_leaf(spark):
     assert found(docs, params=neardup.Params(leaf=4, hops=1, deepest=3)) == brute(rows)
 
 
+def test_hub_of_edited_copies(spark):
+    """Copies that are near the base text only, none of them near another: first-level nodes are large and mixed."""
+    base = [f"b{i}" for i in range(300)]
+    texts = [" ".join(base)]
+    for i in range(2500):
+        r, words = random.Random(i), list(base)
+        for k in r.sample(range(5, 295, 6), 8):         # one edit spoils 5 of 296 shingles: 256 / 336 are shared
+            words[k] = f"w{i}x{k}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    assert {r.component_id for r in neardup.near_dedup(docs).collect()} == {0}
+
+
 def test_components(spark):
     r = random.Random(1)
     links = [(i, i + 1) for i in range(60)] + [(r.randrange(100, 200), r.randrange(100, 200)) for _ in range(60)] + [(300, i) for i in range(301, 340)] + [(500, 500)]
