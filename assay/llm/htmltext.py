@@ -2,12 +2,11 @@
 
 Markup is stripped to lines, one for each block of text.  What the markup
 itself names as menu, header, footer, notice, advert, form, script or reader
-comment leaves a line of length 0, as do lines that are mostly links on pages
-that don't mark their article, and all lines outside the article on pages that
-do.  The lengths are then summed over sliding windows of lines: the text surges
-where a window's sum rises to the threshold and dives where it falls to 0.  The
-text between surge and dive is kept: all of it in a marked article, the
-strongest stretch and those that come near it elsewhere.
+comment is left out, as are all lines outside the article on pages that mark
+it.  On other pages a line counts with its text outside links.  The lengths are
+then summed over sliding windows of lines: the text surges where a window's sum
+rises to the threshold and dives where it falls to 0.  All lines with text
+between the first surge and the last dive are kept.
 """
 
 from __future__ import annotations
@@ -26,10 +25,8 @@ from pyspark.sql import types as T
 from assay.llm.staging import ship
 
 WINDOW = 3
-#: Without a marked article: what a window must hold for a surge, the share of
-#: linked text from which a line counts as links, and the share of the
-#: strongest stretch from which another one is kept.
-SURGE_CHARS, LINK_SHARE, NEAR_STRONGEST = 60, 0.5, 0.3
+#: What a window must hold for a surge, without a marked article.
+SURGE_CHARS = 60
 
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
 figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol
@@ -39,12 +36,14 @@ EMPTY = frozenset("area base br col embed hr img input link meta param source tr
 RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 DROPPED = frozenset("""head nav header footer aside form button select datalist label fieldset dialog menu search
 noscript template svg math canvas object audio video applet""".split())
-#: Words in class, id or role that name what is not the article.
+#: Names in class, id or role of what is not the article; a hyphenated one counts if all its words do.
 NAMED = frozenset("""ad ads adbox advert advertisement advertising adsense sponsor sponsored promo promotion
 nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar aside widget toolbar topbar masthead banner
 header footer contentinfo complementary pagination pager related share sharing social
 cookie cookies consent gdpr notice alert popup modal overlay dialog newsletter subscribe subscription signup login search
 comment comments respond disqus discussion replies""".split())
+#: Of them, those that also hold for an article, and for articles inside.
+NO_ARTICLE = frozenset("ad ads adbox advert advertisement advertising adsense comment comments".split())
 ROOTS = frozenset(["html", "body", "main"])
 #: A start tag that ends an open element of one of these names, up to a border.
 ENDS = {"p": BLOCKS, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]),
@@ -52,56 +51,70 @@ ENDS = {"p": BLOCKS, "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd
 
 _TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>|<[!?][^>]*>""", re.S)
 _NAME = re.compile(r"""(?:\A|[\s"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)|(?=[\s/]|\Z))""", re.I)
-_WORD = re.compile(r"[a-z0-9]+")
+_INK = re.compile(r"\w")
 
 
 @dataclass
 class Line:
     text: str
-    length: int       # 0 for what is not text of the page
+    length: int       # 0 for links on pages that don't mark their article
 
 
-def _is_named(tag: str, attributes: str) -> bool:
+#: How an open element is dropped: an article or main inside what only a name drops stays.
+KEPT, NAMED_ONLY, GONE = 0, 1, 2
+
+
+def _drops(tag: str, attributes: str) -> int:
+    if tag in DROPPED:
+        return GONE
     if tag in ROOTS:
-        return False
+        return KEPT
+    drops = KEPT
     for key, value in _NAME.findall(attributes):
         key = key.lower()
         if key == "hidden" or key == "aria-hidden" and "true" in value.lower():
-            return True
-        if key in ("class", "id", "role") and not NAMED.isdisjoint(_WORD.findall(value.lower())):
-            return True
-    return False
+            return GONE
+        if key in ("class", "id", "role"):
+            names = value.strip("\"'").lower().split()
+            if not NO_ARTICLE.isdisjoint(names):
+                return GONE
+            if tag != "article" and any(words and NAMED.issuperset(words) for words in (x.replace("_", "-").split("-") for x in names)):
+                drops = NAMED_ONLY
+    return drops
 
 
 def lines(page: str) -> tuple[list[Line], bool]:
-    """Blocks of text in page order, and whether the page marks its article."""
-    out: list[tuple[str, int, bool, bool]] = []         # text, linked characters, dropped, in the article
-    stack: list[tuple[str, bool, bool]] = []            # open elements: name, dropped, in the article
+    """Blocks of text in page order, without what the markup drops, and whether
+    the page marks its article."""
+    out: list[tuple[str, int, int, bool]] = []          # text, characters outside links, dropped, in the article
+    stack: list[tuple[str, int, bool]] = []             # open elements: name, dropped, in the article
     text: list[str] = []
-    linked = 0
+    linked, free = 0, False                             # linked characters, and whether there is text beside them
     open_now: Counter[str] = Counter()                  # of the stack, so that it is not searched in vain
-    dropped = article = marked = False
+    dropped, article, marked = KEPT, False, False
 
     def flush() -> None:
-        nonlocal linked
+        nonlocal linked, free
         if text:
             if joined := " ".join("".join(text).split()):
-                out.append((joined, linked, dropped, article))
+                out.append((joined, max(1, len(joined) - linked) if free else 0, dropped, article))
             text.clear()
-        linked = 0
+        linked, free = 0, False
 
     def close(k: int) -> None:
         nonlocal dropped, article
         open_now.subtract(name for name, _, _ in stack[k:])
         del stack[k:]
-        _, dropped, article = stack[-1] if stack else ("", False, False)
+        _, dropped, article = stack[-1] if stack else ("", KEPT, False)
 
     def add(piece: str) -> None:
-        nonlocal linked
+        nonlocal linked, free
         piece = references.unescape(piece)
         text.append(piece)
         if open_now["a"]:
             linked += len(piece)
+        elif not free:
+            free = _INK.search(piece) is not None
 
     at, n = 0, len(page)
     while at < n:
@@ -145,17 +158,19 @@ def lines(page: str) -> tuple[list[Line], bool]:
             add(" ")
         if name in EMPTY or attributes.endswith("/") and name not in BLOCKS:
             continue
-        named = name in DROPPED or _is_named(name, attributes)
-        if (named != dropped and named) and name not in BLOCKS:
+        drops = _drops(name, attributes)
+        if drops > dropped and name not in BLOCKS:
             flush()
-        dropped = dropped or named
+        if name in ("article", "main") and dropped == NAMED_ONLY and not open_now["article"]:
+            dropped = KEPT
+        dropped = max(dropped, drops)
         if name in ("article", "main") and not dropped:
             article = marked = True
         stack.append((name, dropped, article))
         open_now[name] += 1
     flush()
     marked = marked and any(a and not d for _, _, d, a in out)
-    return [Line(t, 0 if d or (not a if marked else x > LINK_SHARE * len(t)) else len(t)) for t, x, d, a in out], marked
+    return [Line(t, len(t) if marked else x) for t, x, d, a in out if not d and (a or not marked)], marked
 
 
 def stretches(length: list[int], threshold: int, window: int = WINDOW) -> Iterator[tuple[int, int]]:
@@ -176,10 +191,7 @@ def main_text(page: str | None) -> str:
     found, marked = lines(page or "")
     length = [x.length for x in found]
     runs = list(stretches(length, 1 if marked else SURGE_CHARS)) or list(stretches(length, 1))
-    if not marked and runs:
-        weight = [sum(length[a:b]) for a, b in runs]
-        runs = [r for r, w in zip(runs, weight) if w >= NEAR_STRONGEST * max(weight)]
-    return "\n\n".join(found[i].text for a, b in runs for i in range(a, b) if length[i])
+    return "\n\n".join(x.text for x in found[runs[0][0]:runs[-1][1]] if x.length) if runs else ""
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

@@ -34,6 +34,29 @@ def test_broken_markup_does_not_crash():
         htmltext.main_text(page)
 
 
+@pytest.mark.parametrize("before, after", [
+    ("<div class='page has-sidebar'><article>", "</article></div>"), ("<div class='elementor-widget-text'><article>", "</article></div>"),
+    ("<article class='post category-search'>", "</article>"), ("<article><section class='related-work'>", "</section></article>"),
+    ("<div class='widget'><article>", "</article></div>"), ("<div id=overlay><main>", "</main></div>"), ("<article class='notice'>", "</article>"),
+    ("<div class='page has-sidebar'>", "</div>"), ("<div class='elementor-widget-text'>", "</div>")])
+def test_wrappers_with_names_inside_their_class(before, after):
+    assert htmltext.main_text(f"<body><nav>m</nav>{before}<p>{LONG}</p><p>end</p>{after}<footer>f</footer>") == LONG.strip() + "\n\nend"
+
+
+def test_what_is_named_stays_dropped():
+    for name in ("comments", "comment", "advert"):
+        assert htmltext.main_text(f"<article><p>a</p></article><div class='x {name}'><article><p>b</p></article></div><article class={name}>c</article>") == "a"
+    assert htmltext.main_text("<article><p>a</p><div class='related'><article><p>b</p></article></div></article>") == "a"
+
+
+def test_unmarked_pages_keep_what_is_between():
+    adverts = "<div class=ad><p>b</p><p>u</p><p>y</p><p>!</p></div>"
+    assert htmltext.main_text(f"<p>{LONG * 9}</p>{adverts}<p>last part</p>") == (LONG * 9).strip() + "\n\nlast part"
+    links = "<ul>" + "<li><a href=x>link</a>" * 4 + "</ul>"
+    body = f"<p>{LONG * 9}</p>{links}<p>See <a href=y>this long title of a text</a> too</p>{links}<p>{LONG}</p>"
+    assert htmltext.main_text(links + body + links) == (LONG * 9).strip() + "\n\nSee this long title of a text too\n\n" + LONG.strip()
+
+
 def test_windows():
     assert list(htmltext.stretches([0, 9, 0, 9, 0, 0, 0, 9], 10)) == [(1, 4)]
     assert list(htmltext.stretches([0, 9, 0, 9, 0, 0, 0, 9], 1)) == [(1, 4), (7, 8)]
