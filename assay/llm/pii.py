@@ -10,8 +10,8 @@ on, seen with the entity in at least ``support`` different texts, are spans of
 their own: in the texts that hold the entity, near it.  Spans are generalised:
 a value to its kind, a term to ``[term]``.
 
-Counts cover all documents.  A term that stands near entities in too many
-texts cannot disclose, whatever its count elsewhere, and is left out first.  The
+Counts cover all documents, and rows with the same text count each.  A term
+that stands near entities in too many rows cannot disclose, whatever its count elsewhere, and is left out first.  The
 pass that counts the others everywhere drops words by a bitmap of fixed size,
 so that only counts of terms in question (and a few that share a bit) move.
 """
@@ -185,11 +185,14 @@ def term_counts(docs: DataFrame, text: str, wanted: DataFrame, p: Params) -> Dat
 
 def disclosing(docs: DataFrame, scanned: DataFrame, text: str, p: Params) -> DataFrame:
     """``entity, term, share``: terms that reveal too much of an entity."""
-    near = scanned.select("digest", F.explode("near").alias("x")).select("digest", "x.entity", "x.term")
-    together = (near.distinct().groupBy("entity", "term").agg(F.count("*").alias("both")).where(F.col("both") >= p.support))
-    holders = near.select("digest", "entity").distinct().groupBy("entity").agg(F.count("*").alias("holders"))
-    # A term is in no fewer texts than those that have it near any entity.
-    seen = near.select("digest", "term").distinct().groupBy("term").agg(F.count("*").alias("seen"))
+    # All counts are of rows, so that copies weigh the same in each; only the support is of different texts.
+    texts = scanned.where("size(near) > 0").groupBy("digest").agg(F.count("*").alias("w"), F.any_value("near").alias("near"))
+    near = texts.select("digest", "w", F.explode("near").alias("x")).select("digest", "w", "x.entity", "x.term")
+    together = (near.distinct().groupBy("entity", "term").agg(F.sum("w").alias("both"), F.count("*").alias("texts"))
+                .where(F.col("texts") >= p.support).drop("texts"))
+    holders = near.select("digest", "w", "entity").distinct().groupBy("entity").agg(F.sum("w").alias("holders"))
+    # A term is in no fewer rows than those that have it near any entity.
+    seen = near.select("digest", "w", "term").distinct().groupBy("term").agg(F.sum("w").alias("seen"))
     total = F.lit(float(scanned.count()))
 
     def share(n: Column) -> Column:

@@ -94,6 +94,30 @@ def test_shares_match_brute_force(spark):
     assert got == sorted(want) and len(got) >= 4
 
 
+def test_copies_weigh_the_same_in_all_counts(spark):
+    import math
+
+    texts, _ = planted(spark)
+    texts += [texts[3]] * 30 + [texts[20]] * 10
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    scanned = pii.scan(docs, "doc_id", "text", pii.PRODUCTION)
+    got = sorted(round(r.share, 9) for r in pii.disclosing(docs, scanned, "text", pii.Params(disclosure=-9)).collect())
+    near, holders = {}, {}
+    for i, t in enumerate(texts):
+        spans = pii.base_spans(t)
+        for k, s, e in pii.contexts(t, spans, pii.PRODUCTION.near):
+            entity = t[spans[k][0]:spans[k][2]]
+            near.setdefault((entity, t[s:e].lower()), set()).add(i)
+            holders.setdefault(entity, set()).add(i)
+    words = [set(t.lower().split()) for t in texts]
+    want = sorted(round(math.log2(len(texts) * len(at) / (len(holders[x]) * sum(term in w for w in words))) / math.log2(len(texts) / len(holders[x])), 9)
+                  for (x, term), at in near.items() if len({texts[i] for i in at}) >= 2)
+    assert got == want and got[-1] == 1
+    spans = {r.doc_id: r.spans for r in pii.find(docs).collect()}
+    for i in (3, 5, 8, 45):
+        assert "zorblat" in {texts[i][s.start:s.end].lower() for s in spans[i] if pii.KINDS[s.kind] == "term"}
+
+
 def test_sanitise(spark):
     _, docs = planted(spark)
     got = {r.doc_id: r.text for r in pii.sanitise(docs.withColumnRenamed("lang", "spans2")).collect()}
