@@ -1,5 +1,5 @@
-"""Driver queries of the ten operators, with DuckDB SQL where it can express
-their result.  Each reads the whole of its table."""
+"""Driver queries of the thirteen operators, with DuckDB SQL where it can express
+their result.  Each reads the whole of its tables."""
 
 from __future__ import annotations
 
@@ -9,19 +9,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from assay.llm import bpe, exact, htmltext, langid, licenses, mixing, neardup, pii, quality, urls
+from assay.llm import bpe, exact, htmltext, langid, licenses, mixing, neardup, pieces, pii, quality, search, spelling, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
+PIECES = "piece_bpe_32k.model"
 
 
-def register(name: str, table: str, sql: str | None = None):
-    """Register ``fn(frame of the whole table) -> DataFrame``."""
+def register(name: str, tables: str, sql: str | None = None):
+    """Register ``fn(frame of each whole table) -> DataFrame``."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet"))
+            return fn(*[spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet") for table in tables.split()])
 
         run.__name__, run.__doc__ = name, fn.__doc__
         QUERIES[name] = run
@@ -128,9 +129,6 @@ def op3(documents: DataFrame) -> DataFrame:
     return langid.identify(documents, public_tokenizers.path(BPE_RANKS))
 
 
-
-
-
 @register("op4_license_scan", "documents")
 def op4(documents: DataFrame) -> DataFrame:
     """License phrases and passages in every document."""
@@ -150,3 +148,38 @@ def op5(documents: DataFrame) -> DataFrame:
 def op6(pages: DataFrame) -> DataFrame:
     """Main text of every page."""
     return htmltext.extract(pages.select("page_id", "url", "html")).withColumn("n_chars", F.length("text").cast("long"))
+
+
+@register("op11_reversed_search", "documents benchmark", r"""
+WITH d AS (SELECT ROW_NUMBER() OVER () AS row, doc_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+t AS (SELECT row, doc_id, UNNEST(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+i AS (SELECT DISTINCT item_id, UNNEST(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+c AS (SELECT row, doc_id, term, COUNT(*) AS tf FROM t GROUP BY ALL),
+l AS (SELECT row, COUNT(*) AS n FROM t GROUP BY row),
+total AS (SELECT COUNT(*)::BIGINT AS nn, SUM(n)::BIGINT AS ll FROM l),
+w AS (SELECT term, FLOOR(1000 * LN((2 * nn + 2) / (2 * COUNT(*) + 1)))::BIGINT AS w FROM c, total GROUP BY term, nn),
+s AS (
+  SELECT item_id, row, c.doc_id, SUM(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // ll))))::BIGINT AS score
+  FROM i JOIN c USING (term) JOIN w USING (term) JOIN l USING (row), total GROUP BY ALL)
+SELECT item_id, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10""")
+def op11(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    return search.search(documents, benchmark)
+
+
+@register("op12_spelling_variants", "documents")
+def op12(documents: DataFrame) -> DataFrame:
+    """Every word of the documents with its more frequent spelling."""
+    return spelling.variants(documents)
+
+
+@register("op13_sentence_pieces", "documents")
+def op13(documents: DataFrame) -> DataFrame:
+    """Ids of every text, and the text they stand for, as digests."""
+    done = pieces.encode(documents.select("doc_id", "text"), public_tokenizers.path(PIECES), decoded=True)
+    return done.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
