@@ -25,6 +25,7 @@ import gc
 import itertools
 import re
 import struct
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,7 +39,7 @@ from assay.llm.staging import ship
 
 MARK = "▁"
 #: Words, and pairs of pieces, that a worker process remembers; the longest word of them.
-REMEMBER, REMEMBER_CHARS = 300_000, 64
+REMEMBER, REMEMBER_CHARS = 600_000, 64
 #: Rows and characters of a result batch; characters up to which the words of a text are listed at once.
 BATCH_ROWS, BATCH_CHARS, AT_ONCE = 1000, 1 << 22, 1 << 20
 #: Fixed values of the model file: message fields, piece types.
@@ -97,20 +98,26 @@ class Model:
         self.id = {p: i for i, (p, k) in enumerate(zip(self.piece, kinds)) if k == NORMAL}
         self.score = {p: struct.unpack("<f", found[i].get(SCORE, bytes(4)))[0] for p, i in self.id.items()}
         self.byte = {int(p[1:-1], 16): i for i, (p, k) in enumerate(zip(self.piece, kinds)) if k == BYTE}
-        self.bytes = {i: b for b, i in self.byte.items()}
-        shown = {NORMAL: lambda p: p.replace(MARK, " "), CONTROL: lambda p: "",
-                 UNKNOWN: lambda p: trainer.get(UNKNOWN_SURFACE, " ⁇ ".encode()).decode(), BYTE: lambda p: p}
-        self.shown = [shown[k](p) for p, k in zip(self.piece, kinds)]
+        shown = {NORMAL: lambda p: p.replace(MARK, " ").encode(), CONTROL: lambda p: b"",
+                 UNKNOWN: lambda p: trainer.get(UNKNOWN_SURFACE, " ⁇ ".encode()), BYTE: lambda p: bytes([int(p[1:-1], 16)])}
+        #: Bytes that an id stands for.  A piece is whole characters, so bytes left alone by byte pieces beside it stay alone.
+        self.raw = {i: shown[k](p) for i, (p, k) in enumerate(zip(self.piece, kinds))}
+        self.silent = {i for i, raw in self.raw.items() if not raw}         # they part the bytes on either side
         self.marked = {i for p, i in self.id.items() if p.startswith(MARK)}
         self.size = [len(p) for p in self.piece]
         self.automaton = ahocorasick.Automaton()
         for p, i in self.id.items():
-            self.automaton.add_word(p, i)
+            self.automaton.add_word(p, (i, len(p) - 1))
         self.automaton.make_automaton()
         whole = any(re.search(f"[^{MARK}]{MARK}", p) for p in self.id)
         self.words = re.compile("(?s).+" if whole else f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-        self.fits = lru_cache(REMEMBER)(lambda a, b: self.merged(a + b) == [a, b])
-        self.shorter = lru_cache(None)(lambda p: next((p[:n] for n in range(len(p) - 1, 1, -1) if p[:n] in self.id), p[0]))
+        self.other = len(self.piece)
+        #: For a piece, the longest other that it starts with, or else its first character.
+        self.shorter = [0] * self.other
+        for p, i in self.id.items():
+            if len(p) > 1:
+                self.shorter[i] = next((self.id[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in self.id), self.other + ord(p[0]))
+        self.pairs: dict[int, bool] = {}
         self.word = lru_cache(REMEMBER)(lambda w: tuple(self.encode_word(w)))
 
     def merged(self, text: str) -> list[str]:
@@ -124,61 +131,73 @@ class Model:
             row[i:i + 2] = [row[i] + row[i + 1]]
         return row
 
+    def fits(self, a: int, b: int) -> bool:
+        """Whether re-merging two neighbours gives them back."""
+        if len(self.pairs) >= REMEMBER:
+            self.pairs.clear()
+        left, right = self.text(a), self.text(b)
+        known = self.pairs[a << 21 | b] = self.merged(left + right) == [left, right]
+        return known
+
+    def text(self, token: int) -> str:
+        return self.piece[token] if token < self.other else chr(token - self.other)
+
     def encode_word(self, word: str) -> list[int]:
-        n = len(word)
-        longest = np.zeros(n, np.int32)                        # id of the longest piece at each place, 0 for none
-        size, piece, shorter, fits = self.size, self.piece, self.shorter, self.fits
-        for end, i in self.automaton.iter(word):
-            longest[end + 1 - size[i]] = i                     # later ends are of longer pieces
-        failed = bytearray(n // 8 + 1)
-        row: list[str] = []
-        at, token = 0, piece[longest[0]] if longest[0] else word[0]
+        """Ids of a word.  A token is the id of a piece, or ``other`` and the
+        code point of a character without one; 0 stands for none."""
+        n, other, size, shorter, pairs = len(word), self.other, self.size, self.shorter, self.pairs
+        longest = [0] * n if n <= REMEMBER_CHARS else array("i", bytes(4 * n))      # piece at each place
+        for end, (i, last) in self.automaton.iter(word):
+            longest[end - last] = i                            # later ends are of longer pieces
+        failed, any_failed = bytearray((n >> 3) + 1), False
+        row: list[int] = []
+        at, before, token = 0, 0, longest[0] or other + ord(word[0])
         while True:
             while token:
-                end = at + len(token)
-                if not failed[end >> 3] >> (end & 7) & 1 and (
-                        fits(row[-1], token) if row else end < n or self.merged(token) == [token]):
-                    break
-                token = shorter(token) if len(token) > 1 else ""
+                end = at + (size[token] if token < other else 1)
+                if not (any_failed and failed[end >> 3] >> (end & 7) & 1):
+                    if before:
+                        good = pairs.get(before << 21 | token)
+                        if self.fits(before, token) if good is None else good:
+                            break
+                    elif end < n or self.merged(word) == [word]:
+                        break
+                token = shorter[token] if token < other else 0
             if token:
                 row.append(token)
                 if end == n:
                     break
-                at, token = end, piece[longest[end]] if longest[end] else word[end]
+                at, before, token = end, token, longest[end] or other + ord(word[end])
             else:
                 failed[at >> 3] |= 1 << (at & 7)
-                token = row.pop()
-                at -= len(token)
-                token = shorter(token) if len(token) > 1 else ""
-        return [i for token in row for i in ([self.id[token]] if token in self.id else map(self.byte.__getitem__, token.encode()))]
+                any_failed, token = True, row.pop()
+                at -= size[token] if token < other else 1
+                before, token = row[-1] if row else 0, shorter[token] if token < other else 0
+        if max(row) < other:
+            return row
+        return [i for token in row for i in ([token] if token < other else map(self.byte.__getitem__, chr(token - other).encode()))]
 
     def encode(self, text: str) -> np.ndarray:
         if not text:
             return np.zeros(0, np.int32)
         text = self.prefix + text.replace(" ", MARK)
         words = self.words.findall(text) if len(text) <= AT_ONCE else (m.group() for m in self.words.finditer(text))
-        ids = (self.word(w) if len(w) <= REMEMBER_CHARS else self.encode_word(w) for w in words)
+        if isinstance(words, list) and max(map(len, words)) <= REMEMBER_CHARS:
+            ids = map(self.word, words)
+        else:
+            ids = (self.word(w) if len(w) <= REMEMBER_CHARS else self.encode_word(w) for w in words)
         return np.fromiter(itertools.chain.from_iterable(ids), np.int32)
 
     def decode(self, ids: list[int]) -> str:
         """The text of ``ids``; bytes that are no UTF-8 become U+FFFD, each.
         Raises ``ValueError`` on an id outside the vocabulary."""
-        if any(i is None or not 0 <= i < len(self.piece) for i in ids):
-            raise ValueError("not an id of the vocabulary")
-        out, start = [], True                                  # start: the mark set before a text may still come
-        for is_byte, run in itertools.groupby(ids, self.bytes.__contains__):
-            if is_byte:
-                out.append(bytes(self.bytes[i] for i in run).decode("utf-8", "assay_each_byte"))
-                start = False
-                continue
-            for i in run:
-                shown = self.shown[i]
-                if start and i in self.marked and self.prefix:
-                    shown, start = shown[1:], False
-                elif shown:
-                    start = False
-                out.append(shown)
-        return "".join(out)
+        try:
+            parts = [ids] if self.silent.isdisjoint(ids) else (list(g) for quiet, g in itertools.groupby(ids, self.silent.__contains__) if not quiet)
+            text = "".join(b"".join(map(self.raw.__getitem__, part)).decode("utf-8", "assay_each_byte") for part in parts)
+        except KeyError as e:
+            raise ValueError(f"not an id of the vocabulary: {e}") from None
+        first = next((i for i in ids if self.raw[i]), None) if self.prefix else None
+        return text[1:] if first in self.marked else text      # without the mark set before a text
 
 
 _models: dict[str, Model] = {}
