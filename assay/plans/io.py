@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from assay.operators.apply import try_with_errors
+from assay.operators.apply import rows_of_keys, rows_of_records, try_with_errors
 from assay.plans import standins as S
 from assay.plans.registry import query
 from assay.sources import files as FS
@@ -236,3 +236,58 @@ def map_with_errors(t):
     Python; a caller's Python function goes through ``apply_with_errors``."""
     refused = F.when(F.contains("text", F.lit('token = "')), F.lit("ValueError: secret found"))
     return try_with_errors(t.documents, F.size(F.split("text", "\n", -1)), refused, ["doc_id"], result="n_lines")
+
+
+LONG_TURN = 3       # times the turn before
+
+
+@query("scan_conversations", f"""
+WITH c AS (SELECT conv_id, turn, role, text, length(coalesce(text, '')) AS n FROM conversations),
+p AS (SELECT *, lag(role) OVER w AS before, lag(n) OVER w AS n_before FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn)),
+f AS (
+  SELECT conv_id, turn, 1 AS k, 'repeated_role' AS kind, role AS detail, NULL AS error FROM p WHERE role = before
+  UNION ALL SELECT conv_id, turn, 2, 'long_turn', CAST(n AS VARCHAR), NULL FROM p WHERE n > {LONG_TURN} * n_before
+  UNION ALL SELECT conv_id, NULL, 3, NULL, NULL, 'ValueError: a question is missing in turn ' || turn FROM p
+    WHERE role = 'user' AND NOT contains(coalesce(text, ''), '?') AND turn % 5 = 0)
+SELECT f.conv_id, CAST(row_number() OVER (PARTITION BY f.conv_id ORDER BY coalesce(f.turn, CAST(regexp_extract(error, '[0-9]+$') AS BIGINT)), k) - 1 AS BIGINT) AS seq,
+  f.turn, kind, detail, error FROM f""")
+def scan_conversations(t):
+    """Rows 88, 132: a caller's function over the rows of each key in order,
+    any number of rows out, remembering what came before; a turn that it
+    refuses is an error row and the conversation goes on."""
+    def make():
+        before: list = [None, None]
+
+        def findings(turn, role, text):
+            n, (last, length) = len(text or ""), before
+            before[:] = role, n
+            if role == last:
+                yield turn, "repeated_role", role
+            if length is not None and n > LONG_TURN * length:
+                yield turn, "long_turn", str(n)
+            if role == "user" and "?" not in (text or "") and turn % 5 == 0:
+                raise ValueError(f"a question is missing in turn {turn}")
+
+        return findings
+
+    return rows_of_keys(t.conversations, make, ["conv_id"], ["turn"], ["turn", "role", "text"], "turn bigint, kind string, detail string")
+
+
+@query("scan_documents", """
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS "at" FROM documents WHERE text IS NOT NULL),
+s AS (SELECT doc_id, min("at") AS stop FROM l WHERE contains(line, 'token = "') GROUP BY doc_id),
+y AS (SELECT l.doc_id, l."at" AS line_no, line FROM l LEFT JOIN s USING (doc_id) WHERE (stop IS NULL OR l."at" < stop) AND length(line) > 400)
+SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY line_no) - 1 AS BIGINT) AS seq, CAST(line_no AS BIGINT) AS line_no,
+  CAST(length(line) AS BIGINT) AS n_chars, NULL AS error FROM y
+UNION ALL SELECT doc_id, (SELECT count(*) FROM y WHERE y.doc_id = s.doc_id), NULL, NULL, 'ValueError: secret in line ' || stop FROM s""")
+def scan_documents(t):
+    """Rows 88, 132: a caller's function over each record that yields its
+    long lines; it stops with an error at a secret, what it has yielded stays."""
+    def long_lines(text):
+        for at, line in enumerate((text or "").split("\n")):
+            if 'token = "' in line:
+                raise ValueError(f"secret in line {at}")
+            if len(line) > 400:
+                yield at, len(line)
+
+    return rows_of_records(t.documents, long_lines, ["text"], "line_no bigint, n_chars bigint", ["doc_id"])

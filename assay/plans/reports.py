@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from assay.functions.text import left_pad
 from assay.operators import reports as R
+from assay.operators import unknown as U
 from assay.operators.ordering import with_row_index
 from assay.plans import standins as S
 from assay.plans.registry import query
@@ -371,6 +372,64 @@ def scan_union(t):
     return u.select("source", "id", "name", "nationkey", "acctbal", "totalprice", "error")
 
 
+def raw_records(t):
+    """source, body: JSON texts as sources send them.  Order bodies hold a field
+    with two kinds and one that some lack, customer bodies nest, some event
+    bodies are cut off or missing."""
+    text = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    of = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    customer = F.when(col("o_orderkey") % 50 == 0, of('"C-', col("o_custkey"), '"')).otherwise(col("o_custkey").cast("string"))
+    note = F.when(col("o_orderkey") % 3 == 0, of(',"note":"', col("o_orderstatus"), '"')).otherwise("")
+    orders = t.orders.select(F.lit("orders").alias("source"),
+                             of('{"id":', col("o_orderkey"), ',"customer":', customer, ',"price":', col("o_totalprice"), note, "}").alias("body"))
+    customers = t.customer.select(F.lit("customer").alias("source"), of(
+        '{"id":', col("c_custkey"), ',"name":', text(col("c_name")), ',"place":{"nation":', col("c_nationkey"), ',"segment":', text(col("c_mktsegment")),
+        '},"tags":[', text(col("c_mktsegment")), ",", col("c_nationkey"), "],\"closed\":null}").alias("body"))
+    body = F.when(col("event_id") % 103 == 0, None).when(col("event_id") % 101 == 0, F.expr("left(props, length(props) - 1)")).otherwise(col("props"))
+    return orders.union(customers).union(t.events.select(F.lit("events"), body))
+
+
+RAW_SQL = """
+SELECT 'orders' AS source, '{"id":' || o_orderkey || ',"customer":' || CASE WHEN o_orderkey % 50 = 0 THEN '"C-' || o_custkey || '"' ELSE o_custkey::VARCHAR END
+  || ',"price":' || o_totalprice || CASE WHEN o_orderkey % 3 = 0 THEN ',"note":"' || o_orderstatus || '"' ELSE '' END || '}' AS body FROM orders
+UNION ALL SELECT 'customer', '{"id":' || c_custkey || ',"name":"' || c_name || '","place":{"nation":' || c_nationkey || ',"segment":"' || c_mktsegment
+  || '"},"tags":["' || c_mktsegment || '",' || c_nationkey || '],"closed":null}' FROM customer
+UNION ALL SELECT 'events', CASE WHEN event_id % 103 = 0 THEN NULL WHEN event_id % 101 = 0 THEN left(props, length(props) - 1) ELSE props END FROM events"""
+
+
+@query("discovered_fields", rf"""
+WITH r AS ({RAW_SQL}),
+k AS (
+  SELECT source, '' AS path, CASE WHEN body IS NULL THEN 'missing' ELSE 'unparsable' END AS kind FROM r WHERE body IS NULL OR NOT json_valid(body)
+  UNION ALL
+  SELECT source, regexp_replace(regexp_replace(fullkey, '^\$\.?', ''), '\[\d+\]', '[]', 'g'),
+    CASE type WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'text' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'NULL' THEN 'null'
+      WHEN 'DOUBLE' THEN 'decimal' ELSE 'integer' END
+  FROM (SELECT * FROM r WHERE body IS NOT NULL AND json_valid(body)) v, json_tree(v.body)),
+c AS (SELECT source, path, kind, CAST(count(*) AS BIGINT) AS n FROM k GROUP BY ALL)
+SELECT *, CAST(count(*) OVER w AS BIGINT) AS n_kinds,
+  len(list_distinct(list(CASE WHEN kind = 'integer' THEN 'decimal' WHEN kind <> 'null' THEN kind END) OVER w)) > 1 AS conflict
+FROM c WINDOW w AS (PARTITION BY source, path)""")
+def discovered_fields(t):
+    """Rows 59, 132: records of unknown schema: which kinds of values stand
+    at which path of each source, with conflicts, cut-off and missing bodies."""
+    return U.discovered_fields(raw_records(t))
+
+
+@query("unknown_union", """
+SELECT 'orders' AS source, o_orderkey AS id, CASE WHEN o_orderkey % 50 = 0 THEN 'C-' ELSE '' END || o_custkey AS customer,
+  o_totalprice::DOUBLE AS price, CASE WHEN o_orderkey % 3 = 0 THEN o_orderstatus END AS note, NULL::VARCHAR AS name, NULL::VARCHAR AS place,
+  NULL::VARCHAR AS tags, NULL::BIGINT AS k FROM orders
+UNION ALL SELECT 'customer', c_custkey, NULL, NULL, NULL, c_name, '{"nation":' || c_nationkey || ',"segment":"' || c_mktsegment || '"}',
+  '["' || c_mktsegment || '",' || c_nationkey || ']', NULL FROM customer
+UNION ALL SELECT 'events', NULL, NULL, NULL, NULL, NULL, NULL, NULL,
+  CASE WHEN event_id % 103 = 0 OR event_id % 101 = 0 THEN NULL ELSE CAST(json_extract(props, '$.k') AS BIGINT) END FROM events""")
+def unknown_union(t):
+    """Rows 59, 132: the same records as one table whose columns and types
+    are found in the data; the field with two kinds is text."""
+    return U.union_unknown(raw_records(t))
+
+
 def clusters(t):
     """one cluster per user, started at the user's first event."""
     g = t.events.groupBy("user_id").agg(F.min("ts").alias("start_time"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from assay.operators import checks as C
 from assay.plans.registry import query
 from assay.sources import sinks
+from assay.streaming import expiring as E
 from assay.streaming import jobs as J
 
 col = F.col
@@ -69,6 +70,32 @@ def stream_run_health(t):
                     J.utc_wall_clock(col("window_end")).alias("window_end"), "result_state", "n")
 
 
+SILENT_DAYS = 5      # until a key leaves the state; its watermark stands an hour behind
+
+
+@query("stream_live_results", f"""
+WITH l AS (SELECT user_id, event_type, max(ts) AS last_ts, arg_max_null(value, (ts, event_id)) AS value FROM events WHERE ts IS NOT NULL GROUP BY ALL)
+SELECT user_id, event_type, value FROM l
+WHERE epoch_ms(last_ts) + {SILENT_DAYS} * 86400000 >= (SELECT epoch_ms(max(ts)) - 3600000 FROM events)""")
+def stream_live_results(t):
+    """Row 83: the last result per key as state that forgets keys silent for
+    five days.  The table arrives in three parts by time, each taken by a run
+    that resumes from the checkpoint; keys expire between and come back."""
+    spark = t.spark
+    root = sinks.new_scratch(spark, "stream-live")
+    ev = t.events.where("ts is not null")
+    at = F.unix_micros(J.event_time(ev, "ts"))
+    cut = ev.agg(F.percentile_approx(at, F.array(F.lit(0.33), F.lit(0.67))).alias("c")).first().c
+    bounds = [at > c for c in cut] if cut else []
+    parts = [~bounds[0], bounds[0] & ~bounds[1], bounds[1]] if bounds else [F.lit(True)]
+    keys = ["user_id", "event_type"]
+    for part in parts:
+        ev.where(part).write.mode("append").parquet(f"{root}/in")
+        E.keep_live(J.file_stream(spark, f"{root}/in", ev.schema), keys, "value", "ts", "event_id", SILENT_DAYS * 86400, "1 hour",
+                    f"{root}/out", J.checkpoint_location(root, "ckpt/live"))
+    return E.read_live(spark, f"{root}/out", keys, "value")
+
+
 def _event_checks():
     return [
         C.check_not_none("user_set", col("user_id")),

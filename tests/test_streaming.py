@@ -34,3 +34,29 @@ def test_late_rows_are_reported(spark, tables):
     dropped = J.rows_dropped_by_watermark(q)
     kept = spark.read.parquet(f"{root}/out").agg(F.sum("n")).first()[0] or 0
     assert dropped > 0 and kept + dropped <= ev.count()
+
+
+def test_silent_keys_leave_the_state_and_come_back(spark):
+    """Three arrivals against a replay by hand: changes, expiries, late rows."""
+    from assay.streaming import expiring as E
+
+    schema = "k string, ts timestamp_ntz, id long, v double"
+    day = 86_400_000
+    arrivals = [[("a", 1, 1, 1.0), ("a", 1, 2, 2.0), ("b", 2, 3, 3.0), ("c", 10, 4, None)],
+                [("d", 20, 5, 5.0), ("a", 12, 6, 6.0), (None, 18, 7, 7.0)],
+                [("b", 30, 8, 8.0), ("e", 3, 9, 9.0), ("d", 29, 10, 1.0), ("f", None, 11, 1.0)]]
+    root = sinks.new_scratch(spark, "expiring")
+    for rows in arrivals:
+        text = [(k, None if d is None else f"2024-01-{d:02d} 00:00:00", i, v) for k, d, i, v in rows]
+        spark.createDataFrame(text, "k string, ts string, id long, v double").selectExpr("k", "cast(ts as timestamp_ntz) ts", "id", "v") \
+            .write.mode("append").parquet(f"{root}/in")
+        E.keep_live(J.file_stream(spark, f"{root}/in", spark.createDataFrame([], schema).schema), ["k"], "v", "ts", "id", 5 * 86400, "1 hour",
+                    f"{root}/out", f"{root}/ckpt")
+    rows = sorted(((r.k, r.at_ms // day - 19722, r.v, r.live) for r in E.changes(spark, f"{root}/out").collect()), key=repr)
+    # Days of January: a and b expire after the first arrival, a comes back with its
+    # row of the 12th and expires after the second, c expires; "e" of the 3rd is too late.
+    assert rows == sorted([("a", 1, 2.0, True), ("b", 2, 3.0, True), ("c", 10, None, True), ("a", 1, 2.0, False), ("b", 2, 3.0, False),
+                           ("d", 20, 5.0, True), ("a", 12, 6.0, True), (None, 18, 7.0, True), ("a", 12, 6.0, False), ("c", 10, None, False),
+                           ("b", 30, 8.0, True), ("d", 29, 1.0, True), (None, 18, 7.0, False)], key=repr)
+    live = {r.k: r.v for r in E.read_live(spark, f"{root}/out", ["k"], "v").collect()}
+    assert live == {"b": 8.0, "d": 1.0}
