@@ -51,6 +51,7 @@ _LOWER = str.maketrans({c: c + 32 for c in range(65, 91)})
 ALPHABET = np.array([*range(ord("a"), ord("z") + 1), *range(0xC0, 0x100)], np.uint64)
 #: Characters of a text that are cut into runs at once, words that a task adds up before it passes them on, edits probed at once.
 AT_ONCE, ADDED_UP, PROBES = 1 << 20, 200_000, 1 << 20
+WORDS_OF_A_TASK = 20_000
 #: Bits of a filter block, bits set for a word, fewest blocks of a shard.
 BLOCK_BITS, SET_BITS, LEAST_BLOCKS = 512, 6, 64
 
@@ -244,7 +245,9 @@ def neighbours(vocab: DataFrame, p: Params) -> DataFrame:
     if not sizes:
         return vocab.select("word", "n", F.col("word").alias("other"), F.col("n").alias("other_n")).where("false")
     slices = max(1, math.ceil(sum(sizes.values()) * p.bits / 8 / p.filter_bytes))
-    dealt = vocab.repartition("word")
+    # By words, not bytes: an edit costs far more than its row weighs.
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(sizes.values()) // WORDS_OF_A_TASK)
+    dealt = vocab.repartition(parts, "word")
     found = [candidates(dealt, build_filters(vocab, sizes, slices, i, p), slices, i) for i in range(slices)]
     return reduce(DataFrame.union, found).join(vocab.select(F.col("word").alias("other"), F.col("n").alias("other_n")), "other").select("word", "n", "other", "other_n")
 
