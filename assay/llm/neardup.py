@@ -5,26 +5,28 @@ are one class, and only classes are compared.  Candidates come from random
 trees over the classes' minhash values: a tree node picks two positions of the
 minhash signature, and its documents go to the two children named by their
 values there.  Two documents above the threshold are thus expected to meet in
-half as many nodes again with each level, so that a pair is as good as never
-lost on the way down, however deep; those below one half thin out.  A node of
-at most ``leaf`` classes is compared exhaustively; independent trees repeat
-that up to the wanted recall, which is that of the deepest level.
-
-First, of each node, or of random parts of a larger one, the strongest pairs
-that connect what looks alike are proposed and confirmed: a group of copies or
-near copies, however large, is linked up by as many pairs as it has members.  A
-node whose classes are all connected has nothing left to find.  In the larger
-others, the most linked classes of the largest component then meet each class
-beside it, so that copies near one base text only are linked up as well.  After that,
-all pairs between two components are proposed.  Larger ones are compared block
-against block where no more than some blocks are outside the largest component,
-and go on branching otherwise, level by level; what is still large after
-``deepest`` levels is compared block against block, too.
-
-All comparisons so far are of signatures, well below the threshold, and only
-propose candidates.  Candidates are confirmed on the full sets of shingles.
-
-No group is collected: tasks see at most ``leaf`` classes of a node at once.
+more nodes with each level, so that a pair is as good as never lost on the way
+down, however deep; those below one half thin out.  A small node is compared
+exhaustively; independent trees repeat that up to the wanted recall, which is
+that of the deepest level.
+
+Comparing a node takes two steps.  The classes' sketches (a byte of each minhash
+value) tell which classes look alike, well below the threshold, and belong to
+different components; only the texts of those move, once for each node.  Their
+full sets are then compared, all at once as a product of the matrix of sets with
+itself, and what comes out is a spanning forest of the confirmed links: never
+more rows than went in.
+
+The first tree links up what it finds, larger nodes in random parts.  In these,
+the classes with most links of the largest component then meet all classes
+beside it, so that copies near one base text only are linked up, too.  After
+that only nodes of more than one component are of interest.  Those of up to
+``whole`` times a leaf are compared completely, as blocks of classes beside the
+largest component against blocks of it and each other; larger ones branch on,
+level by level, and are compared as blocks after ``deepest`` levels.
+
+A leaf is bounded by its classes and by their shingles.  Rows reach a task sorted
+by node and are worked off node by node, so that a task holds one leaf at a time.
 """
 
 from __future__ import annotations
@@ -36,7 +38,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -50,18 +52,20 @@ class Params:
     shingle: int = 5
     percent: int = 75           # least similarity
     positions: int = 128        # of the signature
-    trees: int = 9
-    leaf: int = 64
-    hops: int = 1               # levels of a round, beyond the first
-    deepest: int = 10           # rounds
-    outside: int = 128          # classes beside the largest component that blocks are made for at once
-    slack: float = 0.16         # below the threshold, for estimates: four standard deviations
+    trees: int = 5
+    leaf: int = 1024            # classes compared at once
+    load: int = 1 << 21         # shingles of the classes compared at once
+    whole: int = 8              # leaves of a node that is compared without branching on
+    deepest: int = 12           # levels
+    slack: float = 0.16         # below the threshold, for sketches: four standard deviations
 
 
 PRODUCTION = Params()
 _seeds = np.random.default_rng(75)
 _XOR = _seeds.integers(0, 2**63, 1024, dtype=np.uint64)
 _ODD = _seeds.integers(0, 2**63, 1024, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+#: Cells of the matrix of sets that are multiplied at once; rows of an Arrow batch that are turned into sets at once.
+CELLS, SOME = 1 << 22, 256
 
 
 def shingle_sets(block: tb.Block, k: int) -> Iterator[np.ndarray]:
@@ -89,254 +93,312 @@ def set_digest(shingles: np.ndarray) -> bytes | None:
     return xxhash.xxh3_128_digest(shingles.tobytes()) if len(shingles) else None
 
 
+def _positions(path: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """The two positions of the signature that each node picks."""
+    r = tb.mix(path ^ np.uint64(0x5851F42D4C957F2D))
+    first = (r % np.uint64(p.positions)).astype(np.int64)
+    step = 1 + ((r >> np.uint64(16)) % np.uint64(p.positions - 1)).astype(np.int64)
+    return first, (first + step) % p.positions
+
+
+def descend(sig: np.ndarray, row: np.ndarray, path: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray]:
+    """Two children of each ``path`` of the classes ``row`` of ``sig``."""
+    at = np.concatenate(_positions(path, p))
+    row, path = np.tile(row, 2), np.tile(path, 2)
+    value = sig[row, at].astype(np.uint64) | (at.astype(np.uint64) << np.uint64(32))
+    return row, tb.mix(path * np.uint64(0x9E3779B97F4A7C15) + tb.mix(value))
+
+
 def sketches(docs: DataFrame, doc_id: str, text: str, p: Params) -> DataFrame:
-    """``doc_id, n_shingles, node, signature, sketch``: the digest of the set,
-    its minwise values, and one byte of each to estimate by; null for an empty set."""
+    """``doc_id, mark, n_shingles, node, sketch, paths``: a hash of the text, the
+    digest of the set, a byte of each minwise value, and the node's first-level
+    paths, two of each tree in turn; null for an empty set."""
     ship(docs.sparkSession)
     kind = docs.schema[doc_id].dataType
-    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("n_shingles", T.LongType()),
-                           T.StructField("node", T.BinaryType()), T.StructField("signature", T.BinaryType()),
-                           T.StructField("sketch", T.BinaryType())])
+    schema = T.StructType([T.StructField("doc_id", kind), T.StructField("mark", T.LongType()), T.StructField("n_shingles", T.LongType()),
+                           T.StructField("node", T.BinaryType()), T.StructField("sketch", T.BinaryType()),
+                           T.StructField("paths", T.ArrayType(T.LongType(), False))])
+    trees = tb.mix(np.arange(1, p.trees + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in tb.blocks(batch.column(1)):
+            for block in tb.blocks(batch.column(2)):
                 sets = list(shingle_sets(block, p.shingle))
-                signs = [signature(s, p.positions) if len(s) else None for s in sets]
+                some = [i for i, s in enumerate(sets) if len(s)]
+                sig = np.array([signature(sets[i], p.positions) for i in some], np.uint32).reshape(len(some), p.positions)
+                row, path = descend(sig, np.repeat(np.arange(len(some)), p.trees), np.tile(trees, len(some)), p)
+                each = path.view(np.int64).reshape(2, len(some), p.trees).transpose(1, 2, 0).reshape(len(some), 2 * p.trees)
+                known = {i: k for k, i in enumerate(some)}
+                of = lambda make: [make(known[i]) if i in known else None for i in range(len(sets))]  # noqa: B023, E731
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(block.first, len(sets)), pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([set_digest(s) for s in sets], pa.binary()),
-                     pa.array([x if x is None else x.tobytes() for x in signs], pa.binary()),
-                     pa.array([x if x is None else x.astype(np.uint8).tobytes() for x in signs], pa.binary())],
-                    names=schema.names)
+                    [batch.column(0).slice(block.first, len(sets)), batch.column(1).slice(block.first, len(sets)),
+                     pa.array([len(s) for s in sets], pa.int64()), pa.array([set_digest(s) for s in sets], pa.binary()),
+                     pa.array(of(lambda k: sig[k].astype(np.uint8).tobytes()), pa.binary()),  # noqa: B023
+                     pa.array(of(lambda k: each[k]), pa.list_(pa.int64()))], names=schema.names)  # noqa: B023
 
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
-_ROWS = T.StructType([T.StructField("path", T.LongType()), T.StructField("node", T.BinaryType())])
+_LINK = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+_ROWS = T.StructType([T.StructField("path", T.LongType()), T.StructField("node", T.BinaryType()), T.StructField("root", T.BinaryType())])
 
 
-def branch(rows: DataFrame, p: Params, hops: int, roots: bool) -> DataFrame:
-    """``path, node`` of the descendants, ``hops`` levels down, of every row
-    with ``path, node, signature``; ``roots``: a row is a class without a path,
-    and its paths are the trees."""
-    ship(rows.sparkSession)
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """Rows sorted by their first column, as tables of whole groups with the
+    first row of each group (and the number of rows); at most a group is kept back."""
+    rest = None
+    for batch in batches:
+        if batch.num_rows:
+            t = pa.Table.from_batches([batch] if rest is None else [*rest.to_batches(), batch])
+            key = t.column(0).to_numpy()
+            cut = int(np.searchsorted(key == key[-1], True))
+            rest = t.slice(cut)
+            if cut:
+                yield t.slice(0, cut), np.concatenate([[0], np.flatnonzero(np.diff(key[:cut])) + 1, [cut]])
+    if rest is not None:
+        yield rest, np.array([0, rest.num_rows])
 
-    def positions(path: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        r = tb.mix(path ^ np.uint64(0x5851F42D4C957F2D))
-        first = (r % np.uint64(p.positions)).astype(np.int64)
-        step = 1 + ((r >> np.uint64(16)) % np.uint64(p.positions - 1)).astype(np.int64)
-        return first, (first + step) % p.positions
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = batch.num_rows
-            if not n:
-                continue
-            sig = np.frombuffer(b"".join(batch.column("signature").to_pylist()), np.uint32).reshape(n, p.positions)
-            row = np.arange(n)
-            if roots:
-                row = np.repeat(row, p.trees)
-                path = np.tile(tb.mix(np.arange(1, p.trees + 1, dtype=np.uint64)), n)
-            else:
-                path = np.frombuffer(batch.column("path").to_numpy().tobytes(), np.uint64)
-            for _ in range(hops):
-                at = np.concatenate(positions(path))
-                row, path = np.tile(row, 2), np.tile(path, 2)
-                value = sig[row, at].astype(np.uint64) | (at.astype(np.uint64) << np.uint64(32))
-                path = tb.mix(path * np.uint64(0x9E3779B97F4A7C15) + tb.mix(value))
-            yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), batch.column("node").take(pa.array(row))], names=_ROWS.names)
-
-    return rows.mapInArrow(run, _ROWS)
-
-
-def _forest(edges: list[tuple[float, int, int]], n: int) -> list[tuple[float, int, int]]:
-    """The strongest edges that connect what all of them connect."""
-    root, kept = list(range(n)), []
-    for edge in sorted(edges, reverse=True):
-        x, y = edge[1:]
-        while root[x] != x:
-            x = root[x]
-        while root[y] != y:
-            y = root[y]
-        if x != y:
-            root[x] = y
-            kept.append(edge)
-    return kept
-
-
-def leaf_pairs(rows: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
-    """``a, b, alike``: pairs of classes under one ``path``, of two ``root``
-    components, that look alike by their signatures; where ``forest`` is set,
-    the strongest of them that connect what they connect.  ``rows`` have at
-    most about ``leaf`` nodes to a path."""
+def _fixed(column: pa.ChunkedArray, width: int, kind=np.uint8) -> np.ndarray:
+    """Binary values of one length as rows of an array."""
+    return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), -1) if len(column) else np.zeros((0, width), kind)
+
+
+def look_alikes(rows: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
+    """Those of ``path, node, root`` whose class looks like one of another
+    ``root`` under the same path, by their sketches."""
     ship(rows.sparkSession)
-    members = (rows.join(classes.select("node", "n", "sketch"), "node")
-               .groupBy("path", "forest").agg(F.collect_list(F.struct("node", "root", "n", "sketch")).alias("m"))
-               .select("m.node", "m.root", "m.n", "m.sketch", "forest"))
-    schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType()), T.StructField("alike", T.FloatType())])
+    members = (rows.join(classes.select("node", "n", "sketch"), "node").select("path", "node", "root", "n", "sketch")
+               .repartition("path").sortWithinPartitions("path"))
+    least = int((p.percent / 100 - p.slack) * p.positions)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, first in whole_groups(batches):
+            s, n = _fixed(table.column("sketch"), p.positions), table.column("n").to_numpy()
+            root = np.unique(_fixed(table.column("root"), 16), axis=0, return_inverse=True)[1].ravel()
+            alike = np.zeros(len(n), bool)
+            for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
+                for i in range(a, b - 1):
+                    same = np.count_nonzero(s[i + 1:b] == s[i], axis=1) > least
+                    same &= (root[i + 1:b] != root[i]) & (100 * np.minimum(n[i + 1:b], n[i]) >= p.percent * np.maximum(n[i + 1:b], n[i]))
+                    alike[i] |= same.any()
+                    alike[i + 1:b] |= same
+            yield from table.select(["path", "node", "root"]).filter(pa.array(alike)).to_batches()
+
+    return members.mapInArrow(run, _ROWS)
+
+
+def common(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets."""
+    flat = np.concatenate(sets)
+    _, column, count = np.unique(flat, return_inverse=True, return_counts=True)
+    owner, shared = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), count > 1
+    number = np.cumsum(shared) - 1
+    owner, column = owner[shared[column]], number[column[shared[column]]]
+    both, width = np.zeros((len(sets), len(sets))), max(1, CELLS // len(sets))
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    for start in range(0, int(shared.sum()), width):
+        a, b = np.searchsorted(column, [start, start + width])
+        m = np.zeros((len(sets), min(width, int(shared.sum()) - start)), np.float32)
+        m[owner[a:b], column[a:b] - start] = 1
+        both += m @ m.T
+    return both
+
+
+def forest(sets: list[np.ndarray], root: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Confirmed links between sets of different roots that connect all that
+    such links connect, those of the most linked sets first."""
+    size = np.array([len(s) for s in sets])
+    both = common(sets)
+    same = root[:, None] == root[None, :]
+    linked = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & ~same
+    degree, seen, found = linked.sum(axis=1), np.zeros(len(sets), bool), []
+    for start in np.argsort(-degree, kind="stable").tolist():
+        if seen[start] or not degree[start]:
+            continue
+        seen[start], queue = True, [start]
+        for u in queue:                                      # grows as it is read
+            for new, is_link in ((linked[u] & ~seen, True), (same[u] & ~seen, False)):
+                next_ = np.flatnonzero(new)
+                next_ = next_[np.argsort(-degree[next_], kind="stable")].tolist()
+                seen[next_] = True
+                queue += next_
+                found += [(u, v) for v in next_ if is_link]
+    return found
+
+
+def confirmed(rows: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str, text: str, p: Params) -> DataFrame:
+    """``a, b``: of the classes under each path (``path, node, root``), links on
+    full sets that connect what their links connect.  A class's text is that of
+    its smallest id; where rows share that id the digest tells which it is."""
+    ship(rows.sparkSession)
+    wanted = rows.join(classes.select("node", "id"), "node").select("path", "node", "root", "id")
+    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text is not null")
+    members = wanted.join(texts, "id").select("path", "node", "root", "text").repartition("path").sortWithinPartitions("path", "node")
+
+    def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, bytes, np.ndarray]]:
         for batch in batches:
-            found: list[tuple[bytes, bytes, float]] = []
-            for nodes, roots, sizes, sketch, forest in zip(*(c.to_pylist() for c in batch.columns)):
-                edges = []
-                s = np.frombuffer(b"".join(sketch), np.uint8).reshape(len(nodes), p.positions)
-                n, number = np.array(sizes), {}
-                root = np.array([number.setdefault(r, len(number)) for r in roots])
-                for i in range(len(nodes) - 1):
-                    alike = (s[i + 1:] == s[i]).mean(axis=1)
-                    close = (alike >= p.percent / 100 - p.slack) & (root[i + 1:] != root[i]) & (
-                        100 * np.minimum(n[i + 1:], n[i]) >= p.percent * np.maximum(n[i + 1:], n[i]))
-                    edges += [(float(alike[j]), i, i + 1 + j) for j in np.flatnonzero(close).tolist()]
-                for likeness, i, j in _forest(edges, len(nodes)) if forest else edges:
-                    found.append((*sorted((nodes[i], nodes[j])), likeness))
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*found) if found else ([], [], []), _PAIR)], names=schema.names)
-
-    return members.mapInArrow(run, schema).where("a <> b").dropDuplicates(["a", "b"])
-
-
-_PAIR = (pa.field("a", pa.binary()), pa.field("b", pa.binary()), pa.field("alike", pa.float32()))
-
-
-def confirm(pairs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
-    """Those of ``a, b`` whose full sets are similar enough."""
-    ship(pairs.sparkSession)
-    both = (pairs.select("a", "b", F.explode(F.array("a", "b")).alias("node")).join(texts, "node")
-            .groupBy("a", "b").agg(F.collect_list(F.struct("node", "text")).alias("m")).select("a", "b", F.col("m.text").alias("texts")))
-    schema = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+            for at in range(0, batch.num_rows, SOME):
+                part = batch.slice(at, SOME)
+                sets = (s for block in tb.blocks(part.column(3)) for s in shingle_sets(block, p.shingle))
+                for path, node, root, s in zip(*(part.column(i).to_pylist() for i in range(3)), sets):
+                    if set_digest(s) == node:
+                        yield path, node, root, s
+
+    def links(group: dict[bytes, tuple[bytes, np.ndarray]]) -> list[tuple[bytes, bytes]]:
+        if len(group) < 2:
+            return []
+        nodes, number = list(group), {}
+        root = np.array([number.setdefault(r, len(number)) for r, _ in group.values()])
+        return [(nodes[i], nodes[j]) for i, j in forest([s for _, s in group.values()], root, p.percent)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = np.zeros(batch.num_rows, bool)
-            ends = np.diff(batch.column(2).offsets.to_numpy()).cumsum()
-            inner = batch.column(2).flatten()
-            sets = (s for block in tb.blocks(inner) for s in shingle_sets(block, p.shingle))
-            of: list[np.ndarray] = []
-            row = 0
-            for k, s in enumerate(sets, 1):
-                of.append(s)
-                while row < len(ends) and k == ends[row]:
-                    a, b = batch.column(0)[row].as_py(), batch.column(1)[row].as_py()
-                    by = {set_digest(x): x for x in of}       # an id may stand for several texts
-                    if a in by and b in by:
-                        both = len(np.intersect1d(by[a], by[b], assume_unique=True))
-                        good[row] = 100 * both >= p.percent * (len(by[a]) + len(by[b]) - both)
-                    of, row = [], row + 1
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=schema.names).filter(pa.array(good))
+        def batch_of(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], names=_LINK.names)
+
+        at, group, found = None, {}, []
+        for path, node, root, s in sets_of(batches):
+            if path != at:
+                found += links(group)
+                at, group = path, {}
+                if len(found) > 10_000:
+                    yield batch_of(found)
+                    found = []
+            group[node] = root, s
+        yield batch_of(found + links(group))
+
+    return members.mapInArrow(run, _LINK)
 
-    return both.mapInArrow(run, schema)
 
+def _cost(size: Column, load: Column, p: Params) -> Column:
+    """Leaves that classes fill: 1 for what is compared at once."""
+    return F.ceil(F.greatest(size / p.leaf, load / p.load))
 
-def _parts(rows: DataFrame, p: Params) -> DataFrame:
-    """Large nodes (``path, node, size``) cut into random parts for comparison."""
-    part = F.pmod(F.xxhash64("node", "path"), F.ceil(F.col("size") * 2 / p.leaf))
-    return rows.select(F.xxhash64("path", part, F.lit("part")).alias("path"), "node", "root", F.lit(True).alias("forest"))
 
+def _among(n: Column) -> Column:
+    return F.pmod(F.xxhash64("node"), n)
 
-def _leaves(rows: DataFrame, forest: bool) -> DataFrame:
-    return rows.select("path", "node", "root", F.lit(forest).alias("forest"))
+
+def _parts(rows: DataFrame) -> DataFrame:
+    """Large nodes (``path, node, root, cost``) cut into random parts."""
+    part = F.pmod(F.xxhash64("node", "path"), F.col("cost") * 2)
+    return rows.select(F.xxhash64("path", part, F.lit("part")).alias("path"), "node", "root")
+
+
+def _shares(rows: DataFrame, p: Params) -> DataFrame:
+    """Of each path, the largest component and the half leaves that it and the others fill."""
+    each = rows.groupBy("path", "root").agg(F.count("*").alias("c"), F.sum("n").alias("l"))
+    top = each.groupBy("path").agg(F.max(F.struct("c", "l", "root")).alias("t"), F.sum("c").alias("c"), F.sum("l").alias("l"))
+    half = lambda c, x: F.greatest(F.lit(1), F.ceil(F.greatest(c * 2 / p.leaf, x * 2 / p.load))).cast("long")
+    return top.select("path", F.col("t.root").alias("of"), half(F.col("t.c"), F.col("t.l")).alias("ins"),
+                      half(F.col("c") - F.col("t.c"), F.col("l") - F.col("t.l")).alias("outs"))
 
 
 def _blocks(rows: DataFrame, p: Params) -> DataFrame:
-    """Large nodes (``path, node, root``) as pairs of blocks, so that classes of
-    two components meet: blocks of the largest component of a node with blocks
+    """Large nodes (``path, node, root, n``) as pairs of blocks, so that classes
+    of two components meet: blocks of the largest component of a node with blocks
     of the others, and those among themselves."""
-    each = rows.groupBy("path", "root").agg(F.count("*").alias("c"))
-    largest = each.groupBy("path").agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("total"))
-    half = p.leaf / 2
-    sized = rows.join(largest, "path").select(
-        "path", "node", "root", (F.col("root") == F.col("top.root")).alias("inside"),
-        F.ceil(F.col("top.c") / half).alias("ins"), F.ceil((F.col("total") - F.col("top.c")) / half).alias("outs"))
+    sized = rows.join(_shares(rows, p), "path")
     zero = F.lit(0).cast("long")
-    among = lambda n: F.pmod(F.xxhash64("node"), F.col(n))
     meet = lambda kind, x, y: F.struct(F.lit(kind).alias("kind"), x.alias("x"), y.alias("y"))
-    inside = F.transform(F.sequence(zero, F.col("outs") - 1), lambda o: meet("across", among("ins"), o))
-    outside = F.concat(F.transform(F.sequence(zero, F.col("ins") - 1), lambda k: meet("across", k, among("outs"))),
-                       F.transform(F.sequence(zero, F.col("outs") - 1), lambda o: meet("others", F.least(o, among("outs")), F.greatest(o, among("outs")))))
-    met = sized.select("path", "node", "root", F.explode(F.when(F.col("inside"), inside).otherwise(outside)).alias("m"))
-    return met.select(F.xxhash64("path", "m.kind", "m.x", "m.y").alias("path"), "node", "root", F.lit(False).alias("forest"))
+    inside = F.transform(F.sequence(zero, F.col("outs") - 1), lambda o: meet("across", _among(F.col("ins")), o))
+    outside = F.concat(F.transform(F.sequence(zero, F.col("ins") - 1), lambda k: meet("across", k, _among(F.col("outs")))),
+                       F.transform(F.sequence(zero, F.col("outs") - 1), lambda o: meet("others", F.least(o, _among(F.col("outs"))), F.greatest(o, _among(F.col("outs"))))))
+    met = sized.select("path", "node", "root", F.explode(F.when(F.col("root") == F.col("of"), inside).otherwise(outside)).alias("m"))
+    return met.select(F.xxhash64("path", "m.kind", "m.x", "m.y").alias("path"), "node", "root")
 
 
 def _centres(rows: DataFrame, linked: DataFrame, p: Params) -> DataFrame:
-    """Large nodes (``path, node, root``) cut into parts of the classes beside
-    the largest component, each with up to eight classes of it that have the
-    most links; only these and the others are compared."""
-    each = rows.groupBy("path", "root").agg(F.count("*").alias("c"))
-    top = each.groupBy("path").agg(F.max(F.struct("c", "root")).alias("top"), F.sum("c").alias("total")).select(
-        "path", F.col("top.root").alias("of"), F.ceil((F.col("total") - F.col("top.c")) * 2 / p.leaf).alias("parts"), F.col("top.c").alias("c")).where("c > 1").drop("c")
-    known = rows.join(top, "path")
+    """Large nodes (``path, node, root, n``) as parts of the classes beside the
+    largest component, each with up to eight classes of it that have the most links."""
+    known = rows.join(_shares(rows, p), "path")
     links = linked.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
-    centre = (known.where("root = of").join(links, "node").groupBy("path", "of", "parts", F.pmod(F.xxhash64("node"), F.lit(8)).alias("k"))
+    centre = (known.where("root = of").join(links, "node").groupBy("path", "root", "outs", _among(F.lit(8)).alias("k"))
               .agg(F.max(F.struct("links", "node")).alias("x"))
-              .select("path", F.col("x.node").alias("node"), F.col("of").alias("root"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")))
-    others = known.where("root <> of").select("path", "node", F.lit(b"").alias("root"), F.pmod(F.xxhash64("node", "path"), F.col("parts")).alias("part"))
-    return centre.union(others).select(F.xxhash64("path", "part", F.lit("centre")).alias("path"), "node", "root", F.lit(False).alias("forest"))
+              .select("path", F.col("x.node").alias("node"), "root", F.explode(F.sequence(F.lit(0).cast("long"), F.col("outs") - 1)).alias("part")))
+    others = known.where("root <> of").select("path", "node", "root", _among(F.col("outs")).alias("part"))
+    return centre.union(others).select(F.xxhash64("path", "part", F.lit("centre")).alias("path"), "node", "root")
+
 
+def _mixed(rows: DataFrame, label: DataFrame, p: Params) -> DataFrame:
+    """``path, node, n, root, cost``: rows ``path, node, n`` whose path holds
+    more than one component, with the component of each and what they fill."""
+    known = rows.select("path", "node", "n").join(label, "node", "left").select("path", "node", "n", F.coalesce("root", "node").alias("root"))
+    several = known.groupBy("path").agg(F.min("root").alias("x"), F.max("root").alias("y"), F.count("*").alias("c"), F.sum("n").alias("l")).where("x <> y")
+    return known.join(several.select("path", _cost(F.col("c"), F.col("l"), p).alias("cost")), "path")
 
-def _few_outside(rows: DataFrame, p: Params) -> DataFrame:
-    """``path`` of the large nodes with few classes beside the largest
-    component: each class is in a bounded number of their blocks."""
-    each = rows.groupBy("path", "root").agg(F.count("*").alias("c"))
-    return each.groupBy("path").agg((F.sum("c") - F.max("c")).alias("outs")).where(F.col("outs") <= p.outside).select("path")
+
+def _children(rows: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str, text: str, p: Params) -> DataFrame:
+    """``path, node, n``, one level below ``path, node``; signatures are worked out anew from the texts."""
+    ship(rows.sparkSession)
+    at = rows.join(classes.select("node", "id", "n"), "node").groupBy("node", "id", "n").agg(F.collect_list("path").alias("paths"))
+    members = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text is not null").join(at, "id").select("node", "n", "paths", "text")
+    schema = T.StructType([T.StructField("path", T.LongType()), T.StructField("node", T.BinaryType()), T.StructField("n", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, SOME):
+                part = batch.slice(at, SOME)
+                sets = [s for block in tb.blocks(part.column(3)) for s in shingle_sets(block, p.shingle)]
+                good = [i for i, (s, node) in enumerate(zip(sets, part.column(0).to_pylist())) if set_digest(s) == node]
+                if good:
+                    sig = np.array([signature(sets[i], p.positions) for i in good], np.uint32)
+                    paths = [part.column(2)[i].as_py() for i in good]
+                    row, path = descend(sig, np.repeat(np.arange(len(good)), [len(x) for x in paths]), np.array(sum(paths, []), np.int64).view(np.uint64), p)
+                    of = pa.array(np.array(good)[row])
+                    yield pa.RecordBatch.from_arrays([pa.array(path.view(np.int64)), part.column(0).take(of), part.column(1).take(of)], names=schema.names)
+
+    return members.mapInArrow(run, schema).distinct()
 
 
 def connected(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, p: Params) -> DataFrame:
     """``node, root`` of all classes that have a confirmed link."""
-    def children(rows: DataFrame, first: bool) -> DataFrame:
-        if not first:
-            rows = rows.join(classes.select("node", "signature"), "node").select("path", "node", "signature")
-        made = stage(branch(rows, p, 1 if first else p.hops, first), "paths")
-        size = made.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
-        return stage(made.join(size, "path"), "nodes")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", "id"), "node")
-        texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(wanted, "id").select("node", "text")
-        return stage(confirm(pairs.select("a", "b"), texts, p), "links")
-
-    # First the strongest pairs that connect each node of the first level, or each part of a large one.
-    nodes = children(classes.select("node", "signature"), True)
-    large = F.col("size") > p.leaf
-    bare = nodes.withColumn("root", F.col("node"))
-    tried = stage(leaf_pairs(_parts(bare.where(large), p).union(_leaves(bare.where(~large), True)), classes, p), "pairs")
-    linked = confirmed(tried)
+    def links_of(rows: DataFrame) -> DataFrame:
+        return stage(confirmed(stage(look_alikes(rows, classes, p), "alike"), docs, classes, doc_id, text, p), "links")
+
+    def leaves(rows: DataFrame) -> DataFrame:
+        return rows.where("cost <= 1").select("path", "node", "root")
+
+    # The first tree, larger nodes in random parts.
+    bare = classes.select("node", "n", F.explode(F.slice("paths", 1, 2)).alias("path")).withColumn("root", F.col("node"))
+    full = bare.groupBy("path").agg(F.count("*").alias("c"), F.sum("n").alias("l")).where("c > 1").select("path", _cost(F.col("c"), F.col("l"), p).alias("cost"))
+    rows = stage(bare.join(full, "path"), "nodes")
+    linked = links_of(leaves(rows).union(_parts(rows.where("cost > 1"))))
     label = stage(components(linked), "labels")
-    # Then what is near the most linked classes of a large one.
-    rows = stage(_mixed(nodes.where(large), label), "mixed")
+    # What is near the most linked classes of its large nodes.
+    rows = stage(_mixed(rows.where("cost > 1"), label, p), "mixed")
     if not rows.isEmpty():
-        near = stage(leaf_pairs(_centres(rows, linked, p), classes, p).join(tried.select("a", "b"), ["a", "b"], "left_anti"), "pairs")
-        tried, linked = tried.union(near), linked.union(confirmed(near))
+        linked = linked.union(links_of(_centres(rows, linked, p)))
         label = stage(components(linked), "labels")
-    # Then nodes that hold more than one component, and only pairs between components.
-    found, rows = [], nodes
+    # The nodes of all trees that hold more than one component, complete.
+    rows = stage(_mixed(classes.select(F.explode("paths").alias("path"), "node", "n"), label, p), "mixed")
     for level in range(p.deepest):
-        rows = stage(_mixed(rows, label), "mixed")
-        # Each written by itself: one plan of all levels would fill the driver.
-        found.append(stage(leaf_pairs(_leaves(rows.where(~large), False), classes, p), "found"))
-        rows = rows.where(large)
-        if rows.isEmpty():
-            break
-        if level == p.deepest - 1:
-            found.append(stage(leaf_pairs(_blocks(rows, p), classes, p), "found"))
-        else:
-            few = stage(_few_outside(rows, p), "few")
-            found.append(stage(leaf_pairs(_blocks(rows.join(few, "path", "left_semi"), p), classes, p), "found"))
-            rows = children(rows.join(few, "path", "left_anti").select("path", "node"), False)
-    pairs = reduce(DataFrame.union, found).dropDuplicates(["a", "b"]).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-    pairs = stage(pairs, "pairs")
-    if pairs.isEmpty():
-        return label
-    return components(linked.union(confirmed(pairs)))
+        last = level == p.deepest - 1
+        in_blocks = F.col("cost") > 1 if last else (F.col("cost") > 1) & (F.col("cost") <= p.whole)
+        linked = linked.union(links_of(leaves(rows).union(_blocks(rows.where(in_blocks), p))))
+        label = stage(components(linked), "labels")
+        rows = rows.where(F.col("cost") > p.whole)
+        if last or rows.isEmpty():
+            return label
+        below = stage(_children(rows.select("path", "node"), docs, classes, doc_id, text, p), "children")
+        rows = stage(_mixed(below, label, p), "mixed")
+    return label
 
 
-def _mixed(rows: DataFrame, label: DataFrame) -> DataFrame:
-    """Rows ``path, node, size`` whose path holds more than one component, with
-    the component ``root`` of each."""
-    known = (rows.select("path", "node", "size").join(label, "node", "left")
-             .select("path", "node", "size", F.coalesce("root", "node").alias("root")))
-    several = known.groupBy("path").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-    return known.join(several, "path", "left_semi")
+def _marked(docs: DataFrame, doc_id: str, text: str, p: Params) -> DataFrame:
+    """One row for each row of ``docs``: ``doc_id, mark, n_shingles, component_id, kept``."""
+    sketched = stage(sketches(docs, doc_id, text, p), "sketches")
+    member = sketched.where("node is not null and doc_id is not null")
+    least = member.groupBy("node").agg(F.min(F.struct("doc_id", "n_shingles", "sketch", "paths")).alias("x"))
+    classes = stage(least.select("node", F.col("x.doc_id").alias("id"), F.col("x.n_shingles").alias("n"), "x.sketch", "x.paths"), "classes")
+    label = connected(docs, classes, doc_id, text, p)
+    rooted = stage(classes.select("node", "id").join(label, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root")), "rooted")
+    smallest = rooted.groupBy("root").agg(F.min("id").alias("component"))
+    named = rooted.join(smallest, "root").select("node", "component")
+    return (sketched.select("doc_id", "mark", "n_shingles", "node").join(named, "node", "left")
+            .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
+            .select("doc_id", "mark", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
 
 
 def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", params: Params = PRODUCTION) -> DataFrame:
@@ -347,22 +409,14 @@ def near_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", para
     its own.  A row without an id has a null ``component_id``, plays no part in
     links and is kept.  Other columns play no part.
     """
-    sketched = stage(sketches(docs, doc_id, text, params), "sketches")
-    member = sketched.where("node is not null and doc_id is not null")
-    least = member.groupBy("node").agg(F.min(F.struct("doc_id", "n_shingles", "signature", "sketch")).alias("x"))
-    classes = stage(least.select("node", F.col("x.doc_id").alias("id"), F.col("x.n_shingles").alias("n"),
-                                 "x.signature", "x.sketch"), "classes")
-    label = connected(docs, classes, doc_id, text, params)
-    rooted = classes.select("node", "id").join(label, "node", "left").select("node", "id", F.coalesce("root", "node").alias("root"))
-    rooted = stage(rooted, "rooted")
-    smallest = rooted.groupBy("root").agg(F.min("id").alias("component"))
-    named = rooted.join(smallest, "root").select("node", "component")
-    return (sketched.select("doc_id", "n_shingles", "node").join(named, "node", "left")
-            .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")))
-            .select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")))
+    return _marked(docs, doc_id, text, params).drop("mark")
 
 
 def drop_near(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", params: Params = PRODUCTION) -> DataFrame:
-    """The rows of ``docs`` that stay, unchanged."""
-    gone = near_dedup(docs, doc_id, text, params).where("not kept").select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(stage(gone, "gone"), doc_id, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """The rows of ``docs`` that stay, unchanged, their columns in their order.
+    A row goes by its id and text together: of rows that share an id, one whose
+    text is linked with nothing stays.  Null ids and texts stay."""
+    gone = _marked(docs, doc_id, text, params).where("not kept").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct()
+    gone = stage(gone, "gone")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return docs.join(gone, (F.col(f"`{doc_id}`") == F.col("_id")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_mark")), "left_anti").select(*names)

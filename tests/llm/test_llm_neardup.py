@@ -64,7 +64,8 @@ def test_groups_larger_than_a_leaf(spark):
     texts += [prose(50 + i, 150) + " " + passage for i in range(40)] + [prose(200 + i, 200) for i in range(40)] + [base] * 5
     rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
     docs = spark.createDataFrame(rows, DOCS)
-    assert found(docs, params=neardup.Params(leaf=4, hops=1, deepest=3)) == brute(rows)
+    assert found(docs, params=neardup.Params(leaf=4, whole=2, deepest=6)) == brute(rows)
+    assert found(docs, params=neardup.Params(load=3000)) == brute(rows)
 
 
 def test_hub_of_edited_copies(spark):
@@ -108,10 +109,60 @@ def test_signature_estimates_similarity():
 
 def test_blocks_let_two_components_meet(spark):
     root = {i: 0 if i < 40 else 1 if i < 49 else i for i in range(53)}
-    rows = spark.createDataFrame([(7, i.to_bytes(2), r.to_bytes(2)) for i, r in root.items()], "path long, node binary, root binary")
+    rows = spark.createDataFrame([(7, i.to_bytes(2), r.to_bytes(2), 5) for i, r in root.items()], "path long, node binary, root binary, n long")
     groups = defaultdict(set)
     for r in neardup._blocks(rows, neardup.Params(leaf=8)).collect():
         groups[r.path].add(int.from_bytes(r.node))
     met = {(a, b) for g in groups.values() for a in g for b in g if a < b}
     assert {(a, b) for a in root for b in root if a < b and root[a] != root[b]} <= met
     assert sum(map(len, groups.values())) < 53 * 7          # fewer rows than all blocks against all
+
+
+def test_forest_of_full_sets():
+    """Links of a leaf connect what all its links connect, and are fewer than its classes."""
+    import numpy as np
+
+    r = random.Random(3)
+    base = list(range(40))
+    sets = [np.array(sorted(set(base) - set(r.sample(base, k % 9)) | {1000 * k + j for j in range(k % 4)}), np.uint64) for k in range(60)]
+    root = np.array([k if k < 50 else 50 for k in range(60)])
+    links = neardup.forest(sets, root, 75)
+    alike = lambda a, b: 100 * len(set(a) & set(b)) >= 75 * len(set(a) | set(b))
+    assert all(alike(sets[a], sets[b]) and root[a] != root[b] for a, b in links) and len(links) < len(sets)
+
+    def parts(pairs):
+        of = list(range(60))
+        for a, b in pairs:
+            x, y = of[a], of[b]
+            of = [x if z == y else z for z in of]
+        return sorted([i for i in range(60) if of[i] == x] for x in set(of))
+
+    same = [(50, k) for k in range(51, 60)]
+    assert parts(links + same) == parts([(a, b) for a in range(60) for b in range(a) if alike(sets[a], sets[b])] + same)
+    both = neardup.common(sets)
+    assert all(both[a, b] == len(set(sets[a]) & set(sets[b])) for a in range(60) for b in range(60) if a != b)
+
+
+def test_rows_that_share_an_id(spark):
+    """Of two rows with one id only the near copy goes."""
+    text = prose(7, 200)
+    rows = [(1, text), (2, edited(text, 0.01, 1)), (2, prose(8, 200)), (2, None), (None, text)]
+    docs = spark.createDataFrame([(*x, None, None, None) for x in rows], DOCS)
+    assert sorted(map(repr, [(r.doc_id, r.text) for r in neardup.drop_near(docs).collect()])) == sorted(map(repr, [rows[0], *rows[2:]]))
+
+
+def test_family_below_the_threshold_makes_few_rows(spark):
+    """Texts pairwise about 0.62 alike: compared in full, no link, and no table of pairs."""
+    base = [f"b{i}" for i in range(300)]
+    texts = []
+    for i in range(600):
+        r, words = random.Random(i), list(base)
+        for k in r.sample(range(5, 295, 6), 8):
+            words[k] = f"w{i}x{k}"
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    p = neardup.PRODUCTION
+    assert neardup.near_dedup(docs).where("not kept").count() == 0
+    classes = neardup.sketches(docs, "doc_id", "text", p).selectExpr("node", "doc_id as id", "n_shingles as n", "sketch", "paths")
+    rows = classes.selectExpr("explode(paths) as path", "node", "node as root")
+    assert neardup.look_alikes(rows, classes, p).count() <= rows.count()
