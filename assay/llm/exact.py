@@ -6,8 +6,9 @@ so that a passage that many documents share is cut alike in each.  The chunks
 of all documents are deduplicated in a catalogue by a short hash, and verified:
 a short hash that stands for a single SHA-256 digest is the identifier, the
 chunks of any other get their digest beside it.  A document is then its recipe,
-the ordered list of identifiers; recipes are grouped and compared.  No text
-leaves the task that has read it, only 40 bytes for each chunk.
+the ordered list of identifiers, and documents with equal recipes are equal:
+groups are made, and joined back, by a digest of the recipe.  No text leaves the
+task that has read it, only 40 bytes for each chunk.
 """
 
 from __future__ import annotations
@@ -47,7 +48,8 @@ def ambiguous_hashes(hashed: DataFrame) -> DataFrame:
 
 def recipes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, text_sha256, recipe, copies``: one row for each id and text,
-    ``copies`` the number of its rows; the recipe of an empty text is empty."""
+    ``copies`` the number of its rows; ``recipe`` is a digest of the identifiers
+    in order, none for an empty text."""
     hashed = stage(_hashed(docs, doc_id, text), "chunks")
     ambiguous = stage(ambiguous_hashes(hashed), "ambiguous")
     bare = F.transform("chunks", lambda c: F.struct(c["short"].alias("short"), F.lit(None).cast("binary").alias("strong")))
@@ -58,6 +60,8 @@ def recipes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
                  .join(ambiguous, "short", "left_semi").select("text_sha256").distinct().withColumn("whole", F.lit(True)))
         named = hashed.join(whole, "text_sha256", "left").withColumn(
             "recipe", F.when(F.col("whole"), F.col("chunks")).otherwise(bare))
+    name = lambda c: F.concat(F.hex(c["short"]), F.lit(":"), F.coalesce(F.hex(c["strong"]), F.lit("")))
+    named = named.withColumn("recipe", F.unhex(F.sha2(F.array_join(F.transform("recipe", name), ","), 256)))
     return named.groupBy("doc_id", "text_sha256", "recipe").agg(F.count("*").alias("copies"))
 
 
@@ -65,9 +69,8 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     """``doc_id, keep_id, group_size, copies, text_sha256``: one row for each id
     and text; ``group_size`` counts rows."""
     rec = stage(recipes(docs, doc_id, text), "recipes")
-    groups = rec.groupBy("recipe", "text_sha256").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-    return rec.drop("recipe").join(groups.drop("recipe"), "text_sha256").select(
-        "doc_id", "keep_id", "group_size", "copies", "text_sha256")
+    groups = rec.groupBy("recipe").agg(F.min("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
+    return rec.join(groups, "recipe").select("doc_id", "keep_id", "group_size", "copies", "text_sha256")
 
 
 def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -85,7 +88,9 @@ def exact_dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def drop_exact(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, unchanged."""
+    """The rows of ``docs`` that stay, unchanged, their columns in their order.
+    Groups are those of :func:`exact_groups`; a row is found again by its id and
+    text.  Of repeated rows one stays, null ids and texts as there."""
     stay = stage(exact_groups(docs, doc_id, text).where(F.col("doc_id").eqNullSafe(F.col("keep_id")))
                  .select(F.col("doc_id").alias("_id"), F.col("text_sha256").alias("_digest"), "copies"), "stay")
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(doc_id).alias("of_id"),

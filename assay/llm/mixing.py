@@ -26,6 +26,8 @@ WEIGHTS = (3, 1, 2)
 SHARE = 1.5          # of all words
 PASSES = 2           # times that a document is taken at most
 RANGES = 4096        # ranges of a queue and of the time line
+SOURCES = 50_000     # rows of a table with one row for each source that is broadcast; beyond, a join by source and salt
+SALTS = 64
 
 
 def size_of(text: Column) -> Column:
@@ -71,6 +73,15 @@ def queued(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
             shuffle_key(F.col(source), F.col(doc_id)).alias("key"), size_of(F.col(text)).alias("size")]
 
 
+def with_source(rows: DataFrame, known: DataFrame, salt: str = "key") -> DataFrame:
+    """``rows`` with the columns of ``known``, which has one row for each
+    ``queue``.  No task gets all rows of a source."""
+    if known.limit(SOURCES + 1).count() <= SOURCES:
+        return rows.join(F.broadcast(known), "queue")
+    spread = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("_salt", F.pmod(F.hash(salt), F.lit(SALTS))).join(spread, ["queue", "_salt"]).drop("_salt")
+
+
 def plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES) -> DataFrame:
     """One row for each source: ``queue, source_size, target, upto``.  The mix
     takes a row in pass ``p`` if its key is not above ``upto[p]`` (null: none).
@@ -85,7 +96,8 @@ def plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SH
         "queue", "spot", F.coalesce(F.sum("words").over(
             W.partitionBy("queue").orderBy("spot").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("before"))
     running = F.sum("size").over(W.partitionBy("queue", "spot").orderBy("key"))   # rows of one key have one sum
-    line = (ranged.withColumn("running", running).join(offsets, ["queue", "spot"]).join(goal, "queue")
+    line = ranged.withColumn("running", running).join(offsets, ["queue", "spot"])
+    line = (with_source(line, goal)
             .select("queue", "key", "size", "source_size", "target", (F.col("before") + F.col("running")).alias("handed")))
     # Every pass has its own finish time; a source is never taken beyond twice its target.
     timed = (line.withColumn("nth", F.explode(F.array(*[F.lit(p) for p in range(passes)])))
@@ -121,7 +133,7 @@ def mix_plan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     """
     sizes = stage(docs.select(F.col(doc_id).alias("doc_id"), F.col(source).alias("source"),
                               *queued(docs, doc_id, text, source)), "sizes")
-    return (sizes.join(plan(sizes, weights, share, passes), "queue").withColumn("times", _times())
+    return (with_source(sizes, stage(plan(sizes, weights, share, passes), "plan")).withColumn("times", _times())
             .select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("times")).alias("taken"), "times"))
 
 
@@ -129,12 +141,13 @@ def mixed(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: s
           weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, passes: int = PASSES) -> DataFrame:
     """The mix itself: rows of ``docs``, each as often as it is taken.
 
-    Texts are not shuffled while the plan (one row for each source) is small
-    enough for Spark to broadcast.
+    Null ids, texts and sources as in :func:`mix_plan`; repeated rows are rows of
+    their own.  Up to ``SOURCES`` sources the plan, one row for each, is broadcast
+    and texts are not shuffled.  Columns keep their names and order.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
     sizes = stage(docs.select(F.col(source).alias("source"), *queued(docs, doc_id, text, source)), "sizes")
     how = stage(plan(sizes, weights, share, passes), "plan")
     queue, key, _ = queued(docs, doc_id, text, source)
-    rows = docs.select(F.struct(*columns).alias("doc"), queue, key).join(how, "queue")
+    rows = with_source(docs.select(F.struct(*columns).alias("doc"), queue, key), how)
     return rows.select("doc", F.explode(F.array_repeat(F.lit(True), _times()))).select("doc.*")

@@ -24,14 +24,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> int:
-    """Delete the tables that this process staged; call it once the results
-    that read them are written.  Returns their number."""
+def mark() -> int:
+    """A point in time for :func:`release`."""
+    return len(_made)
+
+
+def release(spark: SparkSession, since: int = 0, keep: int = 0) -> int:
+    """Delete the tables that this process staged after the mark ``since``, but
+    for the last ``keep`` of them; call it once the results that read them are
+    written.  Returns their number."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
+    old = _made[since:len(_made) - keep]
+    del _made[since:len(_made) - keep]
     n = 0
-    while _made:
-        path = jvm.org.apache.hadoop.fs.Path(_made.pop())
+    for name in old:
+        path = jvm.org.apache.hadoop.fs.Path(name)
         n += bool(path.getFileSystem(conf).delete(path, True))
     return n
 

@@ -50,3 +50,13 @@ def test_ambiguous_hashes_get_their_digests(spark, edge_docs, edge_rows, monkeyp
     real = F.xxhash64
     monkeypatch.setattr(exact.F, "xxhash64", lambda *c: F.pmod(real(*c), F.lit(2)))
     assert sorted(repr(tuple(r)) for r in exact.exact_dedup(edge_docs).collect()) == brute([r[:2] for r in edge_rows])
+
+
+def test_recipes_decide(spark, monkeypatch):
+    """Without the rest of its chunks a text counts as equal to another: groups come from recipes alone."""
+    a, b = prose(1, 900), prose(2, 900)
+    docs = spark.createDataFrame([(1, a), (2, a + " more"), (3, b), (4, a)], "doc_id long, text string")
+    assert {r.doc_id: r.keep_id for r in exact.exact_dedup(docs).collect()} == {1: 1, 2: 2, 3: 3, 4: 1}
+    real = exact.chunks
+    monkeypatch.setattr(exact, "chunks", lambda norm: F.slice(real(norm), 1, 1))
+    assert {r.doc_id: r.keep_id for r in exact.exact_dedup(docs).collect()} == {1: 1, 2: 1, 3: 3, 4: 1}

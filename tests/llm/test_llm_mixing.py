@@ -97,3 +97,10 @@ def test_mixed_rows(sample):
     made = mixing.mixed(sample)
     assert made.columns == sample.columns
     assert Counter(r.doc_id for r in made.select("doc_id").collect()) == Counter({i: n for i, n in times.items() if n})
+
+
+def test_more_sources_than_are_broadcast(spark, sample, monkeypatch):
+    want = sorted(mixing.mix_plan(sample).collect())
+    monkeypatch.setattr(mixing, "SOURCES", 0)
+    assert sorted(mixing.mix_plan(sample).collect()) == want
+    assert mixing.mixed(sample).count() == sum(r.times for r in want)

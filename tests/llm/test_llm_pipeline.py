@@ -69,4 +69,13 @@ def test_stages_take_edge_rows(spark, edge_docs, no_docs):
 
 def test_run(spark):
     got = cp.run(spark, SF)
-    assert got.columns == ["doc_id", "lang", "source", "ids"] and got.count() > 50
+    assert got.columns == ["doc_id", "lang", "source", "ids", "text"] and got.count() > 50
+
+
+def test_last_stage_decodes_and_checks(spark, sample, monkeypatch):
+    got = cp.tokenise(spark, sample, SF)
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == sorted((r.doc_id, r.text or "") for r in sample.collect())
+    real = bpe.encode
+    monkeypatch.setattr(cp.bpe, "encode", lambda docs, *a, **k: real(docs, *a, **k).withColumn("decoded", cp.F.lit(b"other")))
+    with pytest.raises(Exception, match="do not give the text back"):
+        cp.tokenise(spark, sample, SF).collect()
