@@ -1,42 +1,55 @@
 """A training corpus from the documents table, in five stages.
 
 Each stage takes what its predecessor kept and has read back from Parquet; all
-but the last return rows of the documents table, the last one the token ids.
+but the last return rows of the documents table, the last one the token ids and
+the texts that they stand for.
 """
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from assay.llm import bpe, exact, mixing, neardup, quality
 from assay.llm.queries import BPE_RANKS
-from assay.llm.staging import stage
+from assay.llm.staging import mark, release, stage
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or the compression bands go."""
+    """Documents that fail the base rules or the compression bands go; null
+    texts fail.  An empty table stays empty, further columns stay."""
     return quality.keep_quality(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the one with the smallest id stays."""
+    """Of equal texts the row with the smallest id stays, null ids last; of
+    repeated rows one.  Null counts as the empty text.  Further columns stay."""
     return exact.drop_exact(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
+    """Of each group of near copies the document with the smallest id stays.
+    Rows without an id, or without words, stay.  Further columns stay."""
     return neardup.drop_near(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
+    """Documents as often as the mix takes them.  A null source is a source of
+    its own; rows of one source that share an id go together.  Further columns stay."""
     return mixing.mixed(docs)
 
 
 def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id, lang, source, ids`` of every document of the mix."""
-    return bpe.encode(docs.select("doc_id", "text", "lang", "source"), public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN)
+    """``doc_id, lang, source, ids, text`` of every document of the mix, the
+    text decoded from the ids.  A text whose ids do not give it back fails the
+    job.  Null counts as the empty text."""
+    given = docs.select("doc_id", "lang", "source", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("was"))
+    done = bpe.encode(given, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN, decoded=True)
+    text = F.col("decoded").cast("string")
+    same = F.xxhash64(text) == F.col("was")
+    return done.select("doc_id", "lang", "source", "ids", F.when(same, text).otherwise(
+        F.raise_error(F.concat(F.lit("ids do not give the text back: "), F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))).alias("text"))
 
 
 STAGES = [
@@ -52,10 +65,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole documents table."""
+    """All stages over the whole documents table.  What a stage has written for
+    itself is deleted once its result is."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    since = mark()
     for i, (name, step) in enumerate(STAGES):
         docs = step(spark, docs, sf_dir)
         if i < len(STAGES) - 1:
             docs = stage(docs, name)
+            release(spark, since, keep=1)
     return docs
