@@ -227,6 +227,11 @@ class Suite:
         return self._add(check_list(self._id(test_case_id), values, column, expected, test_column_order, order_by,
                                     description, **kw))
 
+    def test_vectorised(self, df: DataFrame, fn, columns: list[str], description: str, *, test_case_id=None, **kw):
+        """A Python function of whole column batches (pandas Series in, boolean Series out)."""
+        from assay.operators.vectorised import check_vectorised
+        return self._add(check_vectorised(self._id(test_case_id), df, fn, columns, description, **kw))
+
     def fail(self, description: str, *, test_case_id=None, **kw):
         return self._add(check_fail(self._id(test_case_id), description, **kw))
 
@@ -268,29 +273,26 @@ def isolate(df: DataFrame, checks: list[Check]) -> list[Check]:
     """The checks with each one that raises replaced by a failed check that
     carries the exception's text as ``message``.
 
-    All are evaluated in one job; only if that raises is each evaluated by
-    itself to find those at fault.  Nothing but booleans reaches the driver."""
+    All are evaluated in one job; only if that raises is each half evaluated by
+    itself, and so on, to find those at fault.  Nothing but booleans reaches the driver."""
     def evaluate(some: list[Check]) -> None:
         run_suite(df, [replace(c, depends_on=[]) for c in some]).select("status").collect()
 
     def told(e: Exception) -> str:
         return str(e).strip().split("\n")[0]
 
-    try:
-        evaluate(checks)
-        return checks
-    except PySparkException:
-        out = []
-        for c in checks:
-            try:
-                evaluate([c])
-                out.append(c)
-            except PySparkException as e:
-                failed = replace(c, passed=F.lit(False), scalar=True, message=told(e))
-                if c.actual is not None:
-                    failed = replace(failed, actual=F.lit("actual_value() call failed"))
-                out.append(failed)
-        return out
+    def sound(some: list[Check]) -> list[Check]:
+        try:
+            evaluate(some)
+            return some
+        except PySparkException as e:
+            if len(some) > 1:
+                half = len(some) // 2
+                return sound(some[:half]) + sound(some[half:])
+            failed = replace(some[0], passed=F.lit(False), scalar=True, message=told(e))
+            return [failed if failed.actual is None else replace(failed, actual=F.lit("actual_value() call failed"))]
+
+    return sound(checks) if checks else checks
 
 
 def run_suite(df: DataFrame, checks: list[Check], suite: str = "suite",

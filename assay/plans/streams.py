@@ -10,6 +10,7 @@ from assay.operators import checks as C
 from assay.plans.registry import query
 from assay.sources import sinks
 from assay.streaming import expiring as E
+from assay.streaming import gate as G
 from assay.streaming import jobs as J
 
 col = F.col
@@ -153,3 +154,62 @@ def stream_scorecard(t):
     J.batch_scorecards(s, _event_checks, f"{root}/out", J.checkpoint_location(root, "ckpt/score"), "event_id")
     r = spark.read.parquet(f"{root}/out")
     return r.select("batch_first", "seq", "check_id", "status", "points", "score", "max_score", "percentage")
+
+
+@query("stream_rolling_health", """
+WITH r AS (SELECT ts, CASE WHEN event_type = 'error' THEN 'FAILED' WHEN event_type = 'signup' THEN 'IGNORED' ELSE 'SUCCESS' END AS result_state
+           FROM events WHERE ts IS NOT NULL),
+w AS (SELECT date_trunc('day', ts) - to_days(CAST(k AS INTEGER)) AS window_start, result_state FROM r, range(3) t(k))
+SELECT window_start, window_start + INTERVAL 3 DAY AS window_end, result_state, CAST(count(*) AS BIGINT) AS n FROM w
+WHERE window_start + INTERVAL 3 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 DAY
+GROUP BY ALL""")
+def stream_rolling_health(t):
+    """Row 84, rolling: counts of the last three days, day by day, while every
+    event arrives twice; a replayed event counts once."""
+    spark = t.spark
+    root = sinks.new_scratch(spark, "stream-rolling")
+    ev = t.events.where("ts is not null")
+    for _ in range(2):
+        ev.write.mode("append").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{root}/in")
+    s = J.file_stream(spark, f"{root}/in", ev.schema)
+    s = s.select("event_id", "ts", F.when(col("event_type") == "error", "FAILED").when(col("event_type") == "signup", "IGNORED")
+                 .otherwise("SUCCESS").alias("result_state"))
+    J.rolling_counts(s, "ts", ["event_id"], ["result_state"], "3 days", "1 day", "1 day", f"{root}/out", J.checkpoint_location(root, "ckpt/rolling"))
+    r = spark.read.schema("window_start timestamp, window_end timestamp, result_state string, n bigint").parquet(f"{root}/out")
+    return r.select(J.utc_wall_clock(col("window_start")).alias("window_start"), J.utc_wall_clock(col("window_end")).alias("window_end"), "result_state", "n")
+
+
+BATCHES = 6      # that the gated stream arrives in
+
+
+def _gate_checks():
+    return {"user_set": F.count_if(col("user_id").isNull()) == 0,
+            "few_errors": F.count_if(col("event_type") == "error") * 10 <= F.count(F.lit(1)) * 2,
+            "mean_value": F.abs(F.avg("value") - 25.0) <= 0.6}
+
+
+@query("stream_gated", f"""
+WITH e AS (SELECT *, event_id // (SELECT max(event_id) // {BATCHES} + 1 FROM events) AS b FROM events),
+a AS (SELECT b, min(event_id) AS batch_first, CAST(count(*) AS BIGINT) AS n_rows, count_if(user_id IS NULL) = 0 AS ok1,
+        count_if(event_type = 'error') * 10 <= count(*) * 2 AS ok2, coalesce(abs(avg(value) - 25.0) <= 0.6, false) AS ok3 FROM e GROUP BY b),
+v AS (SELECT batch_first, n_rows, check_id, CASE k WHEN 1 THEN ok1 WHEN 2 THEN ok2 ELSE ok3 END AS passed, ok1 AND ok2 AND ok3 AS batch_passed
+      FROM a, (VALUES (1, 'user_set'), (2, 'few_errors'), (3, 'mean_value')) c(k, check_id))
+SELECT *, CASE WHEN batch_passed THEN n_rows ELSE 0 END AS n_let_in, CASE WHEN batch_passed THEN 0 ELSE n_rows END AS n_set_aside FROM v""")
+def stream_gated(t):
+    """Row 85, with ``observe``: constraints are metrics of the write of each
+    micro-batch, a failing batch goes to quarantine.  The rows let in and set
+    aside are counted from what the readers of each side see."""
+    spark = t.spark
+    root = sinks.new_scratch(spark, "stream-gated")
+    ev = t.events
+    width = ev.agg(F.max("event_id")).first()[0]
+    width = (width or 0) // BATCHES + 1
+    J.land_ranges(ev, f"{root}/in", "event_id", width)
+    s = J.file_stream(spark, f"{root}/in", ev.schema, max_files_per_trigger=1)
+    G.run_gated(s, _gate_checks, f"{root}/out", J.checkpoint_location(root, "ckpt/gate"), lambda: {"batch_first": F.min("event_id")})
+    v = G.verdicts(spark, f"{root}/out").withColumn("batch_first", col("measures")["batch_first"].cast("bigint"))
+    number = lambda frame, name: frame.groupBy(F.floor(col("event_id") / width).alias("_b")).agg(F.count(F.lit(1)).alias(name))
+    v = v.withColumn("_b", F.floor(col("batch_first") / width))
+    v = v.join(number(G.passed(spark, f"{root}/out"), "n_let_in"), "_b", "left").join(number(G.quarantine(spark, f"{root}/out"), "n_set_aside"), "_b", "left")
+    return v.select("batch_first", "n_rows", "check_id", "passed", "batch_passed", F.coalesce("n_let_in", F.lit(0)).alias("n_let_in"),
+                    F.coalesce("n_set_aside", F.lit(0)).alias("n_set_aside"))

@@ -12,6 +12,8 @@ from assay.operators import tenancy as T
 from assay.operators.ordering import batch_of
 from assay.plans import standins as S
 from assay.plans.registry import query
+from assay.sources import sinks
+from assay.sources import stored as X
 from assay.plans.scalars import _b36_sql
 
 col = F.col
@@ -153,6 +155,28 @@ def upsert_modes(t):
     return T.upsert_summary(t.customer.select("c_custkey", "c_name", "c_acctbal"), incoming_customers(t), "c_custkey")
 
 
+@query("stored_upsert", """
+WITH i AS (SELECT c_custkey, c_name, c_acctbal + 100 AS c_acctbal FROM customer WHERE c_custkey % 500 = 0
+           UNION ALL SELECT s_suppkey + 100000, s_name, s_acctbal FROM supplier),
+one AS (SELECT * FROM i UNION ALL SELECT c_custkey, c_name, c_acctbal FROM customer c WHERE NOT EXISTS (SELECT 1 FROM i WHERE i.c_custkey = c.c_custkey))
+SELECT c_custkey, CASE WHEN c_custkey % 1000 = 0 THEN upper(c_name) ELSE c_name END AS c_name, c_acctbal FROM one""")
+def stored_upsert(t):
+    """Row 29 on a stored table: a batch that inserts and updates, the same
+    batch once more, one that only updates with a key it contradicts itself on,
+    and the table as its last manifest has it."""
+    root = sinks.new_scratch(t.spark, "stored")
+    base = t.customer.select("c_custkey", "c_name", "c_acctbal")
+    X.create(base, root, "c_custkey", buckets=64)
+    new = (base.where(col("c_custkey") % 500 == 0).withColumn("c_acctbal", col("c_acctbal") + 100)
+           .unionByName(t.supplier.select((col("s_suppkey") + 100000).alias("c_custkey"), col("s_name").alias("c_name"), col("s_acctbal").alias("c_acctbal"))))
+    for _ in range(2):
+        X.upsert(new, root, "c_custkey", "overwrite", "first")
+    named = X.read(t.spark, root).where(col("c_custkey") % 1000 == 0).withColumn("c_name", F.upper("c_name"))
+    odd = base.where(col("c_custkey") == 1).withColumn("c_name", F.explode(F.array(F.lit("x"), F.lit("y"))))
+    X.upsert(named.unionByName(odd), root, "c_custkey", "update", "second")
+    return X.read(t.spark, root)
+
+
 # Group template: group -> market segments whose customers belong ('*' = all).
 GROUP_TEMPLATE = {"analysts": ["AUTOMOBILE", "MACHINERY"], "builders": ["BUILDING"], "everyone": ["*"]}
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from assay.operators import checks as C
+from assay.operators import vectorised as V
 from assay.plans.registry import query
 
 
@@ -273,6 +274,35 @@ _suite_query("custom_check", "custom", "SELECT * FROM lineitem", lambda t: t.lin
              "Rows 86-87: user checks from a named registry of Column builders.")
 
 
+def _even_cents(price):
+    return (price * 100).round() % 2 == 0
+
+
+def _charge_at_most(price, discount, tax):
+    return price * (1 - discount) * (1 + tax) < 100_000
+
+
+def _refuses_small(quantity):
+    if (quantity < 2).any():
+        raise ValueError("a quantity below 2")
+    return quantity > 0
+
+
+@query("vectorised_checks", """
+WITH a AS (SELECT count(*) AS n, count_if(NOT coalesce(round(l_extendedprice * 100) % 2 = 0, false)) AS f1,
+  count_if(NOT coalesce(l_extendedprice * (1 - l_discount) * (1 + l_tax) < 100000, false)) AS f2, count_if(l_quantity < 2) > 0 AS raises FROM lineitem)
+SELECT 'even_cents' AS check_id, CAST(n AS BIGINT) AS n, CAST(f1 AS BIGINT) AS failed, NULL AS error, f1 = 0 AS passed FROM a
+UNION ALL SELECT 'charge', n, f2, NULL, f2 = 0 FROM a
+UNION ALL SELECT 'refuses', n, 0, CASE WHEN raises THEN 'ValueError: a quantity below 2' END, NOT raises FROM a""")
+def vectorised_checks(t):
+    """Row 86: callers' Python functions of whole column batches as checks,
+    one pass for all, counts added up over the partitions; one of them raises."""
+    r = V.vector_results(t.lineitem, {"even_cents": (_even_cents, ["l_extendedprice"]),
+                                      "charge": (_charge_at_most, ["l_extendedprice", "l_discount", "l_tax"]),
+                                      "refuses": (_refuses_small, ["l_quantity"])})
+    return r.select("check_id", "n", "failed", "error", "passed")
+
+
 # ---- a suite over frames, rows, schemas and sequences (rows 95-99, 101) ----
 
 from assay.plans.diffs import ALTERED_ORDERS_SQL, ORDER_COLS, altered_orders  # noqa: E402

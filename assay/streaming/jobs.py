@@ -115,3 +115,17 @@ def batch_scorecards(stream: DataFrame, checks_for, out_path: str, checkpoint: s
     q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
     q.awaitTermination()
+
+
+def rolling_counts(stream: DataFrame, ts: str, event_id: list[str], keys: list[str], window: str, slide: str, watermark: str,
+                   out_path: str, checkpoint: str):
+    """Counts per (sliding window, keys), closed windows only, of events that
+    may be replayed: an ``event_id`` that comes again within the watermark of
+    its first row is dropped.  Returns the query."""
+    s = stream.withColumn("_t", event_time(stream, ts)).withWatermark("_t", watermark).dropDuplicatesWithinWatermark(event_id)
+    agg = s.groupBy(F.window("_t", window, slide).alias("w"), *keys).agg(F.count(F.lit(1)).alias("n"))
+    agg = agg.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "n")
+    q = (agg.writeStream.outputMode("append").format("parquet").option("path", out_path)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q

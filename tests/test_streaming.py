@@ -60,3 +60,37 @@ def test_silent_keys_leave_the_state_and_come_back(spark):
                            ("b", 30, 8.0, True), ("d", 29, 1.0, True), (None, 18, 7.0, False)], key=repr)
     live = {r.k: r.v for r in E.read_live(spark, f"{root}/out", ["k"], "v").collect()}
     assert live == {"b": 8.0, "d": 1.0}
+
+
+def test_replays_do_not_count_in_rolling_windows(spark):
+    schema = "id long, ts timestamp_ntz, k string"
+    root = sinks.new_scratch(spark, "rolling")
+    rows = [(i, f"2024-01-{1 + i % 9:02d} 0{i % 8}:00:00", "ab"[i % 2]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, ts string, k string").selectExpr("id", "cast(ts as timestamp_ntz) ts", "k")
+    for _ in range(3):
+        df.write.mode("append").parquet(f"{root}/in")
+    J.rolling_counts(J.file_stream(spark, f"{root}/in", spark.createDataFrame([], schema).schema), "ts", ["id"], ["k"], "2 days", "1 day", "1 day",
+                     f"{root}/out", f"{root}/ckpt")
+    got = {(r.window_start.day if r.window_start.year == 2024 else 0, r.k): r.n for r in spark.read.parquet(f"{root}/out").collect()}
+    want = {}
+    for _, ts, k in rows:
+        for first in (int(ts[8:10]) - 1, int(ts[8:10])):
+            if first + 2 <= 8:                     # the newest row is of the 9th, windows that end by the 8th are closed
+                want[first if first else (31 if False else 0), k] = want.get((first, k), 0) + 1
+    assert {(d % 31, k): n for (d, k), n in got.items()} == want
+
+
+def test_a_failing_batch_is_set_aside(spark):
+    from assay.streaming import gate as G
+
+    root = sinks.new_scratch(spark, "gate")
+    ev = spark.createDataFrame([(i, None if i == 25 else 1.0) for i in range(40)], "id long, v double")
+    J.land_ranges(ev, f"{root}/in", "id", 10)
+    checks = lambda: {"set": F.count_if(F.col("v").isNull()) == 0, "mean": F.avg("v") == 1.0}
+    s = J.file_stream(spark, f"{root}/in", ev.schema, max_files_per_trigger=1)
+    G.run_gated(s, checks, f"{root}/out", f"{root}/ckpt", lambda: {"first": F.min("id")})
+    G.run_gated(J.file_stream(spark, f"{root}/in", ev.schema, max_files_per_trigger=1), checks, f"{root}/out", f"{root}/ckpt")      # nothing new
+    v = {(r.measures["first"], r.check_id): (r.passed, r.batch_passed, r.n_rows) for r in G.verdicts(spark, f"{root}/out").collect()}
+    assert v == {(f, c): (c != "set" or f != "20", f != "20", 10) for f in ("0", "10", "20", "30") for c in ("set", "mean")}
+    assert sorted(r.id for r in G.quarantine(spark, f"{root}/out").collect()) == list(range(20, 30))
+    assert G.passed(spark, f"{root}/out").count() == 30
