@@ -516,3 +516,93 @@ def change_log(df: DataFrame, lines: str, wanted: str) -> DataFrame:
              .when((date != "(TBD)") & ~date.rlike(r"^\([0-9]+-[0-9]+-[0-9]+\)$"), "date").when(F.size("entries") == 0, "no_entries"))
     return d.select(*df.columns, F.col("_at.version").alias("version"), F.substring(date, F.lit(2), F.length(date) - 2).alias("date"),
                     "entries", error.alias("error"))
+
+
+# Messages on what publishing leaves behind, and what it looks for.
+LEFT_PLACEHOLDER = "A mustache pattern was detected after all replacements were processed: {what}"
+LEFT_ICON = "The deprecated {what} pattern was found after all replacements were processed."
+BAD_PATH = "Found invalid character {what} in notebook name: {path}"
+NO_TRANSLATION = 'The GUID "{guid}" was not found for the translation of {language}'
+PLACEHOLDER = r"\{\{[a-zA-Z\-\\_#/]*\}\}"
+ICONS = [":HINT:", ":CAUTION:", ":BESTPRACTICE:", ":SIDENOTE:", ":NOTE:"]
+PATH_CHARACTERS = ['"', "*", "<", ">", "?", "\\", "|", ":"]
+MARKER_LEFT = 'Cmd #{n} | Found the "--i18n-" marker but i18n processing is disabled.'
+TITLE_LEFT = "Cmd #{n} | Cell titles are only supported for translated courses, please remove to continue."
+
+
+def replaced(text: Column, replacements: dict[str, str]) -> Column:
+    """``{{name}}`` by its value, one name after the other."""
+    for name, value in replacements.items():
+        text = F.replace(text, F.lit("{{" + name + "}}"), F.lit(value))
+    return text
+
+
+def left_overs(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
+    """``keep, kind, what, message`` for what is left in a text after all
+    replacements: the first placeholder, and each deprecated icon.  One
+    projection, nothing is shuffled; null texts have no findings."""
+    first = F.regexp_extract(text, f"({PLACEHOLDER})", 1)
+    kinds = [F.when(first != "", F.struct(F.lit("placeholder").alias("kind"), first.alias("what"), fill(LEFT_PLACEHOLDER, what=first).alias("message")))]
+    kinds += [F.when(F.contains(text, F.lit(i)), F.struct(F.lit("icon").alias("kind"), F.lit(i).alias("what"), F.lit(LEFT_ICON.format(what=i)).alias("message")))
+              for i in ICONS]
+    return df.select(*keep, F.inline(F.array_compact(F.array(*kinds))))
+
+
+def path_findings(df: DataFrame, path: str, keep: list[str]) -> DataFrame:
+    """``keep, what, message`` for each character that a notebook name must not hold."""
+    found = F.array_compact(F.array(*[F.when(F.contains(path, F.lit(c)), F.lit(c)) for c in PATH_CHARACTERS]))
+    return df.select(*keep, F.col(path).alias("_p"), F.explode(found).alias("what")).select(
+        *keep, "what", fill(BAD_PATH, what=F.col("what"), path=F.col("_p")).alias("message"))
+
+
+def missing_translations(merged: DataFrame, language: str, doc: str = "doc_id") -> DataFrame:
+    """``doc, pos, guid, message`` for passing guids that the bundle lacks
+    (``merged`` as of :func:`merge_translations`)."""
+    return merged.where("status = 'missing'").select(doc, "pos", "guid", fill(NO_TRANSLATION, guid=F.col("guid"), language=F.lit(language)).alias("message"))
+
+
+# Ways to publish.
+PUBLISH_MODES = ["translated", "standard", "plain"]
+
+
+def published_cells(cells: DataFrame, mode: str, translations: DataFrame | None = None, doc: str = "doc_id") -> DataFrame:
+    """``doc, pos, cm, cell, message`` of all cells, code and markdown alike.
+
+    ``translated`` takes bodies from ``translations`` as :func:`merge_translations`
+    does; ``standard`` publishes in the language of the source: the i18n word goes
+    and the guid becomes the title; ``plain``, with i18n switched off, leaves cells
+    as they are and reports titles and markers.  With i18n on, a code cell loses
+    its title line.  ``message`` is the finding of the cell, if any."""
+    n = (F.col("pos") + 1).cast("string")
+    titled = F.col("command").startswith(F.concat("cm", F.lit(" DBTITLE ")))
+    markdown = F.col("command").startswith(F.concat("cm", F.lit(" MAGIC %md")))
+    if mode == "plain":
+        msg = F.when(F.contains("command", F.lit("DBTITLE")), fill(TITLE_LEFT, n=n)).when(
+            markdown & F.contains("command", F.lit("--i18n-")), fill(MARKER_LEFT, n=n))
+        return cells.select(doc, "pos", "cm", F.col("command").alias("cell"), msg.alias("message"))
+    g = guid_findings(cells, doc).select(doc, "pos", "cm", "command", "guid", "error", "md_tag", "titled", "md_body", "message")
+    md = F.col("md_body").startswith(F.concat("cm", F.lit(" MAGIC %md")))
+    if mode == "translated":
+        j = g.join(translations.select(doc, "guid", "body"), [doc, "guid"], "left")
+    else:
+        j = g.withColumn("body", F.lit(None).cast("string"))
+    head = F.concat("cm", F.lit(" DBTITLE 0,"), "guid", F.lit("\n"))
+    magic = F.concat("cm", F.lit(" MAGIC "), "md_tag", F.lit("\n"))
+    whole = py_strip(F.col("command"))
+    if mode == "translated":
+        rest, kept = F.coalesce("body", whole), F.coalesce("body", "md_body")
+    else:
+        rest, kept = tail(whole, F.instr(whole, "\n") + 1), F.col("md_body")
+    new = (F.when(~md, F.when(F.col("titled"), F.col("md_body")).otherwise(F.col("command")))
+           .when(F.col("error").isNotNull(), F.col("command"))
+           .when(F.col("titled"), F.concat(head, kept)).otherwise(F.concat(head, magic, rest)))
+    return j.select(doc, "pos", "cm", new.alias("cell"), F.when(md, F.col("message")).alias("message"))
+
+
+def joined_document(cells: DataFrame, header: str, doc: str = "doc_id") -> DataFrame:
+    """``doc, n_cells, n_findings, document``: the cells of a document in order,
+    under its header line, joined with the delimiter of its language."""
+    g = cells.groupBy(doc).agg(F.count(F.lit(1)).alias("n_cells"), F.count("message").alias("n_findings"), F.min("cm").alias("cm"),
+                               F.sort_array(F.collect_list(F.struct("pos", "cell"))).alias("_c"))
+    text = F.concat("cm", F.lit(header), F.call_function("array_join", F.transform("_c", lambda x: x["cell"]), cell_delimiter(F.col("cm"))))
+    return g.select(doc, "n_cells", "n_findings", text.alias("document"))

@@ -197,6 +197,23 @@ def schema_compare(sa: DataFrame, sb: DataFrame, test_column_order: bool = False
     return j.select("name", "type_a", "type_b", "pos_a", "pos_b", kind.alias("kind"), ok.alias("matches"))
 
 
+def castable(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Whether the rows of ``df`` fit other types: ``name, type_a, type_b, n,
+    n_bad, n_lossy, fits`` for each column of ``types`` that ``df`` has.  A value
+    is bad if it has no value of the type, lossy if casting back gives another;
+    null fits every type.  One aggregate over the named columns."""
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    names = [c for c in types if c in kinds]
+    aggs = []
+    for i, c in enumerate(names):
+        x, y = F.col(f"`{c}`"), F.col(f"`{c}`").try_cast(types[c])
+        aggs += [F.count(x).alias(f"n{i}"), F.count_if(x.isNotNull() & y.isNull()).alias(f"b{i}"),
+                 F.count_if(y.isNotNull() & ~x.eqNullSafe(y.try_cast(kinds[c]))).alias(f"l{i}")]
+    rows = [F.struct(F.lit(c).alias("name"), F.lit(kinds[c]).alias("type_a"), F.lit(types[c]).alias("type_b"), F.col(f"n{i}").alias("n"),
+                     F.col(f"b{i}").alias("n_bad"), F.col(f"l{i}").alias("n_lossy"), (F.col(f"b{i}") == 0).alias("fits")) for i, c in enumerate(names)]
+    return df.agg(*aggs).select(F.inline(F.array(*rows)))
+
+
 # ---- snapshots and trees --------------------------------------------------------
 
 def digest(df: DataFrame, key: str, text: str) -> DataFrame:

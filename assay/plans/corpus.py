@@ -601,6 +601,110 @@ def translate_documents(t):
     return g.select("doc_id", "n_cells", "n_translated", "n_missing", F.md5(doc).alias("document_md5"))
 
 
+def all_cells(t):
+    """Markdown cells as in :func:`md_cells`, the other turns as code cells, some titled."""
+    c = cells(t).where(F.coalesce(col("role"), F.lit("")) != "assistant")
+    title = F.when((col("doc_id") + col("pos")) % 6 == 0, F.concat("cm", F.lit(" DBTITLE 1,Step "), "pos", F.lit(NL))).otherwise(F.lit(""))
+    code = F.concat(title, F.lit("x = "), "pos", F.lit(NL), F.coalesce(F.replace("text", F.lit(NL), F.lit(" ")), F.lit("")))
+    return md_cells(t).select("doc_id", "pos", "cm", "command").union(c.select("doc_id", "pos", "cm", code))
+
+
+_ALL_CELLS_SQL = f"""
+SELECT doc_id, pos, cm, command FROM ({_MD_CELLS_SQL})
+UNION ALL SELECT conv_id, CAST(turn AS BIGINT), cm,
+  CASE WHEN (conv_id + turn) % 6 = 0 THEN cm || ' DBTITLE 1,Step ' || turn || chr(10) ELSE '' END || 'x = ' || turn || chr(10) || coalesce(replace(text, chr(10), ' '), '')
+FROM (SELECT *, CASE conv_id % 4 WHEN 0 THEN '#' WHEN 1 THEN '--' WHEN 2 THEN '//' ELSE '#' END AS cm FROM conversations) WHERE coalesce(role, '') <> 'assistant'"""
+
+_STRIPPED = strip("command")
+
+_PUBLISHED_SQL = f"""
+WITH r AS ({_guid_check_sql(_ALL_CELLS_SQL)}),
+f AS (SELECT doc_id, guid, min(pos) AS first_pos FROM r WHERE error0 IS NULL AND md GROUP BY doc_id, guid),
+e AS (SELECT r.*, CASE WHEN r.md AND r.error0 IS NULL AND r.pos > f.first_pos THEN 'duplicate' ELSE r.error0 END AS error
+      FROM r LEFT JOIN f ON r.doc_id = f.doc_id AND r.guid = f.guid),
+tr AS ({_bundle_map_sql(True)}),
+x AS (
+  SELECT e.*, m.mode, CASE WHEN m.mode = 'translated' THEN tr.body END AS found
+  FROM e CROSS JOIN (VALUES ('translated'), ('standard'), ('plain')) m(mode) LEFT JOIN tr ON e.doc_id = tr.doc_id AND e.guid = tr.guid),
+c AS (
+  SELECT doc_id, mode, pos, cm, CASE
+      WHEN mode = 'plain' THEN command
+      WHEN NOT md THEN CASE WHEN titled THEN body ELSE command END
+      WHEN error IS NOT NULL THEN command
+      WHEN titled THEN cm || ' DBTITLE 0,' || guid || chr(10) || coalesce(found, body)
+      ELSE cm || ' DBTITLE 0,' || guid || chr(10) || cm || ' MAGIC ' || parts[1] || chr(10) ||
+        CASE WHEN mode = 'translated' THEN coalesce(found, {_STRIPPED}) ELSE substr({_STRIPPED}, position(chr(10) IN {_STRIPPED}) + 1) END END AS cell,
+    CASE WHEN mode = 'plain' THEN contains(command, 'DBTITLE') OR (starts_with(command, cm || ' MAGIC %md') AND contains(command, '--i18n-'))
+         ELSE md AND error IS NOT NULL END AS finding
+  FROM x)"""
+
+
+@query("publish_modes", _PUBLISHED_SQL + f"""
+SELECT doc_id, mode, CAST(count(*) AS BIGINT) AS n_cells, CAST(count_if(finding) AS BIGINT) AS n_findings,
+  md5(min(cm) || '{NOTEBOOK_HEADER}' || chr(10) || list_reduce(list(cell ORDER BY pos), lambda a, b: a || chr(10) || min(cm) || ' COMMAND ----------' || chr(10) || b)) AS document_md5
+FROM c GROUP BY doc_id, mode""".replace("lambda a, b: a || chr(10) || min(cm)", "lambda a, b: a || chr(10) || cm_").replace(
+    "min(cm) || '" + NOTEBOOK_HEADER, "cm_ || '" + NOTEBOOK_HEADER).replace("FROM c GROUP BY doc_id, mode", "FROM (SELECT *, cm AS cm_ FROM c) GROUP BY doc_id, mode, cm_"))
+def publish_modes(t):
+    """Rows 120, 121: whole documents, code cells included, published with a
+    translation, without one, and with i18n switched off."""
+    c, tr = all_cells(t), K.bundle_map(bundles(t, translated=True))
+    out = None
+    for mode in K.PUBLISH_MODES:
+        d = K.joined_document(K.published_cells(c, mode, tr), NOTEBOOK_HEADER + NL).withColumn("mode", F.lit(mode))
+        out = d if out is None else out.union(d)
+    return out.select("doc_id", "mode", "n_cells", "n_findings", F.md5("document").alias("document_md5"))
+
+
+LANGUAGE = "spanish"
+
+
+@query("missing_translations", f"""
+SELECT doc_id, pos, guid, 'The GUID "' || guid || '" was not found for the translation of {LANGUAGE}' AS message
+FROM ({_MERGED_SQL}) WHERE status = 'missing'""")
+def missing_translations(t):
+    """Rows 39, 122: guids that the translated bundle lacks, with the warning's text."""
+    return K.missing_translations(_merged(t), LANGUAGE)
+
+
+REPLACEMENTS = {"course_name": "Course", "version": "1.2.3"}
+
+
+def contents(t):
+    """Cell texts with placeholders, known and unknown ones, and icons."""
+    c, k = cells(t), col("doc_id") + 3 * col("pos")
+    icon = F.element_at(F.array(*[F.lit(" " + i) for i in K.ICONS]), (k % 5 + 1).cast("int"))
+    extra = F.concat(F.when(k % 4 == 1, " {{course_name}} {{version}}").otherwise(""), F.when(k % 9 == 2, " {{missing-key}} {{#other}}").otherwise(""),
+                     F.when(k % 8 == 5, icon).otherwise(""))
+    return c.select("doc_id", "pos", K.replaced(F.concat(F.coalesce("text", F.lit("")), extra), REPLACEMENTS).alias("contents"))
+
+
+_CONTENTS_SQL = """
+SELECT conv_id AS doc_id, CAST(turn AS BIGINT) AS pos, replace(replace(coalesce(text, '') || CASE WHEN k % 4 = 1 THEN ' {{course_name}} {{version}}' ELSE '' END
+  || CASE WHEN k % 9 = 2 THEN ' {{missing-key}} {{#other}}' ELSE '' END
+  || CASE WHEN k % 8 = 5 THEN ' ' || [':HINT:', ':CAUTION:', ':BESTPRACTICE:', ':SIDENOTE:', ':NOTE:'][k % 5 + 1] ELSE '' END,
+  '{{course_name}}', 'Course'), '{{version}}', '1.2.3') AS contents
+FROM (SELECT *, conv_id + 3 * turn AS k FROM conversations)"""
+
+
+@query("left_overs", rf"""
+WITH c AS ({_CONTENTS_SQL}), p AS (SELECT *, regexp_extract(contents, '\{{\{{[a-zA-Z\-\\_#/]*\}}\}}') AS what FROM c)
+SELECT doc_id, pos, 'placeholder' AS kind, what, 'A mustache pattern was detected after all replacements were processed: ' || what AS message FROM p WHERE what <> ''
+UNION ALL SELECT doc_id, pos, 'icon', i, 'The deprecated ' || i || ' pattern was found after all replacements were processed.'
+FROM c, (VALUES (':HINT:'), (':CAUTION:'), (':BESTPRACTICE:'), (':SIDENOTE:'), (':NOTE:')) v(i) WHERE contains(contents, i)""")
+def left_overs(t):
+    """Rows 39, 122: placeholders and deprecated icons that are left after all replacements."""
+    return K.left_overs(contents(t), "contents", ["doc_id", "pos"])
+
+
+@query("invalid_paths", r"""
+WITH p AS (SELECT page_id, regexp_replace(url, '^[a-zA-Z]+://', '') AS path FROM pages)
+SELECT page_id, c AS what, 'Found invalid character ' || c || ' in notebook name: ' || path AS message
+FROM p, (SELECT unnest(['"', '*', '<', '>', '?', chr(92), '|', ':']) AS c) WHERE contains(path, c)""")
+def invalid_paths(t):
+    """Rows 39, 122: characters that a notebook's name must not hold."""
+    return K.path_findings(t.pages.select("page_id", F.regexp_replace("url", "^[a-zA-Z]+://", "").alias("path")), "path", ["page_id"])
+
+
 # ------------------------------------------------------------ publish outputs
 
 _ROUTED_SQL = f"""
@@ -962,15 +1066,18 @@ def _per_doc_findings(t):
                        (F.when(ignored, 0).otherwise(col("dir_err")) + col("todo_err") + gate).alias("e1"),
                        F.when(ignored, 0).otherwise(col("dir_warn")).alias("w1"))
     gr = guid_rules(t).where(col("error").isNotNull()).groupBy("doc_id").agg(F.count(F.lit(1)).alias("e2"))
+    left = left_overs(t).select("doc_id", F.lit("error").alias("severity"))
+    lost = missing_translations(t).select("doc_id", F.lit("warning").alias("severity"))
     rt = run_targets(t).select("doc_id", "severity").unionByName(
-        magic_lint(t).select("doc_id", F.lit("warning").alias("severity"))).groupBy("doc_id").agg(
+        magic_lint(t).select("doc_id", F.lit("warning").alias("severity"))).unionByName(left).unionByName(lost).groupBy("doc_id").agg(
         F.count_if(col("severity") == "error").alias("e3"), F.count_if(col("severity") == "warning").alias("w3"))
     conv = (cell.join(gr, "doc_id", "full_outer").join(rt, "doc_id", "full_outer")
             .select(F.concat(F.lit("conv-"), col("doc_id").cast("string")).alias("doc_key"),
                     (F.coalesce("e1", F.lit(0)) + F.coalesce("e2", F.lit(0)) + F.coalesce("e3", F.lit(0))).alias("n_errors"),
                     (F.coalesce("w1", F.lit(0)) + F.coalesce("w3", F.lit(0))).alias("n_warnings")))
     pages = (html_link_lint(t).where(col("missing_target") & (col("page_id") % 4 != 0)).select("page_id", F.lit("warning").alias("severity"))
-             .unionByName(md_link_lint(t).where("severity is not null").select("page_id", "severity")).groupBy("page_id")
+             .unionByName(md_link_lint(t).where("severity is not null").select("page_id", "severity"))
+             .unionByName(invalid_paths(t).select("page_id", F.lit("warning").alias("severity"))).groupBy("page_id")
              .agg(F.count_if(col("severity") == "error").alias("n_errors"), F.count_if(col("severity") == "warning").alias("n_warnings"))
              .select(F.concat(F.lit("page-"), col("page_id").cast("string")).alias("doc_key"), "n_errors", "n_warnings"))
     # documents: token errors and prohibited-literal warnings in one pass over the text
@@ -993,6 +1100,7 @@ _FINDINGS_SQL = f"""
 WITH ed AS ({ORACLES['extract_directives']}), ut AS ({ORACLES['uncomment_todo']}), gr AS ({ORACLES['guid_rules']}),
 rt AS ({ORACLES['run_targets']}), gt AS ({ORACLES['doc_gate_rules']}), hl AS ({ORACLES['html_link_lint']}),
 ml AS ({ORACLES['magic_lint']}), md AS ({ORACLES['md_link_lint']}),
+lo AS ({ORACLES['left_overs']}), mt AS ({ORACLES['missing_translations']}), ip AS ({ORACLES['invalid_paths']}),
 ft AS ({ORACLES['forbidden_tokens']}), pl AS ({ORACLES['prohibited_lines']}),
 fnd AS (
   SELECT 'conv-' || doc_id AS doc_key, 'directive' AS kind, 'error' AS severity, CAST(errors AS BIGINT) AS n FROM ed WHERE errors > 0
@@ -1004,6 +1112,9 @@ fnd AS (
   UNION ALL SELECT 'page-' || page_id, 'md_link', severity, 1 FROM md WHERE severity IS NOT NULL
   UNION ALL SELECT 'conv-' || doc_id, 'gate', 'error', len(string_split(errors, ',')) FROM gt WHERE errors <> ''
   UNION ALL SELECT 'page-' || page_id, 'html_link', 'warning', 1 FROM hl WHERE missing_target
+  UNION ALL SELECT 'conv-' || doc_id, kind, 'error', 1 FROM lo
+  UNION ALL SELECT 'conv-' || doc_id, 'translation', 'warning', 1 FROM mt
+  UNION ALL SELECT 'page-' || page_id, 'path', 'warning', 1 FROM ip
   UNION ALL SELECT 'doc-' || doc_id, 'token', 'error', 1 FROM ft
   UNION ALL SELECT 'doc-' || doc_id, 'source', 'warning', 1 FROM pl),
 ign AS (SELECT 'page-' || page_id AS doc_key, 'html_link' AS kind FROM pages WHERE page_id % 4 = 0

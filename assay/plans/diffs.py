@@ -232,6 +232,26 @@ def schema_compare(t):
     return cmp.join(_non_null_counts(a, "rows_a"), "name", "left").join(_non_null_counts(b, "rows_b"), "name", "left")
 
 
+# column -> type asked for, the same in the oracle's SQL, and the column's own type there
+_CASTS = {"p_partkey": ("tinyint", "TINYINT", "BIGINT"), "p_name": ("bigint", "BIGINT", "VARCHAR"), "p_size": ("string", "VARCHAR", "BIGINT"),
+          "p_retailprice": ("int", "INTEGER", "DOUBLE"), "p_brand": ("string", "VARCHAR", "VARCHAR")}
+
+
+def _cast_sql(name: str, type_b: str, duck: str, own: str) -> str:
+    y = f"TRY_CAST({name} AS {duck})"
+    return f"""SELECT '{name}' AS name, '{type_b}' AS type_b, CAST(count({name}) AS BIGINT) AS n,
+  CAST(count_if({name} IS NOT NULL AND {y} IS NULL) AS BIGINT) AS n_bad,
+  CAST(count_if({y} IS NOT NULL AND TRY_CAST({y} AS {own}) IS DISTINCT FROM {name}) AS BIGINT) AS n_lossy,
+  count_if({name} IS NOT NULL AND {y} IS NULL) = 0 AS fits FROM part"""
+
+
+@query("schema_castable", " UNION ALL ".join(_cast_sql(c, *x) for c, x in _CASTS.items()))
+def schema_castable(t):
+    """Row 99 from the data: whether the rows of part fit the types of
+    another schema, and whether they come back unchanged."""
+    return D.castable(t.part, {c: x[0] for c, x in _CASTS.items()}).drop("type_a")
+
+
 def _non_null_counts(df, out: str):
     """Non-null values per column, one aggregate pass, unpivoted to (name, out)."""
     one = df.agg(*[F.count(col(c)).alias(c) for c in df.columns])

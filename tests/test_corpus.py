@@ -242,3 +242,25 @@ def test_change_log_versions_and_errors(spark):
                    "no tag": (None, None, [], "not_found"), "loose line": (None, None, [], "no_version"), "parts": (None, None, [], "parts"),
                    "letters": (None, None, [], "version"), "date": ("1.0.0", "May", ["* x"], "date"), "bare": ("1.0.0", "TBD", [], "no_entries"),
                    "none": (None, None, [], "not_found")}
+
+
+def test_left_overs_paths_and_modes(spark):
+    from assay.operators import corpus as K
+
+    df = spark.createDataFrame([(1, "a {{x}} {{y-z}} :NOTE: :HINT:"), (2, "{{x}}"), (3, "{{not 1}}"), (4, None)], "i int, t string")
+    df = df.withColumn("t", K.replaced(F.col("t"), {"x": "X"}))
+    got = sorted((r.i, r.kind, r.what) for r in K.left_overs(df, "t", ["i"]).collect())
+    assert got == [(1, "icon", ":HINT:"), (1, "icon", ":NOTE:"), (1, "placeholder", "{{y-z}}")]
+    p = spark.createDataFrame([("a/b",), ('a:"b?',), ("c\\d|<>*",), (None,)], "p string")
+    assert sorted((r.what, r.message) for r in K.path_findings(p, "p", []).collect()) == sorted(
+        (c, f"Found invalid character {c} in notebook name: {x}") for x in ('a:"b?', "c\\d|<>*") for c in K.PATH_CHARACTERS if c in x)
+    cells = spark.createDataFrame([(1, 0, "#", "# MAGIC %md --i18n-g1\n# MAGIC Hello"), (1, 1, "#", "# DBTITLE 1,Step\nx = 1"),
+                                   (1, 2, "#", "# DBTITLE 1, --i18n-g2\n# MAGIC %md\n# MAGIC Bye"), (1, 3, "#", "y = 2"),
+                                   (1, 4, "#", "# MAGIC %md\n# MAGIC none")], "doc_id int, pos int, cm string, command string")
+    tr = spark.createDataFrame([(1, "--i18n-g1", "# MAGIC Hola")], "doc_id int, guid string, body string")
+    of = lambda mode: {r.pos: (r.cell, r.message is not None) for r in K.published_cells(cells, mode, tr).collect()}
+    code = {1: ("x = 1", False), 3: ("y = 2", False), 4: ("# MAGIC %md\n# MAGIC none", True)}
+    assert of("translated") == code | {0: ("# DBTITLE 0,--i18n-g1\n# MAGIC %md\n# MAGIC Hola", False), 2: ("# DBTITLE 0,--i18n-g2\n# MAGIC %md\n# MAGIC Bye", False)}
+    assert of("standard") == code | {0: ("# DBTITLE 0,--i18n-g1\n# MAGIC %md\n# MAGIC Hello", False), 2: ("# DBTITLE 0,--i18n-g2\n# MAGIC %md\n# MAGIC Bye", False)}
+    plain = of("plain")
+    assert [plain[i][0] for i in range(5)] == [r.command for r in cells.orderBy("pos").collect()] and [plain[i][1] for i in range(5)] == [True, True, True, False, False]
