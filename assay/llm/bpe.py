@@ -142,8 +142,12 @@ class Encoder:
         found = (m.group() for m in self.pattern.finditer(text))
         return np.fromiter(itertools.chain.from_iterable(map(ids, found)), np.int32)
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids.tolist()))
+    def decode(self, ids: np.ndarray | list) -> bytes:
+        """Raises ``ValueError`` on a null id or one outside the vocabulary."""
+        try:
+            return b"".join(map(self.token.__getitem__, ids if isinstance(ids, list) else ids.tolist()))
+        except KeyError as e:
+            raise ValueError(f"not an id of the vocabulary: {e}") from None
 
 
 _encoders: dict[tuple[str, str], Encoder] = {}
@@ -162,7 +166,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded
     for, ``decoded`` (binary): the bytes that the ids stand for.
 
     Map-only.  Null counts as the empty text, which has no ids.  Other columns
-    stay as they are but for those named like an output.
+    stay as they are but for those named like an output.  Beside a text, memory
+    follows its longest piece by the pattern, with 8 bytes for each of its bytes.
     """
     ship(docs.sparkSession)
     others = [f for f in docs.schema.fields if f.name not in (text, "ids", "decoded")]
@@ -193,7 +198,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded
 
 
 def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids") -> DataFrame:
-    """``encoded`` with ``ids`` replaced by ``decoded`` (binary)."""
+    """``encoded`` with ``ids`` replaced by ``decoded`` (binary).  Null ids are
+    empty; a null or unknown id within them fails the job with its value."""
     ship(encoded.sparkSession)
     others = [f for f in encoded.schema.fields if f.name not in (ids, "decoded")]
     schema = T.StructType([*others, T.StructField("decoded", T.BinaryType())])
@@ -201,7 +207,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids") -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = encoder(path, pattern)
         for batch in batches:
-            back = [own.decode(np.array(x.as_py() or [], np.int32)) for x in batch.column(len(others))]
+            back = [own.decode(x.as_py() or []) for x in batch.column(len(others))]
             yield pa.RecordBatch.from_arrays([*batch.columns[:len(others)], pa.array(back, pa.binary())], names=schema.names)
 
     return encoded.select(*[f"`{f.name}`" for f in others], f"`{ids}`").mapInArrow(run, schema)

@@ -37,7 +37,7 @@ class Params:
     sample: int = 600         # texts of a language that are learnt from, about
     rounds: int = 2
     longest: int = 12         # bytes of a piece
-    learnt_word: int = 48     # bytes of the longest word that is learnt from; any is scored
+    learnt_word: int = 48     # bytes of a word that is learnt from whole; a longer one is cut at character borders
     floor: float = 0.05       # expected count that every piece has beside its own
     remember: int = 400_000   # words that a worker process remembers
 
@@ -152,7 +152,11 @@ def learn(labelled: DataFrame, path: str, text: str, lang: str, key: Column, p:
     share = F.create_map(*[F.lit(x) for k, n in each.items() for x in (k, p.sample / n)]) if each else F.lit(None)
     drawn = (rows.where(F.pmod("draw", F.lit(1 << 20)) < share[F.col("lang")] * (1 << 20) if each else F.lit(False))
              .select("lang", F.explode(F.split(F.lower("text"), r"[\x20\x09-\x0D]+")).alias("word")).where("word <> ''"))
-    words = stage(drawn.where(F.octet_length("word") <= p.learnt_word).groupBy("lang", "word").agg(F.count("*").alias("times")), "words")
+    # Scripts without spaces write long runs: these are learnt from in pieces, all of them.
+    cut = F.regexp_extract_all("word", F.lit(f"(?s).{{1,{max(1, p.learnt_word // 4)}}}"), F.lit(0))
+    whole = F.octet_length("word") <= p.learnt_word
+    drawn = drawn.select("lang", F.explode(F.when(whole, F.array("word")).otherwise(cut)).alias("word"))
+    words = stage(drawn.groupBy("lang", "word").agg(F.count("*").alias("times")), "words")
     languages = sorted(r["lang"] for r in words.select("lang").distinct().collect())
     probability = np.ones((len(vocabulary) + 1, len(languages))) / len(vocabulary)
     probability[-1] = 0
@@ -222,7 +226,9 @@ def predict(docs: DataFrame, model: Model, text: str = "text", p: Params = PRODU
     ``score`` is the share of the predicted language in the probability of the
     text, all languages being as likely beforehand.  A text that is null or has
     no letter is ``und`` with score 0, as is every text if the model has learnt
-    no language.  Columns named like an output are left out.
+    no language.  Of equally probable languages the first in code-point order is
+    predicted; repeated rows get the same answer.  Columns named like an output
+    are left out.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -266,7 +272,9 @@ def held_out(doc_id: Column) -> Column:
 
 def identify(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", lang: str = "lang", p: Params = PRODUCTION) -> DataFrame:
     """``doc_id, held_out, lang_pred, score`` for each row of ``docs``; learnt
-    from the texts and languages of the rows that are not held out."""
+    from the texts and languages of the rows that are not held out.  Null texts
+    and languages are not learnt from, a null id is not held out; rows that share
+    an id are rows of their own.  Other columns play no part."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"),
                        held_out(F.col(doc_id)).alias("held_out"))
     model = learn(rows.where("not held_out"), path, "text", "lang", F.xxhash64("doc_id", "text"), p)

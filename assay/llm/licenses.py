@@ -43,10 +43,48 @@ PASSAGES = (
 )
 
 
+#: Whole texts of short licenses, without their copyright lines.
+TEXTS = (
+    ("permission is hereby granted free of charge to any person obtaining a copy of this software and associated "
+     "documentation files the software to deal in the software without restriction including without limitation the "
+     "rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit "
+     "persons to whom the software is furnished to do so subject to the following conditions the above copyright notice "
+     "and this permission notice shall be included in all copies or substantial portions of the software the software is "
+     "provided as is without warranty of any kind express or implied including but not limited to the warranties of "
+     "merchantability fitness for a particular purpose and noninfringement in no event shall the authors or copyright "
+     "holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise "
+     "arising from out of or in connection with the software or the use or other dealings in the software", "mit"),
+    ("permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted "
+     "provided that the above copyright notice and this permission notice appear in all copies the software is provided "
+     "as is and the author disclaims all warranties with regard to this software including all implied warranties of "
+     "merchantability and fitness in no event shall the author be liable for any special direct indirect or consequential "
+     "damages or any damages whatsoever resulting from loss of use data or profits whether in an action of contract "
+     "negligence or other tortious action arising out of or in connection with the use or performance of this software", "isc"),
+    ("redistribution and use in source and binary forms with or without modification are permitted provided that the "
+     "following conditions are met 1 redistributions of source code must retain the above copyright notice this list of "
+     "conditions and the following disclaimer 2 redistributions in binary form must reproduce the above copyright notice "
+     "this list of conditions and the following disclaimer in the documentation and or other materials provided with the "
+     "distribution this software is provided by the copyright holders and contributors as is and any express or implied "
+     "warranties including but not limited to the implied warranties of merchantability and fitness for a particular "
+     "purpose are disclaimed in no event shall the copyright holder or contributors be liable for any direct indirect "
+     "incidental special exemplary or consequential damages including but not limited to procurement of substitute goods "
+     "or services loss of use data or profits or business interruption however caused and on any theory of liability "
+     "whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of "
+     "this software even if advised of the possibility of such damage", "bsd"),
+    ("this software is provided as is without any express or implied warranty in no event will the authors be held liable "
+     "for any damages arising from the use of this software permission is granted to anyone to use this software for any "
+     "purpose including commercial applications and to alter it and redistribute it freely subject to the following "
+     "restrictions 1 the origin of this software must not be misrepresented you must not claim that you wrote the original "
+     "software if you use this software in a product an acknowledgment in the product documentation would be appreciated "
+     "but is not required 2 altered source versions must be plainly marked as such and must not be misrepresented as being "
+     "the original software 3 this notice may not be removed or altered from any source distribution", "zlib"),
+)
+
+
 @dataclass(frozen=True)
 class Params:
     phrases: tuple[tuple[str, str], ...] = PHRASES
-    passages: tuple[tuple[str, str], ...] = PASSAGES
+    passages: tuple[tuple[str, str], ...] = PASSAGES + TEXTS
     neighbours: int = 3          # diagonals at most so far apart are merged
     covered: float = 0.6         # of a passage's 2-grams
     stretched: float = 1.5       # longest span, in lengths of the passage
@@ -60,20 +98,25 @@ def word_list(text: Column) -> Column:
     return F.array_remove(F.split(lower, BETWEEN_WORDS), "")
 
 
-def template_grams(spark: SparkSession, p: Params) -> DataFrame:
+def template_grams(spark: SparkSession, p: Params, own: DataFrame | None = None) -> DataFrame:
     """``template, label, exact, grams, place, first, second, gram``: a row for
-    each 2-gram of each template; of fixed size."""
-    listed = [(t, label, "true") for t, label in p.phrases] + [(t, label, "false") for t, label in p.passages]
-    rows = ", ".join(f"({i}, '{t}', '{label}', {exact})" for i, (t, label, exact) in enumerate(listed))
-    words = spark.sql(f"SELECT * FROM VALUES {rows} AS t(template, text, label, exact)").withColumn("w", F.split("text", " "))
+    each 2-gram of each template.  ``own``: further texts of licenses of any
+    length, ``label, text``; those of fewer than two words are left out."""
+    listed = [(t, label, True) for t, label in p.phrases] + [(t, label, False) for t, label in p.passages]
+    fixed = F.array(*[F.struct(F.lit(i).cast("string").alias("template"), F.lit(label).alias("label"), F.lit(exact).alias("exact"),
+                               F.split(F.lit(t), " ").alias("w")) for i, (t, label, exact) in enumerate(listed)])
+    words = spark.range(1).select(F.inline(fixed))
+    if own is not None:
+        words = words.unionByName(own.select(F.sha2(F.col("text"), 256).alias("template"), "label", F.lit(False).alias("exact"),
+                                             word_list(F.col("text")).alias("w")).where(F.size("w") > 1).distinct())
     grams = words.select("template", "label", "exact", (F.size("w") - 1).alias("grams"),
-                         F.posexplode(F.arrays_zip(F.col("w").alias("a"), F.slice("w", 2, 100000).alias("b"))).alias("place", "pair"))
+                         F.posexplode(F.arrays_zip(F.col("w").alias("a"), F.slice("w", 2, F.size("w")).alias("b"))).alias("place", "pair"))
     return grams.where("pair.b is not null").select(
         "template", "label", "exact", "grams", "place", F.col("pair.a").alias("first"), F.col("pair.b").alias("second"),
         F.xxhash64("pair.a", "pair.b").alias("gram"))
 
 
-def votes(texts: DataFrame, p: Params) -> DataFrame:
+def votes(texts: DataFrame, p: Params, own: DataFrame | None = None) -> DataFrame:
     """``id, digest, template, label, exact, grams, diagonal, places``: the
     template places that vote for each diagonal.
 
@@ -82,30 +125,51 @@ def votes(texts: DataFrame, p: Params) -> DataFrame:
     pairs = texts.select("id", "digest", F.posexplode(F.arrays_zip(
         F.col("words").alias("a"), F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))).alias("b"))).alias("at", "pair"))
     pairs = pairs.select("id", "digest", "at", F.col("pair.a").alias("a"), F.col("pair.b").alias("b")).withColumn("gram", F.xxhash64("a", "b"))
-    met = pairs.join(template_grams(texts.sparkSession, p), "gram").where("a = first and b = second")
+    met = pairs.join(template_grams(texts.sparkSession, p, own), "gram").where("a = first and b = second")
     return (met.withColumn("diagonal", F.col("at") - F.col("place"))
             .groupBy("id", "digest", "template", "label", "exact", "grams", "diagonal").agg(F.collect_set("place").alias("places")))
 
 
 def bands(voted: DataFrame, p: Params) -> DataFrame:
     """``id, digest, label, start, end, share``: verified spans of passages, in words."""
-    order = W.partitionBy("id", "digest", "template").orderBy("diagonal")
+    key = ["id", "digest", "template"]
+    order = W.partitionBy(*key).orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(order) > p.neighbours
-    merged = (voted.where("not exact").withColumn("band", F.sum(F.coalesce(gap, F.lit(True)).cast("int")).over(order))
+    banded = (voted.where("not exact").withColumn("band", F.sum(F.coalesce(gap, F.lit(True)).cast("int")).over(order))
               .withColumn("start", F.col("diagonal") + F.array_min("places"))
-              .withColumn("end", F.col("diagonal") + F.array_max("places") + 2)
-              .groupBy("id", "digest", "template", "label", "grams", "band")
+              .withColumn("end", F.col("diagonal") + F.array_max("places") + 2))
+    whole = W.partitionBy(*key, "band")
+    banded = banded.withColumn("span", F.max("end").over(whole) - F.min("start").over(whole))
+    long = F.col("span") > p.stretched * (F.col("grams") + 1)
+    merged = (banded.where(~long).groupBy(*key, "label", "grams", "band")
               .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("found"),
                    F.min("start").alias("start"), F.max("end").alias("end")))
-    return (merged.withColumn("share", F.col("found") / F.col("grams"))
-            .where((F.col("share") >= p.covered) & (F.col("end") - F.col("start") <= p.stretched * (F.col("grams") + 1)))
+    good = F.col("share") >= p.covered
+    fits = (merged.withColumn("share", F.col("found") / F.col("grams")).where(good)
             .select("id", "digest", "label", "start", "end", "share"))
-
-
-def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p: Params = PRODUCTION) -> DataFrame:
+    # Longer bands by cells of diagonals, and by cells half a cell further on: a
+    # passage whose diagonals are near each other is whole in one of them.
+    step = F.greatest(F.lit(1), F.floor((p.stretched - 1) * (F.col("grams") + 1)))
+    half = F.floor(step / 2)
+    cells = F.explode(F.array(F.struct(F.lit(0).alias("phase"), F.floor(F.col("diagonal") / step).alias("cell")),
+                              F.struct(F.lit(1).alias("phase"), F.floor((F.col("diagonal") + half) / step).alias("cell")))).alias("c")
+    parts = (banded.where(long).select(*key, "label", "grams", "places", "start", "end", cells)
+             .groupBy(*key, "label", "grams", "c.phase", "c.cell")
+             .agg(F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("found"), F.min("start").alias("start"), F.max("end").alias("end"))
+             .withColumn("share", F.col("found") / F.col("grams")).where(good))
+    first, second = parts.where("phase = 0"), parts.where("phase = 1")
+    taken = first.select(*[F.col(k).alias(f"_{k}") for k in key], F.explode(F.array("cell", F.col("cell") + 1)).alias("_cell"))
+    met = (F.col("id").eqNullSafe(F.col("_id")) & (F.col("digest") == F.col("_digest")) & (F.col("template") == F.col("_template"))
+           & (F.col("cell") == F.col("_cell")))
+    apart = first.unionByName(second.join(taken, met, "left_anti"))
+    return fits.unionByName(apart.select("id", "digest", "label", "start", "end", "share"))
+
+
+def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p: Params = PRODUCTION, templates: DataFrame | None = None) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, n_words, n_base, first_word,
     last_word, base_labels, labels, score`` and ``spans`` (label, start, end in
-    words, share; of passages only).
+    words, share; of passages only).  ``templates``: further texts of licenses, ``label,
+    text``, beside those of ``p``.
 
     ``n_base``: places of phrases; ``score``: 1 with a phrase, else the largest
     share of a passage that was found, 0 without any.  A null text is empty and
@@ -113,7 +177,7 @@ def scan(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", p: Params
     the same answer, also with a null id.  Other columns play no part.
     """
     texts = docs.select(F.col(doc_id).alias("id"), F.xxhash64(text).alias("digest"), word_list(F.col(text)).alias("words"))
-    voted = votes(texts, p)
+    voted = votes(texts, p, templates)
     exact = voted.where(F.col("exact") & (F.size("places") == F.col("grams"))).select(
         "id", "digest", "label", F.col("diagonal").alias("place"), F.lit(None).cast("int").alias("end"), F.lit(1.0).alias("share"))
     spans = bands(voted, p).select("id", "digest", "label", F.col("start").alias("place"), "end", "share")

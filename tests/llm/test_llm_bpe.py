@@ -57,3 +57,11 @@ def test_table(spark, edge_docs, edge_rows, no_docs, pair):
     back = bpe.decode(made, path, P.PATTERN)
     assert sorted(bytes(r.decoded) for r in back.collect()) == sorted((t or "").encode() for _, t, *_ in edge_rows)
     assert bpe.encode(no_docs, path, P.PATTERN, decoded=True).count() == 0
+
+
+def test_ids_outside_the_vocabulary(pair):
+    own, _ = pair
+    for bad in ([50_256 + 9], [None], [-1]):
+        with pytest.raises(ValueError):
+            own.decode(bad)
+    assert own.decode([]) == b""

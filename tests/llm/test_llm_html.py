@@ -86,3 +86,60 @@ def test_edges(spark):
     clash = spark.createDataFrame([(1, "<p>a</p>", "old")], "page_id long, html string, text string")
     assert [tuple(r) for r in htmltext.extract(clash).collect()] == [(1, "a")]
     assert op6(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_quotes_open_a_value_only_behind_an_equals_sign():
+    assert htmltext.main_text("<article><p it's>first</p><p>second</p><p it's>third</p></article>") == "first\n\nsecond\n\nthird"
+    assert htmltext.main_text("<article><p title = 'a > b' x=\"c > d\">v</p><p class=it's>w</p></article>") == "v\n\nw"
+
+
+@pytest.mark.parametrize("piece", ["<a '", "<a ='>' ", "<a =\"", "<p x=' ", "<!-", "</a", "<b>", "='>", "<script", "&amp;<", "<!--x", "< a=' >"])
+def test_stray_markup_takes_linear_time(piece):
+    import time
+
+    began = time.monotonic()
+    htmltext.main_text(piece * (1_000_000 if "'" in piece else 300_000))
+    assert time.monotonic() - began < 20
+
+
+def test_families_of_names():
+    for name in ("comment-list", "comments-area", "commentlist", "ad-slot", "sidebar-left", "comment_form", "widget-area", "site-footer"):
+        assert htmltext.main_text(f"<article><p>a</p><div class='{name}'><p>b</p></div><p>c</p></article>") == "a\n\nc", name
+    for name in ("commentary", "has-sidebar", "post-header", "ad-hoc", "entry-content", "advertising-history"):
+        assert htmltext.main_text(f"<article><p>a</p><div class='{name}'><p>b</p></div></article>") == "a\n\nb", name
+    assert htmltext.main_text(f"<p>{LONG}</p><div class='site-footer'><p>{LONG}</p></div>") == LONG.strip()
+
+
+def test_headline_in_the_header_of_the_article():
+    page = "<body><header><h1>Site</h1></header><article><header><h1>Headline</h1><p>By one</p></header><p>Text</p></article>"
+    assert htmltext.main_text(page) == "Headline\n\nText"
+
+
+def test_teasers_are_left_out_and_posts_kept():
+    teaser = "<article><h3><a href=x>More</a></h3><p>A short line.</p></article>"
+    assert htmltext.main_text(f"<article><h1>T</h1><p>{LONG}</p></article>{teaser * 3}") == "T\n\n" + LONG.strip()
+    assert htmltext.main_text(f"<article><p>{LONG}</p></article><article><p>{LONG[:119]}.</p></article>") == LONG.strip() + "\n\n" + LONG[:119] + "."
+
+
+def test_windows_decide_inside_an_article():
+    links = "<ul>" + "<li><a href=x>link</a>" * 4 + "</ul>"
+    page = f"<article>{links}<h1><a href=y>Title</a></h1><p>{LONG}</p>{links}<p>end</p>{links}</article>"
+    assert htmltext.main_text(page) == "Title\n\n" + LONG.strip() + "\n\nlink" * 4 + "\n\nend"
+    assert htmltext.main_text("<article><p><a href=x>only links</a></p></article>") == "only links"
+
+
+def test_generated_unmarked_pages():
+    """Brute force: the paragraphs between menus and footers, whatever stands between them."""
+    import random
+
+    for seed in range(60):
+        r = random.Random(seed)
+        menu = "<nav>" + "".join(f"<a href=/{i}>menu {i}</a> " for i in range(r.randint(0, 6))) + "</nav>" + "<ul>" + "<li><a href=z>entry</a></li>" * r.randint(0, 6) + "</ul>"
+        noise = ["<div class='ad-slot'><p>buy this now</p></div>", "<form><p>mail <input></p></form>", "<aside><p>side</p></aside>", "<!-- <p>no</p> -->",
+                 "<script>var x = '<p>no</p>';</script>", "<ul><li><a href=x>see also</a></li></ul>"]
+        body, want = "", []
+        for _ in range(r.randint(1, 12)):
+            t = " ".join(r.choice(["text", "word", "and", "it's", "A&amp;B", "<b>bold</b>", "<a href=q>linked</a>", "x"]) for _ in range(r.randint(20, 60))) + " end."
+            body += f"<p>{t}</p>\n" + "".join(r.choices(noise, k=r.randint(0, 3)))
+            want.append(" ".join(html.unescape(re.sub("<[^>]*>", "", t)).split()))
+        assert htmltext.main_text(f"<html><head><title>no</title></head><body>{menu}<div>{body}</div>{menu}<footer>f</footer></body></html>") == "\n\n".join(want), seed

@@ -76,3 +76,17 @@ def test_predictions_do_not_see_the_label(sample):
     changed = sample.selectExpr("doc_id", "text", "case when crc32(cast(cast(doc_id as string) as binary)) % 3 = 1 then 'zz' else lang end lang")
     a, b = (sorted((r.doc_id, r.lang_pred) for r in langid.identify(d, PATH).collect()) for d in (sample, changed))
     assert a == b
+
+
+def test_scripts_without_spaces_are_learnt(spark):
+    import random
+
+    import public_tokenizers as P
+    from assay.llm.queries import BPE_RANKS
+
+    r = random.Random(2)
+    pools = {"zh": "的一是不了人我在有他这中大来上国", "ja": "のにはをたがでてとしれさあいうえ", "en": "abcdefghijklmnop"}
+    rows = [(i, "".join(r.choice(pools[lang]) for _ in range(300)), lang) for i in range(60) for lang in pools]
+    docs = spark.createDataFrame([(k, t, lang) for k, (_, t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    got = {x.doc_id: x for x in langid.identify(docs, P.path(BPE_RANKS)).collect()}
+    assert all(got[k].lang_pred == lang for k, (_, _, lang) in enumerate(rows))

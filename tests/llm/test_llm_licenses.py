@@ -51,3 +51,45 @@ def test_repeated_rows_do_not_add_up(spark):
     rows = [(None, "mit license", None, None, None)] * 3 + [(1, "mit license", None, None, None)] * 2
     got = licenses.scan(spark.createDataFrame(rows, DOCS)).collect()
     assert [(r.n_base, r.first_word, r.labels) for r in got] == [(1, 0, "mit")] * 5
+
+
+def scanned(spark, rows, **kw):
+    return {r.doc_id: r for r in licenses.scan(spark.createDataFrame([(i, t, None, None, None) for i, t in rows.items()], DOCS), **kw).collect()}
+
+
+def test_bands_that_chain_stray_votes_are_taken_apart(spark):
+    passage = licenses.PASSAGES[0][0]
+    rows = {1: "permission is " * 60 + passage, 2: passage + " permission is" * 60, 3: "permission is " * 200,
+            4: "permission is " * 40 + passage + " permission is" * 40 + " " + passage, 5: passage}
+    got = scanned(spark, rows)
+    assert [got[i].labels for i in range(1, 6)] == ["mit", "mit", "", "mit", "mit"] and all(got[i].score == 1.0 for i in (1, 2, 4, 5))
+    assert len([s for s in got[4].spans if s.share == 1.0]) == 2 and all(s.end - s.start <= 1.5 * len(passage.split()) for i in got for s in got[i].spans or [] if s.share == 1.0)
+
+
+def test_whole_texts_and_own_templates(spark):
+    whole = {i: (label, t) for i, (t, label) in enumerate(licenses.TEXTS)}
+    cut = {i + 10: " ".join(t.split()[20:]) for i, (_, t) in whole.items()}            # their opening words are missing
+    got = scanned(spark, {i: t.upper() for i, (_, t) in whole.items()} | cut)
+    assert all(label in got[i].labels.split(",") and label in got[i + 10].labels.split(",") and got[i].score == 1.0 for i, (label, _) in whole.items())
+    own = prose(77, 5000)
+    table = spark.createDataFrame([("it's ours", own), ("o'one", "word"), ("it's ours", own), ("none", None)], "label string, text string")
+    got = scanned(spark, {1: prose(1, 50) + " " + own, 2: own[:200], 3: "word"}, templates=table)
+    assert [got[i].labels for i in (1, 2, 3)] == ["it's ours", "", ""]
+
+
+def test_labels_by_brute_force(spark, sample):
+    """A template of which enough 2-grams stand in one place gives its label, one of which too few stand anywhere does not."""
+    rows = {r.doc_id: r.text for r in sample.collect()}
+    templates = [(t.split(), label) for t, label in licenses.PASSAGES + licenses.TEXTS]
+    for i, (t, _) in enumerate(templates):
+        rows[20_000 + i] = " ".join([prose(i, 40), *t[: int(len(t) * 0.8)], prose(i + 50, 40)])
+        rows[21_000 + i] = " ".join([prose(i, 40), *t[: int(len(t) * 0.3)], prose(i + 50, 40)])
+    got = scanned(spark, rows)
+    for k, text in rows.items():
+        w = words_of(text)
+        grams = set(zip(w, w[1:]))
+        most = {label: max(sum(g in grams for g in zip(t, t[1:])) / (len(t) - 1) for t, name in templates if name == label) for _, label in templates}
+        labels = set(filter(None, got[k].labels.split(","))) - set(filter(None, got[k].base_labels.split(",")))
+        assert labels <= {label for label, share in most.items() if share >= licenses.PRODUCTION.covered}
+        if 20_000 <= k < 21_000:
+            assert templates[k - 20_000][1] in labels | set(got[k].base_labels.split(","))
