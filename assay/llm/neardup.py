@@ -14,7 +14,7 @@ Comparing a node takes two steps.  The classes' sketches (a byte of each minhash
 value) tell which classes look alike, well below the threshold, and belong to
 different components; only the texts of those move, once for each node.  Their
 full sets are then compared, all at once as a product of the matrix of sets with
-itself, and what comes out is a spanning forest of the confirmed links: never
+itself, and what comes out is which components the confirmed links connect: never
 more rows than went in.
 
 The first tree links up what it finds, larger nodes in random parts.  In these,
@@ -36,6 +36,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -52,9 +53,9 @@ class Params:
     shingle: int = 5
     percent: int = 75           # least similarity
     positions: int = 128        # of the signature
-    trees: int = 5
-    leaf: int = 1024            # classes compared at once
-    load: int = 1 << 21         # shingles of the classes compared at once
+    trees: int = 4
+    leaf: int = 2048            # classes compared at once
+    load: int = 1 << 22         # shingles of the classes compared at once
     whole: int = 8              # leaves of a node that is compared without branching on
     deepest: int = 12           # levels
     slack: float = 0.16         # below the threshold, for sketches: four standard deviations
@@ -139,7 +140,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str, p: Params) -> DataFrame:
     return docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("mark"), F.col(text).alias("text")).mapInArrow(run, schema)
 
 
-_LINK = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType())])
+_LINK = T.StructType([T.StructField("a", T.BinaryType()), T.StructField("b", T.BinaryType()), T.StructField("links", T.LongType())])
 _ROWS = T.StructType([T.StructField("path", T.LongType()), T.StructField("node", T.BinaryType()), T.StructField("root", T.BinaryType())])
 
 
@@ -206,36 +207,85 @@ def common(sets: list[np.ndarray]) -> np.ndarray:
     return both
 
 
-def forest(sets: list[np.ndarray], root: np.ndarray, percent: int) -> list[tuple[int, int]]:
-    """Confirmed links between sets of different roots that connect all that
-    such links connect, those of the most linked sets first."""
+def joined(sets: list[np.ndarray], root: np.ndarray, percent: int) -> tuple[list[list[int]], np.ndarray]:
+    """Groups of roots (numbers from 0) that links between sets of different
+    roots connect, and the most links that a set of each root has."""
     size = np.array([len(s) for s in sets])
     both = common(sets)
-    same = root[:, None] == root[None, :]
-    linked = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & ~same
-    degree, seen, found = linked.sum(axis=1), np.zeros(len(sets), bool), []
-    for start in np.argsort(-degree, kind="stable").tolist():
-        if seen[start] or not degree[start]:
+    linked = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & (root[:, None] != root[None, :])
+    degree = linked.sum(axis=1)
+    most = np.zeros(root.max() + 1, np.int64)
+    np.maximum.at(most, root, degree)
+    seen, groups = most == 0, []
+    for start in range(len(most)):
+        if seen[start]:
             continue
-        seen[start], queue = True, [start]
-        for u in queue:                                      # grows as it is read
-            for new, is_link in ((linked[u] & ~seen, True), (same[u] & ~seen, False)):
-                next_ = np.flatnonzero(new)
-                next_ = next_[np.argsort(-degree[next_], kind="stable")].tolist()
-                seen[next_] = True
-                queue += next_
-                found += [(u, v) for v in next_ if is_link]
-    return found
+        group, seen[start] = [start], True
+        for r in group:                                      # grows as it is read
+            new = np.unique(root[linked[root == r].any(axis=0)])
+            new = new[~seen[new]]
+            seen[new] = True
+            group += new.tolist()
+        groups.append(group)
+    return groups, most
+
+
+class Wanted:
+    """A Bloom filter of ids, of one size whatever their number."""
+
+    BITS, SET = 1 << 26, 5
+
+    def __init__(self) -> None:
+        self.data = np.zeros(self.BITS // 64, np.uint64)
+
+    @classmethod
+    def places(cls, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for i in range(cls.SET):
+            bit = tb.mix(keys + np.uint64(0x9E3779B97F4A7C15) * np.uint64(i + 1)) & np.uint64(cls.BITS - 1)
+            yield (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63))
+
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        good = np.ones(len(keys), bool)
+        for word, bit in self.places(keys):
+            good &= (self.data[word] & bit) != 0
+        return good
+
+
+def texts_of(ids: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Rows ``id, text`` of ``docs`` whose id is among ``ids`` (column ``id``),
+    joined with the columns of ``ids``.  A filter of fixed size, broadcast, leaves
+    out nearly all other rows before their texts are shuffled."""
+    spark = ids.sparkSession
+    ship(spark)
+    schema = T.StructType([T.StructField("word", T.LongType()), T.StructField("bits", T.LongType())])
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for word, bit in Wanted.places(batch.column(0).to_numpy().view(np.uint64)):
+                yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bit.view(np.int64))], names=schema.names)
+
+    keys = ids.select(F.xxhash64("id").alias("k"))
+    filter_ = Wanted()
+    for row in keys.mapInArrow(bits, schema).groupBy("word").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
+        filter_.data[row[0]] = np.int64(row[1]).view(np.uint64)
+    sent = spark.sparkContext.broadcast(filter_)
+
+    @F.pandas_udf("boolean")
+    def may_hold(k: pd.Series) -> pd.Series:
+        return pd.Series(sent.value.may_hold(k.to_numpy().view(np.uint64)))
+
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text is not null and id is not null")
+    return ids.join(rows.where(may_hold(F.xxhash64("id"))), "id")
 
 
 def confirmed(rows: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str, text: str, p: Params) -> DataFrame:
-    """``a, b``: of the classes under each path (``path, node, root``), links on
-    full sets that connect what their links connect.  A class's text is that of
-    its smallest id; where rows share that id the digest tells which it is."""
+    """``a, b, links``: of the classes under each path (``path, node, root``),
+    the components that links on full sets connect: each with the smallest of its
+    group, and the most links of a class of it.  A class's text is that of its
+    smallest id; where rows share that id the digest tells which it is."""
     ship(rows.sparkSession)
     wanted = rows.join(classes.select("node", "id"), "node").select("path", "node", "root", "id")
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text is not null")
-    members = wanted.join(texts, "id").select("path", "node", "root", "text").repartition("path").sortWithinPartitions("path", "node")
+    members = texts_of(wanted, docs, doc_id, text).select("path", "node", "root", "text").repartition("path").sortWithinPartitions("path", "node")
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes, bytes, np.ndarray]]:
         for batch in batches:
@@ -246,16 +296,19 @@ def confirmed(rows: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str,
                     if set_digest(s) == node:
                         yield path, node, root, s
 
-    def links(group: dict[bytes, tuple[bytes, np.ndarray]]) -> list[tuple[bytes, bytes]]:
+    def links(group: dict[bytes, tuple[bytes, np.ndarray]]) -> list[tuple[bytes, bytes, int]]:
         if len(group) < 2:
             return []
-        nodes, number = list(group), {}
-        root = np.array([number.setdefault(r, len(number)) for r, _ in group.values()])
-        return [(nodes[i], nodes[j]) for i, j in forest([s for _, s in group.values()], root, p.percent)]
+        roots: dict[bytes, int] = {}
+        root = np.array([roots.setdefault(r, len(roots)) for r, _ in group.values()])
+        groups, most = joined([s for _, s in group.values()], root, p.percent)
+        names = list(roots)
+        return [(names[r], least, int(most[r])) for g in groups for least in [min(names[r] for r in g)] for r in g]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def batch_of(found: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.binary()) for k in (0, 1)], names=_LINK.names)
+        def batch_of(found: list[tuple[bytes, bytes, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], kind) for k, kind in enumerate((pa.binary(), pa.binary(), pa.int64()))],
+                                              names=_LINK.names)
 
         at, group, found = None, {}, []
         for path, node, root, s in sets_of(batches):
@@ -271,6 +324,15 @@ def confirmed(rows: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str,
     return members.mapInArrow(run, _LINK)
 
 
+def _labels(linked: DataFrame) -> DataFrame:
+    """``node, root`` after a few steps along the smallest links: nodes of one
+    root are connected, though not all that are connected have one root yet."""
+    at = linked.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
+    for _ in range(2):
+        at = at.join(at.select(F.col("node").alias("root"), F.col("root").alias("beyond")), "root", "left").select("node", F.coalesce("beyond", "root").alias("root"))
+    return at
+
+
 def _cost(size: Column, load: Column, p: Params) -> Column:
     """Leaves that classes fill: 1 for what is compared at once."""
     return F.ceil(F.greatest(size / p.leaf, load / p.load))
@@ -313,7 +375,7 @@ def _centres(rows: DataFrame, linked: DataFrame, p: Params) -> DataFrame:
     """Large nodes (``path, node, root, n``) as parts of the classes beside the
     largest component, each with up to eight classes of it that have the most links."""
     known = rows.join(_shares(rows, p), "path")
-    links = linked.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count("*").alias("links"))
+    links = linked.groupBy(F.col("a").alias("node")).agg(F.max("links").alias("links"))
     centre = (known.where("root = of").join(links, "node").groupBy("path", "root", "outs", _among(F.lit(8)).alias("k"))
               .agg(F.max(F.struct("links", "node")).alias("x"))
               .select("path", F.col("x.node").alias("node"), "root", F.explode(F.sequence(F.lit(0).cast("long"), F.col("outs") - 1)).alias("part")))
@@ -333,7 +395,7 @@ def _children(rows: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str,
     """``path, node, n``, one level below ``path, node``; signatures are worked out anew from the texts."""
     ship(rows.sparkSession)
     at = rows.join(classes.select("node", "id", "n"), "node").groupBy("node", "id", "n").agg(F.collect_list("path").alias("paths"))
-    members = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text is not null").join(at, "id").select("node", "n", "paths", "text")
+    members = texts_of(at, docs, doc_id, text).select("node", "n", "paths", "text")
     schema = T.StructType([T.StructField("path", T.LongType()), T.StructField("node", T.BinaryType()), T.StructField("n", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -365,25 +427,25 @@ def connected(docs: DataFrame, classes: DataFrame, doc_id: str, text: str, p: Pa
     full = bare.groupBy("path").agg(F.count("*").alias("c"), F.sum("n").alias("l")).where("c > 1").select("path", _cost(F.col("c"), F.col("l"), p).alias("cost"))
     rows = stage(bare.join(full, "path"), "nodes")
     linked = links_of(leaves(rows).union(_parts(rows.where("cost > 1"))))
-    label = stage(components(linked), "labels")
+    label = stage(_labels(linked), "labels")
     # What is near the most linked classes of its large nodes.
-    rows = stage(_mixed(rows.where("cost > 1"), label, p), "mixed")
-    if not rows.isEmpty():
-        linked = linked.union(links_of(_centres(rows, linked, p)))
-        label = stage(components(linked), "labels")
+    large = rows.where("cost > 1")
+    if not large.isEmpty():
+        linked = linked.union(links_of(_centres(stage(_mixed(large, label, p), "mixed"), linked, p)))
+        label = stage(_labels(linked), "labels")
     # The nodes of all trees that hold more than one component, complete.
     rows = stage(_mixed(classes.select(F.explode("paths").alias("path"), "node", "n"), label, p), "mixed")
     for level in range(p.deepest):
         last = level == p.deepest - 1
         in_blocks = F.col("cost") > 1 if last else (F.col("cost") > 1) & (F.col("cost") <= p.whole)
         linked = linked.union(links_of(leaves(rows).union(_blocks(rows.where(in_blocks), p))))
-        label = stage(components(linked), "labels")
         rows = rows.where(F.col("cost") > p.whole)
         if last or rows.isEmpty():
-            return label
+            break
+        label = stage(_labels(linked), "labels")
         below = stage(_children(rows.select("path", "node"), docs, classes, doc_id, text, p), "children")
         rows = stage(_mixed(below, label, p), "mixed")
-    return label
+    return components(linked)
 
 
 def _marked(docs: DataFrame, doc_id: str, text: str, p: Params) -> DataFrame:

@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 from llm_cases import DOCS, edge_docs, edge_rows, no_docs, prose, sample, scratch  # noqa: F401
 
 from assay.llm import neardup
@@ -118,31 +119,35 @@ def test_blocks_let_two_components_meet(spark):
     assert sum(map(len, groups.values())) < 53 * 7          # fewer rows than all blocks against all
 
 
-def test_forest_of_full_sets():
-    """Links of a leaf connect what all its links connect, and are fewer than its classes."""
+def test_groups_of_full_sets():
+    """What the links of a leaf connect, by component, in no more rows than there are components."""
     import numpy as np
 
     r = random.Random(3)
     base = list(range(40))
     sets = [np.array(sorted(set(base) - set(r.sample(base, k % 9)) | {1000 * k + j for j in range(k % 4)}), np.uint64) for k in range(60)]
     root = np.array([k if k < 50 else 50 for k in range(60)])
-    links = neardup.forest(sets, root, 75)
+    groups, most = neardup.joined(sets, root, 75)
     alike = lambda a, b: 100 * len(set(a) & set(b)) >= 75 * len(set(a) | set(b))
-    assert all(alike(sets[a], sets[b]) and root[a] != root[b] for a, b in links) and len(links) < len(sets)
-
-    def parts(pairs):
-        of = list(range(60))
-        for a, b in pairs:
-            x, y = of[a], of[b]
-            of = [x if z == y else z for z in of]
-        return sorted([i for i in range(60) if of[i] == x] for x in set(of))
-
-    same = [(50, k) for k in range(51, 60)]
-    assert parts(links + same) == parts([(a, b) for a in range(60) for b in range(a) if alike(sets[a], sets[b])] + same)
+    pairs = [(a, b) for a in range(60) for b in range(60) if root[a] != root[b] and alike(sets[a], sets[b])]
+    of = list(range(51))
+    for a, b in pairs:
+        x, y = of[root[a]], of[root[b]]
+        of = [x if z == y else z for z in of]
+    want = [[i for i in range(51) if of[i] == x] for x in set(of)]
+    assert sorted(map(sorted, groups)) == sorted(g for g in want if len(g) > 1)
+    assert most.tolist() == [max(sum(1 for a, b in pairs if a == k) for k in range(60) if root[k] == x) for x in range(51)]
     both = neardup.common(sets)
     assert all(both[a, b] == len(set(sets[a]) & set(sets[b])) for a in range(60) for b in range(60) if a != b)
 
 
+def test_wanted_ids_are_never_left_out(spark):
+    ids = spark.range(0, 5000, 7).select(F.col("id"), F.lit(1).alias("x"))
+    docs = spark.range(20_000).select(F.col("id").alias("k"), F.concat(F.lit("t"), "id").alias("t"))
+    got = neardup.texts_of(ids, docs, "k", "t")
+    assert sorted((r.id, r.text) for r in got.collect()) == [(i, f"t{i}") for i in range(0, 5000, 7)]
+
+
 def test_rows_that_share_an_id(spark):
     """Of two rows with one id only the near copy goes."""
     text = prose(7, 200)
