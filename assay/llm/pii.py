@@ -165,6 +165,7 @@ def term_counts(docs: DataFrame, text: str, wanted: DataFrame, p: Params) -> Dat
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.unpackbits(shared.value).astype(bool)
         parts: list[tuple[np.ndarray, np.ndarray]] = []      # added up in the task, so that a term moves once
+        held_back, most = 0, 1_000_000
         for batch in batches:
             for block in tb.blocks(batch.column(0)):
                 words, first = tb.word_hashes(block, lower=True)
@@ -174,8 +175,11 @@ def term_counts(docs: DataFrame, text: str, wanted: DataFrame, p: Params) -> Dat
                 # each term once for each document
                 pair = tb.mix(words[keep].view(np.uint64) + tb.mix(owner.astype(np.uint64) + np.uint64(1)))
                 parts.append(np.unique(words[keep[np.unique(pair, return_index=True)[1]]], return_counts=True))
-                if sum(len(t) for t, _ in parts) > 1_000_000:
+                held_back += len(parts[-1][0])
+                if held_back > most:
                     parts = [summed(parts)]
+                    held_back = len(parts[0][0])
+                    most = max(most, 2 * held_back)          # so that all are added up again only when they have doubled
         if parts:
             term, n = summed(parts)
             yield pa.RecordBatch.from_arrays([pa.array(term), pa.array(n)], names=["term", "n"])
