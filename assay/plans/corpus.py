@@ -751,6 +751,9 @@ def assemble_documents(t):
     and both documents are built from that one array."""
     c = directive_cells(t)
     c = K.with_clean_todo(c.withColumn("targets", K.route(col("command"), col("directives"))))
+    # White space before a cell goes once, before both documents are built.
+    bare = lambda x: F.regexp_replace(x, rf"^{WS}+", "").alias(x)
+    c = c.select("doc_id", "pos", "cm", "directives", "targets", bare("command"), bare("cleaned"))
     c = c.select("doc_id", "pos", "cm", F.struct(
         "pos", "command", "cleaned", "targets",
         F.array_contains("directives", K.D_TODO).alias("is_todo"),
@@ -765,7 +768,6 @@ def assemble_documents(t):
         picked = F.filter("xs", lambda x: F.array_contains(x["targets"], target))
         body = F.transform(picked, lambda x: F.when(x["is_todo"] & F.lit(target == "student"), x["cleaned"])
                            .otherwise(x["command"]))
-        body = F.transform(body, lambda x: F.regexp_replace(x, rf"^{WS}+", ""))
         return F.concat(fixed("has_hdr", HEADER_CELL), body, fixed("has_ftr", FOOTER_CELL))
 
     docs = g.select("doc_id", "cm", F.explode(F.array(
