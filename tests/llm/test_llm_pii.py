@@ -123,3 +123,68 @@ def test_sanitise(spark):
     got = {r.doc_id: r.text for r in pii.sanitise(docs.withColumnRenamed("lang", "spans2")).collect()}
     assert "ask [term] the" in got[3] and "[email]" in got[3] and "@" not in "".join(got.values())
     assert "call hapax [phone] now" in got[9]
+
+
+def test_a_name_far_from_its_value(spark):
+    """``Zorblat`` stands thirty and more words away from the address, in three unlike texts and nowhere else."""
+    texts = [f"{prose(i, 60)} the {prose(90 + i, 60)}" for i in range(60)]
+    for i in (3, 5, 8):
+        texts[i] = f"{prose(300 + i, 20)} {i}th Zorblat {i}nd {prose(400 + i, 40)} at jo.doe@mail.example.com today {prose(200 + i, 10)} zorblat"
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)] + [(None, texts[3], None, None, None)], DOCS)
+    rows = pii.find(docs).collect()
+    for r in rows:
+        terms = [texts[r.doc_id if r.doc_id is not None else 3][s.start:s.end].lower() for s in r.spans if pii.KINDS[s.kind] == "term"]
+        assert terms.count("zorblat") == (2 if r.doc_id in (3, 5, 8, None) else 0) and "the" not in terms
+    clean = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert "zorblat" not in clean[5].lower()
+
+
+def test_copies_of_a_text_keep_their_words(spark):
+    """Two texts that differ a little hold an address: their rare words are not taken for its disclosure."""
+    import random
+
+    base = prose(500, 200, 100_000).split(" ")
+    texts = [f"{prose(i, 60)} {prose(90 + i, 60)}" for i in range(60)]
+    for i in (3, 5):
+        words = [w if random.Random(i * 1000 + k).random() > 0.05 else f"edit{i}x{k}" for k, w in enumerate(base)]
+        texts[i] = " ".join([*words[:100], "jo.doe@mail.example.com", *words[100:]])
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    found = {r.doc_id: [s for s in r.spans if pii.KINDS[s.kind] == "term"] for r in pii.find(docs).collect()}
+    assert all(len(found[i]) <= 8 for i in (3, 5)) and not any(found[i] for i in found if i not in (3, 5))
+
+
+def test_shares_anywhere_match_brute_force(spark):
+    import math
+
+    texts = [f"{prose(i, 40)} {prose(90 + i, 40)}" for i in range(40)]
+    for i, extra in {3: "alpha x beta a@b.de", 5: "y alpha z +49 30 1234567 a@b.de", 8: "gamma alpha u beta v a@b.de", 9: "w beta gamma t +49 30 1234567", 12: "beta"}.items():
+        texts[i] += " " + extra
+    texts += [texts[3]] * 3
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCS)
+    p = pii.Params(disclosure=0.5, alike=99)
+    got = sorted(round(r.share, 9) for r in pii.disclosing_anywhere(docs, pii.scan(docs, "doc_id", "text", p), "text", p).collect())
+    words, entities, beside = [], [], []
+    for t in texts:
+        spans = pii.base_spans(t)
+        w, free, _ = pii.free_words(t, spans) if spans else ([m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", t)], None, [])
+        words.append({t[s:e].lower() for i, (s, e) in enumerate(w) if free is None or free[i]})
+        entities.append({t[s:e].lower() for s, _, e in spans})
+        every = [None, *(t[s:e].lower() for s, e in w), None]
+        first: dict = {}
+        for i in range(len(w)):
+            if free is None or free[i]:
+                first.setdefault(every[i + 1], (every[i], every[i + 2]))
+        beside.append(first)
+    plain = [set(t.lower().split()) for t in texts]
+    want = []
+    for entity in set().union(*entities):
+        held = [i for i, e in enumerate(entities) if entity in e]
+        if len({texts[i] for i in held}) >= 2:
+            for term in set().union(*(words[i] for i in held)):
+                at = [i for i in held if term in words[i]]
+                n = sum(term in w for w in plain)
+                share = math.log2(len(texts) * len(at) / (len(held) * n)) / math.log2(len(texts) / len(held))
+                unlike = all(len({beside[i][term][side] for i in at}) > 1 for side in (0, 1))
+                if len({texts[i] for i in at}) >= 2 and share >= 0.5 and unlike:
+                    want.append(round(share, 9))
+    assert got == sorted(want) and len(got) >= 4
