@@ -36,7 +36,6 @@ from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -270,12 +269,17 @@ def texts_of(ids: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFra
         filter_.data[row[0]] = np.int64(row[1]).view(np.uint64)
     sent = spark.sparkContext.broadcast(filter_)
 
-    @F.pandas_udf("boolean")
-    def may_hold(k: pd.Series) -> pd.Series:
-        return pd.Series(sent.value.may_hold(k.to_numpy().view(np.uint64)))
-
+    kinds = {f.name: f.dataType for f in docs.schema.fields}
     rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).where("text is not null and id is not null")
-    return ids.join(rows.where(may_hold(F.xxhash64("id"))), "id")
+    schema = T.StructType([T.StructField("id", kinds[doc_id]), T.StructField("text", kinds[text])])
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = sent.value.may_hold(batch.column(2).to_numpy().view(np.uint64))
+            if good.any():
+                yield batch.select(["id", "text"]).filter(pa.array(good))
+
+    return ids.join(rows.withColumn("k", F.xxhash64("id")).mapInArrow(keep, schema), "id")
 
 
 def confirmed(rows: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str, text: str, p: Params) -> DataFrame:
