@@ -30,7 +30,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from assay.llm.staging import ship
+from assay.llm.staging import hold, ship
 
 #: Pieces, and pairs, that a worker process remembers; the longest piece of them.
 REMEMBER, REMEMBER_CHARS = 600_000, 64
@@ -161,6 +161,10 @@ def encoder(path: str, pattern: str) -> Encoder:
     return _encoders[path, pattern]
 
 
+def forget() -> None:
+    _encoders.clear()
+
+
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = False) -> DataFrame:
     """``docs`` without ``text``, with ``ids`` (array of int) and, if asked
     for, ``decoded`` (binary): the bytes that the ids stand for.
@@ -176,6 +180,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded
     columns = [f"`{f.name}`" for f in others] + [f"`{text}`"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("bpe")
         own = encoder(path, pattern)
         for batch in batches:
             at = 0
@@ -205,6 +210,7 @@ def decode(encoded: DataFrame, path: str, pattern: str, ids: str = "ids") -> Dat
     schema = T.StructType([*others, T.StructField("decoded", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("bpe")
         own = encoder(path, pattern)
         for batch in batches:
             back = [own.decode(x.as_py() or []) for x in batch.column(len(others))]

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from assay.llm import textblocks as tb
-from assay.llm.staging import ship, stage
+from assay.llm.staging import hold, ship, stage
 
 UNDETERMINED = "und"
 
@@ -220,6 +220,10 @@ class _Words:
 _known: dict[str, _Words] = {}
 
 
+def forget() -> None:
+    _known.clear()
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text", p: Params = PRODUCTION) -> DataFrame:
     """``docs`` without ``text``, with ``lang_pred`` and ``score``.
 
@@ -240,6 +244,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", p: Params = PRODU
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from assay.llm.langid import _Words, _known
 
+        hold("langid")
         if name not in _known:
             _known.clear()
             _known[name] = _Words(shared.value, p.remember)

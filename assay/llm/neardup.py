@@ -44,7 +44,7 @@ from pyspark.sql import types as T
 
 from assay.llm import textblocks as tb
 from assay.llm.components import components
-from assay.llm.staging import ship, stage
+from assay.llm.staging import hold, ship, stage
 
 
 @dataclass(frozen=True)
@@ -54,7 +54,7 @@ class Params:
     positions: int = 128        # of the signature
     trees: int = 4
     leaf: int = 2048            # classes compared at once
-    load: int = 1 << 22         # shingles of the classes compared at once
+    load: int = 1 << 21         # shingles of the classes compared at once
     whole: int = 8              # leaves of a node that is compared without branching on
     deepest: int = 12           # levels
     slack: float = 0.16         # below the threshold, for sketches: four standard deviations
@@ -121,6 +121,7 @@ def sketches(docs: DataFrame, doc_id: str, text: str, p: Params) -> DataFrame:
     trees = tb.mix(np.arange(1, p.trees + 1, dtype=np.uint64))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold()
         for batch in batches:
             for block in tb.blocks(batch.column(2)):
                 sets = list(shingle_sets(block, p.shingle))
@@ -173,6 +174,7 @@ def look_alikes(rows: DataFrame, classes: DataFrame, p: Params) -> DataFrame:
     least = int((p.percent / 100 - p.slack) * p.positions)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold()
         for table, first in whole_groups(batches):
             s, n = _fixed(table.column("sketch"), p.positions), table.column("n").to_numpy()
             root = np.unique(_fixed(table.column("root"), 16), axis=0, return_inverse=True)[1].ravel()
@@ -195,7 +197,8 @@ def common(sets: list[np.ndarray]) -> np.ndarray:
     owner, shared = np.repeat(np.arange(len(sets)), [len(s) for s in sets]), count > 1
     number = np.cumsum(shared) - 1
     owner, column = owner[shared[column]], number[column[shared[column]]]
-    both, width = np.zeros((len(sets), len(sets))), max(1, CELLS // len(sets))
+    exact = np.float32 if max(len(s) for s in sets) < 1 << 24 else np.float64       # counts stay exact
+    both, width = np.zeros((len(sets), len(sets)), exact), max(1, CELLS // len(sets))
     order = np.argsort(column, kind="stable")
     owner, column = owner[order], column[order]
     for start in range(0, int(shared.sum()), width):
@@ -211,7 +214,11 @@ def joined(sets: list[np.ndarray], root: np.ndarray, percent: int) -> tuple[list
     roots connect, and the most links that a set of each root has."""
     size = np.array([len(s) for s in sets])
     both = common(sets)
-    linked = (100 * both >= percent * (size[:, None] + size[None, :] - both)) & (root[:, None] != root[None, :])
+    linked = np.zeros((len(sets), len(sets)), bool)
+    for i in range(0, len(sets), SOME):                      # some rows at a time
+        part = slice(i, i + SOME)
+        shared = both[part].astype(np.int64)
+        linked[part] = (100 * shared >= percent * (size[part, None] + size - shared)) & (root[part, None] != root)
     degree = linked.sum(axis=1)
     most = np.zeros(root.max() + 1, np.int64)
     np.maximum.at(most, root, degree)
@@ -310,6 +317,7 @@ def confirmed(rows: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str,
         return [(names[r], least, int(most[r])) for g in groups for least in [min(names[r] for r in g)] for r in g]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold()
         def batch_of(found: list[tuple[bytes, bytes, int]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], kind) for k, kind in enumerate((pa.binary(), pa.binary(), pa.int64()))],
                                               names=_LINK.names)
@@ -403,6 +411,7 @@ def _children(rows: DataFrame, docs: DataFrame, classes: DataFrame, doc_id: str,
     schema = T.StructType([T.StructField("path", T.LongType()), T.StructField("node", T.BinaryType()), T.StructField("n", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold()
         for batch in batches:
             for at in range(0, batch.num_rows, SOME):
                 part = batch.slice(at, SOME)

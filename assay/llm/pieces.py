@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from assay.llm.staging import ship
+from assay.llm.staging import hold, ship
 
 MARK = "▁"
 #: Words, and pairs of pieces, that a worker process remembers; the longest word of them.
@@ -211,6 +211,10 @@ def model(path: str) -> Model:
     return _models[path]
 
 
+def forget() -> None:
+    _models.clear()
+
+
 def encode(docs: DataFrame, path: str, text: str = "text", decoded: bool = False) -> DataFrame:
     """``docs`` without ``text``, with ``ids`` (array of int) and, if asked
     for, ``decoded`` (string): the text that the ids stand for.
@@ -227,6 +231,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", decoded: bool = False
                            *[T.StructField("decoded", T.StringType())] * decoded])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("pieces")
         own = model(path)
         for batch in batches:
             at = 0
@@ -256,6 +261,7 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     schema = T.StructType([*others, T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hold("pieces")
         own = model(path)
         for batch in batches:
             back = [own.decode(x.as_py() or []) for x in batch.column(len(others))]

@@ -4,6 +4,7 @@ loss of executors and can be read by any of them."""
 from __future__ import annotations
 
 import io
+import sys
 import uuid
 import zipfile
 from pathlib import Path
@@ -66,3 +67,17 @@ def ship(spark: SparkSession) -> None:
     out.close()
     sc.addPyFile(store.makeQualified(path).toString())
     _shipped.add(sc.applicationId)
+
+
+#: Operators that keep tables in a worker process from task to task; each has a ``forget``.
+REMEMBERING = ("bpe", "pieces", "langid")
+
+
+def hold(own: str = "") -> None:
+    """Called in a worker process when a task begins: the tables of other
+    operators go, so that a process that serves several stages holds those of
+    one at a time."""
+    for name in REMEMBERING:
+        module = sys.modules.get(f"{__package__}.{name}")
+        if module is not None and name != own:
+            module.forget()

@@ -79,3 +79,16 @@ def test_last_stage_decodes_and_checks(spark, sample, monkeypatch):
     monkeypatch.setattr(cp.bpe, "encode", lambda docs, *a, **k: real(docs, *a, **k).withColumn("decoded", cp.F.lit(b"other")))
     with pytest.raises(Exception, match="do not give the text back"):
         cp.tokenise(spark, sample, SF).collect()
+
+
+def test_a_worker_holds_the_tables_of_one_operator(spark):
+    from assay.llm import langid, pieces, staging
+
+    own = bpe.encoder(P.path(BPE_RANKS), P.PATTERN)
+    own.encode("some words")
+    pieces.model(P.path("piece_bpe_32k.model"))
+    langid._known["x"] = None
+    staging.hold("bpe")
+    assert bpe._encoders and not pieces._models and not langid._known
+    staging.hold()
+    assert not bpe._encoders
