@@ -43,7 +43,7 @@ class _Remembered(dict):
     since then replace the older ones."""
 
     def __init__(self, compute, keep):
-        self.compute, self.keep, self.older = compute, keep, {}
+        self.compute, self.keep, self.older, self.most = compute, keep, {}, REMEMBER
 
     def __missing__(self, key):
         value = self.older.get(key)
@@ -51,7 +51,7 @@ class _Remembered(dict):
             value = self.compute(key)
             if not self.keep(key):
                 return value
-        if len(self) >= REMEMBER // 2:
+        if len(self) >= self.most // 2:
             self.older = dict(self)
             self.clear()
         self[key] = value
@@ -165,9 +165,11 @@ def forget() -> None:
     _encoders.clear()
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = False,
+           remember: int = REMEMBER) -> DataFrame:
     """``docs`` without ``text``, with ``ids`` (array of int) and, if asked
-    for, ``decoded`` (binary): the bytes that the ids stand for.
+    for, ``decoded`` (binary): the bytes that the ids stand for.  ``remember``:
+    pieces, and pairs, that a worker process keeps; fewer take more time.
 
     Map-only.  Null counts as the empty text, which has no ids.  Other columns
     stay as they are but for those named like an output.  Beside a text, memory
@@ -182,6 +184,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold("bpe")
         own = encoder(path, pattern)
+        own.pieces.most = own.side_by_side.most = remember
         for batch in batches:
             at = 0
             while at < batch.num_rows:

@@ -9,6 +9,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from assay.session import checkpoint_dir
@@ -81,3 +82,4 @@ def hold(own: str = "") -> None:
         module = sys.modules.get(f"{__package__}.{name}")
         if module is not None and name != own:
             module.forget()
+    pa.default_memory_pool().release_unused()
