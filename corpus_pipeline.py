@@ -16,6 +16,10 @@ from assay.llm.queries import BPE_RANKS
 from assay.llm.staging import mark, release, stage
 
 
+#: Pieces that a worker keeps in the last stage, beside what the stages before it have left in memory.
+REMEMBER = 150_000
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the base rules or the compression bands go; null
     texts fail.  An empty table stays empty, further columns stay."""
@@ -45,7 +49,7 @@ def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text decoded from the ids.  A text whose ids do not give it back fails the
     job.  Null counts as the empty text."""
     given = docs.select("doc_id", "lang", "source", "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("was"))
-    done = bpe.encode(given, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN, decoded=True)
+    done = bpe.encode(given, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN, decoded=True, remember=REMEMBER)
     text = F.col("decoded").cast("string")
     same = F.xxhash64(text) == F.col("was")
     return done.select("doc_id", "lang", "source", "ids", F.when(same, text).otherwise(
