@@ -3,6 +3,7 @@ loss of executors and can be read by any of them."""
 
 from __future__ import annotations
 
+import ctypes
 import io
 import sys
 import uuid
@@ -77,9 +78,13 @@ REMEMBERING = ("bpe", "pieces", "langid")
 def hold(own: str = "") -> None:
     """Called in a worker process when a task begins: the tables of other
     operators go, so that a process that serves several stages holds those of
-    one at a time."""
+    one at a time, and memory that earlier tasks have freed goes back to the
+    system."""
     for name in REMEMBERING:
         module = sys.modules.get(f"{__package__}.{name}")
         if module is not None and name != own:
             module.forget()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # glibc has it
+    if trim is not None:
+        trim(0)
