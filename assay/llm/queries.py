@@ -57,10 +57,10 @@ def op1(pages: DataFrame) -> DataFrame:
     return urls.filter_urls(pages.select("page_id", "url"), urls.rules_frame(pages.sparkSession)).drop("url")
 
 
-@register("op7_quality_rules", "documents")
-def op7(documents: DataFrame) -> DataFrame:
-    """Counts, base rule and compression verdict of every document."""
-    return quality.quality(documents.select("doc_id", "text")).select(
+@register("op7_quality_rules", "documents labels")
+def op7(documents: DataFrame, labels: DataFrame) -> DataFrame:
+    """Counts, base rule and compression verdict of every document, by bands fitted to the labels."""
+    return quality.quality(documents.select("doc_id", "text"), bands=quality.fit_bands(documents, labels)).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 

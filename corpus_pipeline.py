@@ -21,9 +21,10 @@ REMEMBER = 150_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or the compression bands go; null
-    texts fail.  An empty table stays empty, further columns stay."""
-    return quality.keep_quality(docs)
+    """Documents that fail the base rules or the compression bands, fitted to the
+    labels table, go; null texts fail.  An empty table stays empty, further columns stay."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return quality.keep_quality(docs, bands=quality.fit_bands(docs, labels))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,6 +5,7 @@ import public_tokenizers as P
 import pytest
 from test_llm_neardup import brute as near
 from test_llm_quality import brute as counts
+from test_llm_quality import brute_bands
 from llm_cases import edge_docs, edge_rows, no_docs, sample, scratch  # noqa: F401
 
 from assay.llm import bpe, mixing, quality
@@ -35,14 +36,16 @@ def ids(frame):
     return sorted(r.doc_id for r in frame.select("doc_id").collect())
 
 
-def test_each_stage_against_brute_force(stages, sample):
+def test_each_stage_against_brute_force(spark, stages, sample):
     import zstandard
 
     pack = zstandard.ZstdCompressor(level=quality.PRODUCTION.level)
+    rated = [(r.doc_id, r.quality) for r in spark.read.parquet(f"{SF}/labels.parquet").collect()]
+    bands = brute_bands([(r.doc_id, r.text) for r in sample.collect()], rated, quality.FIT)
     for before, after in stages[:-1]:
         assert after.columns == sample.columns
     rows = [tuple(r) for r in sample.collect()]
-    kept = [r for r in rows if not counts(r[1])[-1] and quality.compression_verdict(r[1].encode(), quality.PRODUCTION, pack)]
+    kept = [r for r in rows if not counts(r[1])[-1] and quality.compression_verdict(r[1].encode(), bands, pack)]
     assert ids(stages[0][1]) == sorted(r[0] for r in kept)
     norm = {}
     for r in sorted(kept):
