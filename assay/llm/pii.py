@@ -260,10 +260,13 @@ def disclosing_anywhere(docs: DataFrame, scanned: DataFrame, text: str, p: Param
     rare = (F.col("holders") * F.pow(total / F.col("holders"), F.lit(1 - p.disclosure))).alias("rare")
     known = stage(in_text.join(held, "entity").select("digest", "w", "entity", "holders", rare), "entities")
     limit = known.groupBy("digest").agg(F.max("rare").alias("limit"))
-    of_text = texts.join(limit, "digest").select("digest", "limit", F.explode("terms").alias("x")).select("digest", "limit", "x.*")
-    several = of_text.groupBy("term").agg(F.count("*").alias("texts")).where(F.col("texts") >= p.support).select("term")
-    several = stage(several, "several")
-    counts = stage(several.join(term_counts(docs, text, several, p), "term"), "counts")
+    of_text = texts.join(limit, "digest").select("digest", "w", "limit", F.explode("terms").alias("x")).select("digest", "w", "limit", "x.*")
+    several = of_text.groupBy("term").agg(F.count("*").alias("texts"), F.sum("w").alias("seen"), F.max("limit").alias("limit"))
+    several = stage(several.where(F.col("texts") >= p.support).select("term", "seen", (F.col("seen") <= F.col("limit")).alias("may_be_rare")), "several")
+    # A term that texts with entities alone hold too often needs no count over all rows.
+    open_ = several.where("may_be_rare").select("term")
+    counts = stage(open_.join(term_counts(docs, text, open_, p), "term")
+                   .unionByName(several.where("not may_be_rare").select("term", F.col("seen").alias("n"))), "counts")
     few = of_text.join(counts, "term").where("n <= limit").select("digest", "term", "left", "right", "n")
     pairs = known.join(few, "digest").where("n <= rare")
     together = stage(pairs.groupBy("entity", "term").agg(F.sum("w").alias("both"), F.count("*").alias("texts"), F.max("n").alias("n"),
