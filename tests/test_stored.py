@@ -98,3 +98,22 @@ def test_second_snapshot_reads_changed_files_only(spark):
     N.take(spark, tree, state)
     assert {r.path: r.version for r in N.present(spark, state).collect()}["/a/b/g.txt"] == 3
     assert N.take(spark, tree, state) == 3 and N.history(spark, state).where("run = 3").count() == 0
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    from assay.sources.files import list_files
+
+    for i in range(150):
+        (tmp_path / "tree" / f"d{i}").mkdir(parents=True)
+        (tmp_path / "tree" / f"d{i}" / "f.txt").write_text("x" * (i + 1))
+    sc, name = spark.sparkContext, "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    sc.setJobGroup("listing", "listing")
+    try:
+        listed = list_files(spark, str(tmp_path / "tree"))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in sc.statusTracker().getJobIdsForGroup("listing") for s in sc.statusTracker().getJobInfo(j).stageIds]
+    assert 0 < sum(sc.statusTracker().getStageInfo(s).numTasks for s in stages) <= max(32, 2 * sc.defaultParallelism) < 150
+    assert {(r.path, r.length) for r in listed.collect()} == {(f"/d{i}/f.txt", i + 1) for i in range(150)}
+    assert spark.conf.get(name) == before
