@@ -60,7 +60,6 @@ class Bands:
 class Fit:
     """How bands are fitted to labelled texts."""
 
-    sample: int = 20_000        # labelled documents, about, drawn evenly by hash
     per_doubling: int = 4       # length bands
     least: int = 30             # good texts in a band and its neighbours, else it is not narrowed
     margin: float = 0.01        # of the ratio, beyond what good texts have
@@ -181,34 +180,35 @@ def fit_bands(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text:
     (``label`` is 1): what remains outside lies beyond all good texts of like
     length by ``fit.margin``.
 
-    Fitted on about ``fit.sample`` labelled documents, whole texts, drawn evenly by
-    a hash of the id.  An id that has a label other than 1, or null, is not good;
-    null ids, null texts and texts that fail the base rules do not count, repeated
-    rows do.  Lengths with fewer than ``fit.least`` good texts keep their band, so
-    empty tables change nothing.  To the driver come one row for each length band.
+    Fitted on all labelled documents, whole texts.  An id that has a label other
+    than 1, or null, is not good; null ids, null texts and texts that fail the base
+    rules do not count, repeated rows do.  Lengths with fewer than ``fit.least`` good
+    texts keep their band, so empty tables change nothing.  Texts are measured where
+    they are read, so that the join with the labels moves a few numbers for each; to
+    the driver comes one row for each length band.
     """
     spark = docs.sparkSession
     ship(spark)
-    labels = labels.select(F.col(f"`{doc_id}`").alias("id"), (F.col(f"`{label}`") == 1).alias("good")).where("id is not null")
-    share = min(1.0, fit.sample / max(1, labels.count()))
-    good = (labels.where(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
+    good = (labels.select(F.col(f"`{doc_id}`").alias("id"), (F.col(f"`{label}`") == 1).alias("good")).where("id is not null")
             .groupBy("id").agg(F.bool_and(F.coalesce("good", F.lit(False))).alias("good")).where("good").select("id"))
-    texts = (docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).where("text is not null")
-             .join(F.broadcast(good), "id", "left_semi").select("text"))
-    schema = T.StructType([T.StructField("k", T.IntegerType()), *[T.StructField(c, T.DoubleType()) for c in ("ratio", "low", "high")]])
+    texts = docs.select(F.col(f"`{doc_id}`").alias("id"), F.col(f"`{text}`").alias("text")).where("id is not null and text is not null")
+    schema = T.StructType([texts.schema["id"], T.StructField("k", T.IntegerType()), *[T.StructField(c, T.DoubleType()) for c in ("ratio", "low", "high")]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hold()
         pack = zstandard.ZstdCompressor(level=bands.level)
         for batch in batches:
-            for block in tb.blocks(batch.column(0)):
+            ids, at = batch.column(0), 0
+            for block in tb.blocks(batch.column(1)):
                 raw, failed = block.data.tobytes(), base_fails(block_counts(block))
+                fine = ids.slice(at, len(failed)).filter(pa.array(~failed))
+                at += len(failed)
                 own = [raw[s:e] for s, e, f in zip(block.bounds[:-1].tolist(), block.bounds[1:].tolist(), failed) if not f]
                 rows = [(fit.index(len(d)), *measures(d, bands, pack)) for d in own]
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), *[pa.float64()] * 3))],
-                                                 names=schema.names)
+                yield pa.RecordBatch.from_arrays(
+                    [fine, *[pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), *[pa.float64()] * 3))]], names=schema.names)
 
-    found = {r.k: r for r in texts.mapInArrow(run, schema).groupBy("k").agg(
+    found = {r.k: r for r in texts.mapInArrow(run, schema).join(good, "id", "left_semi").groupBy("k").agg(
         F.count(F.lit(1)).alias("n"), F.min("ratio").alias("least"), F.max("ratio").alias("most"),
         F.min("low").alias("low"), F.max("high").alias("high")).collect()}
     limits = []
