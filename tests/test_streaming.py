@@ -94,3 +94,30 @@ def test_a_failing_batch_is_set_aside(spark):
     assert v == {(f, c): (c != "set" or f != "20", f != "20", 10) for f in ("0", "10", "20", "30") for c in ("set", "mean")}
     assert sorted(r.id for r in G.quarantine(spark, f"{root}/out").collect()) == list(range(20, 30))
     assert G.passed(spark, f"{root}/out").count() == 30
+
+
+def test_live_state_is_a_stored_table_of_bounded_size(spark):
+    """One file a trigger, five triggers in one run, against a replay by hand; a run without news changes nothing."""
+    import glob
+    import time
+
+    from assay.streaming import expiring as E
+
+    root = sinks.new_scratch(spark, "expiring")
+    arrivals = [[("a", 1, 1, 1.0), ("b", 2, 2, 2.0)], [("c", 9, 3, 3.0)], [("a", 9, 4, 4.0), ("a", 9, 5, None), ("b", 3, 6, 6.0)],
+                [("a", 9, 5, 7.0), ("d", 10, 7, 8.0)], [("e", 20, 8, 9.0)]]
+    for rows in arrivals:
+        spark.createDataFrame([(k, f"2024-01-{d:02d} 00:00:00", i, v) for k, d, i, v in rows], "k string, ts string, id long, v double") \
+            .selectExpr("k", "cast(ts as timestamp_ntz) ts", "id", "v").coalesce(1).write.mode("append").parquet(f"{root}/in")
+        time.sleep(1.1)                      # distinct modification times order the files
+    schema = spark.read.parquet(f"{root}/in").schema
+    take = lambda: E.keep_live(J.file_stream(spark, f"{root}/in", schema, max_files_per_trigger=1), ["k"], "v", "ts", "id", 5 * 86400, "1 hour",
+                               f"{root}/out", f"{root}/ckpt")
+    take()
+    rows = sorted(((r.batch_id, r.k, r.v, r.live) for r in E.changes(spark, f"{root}/out").collect()), key=repr)
+    assert rows == sorted([(0, "a", 1.0, True), (0, "b", 2.0, True), (1, "c", 3.0, True), (1, "a", 1.0, False), (1, "b", 2.0, False),
+                           (2, "a", None, True), (3, "d", 8.0, True), (4, "e", 9.0, True), (4, "a", None, False), (4, "c", 3.0, False),
+                           (4, "d", 8.0, False)], key=repr)
+    take()
+    assert {r.k: r.v for r in E.read_live(spark, f"{root}/out", ["k"], "v").collect()} == {"e": 9.0}
+    assert len(glob.glob(f"{root.replace('file:', '')}/out-state/batch_id=*")) == 2
