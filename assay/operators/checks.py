@@ -296,13 +296,14 @@ def isolate(df: DataFrame, checks: list[Check]) -> list[Check]:
 
 
 def run_suite(df: DataFrame, checks: list[Check], suite: str = "suite",
-              extra: dict[str, Column] | None = None) -> DataFrame:
-    """One aggregate pass over ``df`` -> one result row per check.
+              extra: dict[str, Column] | None = None, by: Column | None = None) -> DataFrame:
+    """One aggregate pass over ``df`` -> one result row per check, or for each
+    group of ``by`` one row per check (``extra`` aggregates tell groups apart).
 
     Columns: suite, seq, check_id, description, status, passed, points,
     max_points, hint, (message, if a check raised when isolated,) score, max_score, percentage, suite_passed, plus any
     ``extra`` aggregates computed in the same pass.  Statuses,
-    score and percentage are computed on the single aggregated row before it
+    score and percentage are computed on the aggregated row before it
     is unpivoted, so the checked frame is scanned exactly once.
     """
     deps = _resolve_deps(suite, checks)
@@ -320,7 +321,7 @@ def run_suite(df: DataFrame, checks: list[Check], suite: str = "suite",
             aggs.append(c.actual.alias(f"_act{i}"))
     extra = extra or {}
     aggs += [c.alias(k) for k, c in extra.items()]
-    one = df.agg(*(aggs or [F.count(F.lit(1)).alias("_rows")]))
+    one = (df if by is None else df.groupBy(by.alias("_by"))).agg(*(aggs or [F.count(F.lit(1)).alias("_rows")]))
     # frame-, row- and schema-level checks: scalar subqueries on the one row
     for i, c in enumerate(checks):
         if c.scalar:

@@ -15,6 +15,7 @@ from assay.streaming import jobs as J
 
 col = F.col
 ROWS_PER_FILE = 100_000      # of a landed file, and event ids of a range; the number of files follows the table
+TRIGGERS = 12                # that take all landed files, one file each while there are no more
 
 
 def _landed(t, name):
@@ -35,8 +36,8 @@ SELECT user_id, CAST(count(*) AS BIGINT) AS n_checks, CAST(count_if(ok) AS BIGIN
 FROM l GROUP BY user_id""")
 def stream_latest_scorecard(t):
     """Rows 82, 83: last result per check (user x event type) kept as streaming
-    state over files arriving one per trigger; the final state equals the
-    batch result whatever the file order, so the batch oracle applies."""
+    state over files arriving in up to a dozen triggers; the final state equals
+    the batch result whatever the file order, so the batch oracle applies."""
     spark, root, schema = _landed(t, "stream-latest")
     s = J.file_stream(spark, f"{root}/in", schema, max_files_per_trigger=1)
     s = s.select("user_id", "event_type", "ts", "event_id", (col("event_type") != "error").alias("ok"))
@@ -144,14 +145,14 @@ FROM st"""
 
 @query("stream_scorecard", _BATCH_SQL)
 def stream_scorecard(t):
-    """Rows 82, 85: the event constraints evaluated on every micro-batch (one file
-    per trigger) with foreachBatch; each batch's scorecard is written under
-    its batch id (idempotent on replay) and identified by its first event.
-    Files hold equal event-id ranges, so each batch's rows are known whatever
-    order the files are picked in."""
+    """Rows 82, 85: the event constraints evaluated on every file of every
+    micro-batch (up to a dozen) with foreachBatch; the scorecards of a batch are
+    written under its batch id (idempotent on replay), each identified by its
+    first event.  A file holds one range of event ids, so the rows of a scorecard
+    are known whatever order the files are picked in."""
     spark, root, schema = _land_ranges(t, "stream-score")
-    s = J.file_stream(spark, f"{root}/in", schema, max_files_per_trigger=1)
-    J.batch_scorecards(s, _event_checks, f"{root}/out", J.checkpoint_location(root, "ckpt/score"), "event_id")
+    s = J.file_stream(spark, f"{root}/in", schema, J.files_per_trigger(spark, f"{root}/in", schema, TRIGGERS))
+    J.batch_scorecards(s, _event_checks, f"{root}/out", J.checkpoint_location(root, "ckpt/score"), "event_id", RANGE_WIDTH)
     r = spark.read.parquet(f"{root}/out")
     return r.select("batch_first", "seq", "check_id", "status", "points", "score", "max_score", "percentage")
 

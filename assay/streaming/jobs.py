@@ -37,6 +37,13 @@ def file_stream(spark: SparkSession, path: str, schema, max_files_per_trigger: i
     return r.parquet(path)
 
 
+def files_per_trigger(spark: SparkSession, path: str, schema, triggers: int) -> int:
+    """How many files a trigger has to take for all that have landed to be
+    taken within ``triggers``: every trigger runs all state partitions and
+    reports on each, so their number must not follow the table."""
+    return max(1, -(-len(spark.read.schema(schema).parquet(path).inputFiles()) // triggers))
+
+
 def latest_per_key(stream: DataFrame, keys: list[str], value: str, order: list[str], out_path: str,
                    checkpoint: str) -> None:
     """Last value per key (by ``order``) maintained incrementally.  A
@@ -103,13 +110,14 @@ def rows_dropped_by_watermark(q) -> int:
     return total
 
 
-def batch_scorecards(stream: DataFrame, checks_for, out_path: str, checkpoint: str, key: str) -> None:
-    """Run a check suite over every micro-batch (``checks_for()`` builds the
-    checks); each batch writes ``out_path/batch_id=<n>`` in overwrite mode,
-    so a replayed batch replaces its own scorecard."""
+def batch_scorecards(stream: DataFrame, checks_for, out_path: str, checkpoint: str, key: str, width: int) -> None:
+    """Run a check suite over every range of ``width`` keys of a micro-batch
+    (``checks_for()`` builds the checks); no range may be spread over files.
+    Each batch writes ``out_path/batch_id=<n>`` in overwrite mode, so a
+    replayed batch replaces its own scorecards."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        res = C.run_suite(batch, checks_for(), suite="batch", extra={"batch_first": F.min(key)})
+        res = C.run_suite(batch, checks_for(), suite="batch", extra={"batch_first": F.min(key)}, by=F.floor(F.col(key) / width))
         res.write.mode("overwrite").parquet(f"{out_path}/batch_id={batch_id}")
 
     q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)

@@ -96,6 +96,32 @@ def test_a_failing_batch_is_set_aside(spark):
     assert G.passed(spark, f"{root}/out").count() == 30
 
 
+def batches(monkeypatch, spark):
+    """The scratch folders that queries take from now on, and a count of the batches below."""
+    import glob
+
+    roots, real = [], sinks.new_scratch
+    monkeypatch.setattr(sinks, "new_scratch", lambda spark, name: roots.append(real(spark, name)) or roots[-1])
+    return lambda: len(glob.glob(f"{roots[-1].replace('file:', '')}/out/batch_id=*"))
+
+
+def test_scorecards_of_many_ranges_in_one_trigger(spark, monkeypatch):
+    from assay.operators import checks as C
+    from assay.plans import streams as S
+
+    monkeypatch.setattr(S, "RANGE_WIDTH", 60)
+    seen = batches(monkeypatch, spark)
+    got = QUERIES["stream_scorecard"](spark, SMOKE)
+    ev = spark.read.parquet(f"{SMOKE}/events.parquet")
+    top = ev.agg(F.max("event_id")).first()[0]
+    want = []
+    for b in range(top // 60 + 1):
+        one = C.run_suite(ev.where(F.col("event_id").between(60 * b, 60 * b + 59)), S._event_checks(), extra={"batch_first": F.min("event_id")})
+        want += one.select(*got.columns).collect()
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want)) and top // 60 > S.TRIGGERS
+    assert 1 < seen() <= S.TRIGGERS
+
+
 def test_live_state_is_a_stored_table_of_bounded_size(spark):
     """One file a trigger, five triggers in one run, against a replay by hand; a run without news changes nothing."""
     import glob
