@@ -105,6 +105,17 @@ def batches(monkeypatch, spark):
     return lambda: len(glob.glob(f"{roots[-1].replace('file:', '')}/out/batch_id=*"))
 
 
+def test_triggers_do_not_follow_the_number_of_files(spark, monkeypatch):
+    from assay.plans import streams as S
+
+    monkeypatch.setattr(S, "ROWS_PER_FILE", 40)
+    seen = batches(monkeypatch, spark)
+    a = QUERIES["stream_latest_scorecard"](spark, SMOKE)
+    b = QUERIES["latest_scorecard"](spark, SMOKE)
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
+    assert 1 < seen() <= S.TRIGGERS
+
+
 def test_scorecards_of_many_ranges_in_one_trigger(spark, monkeypatch):
     from assay.operators import checks as C
     from assay.plans import streams as S
