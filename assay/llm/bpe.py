@@ -162,7 +162,10 @@ def encoder(path: str, pattern: str) -> Encoder:
 
 
 def forget() -> None:
-    _encoders.clear()
+    if _encoders:
+        _encoders.clear()
+        gc.unfreeze()          # they refer to themselves, and the collector frees nothing that is frozen
+        gc.collect()
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = False,

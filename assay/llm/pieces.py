@@ -212,7 +212,10 @@ def model(path: str) -> Model:
 
 
 def forget() -> None:
-    _models.clear()
+    if _models:
+        _models.clear()
+        gc.unfreeze()          # they refer to themselves, and the collector frees nothing that is frozen
+        gc.collect()
 
 
 def encode(docs: DataFrame, path: str, text: str = "text", decoded: bool = False) -> DataFrame:

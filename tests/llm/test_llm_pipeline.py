@@ -95,3 +95,17 @@ def test_a_worker_holds_the_tables_of_one_operator(spark):
     assert bpe._encoders and not pieces._models and not langid._known
     staging.hold()
     assert not bpe._encoders
+
+
+def test_forgotten_tables_are_freed():
+    """Encoders refer to themselves and are frozen for the garbage collector: a worker kept one for each stage that used it."""
+    import weakref
+
+    from assay.llm import pieces, staging
+
+    for make in (lambda: bpe.encoder(P.path(BPE_RANKS), P.PATTERN), lambda: pieces.model(P.path("piece_bpe_32k.model"))):
+        staging.hold()
+        known = weakref.ref(make())
+        assert known() is not None
+        staging.hold()
+        assert known() is None
