@@ -272,8 +272,9 @@ def texts_of(ids: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFra
 
     keys = ids.select(F.xxhash64("id").alias("k"))
     filter_ = Wanted()
-    for row in keys.mapInArrow(bits, schema).groupBy("word").agg(F.bit_or("bits").alias("bits")).toLocalIterator():
-        filter_.data[row[0]] = np.int64(row[1]).view(np.uint64)
+    # At most as many rows as the filter has words, all at once: an iterator would run a job for each partition.
+    found = keys.mapInArrow(bits, schema).groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    filter_.data[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     sent = spark.sparkContext.broadcast(filter_)
 
     kinds = {f.name: f.dataType for f in docs.schema.fields}

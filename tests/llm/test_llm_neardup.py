@@ -171,3 +171,22 @@ def test_family_below_the_threshold_makes_few_rows(spark):
     classes = neardup.sketches(docs, "doc_id", "text", p).selectExpr("node", "doc_id as id", "n_shingles as n", "sketch", "paths")
     rows = classes.selectExpr("explode(paths) as path", "node", "node as root")
     assert neardup.look_alikes(rows, classes, p).count() <= rows.count()
+
+
+def test_the_filter_of_wanted_ids_takes_few_jobs(spark):
+    """However many partitions the shuffle has, and its words all reach the filter."""
+    ids = spark.range(0, 4000, 3).select("id")
+    docs = spark.range(5000).select(F.col("id").alias("k"), F.concat(F.lit("t"), "id").alias("t"))
+    conf = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        spark.sparkContext.setJobGroup("filter of wanted ids", "")
+        got = neardup.texts_of(ids, docs, "k", "t")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("filter of wanted ids")
+        assert 0 < len(jobs) <= 8 and got.count() == 1334
+    finally:
+        spark.sparkContext._jsc.clearJobGroup()
+        for k, v in was.items():
+            spark.conf.set(k, v)
