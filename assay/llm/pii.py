@@ -20,8 +20,11 @@ Spans are generalised: a value to its kind, a term to ``[term]``.
 
 Counts cover all documents, and rows with the same text count each.  A term
 that stands near entities in too many rows cannot disclose, whatever its count elsewhere, and is left out first.  The
-pass that counts the others everywhere drops words by a bitmap of fixed size,
-so that only counts of terms in question (and a few that share a bit) move.
+others are counted in some thousand rows, then in the rest of four times as many,
+and so on up to all; a term leaves as soon as it has too many rows.  So tasks hand
+on a term no oftener than that takes, however many there are.  A pass drops words
+by a bitmap of fixed size, so that only counts of terms in question (and a few
+that share a bit) move.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +63,7 @@ class Params:
     support: int = 2           # texts that a term and an entity share
     disclosure: float = 0.9    # of an entity's information
     bits: int = 1 << 24
+    first: int = 4096          # rows, about, in which terms are counted first
 
 
 PRODUCTION = Params()
@@ -225,6 +230,32 @@ def term_counts(docs: DataFrame, text: str, wanted: DataFrame, p: Params) -> Dat
     return docs.select(F.col(text).alias("text")).mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n"))
 
 
+def slices(total: int, p: Params) -> list[int]:
+    """Ends of slices of the rows, each of four times the one before it, the last
+    end being their number; the first has about ``first`` rows."""
+    ends = [1]
+    while ends[-1] * p.first < total:
+        ends.append(4 * ends[-1])
+    return ends
+
+
+def counts_up_to(docs: DataFrame, text: str, wanted: DataFrame, total: int, p: Params) -> DataFrame:
+    """``term, n`` of the different terms of ``wanted`` (``term, most``) that
+    occur: the number of rows that hold a term, or, if it is above ``most``, any
+    number above that."""
+    ends, done = slices(total, p), []
+    at = F.pmod(F.xxhash64(text), F.lit(ends[-1]))
+    left = wanted.select("term", "most", F.lit(0).cast("long").alias("n"))
+    for start, end in zip([0, *ends], ends):
+        rows = docs.where((at >= start) & (at < end)) if len(ends) > 1 else docs
+        more = term_counts(rows, text, left, p).withColumnRenamed("n", "more")
+        counted = stage(left.join(more, "term", "left").select("term", "most", (F.col("n") + F.coalesce("more", F.lit(0))).alias("n")), "counted")
+        if end == ends[-1]:
+            return reduce(DataFrame.union, [*done, counted.where("n > 0").select("term", "n")])
+        done.append(counted.where("n > most").select("term", "n"))
+        left = counted.where("n <= most")
+
+
 def _share(n: Column, total: Column) -> Column:
     information = F.log2(total / F.col("holders"))
     mutual = F.log2(total * F.col("both") / (F.col("holders") * n))
@@ -241,9 +272,13 @@ def disclosing(docs: DataFrame, scanned: DataFrame, text: str, p: Params) -> Dat
     holders = near.select("digest", "w", "entity").distinct().groupBy("entity").agg(F.sum("w").alias("holders"))
     # A term is in no fewer rows than those that have it near any entity.
     seen = near.select("digest", "w", "term").distinct().groupBy("term").agg(F.sum("w").alias("seen"))
-    total = F.lit(float(scanned.count()))
+    rows = scanned.count()
+    total = F.lit(float(rows))
     possible = stage(together.join(holders, "entity").join(seen, "term").where(_share(F.greatest("both", "seen"), total) >= p.disclosure), "possible")
-    return (possible.join(term_counts(docs, text, possible, p), "term").withColumn("share", _share(F.greatest("n", "both", "seen"), total))
+    # Rows that may hold a term of so large a share, with some to spare for rounding.
+    most = F.max(F.col("both") * F.pow(total / F.col("holders"), F.lit(1 - p.disclosure))) * (1 + 1e-6)
+    counts = counts_up_to(docs, text, possible.groupBy("term").agg(most.alias("most")), rows, p)
+    return (possible.join(counts, "term").withColumn("share", _share(F.greatest("n", "both", "seen"), total))
             .where(F.col("share") >= p.disclosure).select("entity", "term", "share"))
 
 
@@ -253,7 +288,8 @@ def disclosing_anywhere(docs: DataFrame, scanned: DataFrame, text: str, p: Param
     before they meet entities."""
     texts = scanned.where("size(entities) > 0").groupBy("digest").agg(
         F.count("*").alias("w"), F.any_value("entities").alias("entities"), F.any_value("terms").alias("terms"))
-    total = F.lit(float(scanned.count()))
+    rows = scanned.count()
+    total = F.lit(float(rows))
     in_text = texts.select("digest", "w", F.explode("entities").alias("entity"))
     held = in_text.groupBy("entity").agg(F.sum("w").alias("holders"), F.count("*").alias("texts")).where(F.col("texts") >= p.support)
     # Rows that may hold a term of so large a share, if all rows of the entity do.
@@ -262,10 +298,10 @@ def disclosing_anywhere(docs: DataFrame, scanned: DataFrame, text: str, p: Param
     limit = known.groupBy("digest").agg(F.max("rare").alias("limit"))
     of_text = texts.join(limit, "digest").select("digest", "w", "limit", F.explode("terms").alias("x")).select("digest", "w", "limit", "x.*")
     several = of_text.groupBy("term").agg(F.count("*").alias("texts"), F.sum("w").alias("seen"), F.max("limit").alias("limit"))
-    several = stage(several.where(F.col("texts") >= p.support).select("term", "seen", (F.col("seen") <= F.col("limit")).alias("may_be_rare")), "several")
+    several = stage(several.where(F.col("texts") >= p.support).select("term", "seen", "limit", (F.col("seen") <= F.col("limit")).alias("may_be_rare")), "several")
     # A term that texts with entities alone hold too often needs no count over all rows.
-    open_ = several.where("may_be_rare").select("term")
-    counts = stage(open_.join(term_counts(docs, text, open_, p), "term")
+    open_ = several.where("may_be_rare").select("term", F.col("limit").alias("most"))
+    counts = stage(counts_up_to(docs, text, open_, rows, p)
                    .unionByName(several.where("not may_be_rare").select("term", F.col("seen").alias("n"))), "counts")
     few = of_text.join(counts, "term").where("n <= limit").select("digest", "term", "left", "right", "n")
     pairs = known.join(few, "digest").where("n <= rare")

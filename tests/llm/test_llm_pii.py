@@ -188,3 +188,26 @@ def test_shares_anywhere_match_brute_force(spark):
                 if len({texts[i] for i in at}) >= 2 and share >= 0.5 and unlike:
                     want.append(round(share, 9))
     assert got == sorted(want) and len(got) >= 4
+
+
+def test_frequent_terms_leave_before_most_rows_are_counted(spark, monkeypatch):
+    """``often`` is in all rows, ``alpha`` in three: only the rare one is counted in the last three quarters."""
+    from dataclasses import replace
+
+    texts = [f"often {prose(i, 30)} row{i}" for i in range(200)]
+    for i in (3, 50, 120):
+        texts[i] = f"{i}a often {i}b {prose(300 + i, 20)} {i}c alpha {i}d jo.doe@mail.example.com"
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate([*texts, None])], DOCS)
+    p = replace(pii.PRODUCTION, first=8)
+    asked, real = [], pii.term_counts
+    monkeypatch.setattr(pii, "term_counts", lambda docs, text, wanted, p: asked.append((docs.count(), wanted.count())) or real(docs, text, wanted, p))
+    wanted = spark.createDataFrame([(int(t), most) for t, most in zip(pii.word_terms("often alpha none", [(0, 5), (6, 11), (12, 16)]), (9.7, 9.7, 9.7))], "term long, most double")
+    got = {r.term: r.n for r in pii.counts_up_to(docs, "text", wanted, docs.count(), p).collect()}
+    often, alpha, none = (int(t) for t in pii.word_terms("often alpha none", [(0, 5), (6, 11), (12, 16)]))
+    assert got[alpha] == 3 and 9.7 < got[often] < 200 and none not in got
+    assert sum(n for n, _ in asked) == docs.count() and [n for _, n in asked][0] == 3 and [n for _, n in asked][-1] == 2
+    monkeypatch.undo()
+    scanned = pii.stage(pii.scan(docs, "doc_id", "text", p), "pii")
+    for told in (pii.disclosing, pii.disclosing_anywhere):
+        once, sliced = (sorted(map(tuple, told(docs, scanned, "text", x).collect())) for x in (pii.PRODUCTION, p))
+        assert once == sliced and once
