@@ -117,3 +117,99 @@ def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
     assert 0 < sum(sc.statusTracker().getStageInfo(s).numTasks for s in stages) <= max(32, 2 * sc.defaultParallelism) < 150
     assert {(r.path, r.length) for r in listed.collect()} == {(f"/d{i}/f.txt", i + 1) for i in range(150)}
     assert spark.conf.get(name) == before
+
+
+def recorded_reads(monkeypatch, tree):
+    """The number of files of every read of the tree, as they come."""
+    from pyspark.sql.readwriter import DataFrameReader
+
+    sizes = []
+    for name in ("load", "text"):
+        def read(self, path, *args, f=getattr(DataFrameReader, name), **options):
+            df = f(self, path, *args, **options)
+            if any(tree in p for p in ([path] if isinstance(path, str) else path)):
+                sizes.append(len(df.inputFiles()))
+            return df
+        monkeypatch.setattr(DataFrameReader, name, read)
+    return sizes
+
+
+def test_trees_are_listed_and_read_in_slices(spark, monkeypatch):
+    root = sinks.new_scratch(spark, "files")
+    tree, state = f"{local(root)}/tree", f"{root}/state"
+    names = [f"wide/f{i}.txt" for i in range(25)] + [f"deep/d{i}/e/f{j}.txt" for i in range(8) for j in range(3)] + [
+        "odd/a b.txt", "odd/x%20y.txt", "odd/b[1].txt", "odd/[c]/{d,e}.txt", "odd/s*r?.txt", "odd/1+1.txt", "odd/back\\slash.txt", "odd/é.txt", "odd/_k=1/f.txt", "top.txt"]
+    for name in [*names, "deep/.hidden.txt", "_left/out.txt", "odd/_out.txt"]:
+        os.makedirs(os.path.dirname(f"{tree}/{name}"), exist_ok=True)
+        with open(f"{tree}/{name}", "w") as f:
+            f.write(f"text of {name}")
+    open(f"{tree}/empty.txt", "w").close()
+    os.makedirs(f"{tree}/nothing/below")
+    monkeypatch.setattr(N, "FILES_AT_ONCE", 7, raising=False)
+    sizes = recorded_reads(monkeypatch, tree)
+    # What a lost run left is not part of the next.
+    frame(spark, [(1, "lost")]).selectExpr("v as path").write.parquet(f"{state}/run=0")
+    os.remove(f"{local(state)}/run=0/_SUCCESS")
+    assert N.take(spark, tree, state) == 0
+    assert max(sizes) <= 7 and sum(sizes) == 2 * len(names) + 1               # the empty file is listed
+    got = {r.path: (r.version, r.change, r.contents, r.length) for r in N.history(spark, state).collect()}
+    assert got == {f"/{n}": (1, "added", f"text of {n}", len(f"text of {n}".encode())) for n in names}
+    sizes.clear()
+    with open(f"{tree}/odd/b[1].txt", "w") as f:
+        f.write("changed text")
+    for i in range(8):
+        os.remove(f"{tree}/deep/d{i}/e/f0.txt")
+    assert N.take(spark, tree, state) == 1
+    assert max(sizes) <= 7 and sum(sizes) == len(names) + 1 - 8 + 1         # listed, and the changed file read
+    got = {(r.path, r.version, r.change, r.contents) for r in N.history(spark, state).where("run = 1").collect()}
+    assert got == {("/odd/b[1].txt", 2, "changed", "changed text")} | {(f"/deep/d{i}/e/f0.txt", 2, "removed", None) for i in range(8)}
+    assert sorted(os.listdir(local(state))) == ["run=0", "run=1"]
+
+
+def test_files_removed_while_a_snapshot_is_taken(spark, monkeypatch):
+    root = sinks.new_scratch(spark, "files")
+    tree, state = f"{local(root)}/tree", f"{root}/state"
+    os.makedirs(f"{tree}/a")
+    for i in range(4):
+        with open(f"{tree}/a/f{i}.txt", "w") as f:
+            f.write(f"text {i}")
+    real = N._read_new
+
+    def later(*args):
+        os.remove(f"{tree}/a/f2.txt")
+        return real(*args)
+
+    monkeypatch.setattr(N, "_read_new", later)
+    assert N.take(spark, tree, state) == 0
+    assert {r.path: r.contents for r in N.history(spark, state).collect()} == {f"/a/f{i}.txt": "" if i == 2 else f"text {i}" for i in range(4)}
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        N.take(spark, f"{tree}/none", f"{state}-2")
+    monkeypatch.setattr(N, "_read_new", real)
+    for i in (0, 1, 3):
+        os.remove(f"{tree}/a/f{i}.txt")
+    assert N.take(spark, tree, state) == 1                                   # an empty tree
+    assert N.present(spark, state).count() == 0 and N.known(spark, state).where("change = 'removed'").count() == 4
+
+
+def test_trees_are_written_in_slices(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from pyspark.sql.readwriter import DataFrameWriter
+
+    from assay.plans import manifests as P
+
+    root = local(sinks.new_scratch(spark, "tree"))
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, "s").alias("source"), F.concat(F.lit("text "), "id").alias("text"))
+    there, wrote, text = lambda: len(glob.glob(f"{root}/**/*.txt", recursive=True)), [], DataFrameWriter.text
+
+    def write(self, *args, **options):
+        before = there()
+        text(self, *args, **options)
+        wrote.append(there() - before)
+
+    monkeypatch.setattr(P, "FILES_OF_A_JOB", 20, raising=False)
+    monkeypatch.setattr(DataFrameWriter, "text", write)
+    P._write_tree(docs, root)
+    assert sum(wrote) == 80 and max(wrote) <= 40
+    back = spark.read.text(root).groupBy("turn", "part", "source").agg(F.count("*").alias("n"), F.min("value").alias("v"))
+    got = {(r.turn, r.part, r.source, r.n, r.v) for r in back.collect()}
+    assert got == {(p % 3, p, "none" if odd else "s", 50, min(f"text {i}" for i in range(100 * p + odd, 100 * p + 100, 2))) for p in range(40) for odd in (0, 1)}
